@@ -56,10 +56,11 @@ def polygon_edges(polygons: DataFrame) -> DataFrame:
 
 
 def _edges_by_cell(polygons: DataFrame, cell: float) -> DataFrame:
-    """List each edge in the cells from which a ray to the east can cross it.
+    """Per grid cell the states, each with the edges a ray from the cell to the east can cross.
 
-    Those are the rows the edge spans, from the ring's western end to the edge's eastern end. West
-    of its ring a ray crosses the ring an even number of times, which parity does not notice.
+    Those are the edges of the cell's row, from their ring's western end to their own eastern end.
+    West of its ring a ray crosses the ring an even number of times, which parity does not notice.
+    The lists depend on the detail of the map, not on the number of points.
     """
     rows = F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell))
     columns = F.sequence(F.floor(F.col("ring_west") / cell), F.floor(F.greatest("x1", "x2") / cell))
@@ -67,43 +68,35 @@ def _edges_by_cell(polygons: DataFrame, cell: float) -> DataFrame:
         polygon_edges(polygons)
         .withColumn("cell_row", F.explode(rows))
         .withColumn("cell_col", F.explode(columns))
-        .drop("ring_west")
+        .groupBy("cell_row", "cell_col", "state")
+        .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+        .groupBy("cell_row", "cell_col")
+        .agg(F.sort_array(F.collect_list(F.struct("state", "edges"))).alias("outlines"))
     )
 
 
-def states_of_points(points: DataFrame, polygons: DataFrame, cell: float = POLYGON_CELL_DEGREES) -> DataFrame:
-    """Distinct (lat, lon) with the state that contains them; points in no state are absent.
+def with_state(points: DataFrame, polygons: DataFrame, cell: float = POLYGON_CELL_DEGREES) -> DataFrame:
+    """Add the two-letter state of (lat, lon), NULL outside all states.
 
-    Even-odd rule with the half-open test on edge ends, over all rings and parts of a state. Where
-    states overlap the first by name wins.
+    Even-odd rule with the half-open test on edge ends, over all rings and parts of a state; where
+    states overlap the first by name wins. Points meet their cell's edges in one equi-join and stay
+    one row each, so with a map small enough to broadcast they are not shuffled at all.
     """
-    located = (
-        points.select("lat", "lon")
-        .filter("lat IS NOT NULL AND lon IS NOT NULL")
-        .distinct()
-        .withColumn("cell_row", F.floor(F.col("lat") / cell))
-        .withColumn("cell_col", F.floor(F.col("lon") / cell))
-    )
-    crossing = F.expr(
-        "(y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1"
+    require_columns(points, "lat", "lon")
+    inside = F.expr(
+        """filter(outlines, o -> size(filter(o.edges, e ->
+               (e.y1 > lat) <> (e.y2 > lat)
+               AND lon < (e.x2 - e.x1) * (lat - e.y1) / (e.y2 - e.y1) + e.x1)) % 2 = 1)"""
     )
     return (
-        located.join(_edges_by_cell(polygons, cell), ["cell_row", "cell_col"])
-        .filter(crossing)
-        .groupBy("lat", "lon", "state")
-        .agg(F.count(F.lit(1)).alias("crossings"))
-        .filter("crossings % 2 = 1")
-        .groupBy("lat", "lon")
-        .agg(F.min("state").alias("state"))
+        points.withColumn("cell_row", F.floor(F.col("lat") / cell))
+        .withColumn("cell_col", F.floor(F.col("lon") / cell))
+        .join(_edges_by_cell(polygons, cell), ["cell_row", "cell_col"], "left")
+        .withColumn("state", F.get(inside, F.lit(0))["state"])
+        .drop("cell_row", "cell_col", "outlines")
     )
 
 
-def with_state(points: DataFrame, polygons: DataFrame, cell: float = POLYGON_CELL_DEGREES) -> DataFrame:
-    """Add the two-letter state of (lat, lon), NULL outside all states."""
-    require_columns(points, "lat", "lon")
-    return points.join(states_of_points(points, polygons, cell), ["lat", "lon"], "left")
-
-
 def _merged_elevations(
     points: DataFrame, grid: DataFrame, cache: DataFrame | None, cells_per_degree: int
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldheat.functions.rows import explode_range
 from fieldheat.schemas import require_columns
 
 SEASON_KEY = ["FIELD_ID", "CROP_SEASON", "CROP_NAME"]
@@ -159,14 +160,8 @@ def _numbered_days(operations: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("times"))
     )
     running = Window.partitionBy(*key).orderBy("DATE").rowsBetween(Window.unboundedPreceding, 0)
-    block = 4096
-    return (
-        days.withColumn("last", F.sum("times").over(running))
-        .withColumn("first", F.col("last") - F.col("times") + 1)
-        .withColumn("block", F.explode(F.expr(f"sequence(first, last, {block}L)")))
-        .withColumn("k", F.explode(F.expr(f"sequence(block, least(last, block + {block - 1}))")))
-        .select(*key, "DATE", "k")
-    )
+    runs = days.withColumn("last", F.sum("times").over(running)).withColumn("first", F.col("last") - F.col("times") + 1)
+    return explode_range(runs, "first", "last", "k").select(*key, "DATE", "k")
 
 
 def _paired(operations: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldheat.functions import geo
+from fieldheat.functions.rows import explode_range
 from fieldheat.schemas import number, require_columns
 
 MAX_GRID_LEVELS = 12
+CELL = ["level", "cell_row", "cell_col"]
 
 
 def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> DataFrame:
@@ -93,26 +95,36 @@ def _with_cells_around(stations: DataFrame, levels: int, radius_m: float) -> Dat
     )
 
 
-def _search_levels(probes: DataFrame, stations: DataFrame, levels: int, radius_m: float, k: int) -> DataFrame:
-    """Add to each probe the level to search at."""
-    every_level = F.explode(F.sequence(F.lit(1), F.lit(levels)))
-    cell = ["level", "cell_row", "cell_col"]
-    by_start = Window.partitionBy(*cell).orderBy("record_start", "station_id")
-    dense = (
-        _with_own_cell(stations.withColumn("level", every_level), "station_lat", "station_lon", radius_m)
+def _dense_cells(stations: DataFrame, levels: int, radius_m: float, k: int) -> DataFrame:
+    """Cells with k stations or more, and the start of the k-th station by start date."""
+    by_start = Window.partitionBy(*CELL).orderBy("record_start", "station_id")
+    listed = stations.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
+    return (
+        _with_own_cell(listed, "station_lat", "station_lon", radius_m)
         .filter(geo.cell_is_compact(F.col("cell_row"), F.col("cells"), F.col("size")))
         .withColumn("rank", F.row_number().over(by_start))
         .filter(F.col("rank") == k)
-        .select(*cell, F.col("record_start").alias("kth_start"))
+        .select(*CELL, F.col("record_start").alias("kth_start"))
     )
-    probe = ["field_lat", "field_lon", "seeding_date"]
+
+
+def _with_search_level(
+    rows: DataFrame, columns: list[str], stations: DataFrame, levels: int, radius_m: float, k: int
+) -> DataFrame:
+    """Distinct field rows with the number of their copies and the level to search at."""
+    if levels == 0:
+        return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("level", F.lit(0))
     safe = F.when(F.col("kth_start") < F.col("seeding_date"), F.col("level") - 1)
+    listed = rows.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
     return (
-        _with_own_cell(probes.withColumn("level", every_level), "field_lat", "field_lon", radius_m)
-        .select(*probe, *cell)
-        .join(dense, cell, "left")
-        .groupBy(*probe)
-        .agg(F.coalesce(F.max(safe), F.lit(0)).alias("level"))
+        _with_own_cell(listed, "field_lat", "field_lon", radius_m)
+        .join(_dense_cells(stations, levels, radius_m, k), CELL, "left")
+        .groupBy(*columns)
+        .agg(
+            F.sum(F.when(F.col("level") == 1, 1)).alias("copies"),
+            F.coalesce(F.max(safe), F.lit(0)).alias("search_level"),
+        )
+        .withColumnRenamed("search_level", "level")
     )
 
 
@@ -137,7 +149,8 @@ def nearest_stations(
     """The k nearest stations within the radius whose records start before the seeding date.
 
     One row per field-season and station, ties by station id; field-seasons without a station
-    disappear. Work is done once per distinct place and seeding date.
+    disappear. Equal input rows are searched once and repeated at the end. Without levels given,
+    the refinement is chosen by one count over the stations.
     """
     require_columns(field_seasons, "FIELD_ID", "field_lat", "field_lon", "seeding_date")
     require_columns(stations, "STID", "ELEVATION", "lat", "lon", "record_start")
@@ -145,26 +158,20 @@ def nearest_stations(
     levels = grid_levels(stations, radius_m, k) if levels is None else levels
     usable = _prepared_stations(stations, k)
 
-    probe = ["field_lat", "field_lon", "seeding_date"]
-    probes = field_seasons.select(*probe).dropna().distinct()
-    if levels == 0:
-        probes = probes.withColumn("level", F.lit(0))
-    else:
-        probes = _search_levels(probes, usable, levels, radius_m, k)
-    cell = ["level", "cell_row", "cell_col"]
-    probes = _with_own_cell(probes, "field_lat", "field_lon", radius_m).select(*probe, *cell)
+    columns = [name for name in field_seasons.columns if name != "state"]
+    rows = field_seasons.select(*columns).dropna(subset=["field_lat", "field_lon", "seeding_date"])
+    searching = _with_search_level(rows, columns, usable, levels, radius_m, k)
     distance = geo.haversine_m(F.col("field_lat"), F.col("field_lon"), F.col("station_lat"), F.col("station_lon"))
-    closest_first = Window.partitionBy(*probe).orderBy("distance_m", "station_id")
+    closest_first = Window.partitionBy(*columns).orderBy("distance_m", "station_id")
     chosen = (
-        probes.join(_with_cells_around(usable, levels, radius_m), cell)
+        _with_own_cell(searching, "field_lat", "field_lon", radius_m)
+        .drop("size", "cells")
+        .join(_with_cells_around(usable, levels, radius_m), CELL)
         .filter("record_start < seeding_date")
         .withColumn("distance_m", distance)
         .filter(F.col("distance_m") <= radius_m)
         .withColumn("rank", F.row_number().over(closest_first))
         .filter(F.col("rank") <= k)
-        .select(*probe, "station_id", "station_elev", "station_lat", "station_lon", "distance_m")
     )
-    result = field_seasons.drop("state").join(chosen, probe)
-    columns = [name for name in field_seasons.columns if name != "state"]
-    columns += ["station_id", "station_elev", "station_lat", "station_lon"]
-    return result.select(*columns, *(["distance_m"] if with_distance else []))
+    columns += ["station_id", "station_elev", "station_lat", "station_lon"] + (["distance_m"] if with_distance else [])
+    return explode_range(chosen, "1", "copies", "copy").select(*columns)

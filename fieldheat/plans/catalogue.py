@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from fieldheat.plans import season_heat
 from fieldheat.plans.testmap import AS_OF, RADIUS_MILES, TestTables
 from fieldheat.session import configure
 from fieldheat.sources import gdh_table
+from fieldheat.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,32 +51,40 @@ class Tables(TestTables):
 
     __test__ = False
 
+    @cached_property
     def field_master(self) -> DataFrame:
-        return fields.field_master(
+        """Staged: it gives the stations' states as well as the fields."""
+        master = fields.field_master(
             self.fields(), self.boundaries(), self.polygons(), self.elevation_grid(), self.elevation_cache()
         )
+        return stage(master, "field_master")
 
     def windows(self) -> DataFrame:
         return seasons.season_windows(self.operations(), self.loaded(), self.thresholds())
 
     def field_seasons(self) -> DataFrame:
         columns = ["FIELD_ID", "CROP_NAME", "CROP_SEASON", "seeding_date", "harvest_date"]
-        return seasons.field_seasons(self.field_master(), self.windows().select(*columns))
+        return seasons.field_seasons(self.field_master, self.windows().select(*columns))
 
     def stations(self) -> DataFrame:
-        return stations.active_stations(self.station_metadata(), self.field_master())
+        return stations.active_stations(self.station_metadata(), self.field_master)
 
-    def field_stations(self) -> DataFrame:
+    def nearest(self) -> DataFrame:
         return stations.nearest_stations(self.field_seasons(), self.stations(), RADIUS_MILES)
 
+    @cached_property
+    def field_stations(self) -> DataFrame:
+        """Staged: it plans the readings to take and then receives them."""
+        return stage(self.nearest(), "field_stations")
+
     def plan(self) -> DataFrame:
-        return readings.station_season_plan(self.field_stations())
+        return readings.station_season_plan(self.field_stations)
 
     def planned_readings(self) -> DataFrame:
         return readings.readings_by_plan(self.readings(), self.plan())
 
     def field_readings(self) -> DataFrame:
-        stations_of = self.field_stations()
+        stations_of = self.field_stations
         chosen = readings.readings_by_plan(self.readings(), readings.station_season_plan(stations_of))
         return readings.field_readings(stations_of, chosen)
 
@@ -82,22 +92,24 @@ class Tables(TestTables):
         return hourly.hourly_mean(self.field_readings())
 
     def hourly_filled(self) -> DataFrame:
-        return season_heat.field_station_hours(self.field_stations(), self.readings())
+        return season_heat.field_station_hours(self.field_stations, self.readings())
 
     def field_weather(self) -> DataFrame:
-        stations_of = self.field_stations()
+        stations_of = self.field_stations
         days = season_heat.field_station_days(stations_of, self.readings())
         return weather.field_weather(season_heat.filled_hours(days))
 
     def gdh(self) -> DataFrame:
         return season_heat.season_degree_hours(
-            self.field_stations(), self.readings(), self.windows(), self.thresholds()
+            self.field_stations, self.readings(), self.windows(), self.thresholds()
         )
 
 
 @query
 def fields_master(t: Tables) -> DataFrame:
-    return t.field_master()
+    return fields.field_master(
+        t.fields(), t.boundaries(), t.polygons(), t.elevation_grid(), t.elevation_cache()
+    )
 
 
 @query
@@ -183,7 +195,7 @@ def active_stations(t: Tables) -> DataFrame:
 
 @query
 def nearest_stations(t: Tables) -> DataFrame:
-    return t.field_stations()
+    return t.nearest()
 
 
 @query
@@ -215,7 +227,7 @@ def readings_by_plan(t: Tables) -> DataFrame:
 
 @query
 def readings_all(t: Tables) -> DataFrame:
-    return readings.readings_all(t.readings(), t.field_stations(), max_date=AS_OF)
+    return readings.readings_all(t.readings(), t.field_stations, max_date=AS_OF)
 
 
 @query
@@ -245,7 +257,7 @@ def hourly_filled(t: Tables) -> DataFrame:
 
 @query
 def hourly_filled_time(t: Tables) -> DataFrame:
-    return season_heat.field_station_hours(t.field_stations(), t.readings(), x="time")
+    return season_heat.field_station_hours(t.field_stations, t.readings(), x="time")
 
 
 @query
@@ -255,27 +267,27 @@ def hourly_filled_global(t: Tables) -> DataFrame:
 
 @query
 def lat_dist(t: Tables) -> DataFrame:
-    return weather.lat_dist(t.field_stations()).withColumn("lat_dist", F.round("lat_dist", 3))
+    return weather.lat_dist(t.field_stations).withColumn("lat_dist", F.round("lat_dist", 3))
 
 
 @query
 def lon_dist(t: Tables) -> DataFrame:
-    return weather.lon_dist(t.field_stations()).withColumn("long_dist", F.round("long_dist", 3))
+    return weather.lon_dist(t.field_stations).withColumn("long_dist", F.round("long_dist", 3))
 
 
 @query
 def total_dist(t: Tables) -> DataFrame:
-    return weather.total_dist(t.field_stations()).withColumn("total_dist", F.round("total_dist", 3))
+    return weather.total_dist(t.field_stations).withColumn("total_dist", F.round("total_dist", 3))
 
 
 @query
 def elev_change(t: Tables) -> DataFrame:
-    return weather.elev_change(t.field_stations())
+    return weather.elev_change(t.field_stations)
 
 
 @query
 def lapse_adjusted(t: Tables) -> DataFrame:
-    return weather.lapse_adjusted(t.hourly(), t.field_stations())
+    return weather.lapse_adjusted(t.hourly(), t.field_stations)
 
 
 @query
@@ -295,9 +307,9 @@ def gdh_hourly(t: Tables) -> DataFrame:
 
 @query
 def gdh_one_field(t: Tables) -> DataFrame:
-    """The field with the earliest id among those with weather, as a report for one grower."""
+    """The report for one grower's field."""
     data = degree_hours.gdh_input(t.field_weather(), t.windows(), t.thresholds())
-    return degree_hours.gdh_hourly(data, field="7")
+    return degree_hours.gdh_hourly(data, field="144")
 
 
 @query

@@ -194,7 +194,7 @@ STEPS: dict[str, str] = {
         FROM field_stations GROUP BY station_id, CROP_SEASON""",
     "readings": """
         SELECT 'S' || user_id AS station_id, date_trunc('minute', ts) AS date_time,
-               CASE WHEN event_type <> 'error' THEN 30 + 2.5e0 * sqrt(value) END AS air_temp_set_1,
+               CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END AS air_temp_set_1,
                CAST(year(ts) AS INTEGER) AS year
         FROM events""",
     "planned": """
@@ -328,7 +328,7 @@ FINAL: dict[str, str] = {
     "station_season_plan": f"SELECT station_id, CROP_SEASON, {_text('seeding_date', 'harvest_date')} FROM plan",
     "timeseries_readings": """
         SELECT 'S' || user_id AS station_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_time,
-               round(CASE WHEN event_type <> 'error' THEN 30 + 2.5e0 * sqrt(value) END, 6) AS air_temp_set_1,
+               round(CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END, 6) AS air_temp_set_1,
                CAST(year(ts) AS INTEGER) AS year
         FROM events""",
     "readings_by_plan": f"SELECT {_READING}, year FROM planned",
@@ -368,7 +368,7 @@ FINAL: dict[str, str] = {
                {_text('seeding_date', 'harvest_date')}
         FROM heat_input""",
     "gdh_hourly": f"SELECT {_HEAT} FROM heat",
-    "gdh_one_field": f"SELECT {_HEAT} FROM heat WHERE FIELD_ID = '7'",
+    "gdh_one_field": f"SELECT {_HEAT} FROM heat WHERE FIELD_ID = '144'",
     "gdh_daily": f"""
         SELECT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, round(gdh_day, 6) AS gdh_day,
                hours, round(sum(gdh_day) OVER (PARTITION BY FIELD_ID, CROP_NAME, CROP_SEASON ORDER BY GDH_DATE

@@ -44,38 +44,39 @@ def station_days(readings: DataFrame) -> DataFrame:
     )
 
 
-def _days_between(first: str, last: str) -> Column:
-    return F.when(F.col(first) <= F.col(last), F.sequence(first, last))
-
-
-def _planned_days(field_stations: DataFrame) -> DataFrame:
+def _planned_days(plan: DataFrame) -> DataFrame:
     """Station-days inside any station-season range; the last day of a range is open at midnight only."""
-    plan = station_season_plan(field_stations)
+    days = F.when(F.col("low") <= F.col("high"), F.sequence("low", "high"))
     return (
-        plan.select("station_id", "harvest_date", F.explode(_days_between("seeding_date", "harvest_date")).alias("Date"))
+        plan.select("station_id", "harvest_date", F.explode(days).alias("Date"))
         .groupBy(*STATION_DAY)
         .agg(F.max(F.col("Date") < F.col("harvest_date")).alias("whole_day"))
     )
 
 
-def _field_days(field_stations: DataFrame, rate: float) -> DataFrame:
+def _clipped(df: DataFrame, spans: DataFrame, key: list[str]) -> DataFrame:
+    """Add low and high: the part of each season window that has readings."""
+    return (
+        df.join(spans, key)
+        .withColumn("low", F.greatest("seeding_date", "first_day"))
+        .withColumn("high", F.least("harvest_date", "last_day"))
+        .drop("first_day", "last_day")
+        .filter("seeding_date IS NOT NULL AND harvest_date IS NOT NULL AND low <= high")
+    )
+
+
+def _field_days(field_stations: DataFrame, spans: DataFrame, rate: float) -> DataFrame:
     """Days of each field-season and station in the season's calendar year, each once.
 
     The crops of a field-season share its weather, so their windows are merged first (one entry per
     crop).
     """
-    window = F.struct(
-        F.greatest("seeding_date", F.make_date("CROP_SEASON", F.lit(1), F.lit(1))).alias("low"),
-        F.least("harvest_date", F.make_date("CROP_SEASON", F.lit(12), F.lit(31))).alias("high"),
-    )
     days = F.array_distinct(F.flatten(F.transform("windows", lambda w: F.sequence(w["low"], w["high"]))))
     return (
-        field_stations.filter("seeding_date IS NOT NULL AND harvest_date IS NOT NULL")
-        .withColumn("window", window)
-        .filter("window.low <= window.high")
+        _clipped(field_stations, spans, ["station_id", "CROP_SEASON"])
         .groupBy(*SERIES)
         .agg(
-            F.collect_set("window").alias("windows"),
+            F.collect_set(F.struct("low", "high")).alias("windows"),
             lapse_shift(F.min(F.col("field_elev") - F.col("station_elev")), rate).alias("adjusted_wt"),
         )
         .select(*SERIES, "adjusted_wt", F.explode(days).alias("Date"))
@@ -85,17 +86,24 @@ def _field_days(field_stations: DataFrame, rate: float) -> DataFrame:
 def field_station_days(
     field_stations: DataFrame, readings: DataFrame, rate: float = LAPSE_F_PER_1000_FT
 ) -> DataFrame:
-    """Hourly means of each field-season's stations, one row per station-day, partitioned by field-season."""
+    """Hourly means of each field-season's stations, one row per station-day, partitioned by field-season.
+
+    Season windows are first cut to the days their stations have readings for, so days are listed
+    only where there is something to join. Use a stored field_stations: it is read twice.
+    """
+    measured = station_days(readings)
+    spans = measured.groupBy("station_id", F.year("Date").alias("CROP_SEASON")).agg(
+        F.min("Date").alias("first_day"), F.max("Date").alias("last_day")
+    )
+    any_year = spans.groupBy("station_id").agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    planned = _planned_days(_clipped(station_season_plan(field_stations), any_year, ["station_id"]))
     open_hours = F.when(F.col("whole_day"), F.col("hours")).when(
         F.col("has_midnight"), F.array(F.struct(F.lit(0).alias("Hour"), F.col("midnight_avg").alias("temp_avg")))
     )
-    measured = (
-        station_days(readings)
-        .join(_planned_days(field_stations), STATION_DAY)
-        .select(*STATION_DAY, open_hours.alias("hours"))
-        .filter("hours IS NOT NULL")
+    open_days = (
+        measured.join(planned, STATION_DAY).select(*STATION_DAY, open_hours.alias("hours")).filter("hours IS NOT NULL")
     )
-    return _field_days(field_stations, rate).join(measured, STATION_DAY).repartition(*FIELD_SEASON)
+    return _field_days(field_stations, spans, rate).join(open_days, STATION_DAY).repartition(*FIELD_SEASON)
 
 
 def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:

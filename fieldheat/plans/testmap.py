@@ -156,7 +156,7 @@ class TestTables:
                 'STID', concat('S', user_id),
                 'OBSERVATIONS', named_struct(
                     'date_time', array(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-                    'air_temp_set_1', array(CASE WHEN event_type <> 'error' THEN 30 + 2.5e0 * sqrt(value) END))
+                    'air_temp_set_1', array(CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END))
             )) AS STATION"""
         )
 
@@ -165,6 +165,6 @@ class TestTables:
         return self._table("events").selectExpr(
             "concat('S', user_id) AS station_id",
             "CAST(date_trunc('minute', ts) AS TIMESTAMP) AS date_time",
-            "CASE WHEN event_type <> 'error' THEN 30 + 2.5e0 * sqrt(value) END AS air_temp_set_1",
+            "CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END AS air_temp_set_1",
             "year(ts) AS year",
         )
