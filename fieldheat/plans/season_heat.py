@@ -3,12 +3,12 @@
 Equal in result to chaining the operators of fieldheat.operators, arranged for large inputs:
 
 * Readings are averaged per station and hour once, before they meet fields, with map-side combine.
-* Stations and fields meet per station-day. The key spreads a busy station over its days, and a
-  station-day travels as one row with its (at most 24) hours inside.
-* After that one shuffle by field and season serves gap filling, field weather, degree hours and
+* A station-day then travels as one row with its (at most 24) hours inside.
+* Stations and fields meet per station-month, which spreads a busy station over its months.
+* After that, one shuffle by field and season serves gap filling, field weather, degree hours and
   daily sums.
 * Gaps are filled by spreading each known hour over the missing hours that follow it, so the
-  completed grid is never built, joined or sorted.
+  completed grid is never built, joined or sorted; only day rows are sorted.
 """
 
 from __future__ import annotations
@@ -23,11 +23,15 @@ from fieldheat.operators.readings import station_season_plan
 from fieldheat.operators.weather import field_weather
 from fieldheat.schemas import require_columns
 
-STATION_DAY = ["station_id", "Date"]
+STATION_MONTH = ["station_id", "month"]
 
 
 def station_days(readings: DataFrame) -> DataFrame:
-    """One row per station and day: its hourly means, and the mean of its readings at midnight sharp."""
+    """One row per station and day, partitioned by station and month.
+
+    Holds the known hourly means in order, a bit per hour that has readings (known or not), and
+    the same for the readings at midnight sharp alone.
+    """
     require_columns(readings, "station_id", "date_time", "air_temp_set_1")
     day = F.to_date("date_time")
     at_midnight = F.col("date_time") == day.cast("timestamp")
@@ -37,128 +41,180 @@ def station_days(readings: DataFrame) -> DataFrame:
         F.avg(F.when(at_midnight, temp)).alias("midnight_avg"),
         F.max(at_midnight).alias("has_midnight"),
     )
-    return hours.groupBy(*STATION_DAY).agg(
-        F.collect_list(F.struct("Hour", "temp_avg")).alias("hours"),
-        F.max("has_midnight").alias("has_midnight"),
-        F.max("midnight_avg").alias("midnight_avg"),
+    known_hour = F.when(F.col("temp_avg").isNotNull(), F.struct("Hour", "temp_avg"))
+    return (
+        hours.withColumn("month", F.trunc("Date", "month"))
+        .repartition(*STATION_MONTH)
+        .groupBy(*STATION_MONTH, "Date")
+        .agg(
+            F.sort_array(F.collect_list(known_hour)).alias("known"),
+            F.bit_or(F.expr("shiftleft(1, Hour)")).alias("hour_bits"),
+            F.max("has_midnight").alias("has_midnight"),
+            F.max("midnight_avg").alias("midnight_avg"),
+        )
     )
 
 
-def _planned_days(plan: DataFrame) -> DataFrame:
-    """Station-days inside any station-season range; the last day of a range is open at midnight only."""
-    days = F.when(F.col("low") <= F.col("high"), F.sequence("low", "high"))
-    return (
-        plan.select("station_id", "harvest_date", F.explode(days).alias("Date"))
-        .groupBy(*STATION_DAY)
-        .agg(F.max(F.col("Date") < F.col("harvest_date")).alias("whole_day"))
+def _months_of(windows: str) -> Column:
+    """First days of the months that an array of windows (low, high) touches."""
+    return F.expr(
+        f"array_distinct(flatten(transform({windows}, w -> sequence(trunc(w.low, 'month'), w.high, interval 1 month))))"
     )
 
 
-def _clipped(df: DataFrame, spans: DataFrame, key: list[str]) -> DataFrame:
-    """Add low and high: the part of each season window that has readings."""
+def _open_days(measured: DataFrame, field_stations: DataFrame) -> DataFrame:
+    """Station-days inside any range planned for their station, from midnight to midnight.
+
+    Of a range's last day only midnight is inside, unless another range covers that day. A station
+    has one range per season, so the list of ranges that touch a month is short.
+    """
+    plan = (
+        station_season_plan(field_stations)
+        .filter("seeding_date <= harvest_date")
+        .select("station_id", F.struct(F.col("seeding_date").alias("low"), F.col("harvest_date").alias("high")).alias("w"))
+        .select("station_id", "w", F.explode(_months_of("array(w)")).alias("month"))
+        .groupBy(*STATION_MONTH)
+        .agg(F.collect_set("w").alias("ranges"))
+    )
+    whole_day = F.expr("exists(ranges, w -> Date >= w.low AND Date < w.high)")
+    last_day = F.expr("exists(ranges, w -> Date = w.high)")
+    midnight = F.when(
+        F.col("midnight_avg").isNotNull(),
+        F.array(F.struct(F.lit(0).alias("Hour"), F.col("midnight_avg").alias("temp_avg"))),
+    ).otherwise(F.expr("filter(known, h -> false)"))
     return (
-        df.join(spans, key)
-        .withColumn("low", F.greatest("seeding_date", "first_day"))
-        .withColumn("high", F.least("harvest_date", "last_day"))
-        .drop("first_day", "last_day")
-        .filter("seeding_date IS NOT NULL AND harvest_date IS NOT NULL AND low <= high")
+        measured.join(plan, STATION_MONTH)
+        .withColumn("whole_day", whole_day)
+        .filter(F.col("whole_day") | (last_day & F.col("has_midnight")))
+        .select(
+            *STATION_MONTH,
+            "Date",
+            F.when(F.col("whole_day"), F.col("known")).otherwise(midnight).alias("known"),
+            F.when(F.col("whole_day"), F.col("hour_bits")).otherwise(F.lit(1)).alias("hour_bits"),
+        )
     )
 
 
-def _field_days(field_stations: DataFrame, spans: DataFrame, rate: float) -> DataFrame:
-    """Days of each field-season and station in the season's calendar year, each once.
+def _field_months(field_stations: DataFrame, rate: float) -> DataFrame:
+    """Each field-season and station with its windows, once per month of the season's calendar year.
 
-    The crops of a field-season share its weather, so their windows are merged first (one entry per
-    crop).
+    The crops of a field-season share its weather, so their windows are listed together (one entry
+    per crop).
     """
-    days = F.array_distinct(F.flatten(F.transform("windows", lambda w: F.sequence(w["low"], w["high"]))))
+    window = F.struct(
+        F.greatest("seeding_date", F.make_date("CROP_SEASON", F.lit(1), F.lit(1))).alias("low"),
+        F.least("harvest_date", F.make_date("CROP_SEASON", F.lit(12), F.lit(31))).alias("high"),
+    )
     return (
-        _clipped(field_stations, spans, ["station_id", "CROP_SEASON"])
+        field_stations.filter("CROP_SEASON IS NOT NULL AND seeding_date IS NOT NULL AND harvest_date IS NOT NULL")
+        .withColumn("window", window)
+        .filter("window.low <= window.high")
         .groupBy(*SERIES)
         .agg(
-            F.collect_set(F.struct("low", "high")).alias("windows"),
+            F.collect_set("window").alias("windows"),
             lapse_shift(F.min(F.col("field_elev") - F.col("station_elev")), rate).alias("adjusted_wt"),
         )
-        .select(*SERIES, "adjusted_wt", F.explode(days).alias("Date"))
+        .select(*SERIES, "adjusted_wt", "windows", F.explode(_months_of("windows")).alias("month"))
     )
 
 
 def field_station_days(
     field_stations: DataFrame, readings: DataFrame, rate: float = LAPSE_F_PER_1000_FT
 ) -> DataFrame:
-    """Hourly means of each field-season's stations, one row per station-day, partitioned by field-season.
+    """Days of each field-season's stations with their hours, partitioned by field and season.
 
-    Season windows are first cut to the days their stations have readings for, so days are listed
-    only where there is something to join. Use a stored field_stations: it is read twice.
+    Use a stored field_stations: it is read twice.
     """
-    measured = station_days(readings)
-    spans = measured.groupBy("station_id", F.year("Date").alias("CROP_SEASON")).agg(
-        F.min("Date").alias("first_day"), F.max("Date").alias("last_day")
-    )
-    any_year = spans.groupBy("station_id").agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
-    planned = _planned_days(_clipped(station_season_plan(field_stations), any_year, ["station_id"]))
-    open_hours = F.when(F.col("whole_day"), F.col("hours")).when(
-        F.col("has_midnight"), F.array(F.struct(F.lit(0).alias("Hour"), F.col("midnight_avg").alias("temp_avg")))
-    )
-    open_days = (
-        measured.join(planned, STATION_DAY).select(*STATION_DAY, open_hours.alias("hours")).filter("hours IS NOT NULL")
+    days = _open_days(station_days(readings), field_stations)
+    in_window = F.expr("exists(windows, w -> Date BETWEEN w.low AND w.high)")
+    return (
+        _field_months(field_stations, rate)
+        .join(days, STATION_MONTH)
+        .filter(in_window)
+        .select(*SERIES, "adjusted_wt", "Date", "known", "hour_bits")
+        .repartition(*FIELD_SEASON)
     )
-    return _field_days(field_stations, spans, rate).join(open_days, STATION_DAY).repartition(*FIELD_SEASON)
 
 
 def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:
-    """Completed, gap-filled hours from field_station_days; same result as complete_grid and fill_gaps."""
+    """Completed, gap-filled hours from field_station_days; same result as complete_grid and fill_gaps.
+
+    A grid position is the rank of the day among the field-season's days times the number of hours
+    seen, plus the rank of the hour. Each known hour is spread from its position to just before the
+    next known one; the first of a series also covers what lies before it. A series without any
+    known hour is carried by its first day.
+    """
     if x not in ("position", "time"):
         raise ValueError(f"unknown x {x!r}")
-    mask = F.expr("aggregate(hours, 0, (seen, h) -> seen | shiftleft(1, h.Hour))")
-    seen = (
-        days.withColumn("mask", mask)
-        .groupBy(*FIELD_SEASON)
-        .agg(F.sort_array(F.collect_set("Date")).alias("dates"), F.bit_or("mask").alias("mask"))
-        .select(
-            *FIELD_SEASON,
-            "dates",
-            F.expr("filter(sequence(0, 23), h -> (mask & shiftleft(1, h)) <> 0)").alias("hours_seen"),
+    by_day = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date{})"
+    whole = "OVER (PARTITION BY FIELD_ID, CROP_SEASON)"
+    rank_of = "bit_count(season_bits & (shiftleft(1, {0}) - 1))"
+
+    first_known = F.expr("if(size(known) > 0, struct(Date, known[0].Hour AS Hour, known[0].temp_avg AS temp_avg), NULL)")
+    placed = (
+        days.withColumn("first_known", first_known)
+        .withColumn("later", F.expr(f"lead(first_known) IGNORE NULLS {by_day.format('')}"))
+        .withColumn("days_before", F.expr(f"row_number() {by_day.format('')} - 1"))
+        .withColumn("known_days", F.expr(f"count(first_known) {by_day.format(' ROWS UNBOUNDED PRECEDING')}"))
+        .withColumn("dates", F.expr(f"collect_set(Date) {whole}"))
+        .withColumn("season_bits", F.expr(f"bit_or(hour_bits) {whole}"))
+        .filter("size(known) > 0 OR (days_before = 0 AND later IS NULL)")
+        .withColumn("dates", F.sort_array("dates"))
+        .withColumn("per_day", F.expr("bit_count(season_bits)"))
+        .withColumn("hours_seen", F.expr("filter(sequence(0, 23), h -> (season_bits & shiftleft(1, h)) <> 0)"))
+        .withColumn("day_at", F.expr("CAST(array_position(dates, Date) - 1 AS INT) * per_day"))
+        .withColumn(
+            "later_at",
+            F.expr(
+                "CAST(array_position(dates, later.Date) - 1 AS INT) * per_day + " + rank_of.format("later.Hour")
+            ),
         )
     )
-    over = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date, Hour"
-    known = (
-        days.select(*SERIES, "adjusted_wt", "Date", F.inline("hours"))
-        .withColumn("known", F.when(F.col("temp_avg").isNotNull(), F.struct("Date", "Hour", "temp_avg")))
-        .withColumn("next", F.expr(f"lead(known) IGNORE NULLS {over})"))
-        .withColumn("rank", F.expr(f"row_number() {over})"))
-        .withColumn("known_so_far", F.expr(f"count(temp_avg) {over} ROWS UNBOUNDED PRECEDING)"))
-        # A known hour stands for itself and the gap after it; the first also for the gap before it.
-        # A series without any known hour is carried by its first row.
-        .filter("temp_avg IS NOT NULL OR (rank = 1 AND next IS NULL)")
-        .withColumn("opens", F.expr("temp_avg IS NULL OR known_so_far = 1"))
+    # Hours of the day with the next known hour, which may lie on a later day.
+    hours = placed.select(
+        *SERIES,
+        "adjusted_wt",
+        "dates",
+        "hours_seen",
+        "per_day",
+        F.expr("size(dates) * per_day").alias("grid_size"),
+        F.expr("known_days <= 1").alias("first_day"),
+        "Date",
+        "day_at",
+        "season_bits",
+        "known",
+        "later",
+        "later_at",
+        F.expr("posexplode(if(size(known) > 0, known, array(CAST(NULL AS STRUCT<Hour: INT, temp_avg: DOUBLE>))))").alias(
+            "i", "hour"
+        ),
     )
-
-    def position(day: str, hour: str) -> Column:
-        return F.expr(
-            f"(array_position(dates, {day}) - 1) * size(hours_seen) + array_position(hours_seen, {hour}) - 1"
-        ).cast("int")
-
+    following = F.expr("i + 1 < size(known)")
     spread = (
-        known.join(seen, FIELD_SEASON)
-        .withColumn("at", position("Date", "Hour"))
-        .withColumn("next_at", position("next.Date", "next.Hour"))
-        .withColumn("last_at", F.expr("coalesce(next_at, size(dates) * size(hours_seen)) - 1"))
-        .withColumn("p", F.explode(F.expr("sequence(if(opens, 0, at), last_at)")))
-    )
-    day, hour = F.expr("dates[p div size(hours_seen)]"), F.expr("hours_seen[p % size(hours_seen)]")
-    if x == "position":
-        value = F.expr("temp_avg + (next.temp_avg - temp_avg) * (p - at) / (next_at - at)")
-    else:
-        clock = "unix_date({0}) * 24 + {1}"
-        here = clock.format("dates[p div size(hours_seen)]", "hours_seen[p % size(hours_seen)]")
-        start, end = clock.format("Date", "Hour"), clock.format("next.Date", "next.Hour")
-        value = F.expr(
-            f"temp_avg + (next.temp_avg - temp_avg) * (({here}) - ({start})) / (({end}) - ({start}))"
+        hours.withColumn("v0", F.col("hour.temp_avg"))
+        .withColumn("at", F.expr("day_at + " + rank_of.format("hour.Hour")))
+        .withColumn("after", F.expr("get(known, i + 1)"))
+        .withColumn("v1", F.when(following, F.col("after.temp_avg")).otherwise(F.col("later.temp_avg")))
+        .withColumn(
+            "next_at",
+            F.when(following, F.expr("day_at + " + rank_of.format("after.Hour"))).otherwise(F.col("later_at")),
         )
-    filled = F.when(F.col("p") == F.col("at"), F.col("temp_avg")).when(F.col("p") > F.col("at"), value)
+        .withColumn("t0", F.expr("unix_date(Date) * 24 + hour.Hour"))
+        .withColumn(
+            "t1",
+            F.when(following, F.expr("unix_date(Date) * 24 + after.Hour")).otherwise(
+                F.expr("unix_date(later.Date) * 24 + later.Hour")
+            ),
+        )
+        .withColumn("from_at", F.expr("if(v0 IS NULL OR (first_day AND i = 0), 0, at)"))
+        .withColumn("p", F.explode(F.expr("sequence(from_at, coalesce(next_at, grid_size) - 1)")))
+    )
+    day, hour = "dates[p div per_day]", "hours_seen[p % per_day]"
+    share = "(p - at) / (next_at - at)" if x == "position" else f"(unix_date({day}) * 24 + {hour} - t0) / (t1 - t0)"
+    between = F.expr("v0 + (v1 - v0) * " + share)
+    filled = F.when(F.col("p") == F.col("at"), F.col("v0")).when(F.col("p") > F.col("at"), between)
     return spread.select(
-        *SERIES, "adjusted_wt", day.alias("Date"), hour.alias("Hour"), filled.alias("temp_avg")
+        *SERIES, "adjusted_wt", F.expr(day).alias("Date"), F.expr(hour).alias("Hour"), filled.alias("temp_avg")
     ).withColumn("wt_temp", F.col("temp_avg") + F.col("adjusted_wt"))
 
 

@@ -11,6 +11,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small shuffles keep one task per core: nearest-station search and gap filling grow after them.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
