@@ -46,22 +46,38 @@ def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> Dat
 # answer is exact at every level.
 
 
-def _prepared_stations(stations: DataFrame, k: int) -> DataFrame:
-    """Usable stations; of those alike in place and start only the first k by id can ever be chosen."""
+def _usable_stations(stations: DataFrame, k: int, dense: bool) -> DataFrame:
+    """Located stations; where stations are dense, without those that can never be chosen.
+
+    Of stations in the same place, one is never among the k chosen when k others with smaller ids
+    started no later. First only the k smallest ids per place and start date are kept, which Spark
+    limits before the shuffle. Then layers are peeled off: a layer holds the stations with a
+    smaller id than any earlier start left over by the layers before. A station beyond layer k has
+    k such others.
+    """
+    usable = stations.select(
+        F.col("STID").alias("station_id"),
+        F.col("ELEVATION").alias("station_elev"),
+        F.col("lat").alias("station_lat"),
+        F.col("lon").alias("station_lon"),
+        "record_start",
+    ).dropna(subset=["station_lat", "station_lon", "record_start"])
+    if not dense:
+        return usable
     alike = Window.partitionBy("station_lat", "station_lon", "record_start").orderBy("station_id")
-    return (
-        stations.select(
-            F.col("STID").alias("station_id"),
-            F.col("ELEVATION").alias("station_elev"),
-            F.col("lat").alias("station_lat"),
-            F.col("lon").alias("station_lon"),
-            "record_start",
-        )
-        .filter("station_lat IS NOT NULL AND station_lon IS NOT NULL AND record_start IS NOT NULL")
-        .withColumn("rank", F.row_number().over(alike))
-        .filter(F.col("rank") <= k)
-        .drop("rank")
+    usable = usable.withColumn("rank", F.row_number().over(alike)).filter(F.col("rank") <= k).drop("rank")
+    earlier = (
+        Window.partitionBy("station_lat", "station_lon")
+        .orderBy("record_start", "station_id")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    usable = usable.withColumn("layered", F.lit(False))
+    for _ in range(k):
+        smallest = F.min(F.when(~F.col("layered"), F.col("station_id"))).over(earlier)
+        usable = usable.withColumn("smallest", smallest).withColumn(
+            "layered", F.col("layered") | F.col("smallest").isNull() | (F.col("station_id") < F.col("smallest"))
+        )
+    return usable.filter("layered").drop("layered", "smallest")
 
 
 def _with_size(df: DataFrame, radius_m: float) -> DataFrame:
@@ -156,7 +172,7 @@ def nearest_stations(
     require_columns(stations, "STID", "ELEVATION", "lat", "lon", "record_start")
     radius_m = radius_miles * geo.METRES_PER_MILE
     levels = grid_levels(stations, radius_m, k) if levels is None else levels
-    usable = _prepared_stations(stations, k)
+    usable = _usable_stations(stations, k, dense=levels > 0)
 
     columns = [name for name in field_seasons.columns if name != "state"]
     rows = field_seasons.select(*columns).dropna(subset=["field_lat", "field_lon", "seeding_date"])
@@ -168,10 +184,11 @@ def nearest_stations(
         .drop("size", "cells")
         .join(_with_cells_around(usable, levels, radius_m), CELL)
         .filter("record_start < seeding_date")
+        .filter(F.abs(F.col("field_lat") - F.col("station_lat")) <= radius_m / geo.METRES_PER_DEGREE * (1 + 1e-9))
         .withColumn("distance_m", distance)
         .filter(F.col("distance_m") <= radius_m)
         .withColumn("rank", F.row_number().over(closest_first))
         .filter(F.col("rank") <= k)
     )
-    columns += ["station_id", "station_elev", "station_lat", "station_lon"] + (["distance_m"] if with_distance else [])
+    columns = columns + ["station_id", "station_elev", "station_lat", "station_lon"] + (["distance_m"] if with_distance else [])
     return explode_range(chosen, "1", "copies", "copy").select(*columns)

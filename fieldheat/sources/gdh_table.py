@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +36,12 @@ def rows_to_push(gdh: DataFrame, key: str = "as_is") -> DataFrame:
     return gdh.withColumn("ID", F.concat_ws("_", *text)).toDF(*[name.upper() for name in gdh.columns], "ID")
 
 
-def push(gdh: DataFrame, table: str, key: str = "as_is") -> None:
-    """Append by column name, creating the table on first use."""
-    rows = rows_to_push(gdh, key)
-    if gdh.sparkSession.catalog.tableExists(table):
-        rows.write.mode("append").saveAsTable(table)
-    else:
-        rows.write.partitionBy("CROP_SEASON").saveAsTable(table)
+def push(gdh: DataFrame, table: str, key: str = "as_is", partition_by: Sequence[str] = ()) -> None:
+    """Append by column name; the first push creates the table, partitioned if asked."""
+    spark = gdh.sparkSession
+    recover(spark, table)
+    partitions = _partition_columns(spark, table) if spark.catalog.tableExists(table) else list(partition_by)
+    rows_to_push(gdh, key).write.mode("append").partitionBy(*partitions).saveAsTable(table)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -56,32 +56,44 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
+def _overwrite(spark: SparkSession, table: str, fresh: str) -> None:
+    spark.table(fresh).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    spark.sql(f"DROP TABLE {fresh}")
+
+
 def recover(spark: SparkSession, table: str) -> None:
-    """Finish or undo a swap that was interrupted; harmless otherwise."""
+    """Settle a removal of duplicates that died halfway; harmless otherwise.
+
+    A finished copy beside a partitioned table is put into it again, since the table may be half
+    written; beside a plain table it is dropped, or takes the name if the table has lost it.
+    """
     fresh, old = _staging(table)
     exists = spark.catalog.tableExists
-    if not exists(table) and exists(fresh) and exists(old):
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    elif not exists(table) and exists(old):
-        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    if exists(table):
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if exists(fresh):
+        if not exists(table):
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        elif _partition_columns(spark, table):
+            _overwrite(spark, table, fresh)
+        else:
+            spark.sql(f"DROP TABLE {fresh}")
+    if exists(old):
+        spark.sql(f"DROP TABLE {old}" if exists(table) else f"ALTER TABLE {old} RENAME TO {table}")
 
 
 def remove_duplicates(spark: SparkSession, table: str) -> None:
-    """Replace a table by its distinct rows: write them aside, then swap the names.
+    """Replace a table by its distinct rows, by way of a copy beside it.
 
-    The old rows stay until the new table carries the name; recover() settles a run that died in
-    between. A table format with transactions would do this in one commit.
+    A plain table and its copy swap names. Renaming does not carry partitions along on every
+    catalog, so a partitioned table is overwritten from the copy. Either way the copy stays until
+    the table is whole, and recover() settles a run that died in between. A table format with
+    transactions would do this in one commit.
     """
     recover(spark, table)
     fresh, old = _staging(table)
-    partitions = _partition_columns(spark, table)
-    writer = distinct_rows(spark.table(table)).write
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.saveAsTable(fresh)
+    distinct_rows(spark.table(table)).write.saveAsTable(fresh)
+    if _partition_columns(spark, table):
+        _overwrite(spark, table, fresh)
+        return
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     spark.sql(f"DROP TABLE {old}")

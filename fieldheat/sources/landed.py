@@ -1,4 +1,7 @@
-"""Files landed from the weather service: station metadata and time series."""
+"""Files landed from the weather service: station metadata and time series.
+
+A file holds one JSON document, or one per line when lines is set; the latter splits well.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +11,15 @@ from fieldheat.operators.readings import timeseries_readings
 from fieldheat.schemas import STATION_METADATA, STATION_TIMESERIES
 
 
-def read_station_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata responses, one JSON document per file."""
-    return spark.read.schema(STATION_METADATA).option("multiLine", True).json(path)
+def _read(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFrame:
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+
+
+def read_station_metadata(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Metadata responses, for active_stations."""
+    return _read(spark, path, STATION_METADATA, lines)
 
 
-def read_timeseries(spark: SparkSession, path: str) -> DataFrame:
-    """Readings from time-series responses, one JSON document per file."""
-    return timeseries_readings(spark.read.schema(STATION_TIMESERIES).option("multiLine", True).json(path))
+def read_timeseries(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Readings from time-series responses."""
+    return timeseries_readings(_read(spark, path, STATION_TIMESERIES, lines))

@@ -1,0 +1,69 @@
+from datetime import date
+
+import pytest
+
+from fieldheat.operators.degree_hours import gdh_daily, gdh_hourly, gdh_input
+from fieldheat.schemas import CROP_THRESHOLDS
+
+DAY = date(2022, 5, 1)
+INPUT = (
+    "FIELD_ID STRING, CROP_NAME STRING, Base_Fahrenheit DOUBLE, Upper_Fahrenheit DOUBLE, temp_combined_avg DOUBLE, "
+    "temp_wt_avg DOUBLE, Date DATE, Hour INT, seeding_date DATE, harvest_date DATE, CROP_SEASON INT"
+)
+
+
+def row(temp, base=50.0, upper=86.0, day=DAY, seeding=DAY, harvest=DAY, hour=0, weighted=None, field="F1"):
+    return (field, "corn", base, upper, temp, weighted, day, hour, seeding, harvest, 2022)
+
+
+def heat(table, rows, **options):
+    return [r.gdh for r in gdh_hourly(table(rows, INPUT), **options).orderBy("Hour").collect()]
+
+
+def test_clamp(table):
+    temps = [40.0, 50.0, 70.0, 86.0, 100.0, None]
+    assert heat(table, [row(t, hour=h) for h, t in enumerate(temps)]) == [0, 0, 20, 36, 36, None]
+
+
+def test_unknown_thresholds(table):
+    rows = [row(100.0, upper=None, hour=0), row(70.0, base=None, upper=None, hour=1)]
+    assert heat(table, rows) == [50, None]
+
+
+def test_season_ends_are_inside(table):
+    seeding, harvest = date(2022, 5, 1), date(2022, 5, 3)
+    rows = [row(60.0, day=date(2022, 5, d), seeding=seeding, harvest=harvest, hour=d) for d in (1, 3, 4)]
+    rows.append(row(60.0, harvest=None, hour=9))
+    kept = gdh_hourly(table(rows, INPUT)).orderBy("Hour").collect()
+    assert [r.Hour for r in kept] == [1, 3]
+
+
+def test_one_field_and_other_temperature(table):
+    rows = [row(60.0, weighted=55.0), row(60.0, weighted=55.0, field="F2")]
+    assert heat(table, rows, field="F2", temp_col="temp_wt_avg") == [5]
+
+
+def test_input_takes_the_seasons_own_year_and_keeps_unknown_crops(table):
+    weather = table(
+        [("F1", date(2022, 5, 1), 3, 60.0, 58.0), ("F1", date(2021, 5, 1), 3, 61.0, 58.0)],
+        "FIELD_ID STRING, Date DATE, Hour INT, temp_combined_avg DOUBLE, temp_wt_avg DOUBLE",
+    )
+    seasons = table(
+        [("F1", 2022, c, date(2022, 4, 1), date(2022, 9, 1)) for c in ("corn", "moss")],
+        "FIELD_ID STRING, CROP_SEASON INT, CROP_NAME STRING, seeding_date DATE, harvest_date DATE",
+    )
+    rows = gdh_input(weather, seasons, table([("corn", 50.0, 86.0)], CROP_THRESHOLDS)).orderBy("CROP_NAME").collect()
+    assert [(r.CROP_NAME, r.Base_Fahrenheit, r.temp_combined_avg) for r in rows] == [("corn", 50.0, 60.0), ("moss", None, 60.0)]
+
+
+def test_daily_sums(table):
+    days = [date(2022, 5, d) for d in (1, 1, 2)]
+    rows = [row(60.0, day=d, harvest=date(2022, 6, 1), hour=h) for h, d in enumerate(days)]
+    rows.append(row(None, day=days[2], harvest=date(2022, 6, 1), hour=5))
+    result = gdh_daily(gdh_hourly(table(rows, INPUT))).orderBy("GDH_DATE").collect()
+    assert [(r.gdh_day, r.hours, r.gdh_to_date) for r in result] == [(20, 2, 20), (10, 1, 30)]
+
+
+def test_missing_columns_are_named(table):
+    with pytest.raises(ValueError, match="harvest_date"):
+        gdh_hourly(table([(1,)], "Date INT").selectExpr("Date", "1 AS Hour", "1 AS seeding_date"))
