@@ -32,25 +32,30 @@ def cell_row(lat: Column, size_m: Column) -> Column:
     return F.floor((lat + 90.0) / (size_m / METRES_PER_DEGREE))
 
 
-def _row_edge(row: Column, size_m: Column) -> Column:
-    return row * (size_m / METRES_PER_DEGREE) - 90.0
+def _row_middle(row: Column, step: Column) -> Column:
+    """Distance of the row's middle from the equator, in degrees."""
+    return F.abs((row + 0.5) * step - 90.0)
 
 
 def cells_in_row(row: Column, size_m: Column) -> Column:
-    outermost = F.greatest(F.abs(_row_edge(row - 1, size_m)), F.abs(_row_edge(row + 2, size_m)))
-    ratio = F.sin(size_m / (2 * EARTH_RADIUS_M)) / F.cos(F.radians(F.least(outermost, F.lit(89.999))))
-    cells = F.when(ratio < 1, F.floor(F.lit(360.0 / (1 + 1e-9)) / F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0))))))
-    near_pole = (outermost >= 89.999) | cells.isNull() | (cells < 3)
-    return F.when(near_pole, F.lit(1).cast("bigint")).otherwise(cells)
+    """Number of cells in a row, from the parallel that bounds the rows next to it.
+
+    On that parallel s metres span at most 1.01 times s over its radius, as long as s is small
+    against the radius; where it is not, the row is one cell.
+    """
+    step = size_m / METRES_PER_DEGREE
+    parallel = F.cos(F.radians(F.least(_row_middle(row, step) + 1.5 * step, F.lit(90.0))))
+    return F.when(
+        parallel >= 2.5 * F.radians(step), F.floor(F.lit(360 / 1.01) * parallel / step)
+    ).otherwise(F.lit(1).cast("bigint"))
 
 
 def cell_column(lon: Column, cells: Column) -> Column:
-    return F.least(F.floor(F.pmod(lon + 180.0, F.lit(360.0)) * cells / 360.0), cells - 1)
+    return F.least(F.floor(F.pmod(lon + 180.0, F.lit(360.0)) / 360.0 * cells), cells - 1)
 
 
 def cell_is_compact(row: Column, cells: Column, size_m: Column) -> Column:
     """True when any two points of one cell are less than twice the cell size apart."""
-    low, high = _row_edge(row, size_m), _row_edge(row + 1, size_m)
-    innermost = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(F.least(F.abs(low), F.abs(high)))
-    width_m = F.lit(360.0 * METRES_PER_DEGREE) / cells * F.cos(F.radians(innermost))
-    return width_m <= 1.7 * size_m
+    step = size_m / METRES_PER_DEGREE
+    innermost = F.greatest(_row_middle(row, step) - 0.5 * step, F.lit(0.0))
+    return F.lit(360.0) / cells * F.cos(F.radians(innermost)) <= 1.7 * step

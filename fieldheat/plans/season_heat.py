@@ -147,7 +147,11 @@ def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:
     if x not in ("position", "time"):
         raise ValueError(f"unknown x {x!r}")
     by_day = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date{})"
-    whole = "OVER (PARTITION BY FIELD_ID, CROP_SEASON)"
+    # Ordered like by_day although the order does not matter, so that one sort serves both.
+    whole = (
+        "OVER (PARTITION BY FIELD_ID, CROP_SEASON ORDER BY station_id, Date"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    )
     rank_of = "bit_count(season_bits & (shiftleft(1, {0}) - 1))"
 
     first_known = F.expr("if(size(known) > 0, struct(Date, known[0].Hour AS Hour, known[0].temp_avg AS temp_avg), NULL)")

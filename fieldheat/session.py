@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", memory: str = "20g", app: str = "field
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", partitions)
+        # A whole computation compiles a few hundred classes; keep them for the next one.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for name, value in RUNTIME_SETTINGS.items():
         builder = builder.config(name, value)
