@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6378137.0
 METRES_PER_MILE = 1609.344
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180
+COMPACT_REACH = 1.5
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in metres; NULL when any coordinate is NULL."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
+    half_lat = F.sin(F.radians(lat2 - lat1) * 0.5)
+    half_lon = F.sin(F.radians(lon2 - lon1) * 0.5)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.when(chord > 1, F.lit(1.0)).otherwise(chord)))
 
@@ -28,8 +29,12 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
 # cell near the poles.
 
 
-def cell_row(lat: Column, size_m: Column) -> Column:
-    return F.floor((lat + 90.0) / (size_m / METRES_PER_DEGREE))
+# A step is the height of a row in degrees. Places with unknown coordinates get cell -1: with keys
+# that are never NULL, Spark has no NULL test to push below the expressions that compute them.
+
+
+def cell_row(lat: Column, step: Column) -> Column:
+    return F.coalesce(F.floor((lat + 90.0) / step), F.lit(-1))
 
 
 def _row_middle(row: Column, step: Column) -> Column:
@@ -37,25 +42,30 @@ def _row_middle(row: Column, step: Column) -> Column:
     return F.abs((row + 0.5) * step - 90.0)
 
 
-def cells_in_row(row: Column, size_m: Column) -> Column:
+def cells_in_row(row: Column, step: Column) -> Column:
     """Number of cells in a row, from the parallel that bounds the rows next to it.
 
     On that parallel s metres span at most 1.01 times s over its radius, as long as s is small
     against the radius; where it is not, the row is one cell.
     """
-    step = size_m / METRES_PER_DEGREE
     parallel = F.cos(F.radians(F.least(_row_middle(row, step) + 1.5 * step, F.lit(90.0))))
-    return F.when(
-        parallel >= 2.5 * F.radians(step), F.floor(F.lit(360 / 1.01) * parallel / step)
-    ).otherwise(F.lit(1).cast("bigint"))
+    cells = F.floor(F.lit(360 / 1.01) * parallel / step)
+    return F.when(parallel >= F.lit(2.5 * math.pi / 180) * step, cells).otherwise(F.lit(1).cast("bigint"))
 
 
 def cell_column(lon: Column, cells: Column) -> Column:
-    return F.least(F.floor(F.pmod(lon + 180.0, F.lit(360.0)) / 360.0 * cells), cells - 1)
+    return F.coalesce(F.least(F.floor(lon_share(lon) * cells), cells - 1), F.lit(-1))
+
 
+def lon_share(lon: Column) -> Column:
+    """Longitude as a share of the way round from the date line, whatever turn it is given in."""
+    return F.pmod((lon + 180.0) * (1 / 360), F.lit(1.0))
 
-def cell_is_compact(row: Column, cells: Column, size_m: Column) -> Column:
-    """True when any two points of one cell are less than twice the cell size apart."""
-    step = size_m / METRES_PER_DEGREE
+
+def cell_is_compact(row: Column, cells: Column, step: Column) -> Column:
+    """True when any two points of one cell are at most COMPACT_REACH times the cell size apart.
+
+    That is so when the cell is not much wider than high: sqrt(1 + 1.1^2) < 1.5.
+    """
     innermost = F.greatest(_row_middle(row, step) - 0.5 * step, F.lit(0.0))
-    return F.lit(360.0) / cells * F.cos(F.radians(innermost)) <= 1.7 * step
+    return F.lit(360.0) * F.cos(F.radians(innermost)) <= 1.1 * step * cells

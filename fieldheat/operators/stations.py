@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldheat.functions import geo
@@ -41,9 +41,9 @@ def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> Dat
 # Nearest stations. Fields and stations meet in the cells of a grid as wide as the radius. Where
 # stations are dense that would pair every field of a busy cell with every station around it, so
 # the grid is refined there: level n has cells of radius / 2^n. A field whose own cell at level n
-# holds k stations it may use has its k nearest within twice that cell size, so looking around it
-# at level n - 1 is enough. Each field searches at the finest level that is safe for it and the
-# answer is exact at every level.
+# holds k stations it may use has its k nearest no farther away than the cell is across, so looking
+# around it at level n - 1 is enough. Each field searches at the finest level that is safe for it
+# and the answer is exact at every level.
 
 
 def _usable_stations(stations: DataFrame, k: int, dense: bool) -> DataFrame:
@@ -80,15 +80,22 @@ def _usable_stations(stations: DataFrame, k: int, dense: bool) -> DataFrame:
     return usable.filter("layered").drop("layered", "smallest")
 
 
-def _with_size(df: DataFrame, radius_m: float) -> DataFrame:
-    return df.withColumn("size", F.lit(radius_m) / F.pow(F.lit(2.0), F.col("level")))
+def _levels(first: int, last: int, radius_m: float) -> Column:
+    """Columns level and step (cell height in degrees), one row per level."""
+    return F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(n).alias("level"), F.lit(radius_m / 2**n / geo.METRES_PER_DEGREE).alias("step"))
+                for n in range(first, last + 1)
+            ]
+        )
+    )
 
 
-def _with_own_cell(df: DataFrame, lat: str, lon: str, radius_m: float) -> DataFrame:
+def _with_own_cell(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return (
-        _with_size(df, radius_m)
-        .withColumn("cell_row", geo.cell_row(F.col(lat), F.col("size")))
-        .withColumn("cells", geo.cells_in_row(F.col("cell_row"), F.col("size")))
+        df.withColumn("cell_row", geo.cell_row(F.col(lat), F.col("step")))
+        .withColumn("cells", geo.cells_in_row(F.col("cell_row"), F.col("step")))
         .withColumn("cell_col", geo.cell_column(F.col(lon), F.col("cells")))
     )
 
@@ -99,58 +106,79 @@ def _with_cells_around(stations: DataFrame, levels: int, radius_m: float) -> Dat
     around = F.when(F.col("cells") == 1, F.array(col)).otherwise(
         F.array(F.pmod(col - 1, F.col("cells")), col, F.pmod(col + 1, F.col("cells")))
     )
-    listed = stations.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(max(levels - 1, 0)))))
-    row = geo.cell_row(F.col("station_lat"), F.col("size"))
+    row = geo.cell_row(F.col("station_lat"), F.col("step"))
     return (
-        _with_size(listed, radius_m)
+        stations.select("*", _levels(0, max(levels - 1, 0), radius_m))
         .withColumn("cell_row", F.explode(F.array(row - 1, row, row + 1)))
-        .withColumn("cells", geo.cells_in_row(F.col("cell_row"), F.col("size")))
+        .withColumn("cells", geo.cells_in_row(F.col("cell_row"), F.col("step")))
         .withColumn("own_col", geo.cell_column(F.col("station_lon"), F.col("cells")))
         .withColumn("cell_col", F.explode(around))
-        .drop("size", "cells", "own_col")
+        .drop("step", "cells", "own_col")
     )
 
 
 def _dense_cells(stations: DataFrame, levels: int, radius_m: float, k: int) -> DataFrame:
     """Cells with k stations or more, and the start of the k-th station by start date."""
     by_start = Window.partitionBy(*CELL).orderBy("record_start", "station_id")
-    listed = stations.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
+    listed = stations.select("station_id", "station_lat", "station_lon", "record_start", _levels(1, levels, radius_m))
     return (
-        _with_own_cell(listed, "station_lat", "station_lon", radius_m)
-        .filter(geo.cell_is_compact(F.col("cell_row"), F.col("cells"), F.col("size")))
+        _with_own_cell(listed, "station_lat", "station_lon")
+        .filter(geo.cell_is_compact(F.col("cell_row"), F.col("cells"), F.col("step")))
         .withColumn("rank", F.row_number().over(by_start))
         .filter(F.col("rank") == k)
         .select(*CELL, F.col("record_start").alias("kth_start"))
     )
 
 
-def _with_search_level(
+def _searches(
     rows: DataFrame, columns: list[str], stations: DataFrame, levels: int, radius_m: float, k: int
 ) -> DataFrame:
-    """Distinct field rows with the number of their copies and the level to search at."""
+    """Distinct field rows with the number of their copies, the cell to search around and the reach.
+
+    The reach is the radius, or how far the k-th nearest station can be at most if that is known.
+    """
+    place = ["cell_row", "cell_col", "cells"]
     if levels == 0:
-        return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("level", F.lit(0))
-    safe = F.when(F.col("kth_start") < F.col("seeding_date"), F.col("level") - 1)
-    listed = rows.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
-    return (
-        _with_own_cell(listed, "field_lat", "field_lon", radius_m)
-        .join(_dense_cells(stations, levels, radius_m, k), CELL, "left")
+        located = _with_own_cell(rows.select("*", _levels(0, 0, radius_m)), "field_lat", "field_lon")
+        searches = located.groupBy(*columns, "level", *place).agg(F.count(F.lit(1)).alias("copies"))
+        return searches.withColumn("reach_m", F.lit(radius_m))
+    found = F.col("kth_start") < F.col("seeding_date")
+    located = _with_own_cell(rows.select("*", _levels(1, levels, radius_m)), "field_lat", "field_lon")
+    chosen = (
+        located.join(_dense_cells(stations, levels, radius_m, k), CELL, "left")
         .groupBy(*columns)
         .agg(
             F.sum(F.when(F.col("level") == 1, 1)).alias("copies"),
-            F.coalesce(F.max(safe), F.lit(0)).alias("search_level"),
+            F.max(F.when(found, F.col("level"))).alias("dense_level"),
+            F.min(F.when(found, F.col("step"))).alias("dense_step"),
         )
-        .withColumnRenamed("search_level", "level")
     )
+    radius_degrees = F.lit(radius_m / geo.METRES_PER_DEGREE)
+    return _with_own_cell(
+        chosen.withColumn("level", F.coalesce(F.col("dense_level") - 1, F.lit(0)))
+        .withColumn("step", F.coalesce(F.col("dense_step") * 2, radius_degrees))
+        .withColumn(
+            "reach_m", F.coalesce(F.col("dense_step") * (geo.COMPACT_REACH * geo.METRES_PER_DEGREE), F.lit(radius_m))
+        ),
+        "field_lat",
+        "field_lon",
+    ).drop("dense_level", "dense_step", "step")
 
 
 def grid_levels(stations: DataFrame, radius_m: float, k: int) -> int:
-    """Levels of refinement for the busiest cell, found by one count over the stations."""
-    coarse = _with_own_cell(stations.withColumn("level", F.lit(0)), "lat", "lon", radius_m)
-    busiest = coarse.groupBy("cell_row", "cell_col").count().agg(F.max("count")).first()[0] or 0
+    """Levels of refinement the stations call for, found by counting them per cell.
+
+    None while a cell of the radius holds few of them; else as many as bring the busiest cell down
+    to few, up to the most supported.
+    """
+    located = stations.dropna(subset=["lat", "lon", "record_start"]).select("lat", "lon", _levels(0, 0, radius_m))
+    busiest = _with_own_cell(located, "lat", "lon").groupBy(*CELL).count().agg(F.max("count")).first()[0] or 0
     if busiest <= 8 * k:
         return 0
-    return min(MAX_GRID_LEVELS, math.ceil(math.log(busiest / k, 4)) + 1)
+    usable = _usable_stations(stations, k, dense=True).select("*", _levels(1, MAX_GRID_LEVELS, radius_m))
+    cells = _with_own_cell(usable, "station_lat", "station_lon").groupBy(*CELL).count()
+    crowded = cells.filter(F.col("count") > 2 * k).agg(F.max("level")).first()[0] or 0
+    return min(MAX_GRID_LEVELS, crowded + 1)
 
 
 def nearest_stations(
@@ -176,19 +204,21 @@ def nearest_stations(
 
     columns = [name for name in field_seasons.columns if name != "state"]
     rows = field_seasons.select(*columns).dropna(subset=["field_lat", "field_lon", "seeding_date"])
-    searching = _with_search_level(rows, columns, usable, levels, radius_m, k)
+    # Most pairs are ruled out by their differences in degrees; the exact distance decides after
+    # ranking, where it is not computed a second time.
+    lat_apart = F.abs(F.col("field_lat") - F.col("station_lat")) * geo.METRES_PER_DEGREE
+    lon_apart = F.abs(geo.lon_share(F.col("field_lon")) - geo.lon_share(F.col("station_lon"))) * F.col("cells")
     distance = geo.haversine_m(F.col("field_lat"), F.col("field_lon"), F.col("station_lat"), F.col("station_lon"))
     closest_first = Window.partitionBy(*columns).orderBy("distance_m", "station_id")
     chosen = (
-        _with_own_cell(searching, "field_lat", "field_lon", radius_m)
-        .drop("size", "cells")
+        _searches(rows, columns, usable, levels, radius_m, k)
         .join(_with_cells_around(usable, levels, radius_m), CELL)
         .filter("record_start < seeding_date")
-        .filter(F.abs(F.col("field_lat") - F.col("station_lat")) <= radius_m / geo.METRES_PER_DEGREE * (1 + 1e-9))
+        .filter(lat_apart <= F.col("reach_m") * (1 + 1e-9))
+        .filter((lon_apart <= 1 + 1e-6) | (lon_apart >= F.col("cells") - 1 - 1e-6))
         .withColumn("distance_m", distance)
-        .filter(F.col("distance_m") <= radius_m)
         .withColumn("rank", F.row_number().over(closest_first))
-        .filter(F.col("rank") <= k)
+        .filter((F.col("rank") <= k) & (F.col("distance_m") <= F.col("reach_m")))
     )
-    columns = columns + ["station_id", "station_elev", "station_lat", "station_lon"] + (["distance_m"] if with_distance else [])
-    return explode_range(chosen, "1", "copies", "copy").select(*columns)
+    columns = columns + ["station_id", "station_elev", "station_lat", "station_lon"]
+    return explode_range(chosen, "1", "copies", "copy").select(*columns, *(["distance_m"] if with_distance else []))
