@@ -37,7 +37,8 @@ def complete_grid(hourly: DataFrame) -> DataFrame:
     """Every combination of the stations, dates and hours seen in a field-season.
 
     Added rows have a NULL temperature. The three sets are small by nature (the stations of one
-    field, the days of one season, 24 hours).
+    field, the days of one season, 24 hours). Use a stored table: it is read twice. From readings,
+    fieldheat.plans.season_heat gets the same grid in one pass.
     """
     seen = hourly.groupBy(*FIELD_SEASON).agg(
         F.collect_set("station_id").alias("stations"),

@@ -88,16 +88,18 @@ class Tables(TestTables):
         chosen = readings.readings_by_plan(self.readings(), readings.station_season_plan(stations_of))
         return readings.field_readings(stations_of, chosen)
 
+    def days(self) -> DataFrame:
+        return season_heat.field_station_days(self.field_stations, self.readings())
+
     def hourly(self) -> DataFrame:
-        return hourly.hourly_mean(self.field_readings())
+        return season_heat.hourly_means(self.days())
 
-    def hourly_filled(self) -> DataFrame:
-        return season_heat.field_station_hours(self.field_stations, self.readings())
+    @cached_property
+    def stored_hourly(self) -> DataFrame:
+        return stage(self.hourly(), "hourly")
 
     def field_weather(self) -> DataFrame:
-        stations_of = self.field_stations
-        days = season_heat.field_station_days(stations_of, self.readings())
-        return weather.field_weather(season_heat.filled_hours(days))
+        return weather.field_weather(season_heat.filled_hours(self.days()))
 
     def gdh(self) -> DataFrame:
         return season_heat.season_degree_hours(
@@ -240,6 +242,12 @@ def hourly_mean(t: Tables) -> DataFrame:
     return t.hourly()
 
 
+@query
+def hourly_mean_of_readings(t: Tables) -> DataFrame:
+    """The same from readings already joined to fields, as hourly_mean takes them."""
+    return hourly.hourly_mean(t.field_readings())
+
+
 @query
 def hourly_dedup_station(t: Tables) -> DataFrame:
     return hourly.first_field_per_station_hour(t.hourly())
@@ -247,12 +255,18 @@ def hourly_dedup_station(t: Tables) -> DataFrame:
 
 @query
 def hourly_grid(t: Tables) -> DataFrame:
-    return hourly.complete_grid(t.hourly())
+    return season_heat.completed_hours(t.days())
+
+
+@query
+def hourly_grid_of_hours(t: Tables) -> DataFrame:
+    """The same from a stored table of hourly means, as complete_grid takes it."""
+    return hourly.complete_grid(t.stored_hourly)
 
 
 @query
 def hourly_filled(t: Tables) -> DataFrame:
-    return t.hourly_filled()
+    return season_heat.field_station_hours(t.field_stations, t.readings())
 
 
 @query
@@ -260,9 +274,16 @@ def hourly_filled_time(t: Tables) -> DataFrame:
     return season_heat.field_station_hours(t.field_stations, t.readings(), x="time")
 
 
+@query
+def hourly_filled_rows(t: Tables) -> DataFrame:
+    """Gaps filled on the completed grid itself, row by row."""
+    return hourly.fill_gaps(hourly.complete_grid(t.stored_hourly))
+
+
 @query
 def hourly_filled_global(t: Tables) -> DataFrame:
-    return hourly.fill_gaps(hourly.complete_grid(t.hourly()), scope="global")
+    """The grid is staged: the carried values and the rows that take them both read it."""
+    return hourly.fill_gaps(stage(season_heat.completed_hours(t.days()), "hourly_grid"), scope="global")
 
 
 @query

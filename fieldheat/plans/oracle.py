@@ -341,13 +341,16 @@ FINAL: dict[str, str] = {
                round(air_temp_set_1, 6) AS air_temp_set_1
         FROM field_readings""",
     "hourly_mean": f"SELECT {_HOUR} FROM hourly",
+    "hourly_mean_of_readings": f"SELECT {_HOUR} FROM hourly",
     "hourly_dedup_station": f"""
         SELECT {_HOUR}
         FROM (SELECT *, row_number() OVER (PARTITION BY station_id, Date, Hour ORDER BY FIELD_ID, CROP_SEASON) AS rnk
               FROM hourly)
         WHERE rnk = 1""",
     "hourly_grid": f"SELECT {_HOUR} FROM grid",
+    "hourly_grid_of_hours": f"SELECT {_HOUR} FROM grid",
     "hourly_filled": f"SELECT {_HOUR} FROM filled",
+    "hourly_filled_rows": f"SELECT {_HOUR} FROM filled",
     "hourly_filled_time": f"SELECT {_HOUR} FROM filled_time",
     "hourly_filled_global": f"SELECT {_HOUR} FROM filled_global",
     "lat_dist": _pairs(_metres("field_lat", "0e0", "station_lat", "0e0"), "lat_dist"),

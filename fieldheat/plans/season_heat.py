@@ -136,16 +136,28 @@ def field_station_days(
     )
 
 
-def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:
-    """Completed, gap-filled hours from field_station_days; same result as complete_grid and fill_gaps.
+def hourly_means(days: DataFrame) -> DataFrame:
+    """Hours seen, one row each, from field_station_days; same result as hourly_mean.
 
-    A grid position is the rank of the day among the field-season's days times the number of hours
-    seen, plus the rank of the hour. Each known hour is spread from its position to just before the
-    next known one; the first of a series also covers what lies before it. A series without any
-    known hour is carried by its first day.
+    Stays partitioned by field and season, which grid completion and gap filling can use as it is.
+    """
+    seen = F.explode(F.expr("filter(sequence(0, 23), h -> (hour_bits & shiftleft(1, h)) <> 0)"))
+    return (
+        days.withColumn("by_hour", F.map_from_entries("known"))
+        .withColumn("Hour", seen)
+        .select(*HOUR_KEY, F.expr("try_element_at(by_hour, Hour)").alias("temp_avg"))
+    )
+
+
+def _spread(days: DataFrame) -> DataFrame:
+    """Rows of the completed grid from field_station_days, each with the known hours around it.
+
+    A grid position p is the rank of the day among the field-season's days times the number of
+    hours seen, plus the rank of the hour. Each known hour (position at, value v0, time t0) is
+    spread from its position to just before the next known one (next_at, v1, t1); the first of a
+    series also covers what lies before it. A series without any known hour is carried by its first
+    day.
     """
-    if x not in ("position", "time"):
-        raise ValueError(f"unknown x {x!r}")
     by_day = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date{})"
     # Ordered like by_day although the order does not matter, so that one sort serves both.
     whole = (
@@ -154,7 +166,7 @@ def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:
     )
     rank_of = "bit_count(season_bits & (shiftleft(1, {0}) - 1))"
 
-    first_known = F.expr("if(size(known) > 0, struct(Date, known[0].Hour AS Hour, known[0].temp_avg AS temp_avg), NULL)")
+    first_known = F.expr("if(size(known) > 0, struct(Date, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)")
     placed = (
         days.withColumn("first_known", first_known)
         .withColumn("later", F.expr(f"lead(first_known) IGNORE NULLS {by_day.format('')}"))
@@ -213,13 +225,24 @@ def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:
         .withColumn("from_at", F.expr("if(v0 IS NULL OR (first_day AND i = 0), 0, at)"))
         .withColumn("p", F.explode(F.expr("sequence(from_at, coalesce(next_at, grid_size) - 1)")))
     )
-    day, hour = "dates[p div per_day]", "hours_seen[p % per_day]"
-    share = "(p - at) / (next_at - at)" if x == "position" else f"(unix_date({day}) * 24 + {hour} - t0) / (t1 - t0)"
+    return spread.withColumn("Date", F.expr("dates[p div per_day]")).withColumn("Hour", F.expr("hours_seen[p % per_day]"))
+
+
+def completed_hours(days: DataFrame) -> DataFrame:
+    """The completed grid with NULL gaps; same result as complete_grid of hourly_means."""
+    known = F.when(F.col("p") == F.col("at"), F.col("v0"))
+    return _spread(days).select(*HOUR_KEY, known.alias("temp_avg"))
+
+
+def filled_hours(days: DataFrame, *, x: str = "position") -> DataFrame:
+    """Completed and gap-filled hours, with wt_temp; same result as complete_grid and fill_gaps."""
+    if x not in ("position", "time"):
+        raise ValueError(f"unknown x {x!r}")
+    share = "(p - at) / (next_at - at)" if x == "position" else "(unix_date(Date) * 24 + Hour - t0) / (t1 - t0)"
     between = F.expr("v0 + (v1 - v0) * " + share)
     filled = F.when(F.col("p") == F.col("at"), F.col("v0")).when(F.col("p") > F.col("at"), between)
-    return spread.select(
-        *SERIES, "adjusted_wt", F.expr(day).alias("Date"), F.expr(hour).alias("Hour"), filled.alias("temp_avg")
-    ).withColumn("wt_temp", F.col("temp_avg") + F.col("adjusted_wt"))
+    hours = _spread(days).select(*SERIES, "adjusted_wt", "Date", "Hour", filled.alias("temp_avg"))
+    return hours.withColumn("wt_temp", F.col("temp_avg") + F.col("adjusted_wt"))
 
 
 def field_station_hours(field_stations: DataFrame, readings: DataFrame, *, x: str = "position") -> DataFrame:

@@ -7,7 +7,14 @@ import pytest
 from fieldheat.operators import hourly as op
 from fieldheat.operators import readings as readings_op
 from fieldheat.operators import weather
-from fieldheat.plans.season_heat import field_station_days, field_station_hours, filled_hours, season_degree_hours
+from fieldheat.plans.season_heat import (
+    completed_hours,
+    field_station_days,
+    field_station_hours,
+    filled_hours,
+    hourly_means,
+    season_degree_hours,
+)
 from fieldheat.schemas import CROP_THRESHOLDS, HOURLY, READINGS
 
 DAY = date(2022, 1, 1)
@@ -133,6 +140,18 @@ def test_planned_path_equals_the_chain_of_operators(table, seed, x):
         assert value is None or math.isclose(found[key], value, rel_tol=1e-12), key
 
 
+def test_planned_means_and_grid_equal_the_operators(table):
+    pairs, rows = random_world(3)
+    stations, readings = table(pairs, FIELD_STATIONS), table(rows, READINGS)
+    days = field_station_days(stations, readings)
+    chosen = readings_op.readings_by_plan(readings, readings_op.station_season_plan(stations))
+    means = op.hourly_mean(readings_op.field_readings(stations, chosen))
+    for found, expected in [(hourly_means(days), means), (completed_hours(days), op.complete_grid(means))]:
+        found, expected = as_map(found), as_map(expected)
+        assert found.keys() == expected.keys() and len(found) > 100
+        assert all(found[k] == pytest.approx(v) if v is not None else found[k] is None for k, v in expected.items())
+
+
 def test_planned_path_keeps_every_row_of_a_hot_station(table):
     """One station serves all fields and holds most readings."""
     fields = [pair(f"F{n}", "S1", DAY, date(2022, 1, 20)) for n in range(300)]
