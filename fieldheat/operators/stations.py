@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldheat.functions import geo
@@ -12,7 +12,8 @@ from fieldheat.functions.rows import explode_range
 from fieldheat.schemas import number, require_columns
 
 MAX_GRID_LEVELS = 12
-CELL = ["level", "cell_row", "cell_col"]
+LEVELS_AT_ONCE = 2
+CELL = ["cell_row", "cell_col"]
 
 
 def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> DataFrame:
@@ -39,11 +40,10 @@ def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> Dat
 
 
 # Nearest stations. Fields and stations meet in the cells of a grid as wide as the radius. Where
-# stations are dense that would pair every field of a busy cell with every station around it, so
-# the grid is refined there: level n has cells of radius / 2^n. A field whose own cell at level n
-# holds k stations it may use has its k nearest no farther away than the cell is across, so looking
-# around it at level n - 1 is enough. Each field searches at the finest level that is safe for it
-# and the answer is exact at every level.
+# stations are dense that would pair every field of a busy cell with every station around it. There
+# the search goes down the grid instead, a few levels at a time: from cells with stations to the
+# smaller cells within them, always dropping the cells that lie wholly beyond a distance within
+# which k usable stations are known to be. Only the last cells are opened. Every step is exact.
 
 
 def _usable_stations(stations: DataFrame, k: int, dense: bool) -> DataFrame:
@@ -80,89 +80,83 @@ def _usable_stations(stations: DataFrame, k: int, dense: bool) -> DataFrame:
     return usable.filter("layered").drop("layered", "smallest")
 
 
-def _levels(first: int, last: int, radius_m: float) -> Column:
-    """Columns level and step (cell height in degrees), one row per level."""
-    return F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("level"), F.lit(radius_m / 2**n / geo.METRES_PER_DEGREE).alias("step"))
-                for n in range(first, last + 1)
-            ]
-        )
+def _placed(df: DataFrame, lat: str, lon: str, step: float) -> DataFrame:
+    """Add the position on the coarse grid."""
+    return (
+        df.withColumn("row_at", geo.row_position(F.col(lat), step))
+        .withColumn("cells", geo.cells_in_row(geo.whole(F.col("row_at")), step))
+        .withColumn("col_at", geo.column_position(F.col(lon), F.col("cells")))
     )
 
 
-def _with_own_cell(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    return (
-        df.withColumn("cell_row", geo.cell_row(F.col(lat), F.col("step")))
-        .withColumn("cells", geo.cells_in_row(F.col("cell_row"), F.col("step")))
-        .withColumn("cell_col", geo.cell_column(F.col(lon), F.col("cells")))
+def _with_cell(df: DataFrame, level: int) -> DataFrame:
+    """Add the cell of a level from the position on the coarse grid."""
+    scale = F.lit(float(2**level))
+    return df.withColumn("cell_row", geo.whole(F.col("row_at") * scale)).withColumn(
+        "cell_col", geo.whole(F.col("col_at") * scale)
     )
 
 
-def _with_cells_around(stations: DataFrame, levels: int, radius_m: float) -> DataFrame:
-    """List every station in its own cell and the eight around it, at each level searched."""
+def _seen_from(stations: DataFrame, step: float) -> DataFrame:
+    """List rows with station_lat and station_lon once per coarse cell they can be reached from."""
     col = F.col("own_col")
-    around = F.when(F.col("cells") == 1, F.array(col)).otherwise(
-        F.array(F.pmod(col - 1, F.col("cells")), col, F.pmod(col + 1, F.col("cells")))
+    around = F.when(F.col("cells_there") == 1, F.array(col)).otherwise(
+        F.array(F.pmod(col - 1, F.col("cells_there")), col, F.pmod(col + 1, F.col("cells_there")))
     )
-    row = geo.cell_row(F.col("station_lat"), F.col("step"))
+    row = geo.whole(geo.row_position(F.col("station_lat"), step))
     return (
-        stations.select("*", _levels(0, max(levels - 1, 0), radius_m))
-        .withColumn("cell_row", F.explode(F.array(row - 1, row, row + 1)))
-        .withColumn("cells", geo.cells_in_row(F.col("cell_row"), F.col("step")))
-        .withColumn("own_col", geo.cell_column(F.col("station_lon"), F.col("cells")))
-        .withColumn("cell_col", F.explode(around))
-        .drop("step", "cells", "own_col")
+        stations.withColumn("from_row", F.explode(F.array(row - 1, row, row + 1)))
+        .withColumn("cells_there", geo.cells_in_row(F.col("from_row"), step))
+        .withColumn("own_col", geo.whole(geo.column_position(F.col("station_lon"), F.col("cells_there"))))
+        .withColumn("from_col", F.explode(around))
+        .drop("cells_there", "own_col")
     )
 
 
-def _dense_cells(stations: DataFrame, levels: int, radius_m: float, k: int) -> DataFrame:
-    """Cells with k stations or more, and the start of the k-th station by start date."""
+def _cells_with_stations(stations: DataFrame, level: int, k: int) -> DataFrame:
+    """Cells of a level, each with its parent, the bounds of its stations and when the k-th of them started."""
+    listed = _with_cell(stations, level)
     by_start = Window.partitionBy(*CELL).orderBy("record_start", "station_id")
-    listed = stations.select("station_id", "station_lat", "station_lon", "record_start", _levels(1, levels, radius_m))
-    return (
-        _with_own_cell(listed, "station_lat", "station_lon")
-        .filter(geo.cell_is_compact(F.col("cell_row"), F.col("cells"), F.col("step")))
-        .withColumn("rank", F.row_number().over(by_start))
-        .filter(F.col("rank") == k)
-        .select(*CELL, F.col("record_start").alias("kth_start"))
+    kth = listed.withColumn("rank", F.row_number().over(by_start)).filter(F.col("rank") == k)
+    bounds = listed.groupBy(*CELL).agg(
+        F.min("station_lat").alias("south"),
+        F.max("station_lat").alias("north"),
+        F.min("station_lon").alias("west"),
+        F.max("station_lon").alias("east"),
     )
+    parents = [F.shiftright(name, LEVELS_AT_ONCE).alias(f"parent_{name}") for name in CELL]
+    return bounds.join(kth.select(*CELL, F.col("record_start").alias("kth_start")), CELL, "left").select("*", *parents)
 
 
-def _searches(
-    rows: DataFrame, columns: list[str], stations: DataFrame, levels: int, radius_m: float, k: int
-) -> DataFrame:
-    """Distinct field rows with the number of their copies, the cell to search around and the reach.
+def _descended(search: DataFrame, field: list[str], stations: DataFrame, level: int, k: int) -> DataFrame:
+    """Replace each field's cells by those of the next level that may hold one of its k nearest.
 
-    The reach is the radius, or how far the k-th nearest station can be at most if that is known.
+    A cell's stations are no nearer than their bounds allow, counting longitude as narrow as it gets
+    around the field, and no farther, counting it as wide. A cell whose nearest point lies beyond
+    bound_m is dropped.
     """
-    place = ["cell_row", "cell_col", "cells"]
-    if levels == 0:
-        located = _with_own_cell(rows.select("*", _levels(0, 0, radius_m)), "field_lat", "field_lon")
-        searches = located.groupBy(*columns, "level", *place).agg(F.count(F.lit(1)).alias("copies"))
-        return searches.withColumn("reach_m", F.lit(radius_m))
-    found = F.col("kth_start") < F.col("seeding_date")
-    located = _with_own_cell(rows.select("*", _levels(1, levels, radius_m)), "field_lat", "field_lon")
-    chosen = (
-        located.join(_dense_cells(stations, levels, radius_m, k), CELL, "left")
-        .groupBy(*columns)
-        .agg(
-            F.sum(F.when(F.col("level") == 1, 1)).alias("copies"),
-            F.max(F.when(found, F.col("level"))).alias("dense_level"),
-            F.min(F.when(found, F.col("step"))).alias("dense_step"),
-        )
+    cells = _cells_with_stations(stations, level, k)
+    pairs = search.withColumnsRenamed({name: f"parent_{name}" for name in CELL}).join(
+        cells, [f"parent_{name}" for name in CELL]
+    )
+    lat = F.col("field_lat")
+    lat_near = F.greatest(F.col("south") - lat, lat - F.col("north"), F.lit(0.0))
+    lat_far = F.greatest(F.col("north") - lat, lat - F.col("south"))
+    half = (F.col("east") - F.col("west")) * 0.5
+    lon_apart = geo.degrees_apart(F.col("field_lon"), F.col("west") + half)
+    lon_near, lon_far = F.greatest(lon_apart - half, F.lit(0.0)), lon_apart + half
+    nearest = geo.shortest_m(lat_near, lon_near, F.col("narrowest")) * (1 - 1e-9)
+    enough = F.when(
+        F.col("kth_start") < F.col("seeding_date"), geo.longest_m(lat_far, lon_far, F.col("widest")) * (1 + 1e-9)
+    )
+    return (
+        pairs.withColumn("nearest_m", nearest)
+        .filter("nearest_m <= bound_m")
+        .withColumn("enough_m", enough)
+        .withColumn("bound_m", F.least("bound_m", F.min("enough_m").over(Window.partitionBy(*field))))
+        .filter("nearest_m <= bound_m")
+        .select(*field, "copies", "widest", "narrowest", "bound_m", *CELL)
     )
-    radius_degrees = F.lit(radius_m / geo.METRES_PER_DEGREE)
-    return _with_own_cell(
-        chosen.withColumn("level", F.coalesce(F.col("dense_level") - 1, F.lit(0)))
-        .withColumn("step", F.coalesce(F.col("dense_step") * 2, radius_degrees))
-        .withColumn(
-            "reach_m", F.coalesce(F.col("dense_step") * (geo.COMPACT_REACH * geo.METRES_PER_DEGREE), F.lit(radius_m))
-        ),
-        "field_lat",
-        "field_lon",
-    ).drop("dense_level", "dense_step", "step")
 
 
 def grid_levels(stations: DataFrame, radius_m: float, k: int) -> int:
@@ -171,14 +165,18 @@ def grid_levels(stations: DataFrame, radius_m: float, k: int) -> int:
     None while a cell of the radius holds few of them; else as many as bring the busiest cell down
     to few, up to the most supported.
     """
-    located = stations.dropna(subset=["lat", "lon", "record_start"]).select("lat", "lon", _levels(0, 0, radius_m))
-    busiest = _with_own_cell(located, "lat", "lon").groupBy(*CELL).count().agg(F.max("count")).first()[0] or 0
+    step = radius_m / geo.METRES_PER_DEGREE
+    located = _placed(stations.dropna(subset=["lat", "lon", "record_start"]), "lat", "lon", step)
+    busiest = _with_cell(located, 0).groupBy(*CELL).count().agg(F.max("count")).first()[0] or 0
     if busiest <= 8 * k:
         return 0
-    usable = _usable_stations(stations, k, dense=True).select("*", _levels(1, MAX_GRID_LEVELS, radius_m))
-    cells = _with_own_cell(usable, "station_lat", "station_lon").groupBy(*CELL).count()
+    levels = F.explode(F.sequence(F.lit(LEVELS_AT_ONCE), F.lit(MAX_GRID_LEVELS), F.lit(LEVELS_AT_ONCE)))
+    usable = _placed(_usable_stations(stations, k, dense=True), "station_lat", "station_lon", step)
+    scaled = usable.withColumn("level", levels).withColumn("scale", F.pow(F.lit(2.0), F.col("level")))
+    cell = [geo.whole(F.col(name) * F.col("scale")).alias(name) for name in ("row_at", "col_at")]
+    cells = scaled.groupBy("level", *cell).count()
     crowded = cells.filter(F.col("count") > 2 * k).agg(F.max("level")).first()[0] or 0
-    return min(MAX_GRID_LEVELS, crowded + 1)
+    return min(MAX_GRID_LEVELS, crowded + LEVELS_AT_ONCE)
 
 
 def nearest_stations(
@@ -199,26 +197,45 @@ def nearest_stations(
     require_columns(field_seasons, "FIELD_ID", "field_lat", "field_lon", "seeding_date")
     require_columns(stations, "STID", "ELEVATION", "lat", "lon", "record_start")
     radius_m = radius_miles * geo.METRES_PER_MILE
+    step = radius_m / geo.METRES_PER_DEGREE
     levels = grid_levels(stations, radius_m, k) if levels is None else levels
-    usable = _usable_stations(stations, k, dense=levels > 0)
+    depth = -(-levels // LEVELS_AT_ONCE) * LEVELS_AT_ONCE
+    usable = _usable_stations(stations, k, dense=depth > 0)
+
+    field = [name for name in field_seasons.columns if name != "state"]
+    rows = field_seasons.select(*field).dropna(subset=["field_lat", "field_lon", "seeding_date"])
+    located = _with_cell(_placed(rows, "field_lat", "field_lon", step), 0)
+    here = [F.col("cell_row").alias("from_row"), F.col("cell_col").alias("from_col")]
+    searches = located.groupBy(*field, *here).agg(F.count(F.lit(1)).alias("copies"))
+    if depth == 0:
+        pairs = searches.join(_seen_from(usable, step), ["from_row", "from_col"])
+    else:
+        # How much a degree of longitude shrinks, at most and at least, in the cells around a field.
+        away = F.abs("field_lat")
+        placed = _placed(usable, "station_lat", "station_lon", step)
+        seen = _seen_from(_with_cell(placed, 0), step).select("from_row", "from_col", *CELL).distinct()
+        search = (
+            searches.withColumn("widest", F.cos(F.radians(F.greatest(away - 2.1 * step, F.lit(0.0)))))
+            .withColumn("narrowest", F.cos(F.radians(F.least(away + 2.1 * step, F.lit(90.0)))))
+            .withColumn("bound_m", F.lit(radius_m))
+            .join(seen, ["from_row", "from_col"])
+            .drop("from_row", "from_col")
+        )
+        for level in range(LEVELS_AT_ONCE, depth + 1, LEVELS_AT_ONCE):
+            search = _descended(search, field, placed, level, k)
+        pairs = search.join(_with_cell(placed, depth), CELL)
 
-    columns = [name for name in field_seasons.columns if name != "state"]
-    rows = field_seasons.select(*columns).dropna(subset=["field_lat", "field_lon", "seeding_date"])
-    # Most pairs are ruled out by their differences in degrees; the exact distance decides after
+    # Most pairs are ruled out by their differences in latitude; the exact distance decides after
     # ranking, where it is not computed a second time.
-    lat_apart = F.abs(F.col("field_lat") - F.col("station_lat")) * geo.METRES_PER_DEGREE
-    lon_apart = F.abs(geo.lon_share(F.col("field_lon")) - geo.lon_share(F.col("station_lon"))) * F.col("cells")
+    lat_apart = F.abs(F.col("field_lat") - F.col("station_lat"))
     distance = geo.haversine_m(F.col("field_lat"), F.col("field_lon"), F.col("station_lat"), F.col("station_lon"))
-    closest_first = Window.partitionBy(*columns).orderBy("distance_m", "station_id")
+    closest_first = Window.partitionBy(*field).orderBy("distance_m", "station_id")
     chosen = (
-        _searches(rows, columns, usable, levels, radius_m, k)
-        .join(_with_cells_around(usable, levels, radius_m), CELL)
-        .filter("record_start < seeding_date")
-        .filter(lat_apart <= F.col("reach_m") * (1 + 1e-9))
-        .filter((lon_apart <= 1 + 1e-6) | (lon_apart >= F.col("cells") - 1 - 1e-6))
+        pairs.filter("record_start < seeding_date")
+        .filter(lat_apart <= step * (1 + 1e-9))
         .withColumn("distance_m", distance)
         .withColumn("rank", F.row_number().over(closest_first))
-        .filter((F.col("rank") <= k) & (F.col("distance_m") <= F.col("reach_m")))
+        .filter((F.col("rank") <= k) & (F.col("distance_m") <= radius_m))
     )
-    columns = columns + ["station_id", "station_elev", "station_lat", "station_lon"]
+    columns = field + ["station_id", "station_elev", "station_lat", "station_lon"]
     return explode_range(chosen, "1", "copies", "copy").select(*columns, *(["distance_m"] if with_distance else []))

@@ -83,6 +83,16 @@ def test_matches_brute_force_at_the_edges_of_the_map(table, centre, lat_width, l
     assert by_spark(table, rows, stations, 15, 3, levels) == by_hand(rows, stations, 15, 3)
 
 
+def test_crowd_seen_from_afar_and_from_within(table):
+    """Many fields in cells without stations look at one crowd; others stand inside it."""
+    rng = random.Random(2)
+    stations = [station(n, *p, date(2019, 1, 1) + timedelta(days=rng.randint(0, 700)))
+                for n, p in enumerate(spread(rng, 300, (43.2, -112.1), 0.004))]
+    points = spread(rng, 40, (43.1, -112.0), 0.002) + spread(rng, 20, (43.2, -112.1), 0.004)
+    rows = [(f"F{n}", *p, "ID", SOWN + timedelta(days=n)) for n, p in enumerate(points)]
+    assert by_spark(table, rows, stations, 20, 5, None) == by_hand(rows, stations, 20, 5)
+
+
 def test_start_must_be_before_seeding_and_radius_is_inclusive(table):
     stations = [station(1, 43.0, -112.0, SOWN), station(2, 43.0, -112.0, SOWN - timedelta(days=1))]
     rows = [("F1", 43.0, -112.0, "ID", SOWN)]
