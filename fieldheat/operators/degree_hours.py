@@ -15,28 +15,27 @@ def gdh_input(weather: DataFrame, seasons: DataFrame, thresholds: DataFrame) ->
     """Field weather with the season it belongs to and the crop's thresholds.
 
     A season takes the hours of its own calendar year. Crops without thresholds stay, with NULLs.
+    Thresholds are joined to the seasons, not to their hours: crops are few and some are common.
     """
     require_columns(seasons, "FIELD_ID", "CROP_NAME", "CROP_SEASON", "seeding_date", "harvest_date")
-    windows = seasons.select("FIELD_ID", "CROP_SEASON", "CROP_NAME", "seeding_date", "harvest_date")
     if "CROP_SEASON" not in weather.columns:
         weather = weather.withColumn("CROP_SEASON", F.year("Date"))
     limits = thresholds.select(F.col("CROP").alias("CROP_NAME"), "Base_Fahrenheit", "Upper_Fahrenheit")
-    return (
-        weather.join(windows, ["FIELD_ID", "CROP_SEASON"])
-        .join(limits, "CROP_NAME", "left")
-        .select(
-            "FIELD_ID",
-            "CROP_NAME",
-            "Base_Fahrenheit",
-            "Upper_Fahrenheit",
-            "temp_combined_avg",
-            "temp_wt_avg",
-            "Date",
-            "Hour",
-            "seeding_date",
-            "harvest_date",
-            "CROP_SEASON",
-        )
+    windows = seasons.select("FIELD_ID", "CROP_SEASON", "CROP_NAME", "seeding_date", "harvest_date").join(
+        limits, "CROP_NAME", "left"
+    )
+    return weather.join(windows, ["FIELD_ID", "CROP_SEASON"]).select(
+        "FIELD_ID",
+        "CROP_NAME",
+        "Base_Fahrenheit",
+        "Upper_Fahrenheit",
+        "temp_combined_avg",
+        "temp_wt_avg",
+        "Date",
+        "Hour",
+        "seeding_date",
+        "harvest_date",
+        "CROP_SEASON",
     )
 
 

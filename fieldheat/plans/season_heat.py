@@ -4,7 +4,7 @@ Equal in result to chaining the operators of fieldheat.operators, arranged for l
 
 * Readings are averaged per station and hour once, before they meet fields, with map-side combine.
 * A station-day then travels as one row with its (at most 24) hours inside.
-* Stations and fields meet per station-month, which spreads a busy station over its months.
+* Stations and fields meet per station-month; the fields of a busy station are split into shares.
 * After that, one shuffle by field and season serves gap filling, field weather, degree hours and
   daily sums.
 * Gaps are filled by spreading each known hour over the missing hours that follow it, so the
@@ -24,6 +24,8 @@ from fieldheat.operators.weather import field_weather
 from fieldheat.schemas import require_columns
 
 STATION_MONTH = ["station_id", "month"]
+BUSY_PARTS = 256
+BUSY_SHARES = 64
 
 
 def station_days(readings: DataFrame) -> DataFrame:
@@ -118,18 +120,39 @@ def _field_months(field_stations: DataFrame, rate: float) -> DataFrame:
     )
 
 
+def _busy_stations(field_stations: DataFrame) -> DataFrame:
+    """Stations that each serve more than one part in BUSY_PARTS of all field-seasons.
+
+    There are fewer than BUSY_PARTS of them whatever the data, so the table may be broadcast.
+    """
+    served = field_stations.groupBy("station_id").count()
+    total = field_stations.agg(F.count(F.lit(1))).scalar()
+    return served.filter(F.col("count") * BUSY_PARTS > total).select("station_id", F.lit(True).alias("busy"))
+
+
 def field_station_days(
     field_stations: DataFrame, readings: DataFrame, rate: float = LAPSE_F_PER_1000_FT
 ) -> DataFrame:
     """Days of each field-season's stations with their hours, partitioned by field and season.
 
-    Use a stored field_stations: it is read twice.
+    The days of the few busy stations are repeated for BUSY_SHARES shares of their fields, so that
+    no task meets all fields of one. Use a stored field_stations: it is read several times.
     """
-    days = _open_days(station_days(readings), field_stations)
+    busy = F.broadcast(_busy_stations(field_stations))
+    shares = F.when(F.col("busy"), F.sequence(F.lit(0), F.lit(BUSY_SHARES - 1))).otherwise(F.array(F.lit(0)))
+    days = (
+        _open_days(station_days(readings), field_stations)
+        .join(busy, "station_id", "left")
+        .withColumn("share", F.explode(shares))
+        .drop("busy")
+    )
+    own_share = F.when(F.col("busy"), F.pmod(F.xxhash64("FIELD_ID"), F.lit(BUSY_SHARES)).cast("int")).otherwise(0)
     in_window = F.expr("exists(windows, w -> Date BETWEEN w.low AND w.high)")
     return (
         _field_months(field_stations, rate)
-        .join(days, STATION_MONTH)
+        .join(busy, "station_id", "left")
+        .withColumn("share", own_share)
+        .join(days, [*STATION_MONTH, "share"])
         .filter(in_window)
         .select(*SERIES, "adjusted_wt", "Date", "known", "hour_bits")
         .repartition(*FIELD_SEASON)

@@ -11,8 +11,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A join on field, season and more may use rows already placed by field and season.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Small shuffles keep one task per core: nearest-station search and gap filling grow after them.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }

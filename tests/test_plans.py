@@ -75,6 +75,18 @@ def test_readings_are_read_once(stored):
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
 
 
+def test_hours_are_not_shuffled_by_crop_and_busy_stations_are_shared_out(spark, stored):
+    tables = [stored("pairs", PAIRS), stored("readings", READINGS), stored("seasons", PAIRS), stored("crops", CROP_THRESHOLDS)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(season_degree_hours(*tables))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanged = [part for part in text.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert not any("hashpartitioning(CROP_NAME" in part and "temp_combined_avg" in part for part in exchanged)
+    assert any(re.search(r"hashpartitioning\(station_id#\d+, month#\d+, share#\d+", part) for part in exchanged)
+
+
 def test_date_limits_reach_the_scan(stored):
     chosen = readings.readings_all(
         stored("readings", READINGS), stored("pairs", PAIRS), date(2022, 1, 1), date(2022, 2, 1)
