@@ -189,7 +189,9 @@ def _spread(days: DataFrame) -> DataFrame:
     )
     rank_of = "bit_count(season_bits & (shiftleft(1, {0}) - 1))"
 
-    first_known = F.expr("if(size(known) > 0, struct(Date, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)")
+    first_known = F.expr(
+        "if(size(known) > 0, struct(Date, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)"
+    )
     placed = (
         days.withColumn("first_known", first_known)
         .withColumn("later", F.expr(f"lead(first_known) IGNORE NULLS {by_day.format('')}"))

@@ -80,7 +80,12 @@ def world(table):
     ]
     names = [(n,) for n in ("F1", "F2", "F3", "F4", "F5")]
     grid = [(2, 5, 4000.0), (5, 5, 4100.0), (5, 40, 4200.0), (90, 90, 1.0)]
-    return table(names, FIELDS), table(boundaries, BOUNDARIES), table(polygon_rows(), STATE_POLYGONS), table(grid, ELEVATION_GRID)
+    return (
+        table(names, FIELDS),
+        table(boundaries, BOUNDARIES),
+        table(polygon_rows(), STATE_POLYGONS),
+        table(grid, ELEVATION_GRID),
+    )
 
 
 def master(df):

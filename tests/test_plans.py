@@ -76,7 +76,8 @@ def test_readings_are_read_once(stored):
 
 
 def test_hours_are_not_shuffled_by_crop_and_busy_stations_are_shared_out(spark, stored):
-    tables = [stored("pairs", PAIRS), stored("readings", READINGS), stored("seasons", PAIRS), stored("crops", CROP_THRESHOLDS)]
+    schemas = {"pairs": PAIRS, "readings": READINGS, "seasons": PAIRS, "crops": CROP_THRESHOLDS}
+    tables = [stored(name, schema) for name, schema in schemas.items()]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(season_degree_hours(*tables))
