@@ -18,9 +18,8 @@ def staging_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="fieldheat-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldheat-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
