@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldheat.llm.common import load
+from fieldheat.llm.decontamination import benchmark_hits
+from fieldheat.llm.line_dedup import dedup_lines
+from fieldheat.llm.oracle import ORACLE_SQL
 from fieldheat.llm.packing import pack
 from fieldheat.llm.token_counts import token_counts
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -40,3 +44,28 @@ def packed_digest(docs: DataFrame) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as sequences of at most 2048 tokens."""
     return packed_digest(load(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the lines that ten documents share."""
+    kept = dedup_lines(load(spark, sf_dir, "documents"), min_docs=10, min_length=1)
+    digest = F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc.doc_id", "n_lines", "n_dropped", digest)
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in ten words of a benchmark item."""
+    found = benchmark_hits(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10)
+    begins_and_ends = F.transform("spans", lambda at, n: F.when(n % 2 == 0, -at).otherwise(at))
+    n_hit = F.aggregate(begins_and_ends, F.lit(0).cast("long"), lambda total, at: total + at)
+    names = F.concat_ws(",", F.array_sort(F.col("items").cast("array<string>")))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
