@@ -13,6 +13,7 @@ from fieldheat.llm.decontamination import benchmark_hits
 from fieldheat.llm.line_dedup import dedup_lines
 from fieldheat.llm.oracle import ORACLE_SQL
 from fieldheat.llm.packing import pack
+from fieldheat.llm.simhash import near_duplicates
 from fieldheat.llm.token_counts import token_counts
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -25,6 +26,15 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of near-duplicates of every document."""
+    found = near_duplicates(load(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they are more than 2048."""
