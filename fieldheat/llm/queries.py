@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldheat.llm.common import load
 from fieldheat.llm.decontamination import benchmark_hits
+from fieldheat.llm.embedding_dedup import near_vectors
 from fieldheat.llm.line_dedup import dedup_lines
 from fieldheat.llm.oracle import ORACLE_SQL
 from fieldheat.llm.packing import pack
@@ -64,6 +65,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc.doc_id", "n_lines", "n_dropped", digest)
 
 
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of the vectors that agree in label and nearly in direction."""
+    return near_vectors(load(spark, sf_dir, "embeddings"), threshold=0.93).withColumnRenamed("id", "vec_id")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in ten words of a benchmark item."""
