@@ -15,6 +15,7 @@ from fieldheat.llm.line_dedup import dedup_lines
 from fieldheat.llm.oracle import ORACLE_SQL
 from fieldheat.llm.packing import pack
 from fieldheat.llm.simhash import near_duplicates
+from fieldheat.llm.substring_dedup import dedup_substrings
 from fieldheat.llm.token_counts import token_counts
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -36,6 +37,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without words in twenty-word windows that start earlier."""
+    kept = dedup_substrings(load(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they are more than 2048."""
