@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -10,7 +11,7 @@ from functools import lru_cache
 
 WHITE = re.compile(rb"[\x09-\x0d\x20]")
 GROUP_BYTES = 1 << 20
-KEPT_WORDS = 400_000
+KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
 
 
@@ -46,7 +47,11 @@ class WordEncoder:
 
     The tokenizer must treat white space as a border that no token crosses and that leaves no token
     (`white_space_is_border` checks the file for that). Special strings inside a text hold no white space, so
-    they fall into one word and are treated there as by default. Up to KEPT_WORDS words stay in memory.
+    they fall into one word and are treated there as by default.
+
+    Words stay in memory in two generations of up to KEPT_WORDS: a full one takes the other's place, and words that
+    are met again move on, so that frequent words stay and rare ones go. If the tokenizer lower-cases, A-Z are lower-cased
+    beforehand, which leaves fewer words, except in pieces that hold a special string in some case.
     """
 
     def __init__(self, path: str):
@@ -57,6 +62,17 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        rules = rules_of(path)
+        self.lowers = any(s.get("type") == "Lowercase" for s in normalizers(rules))
+        self.special = [t["content"].encode().lower() for t in rules.get("added_tokens", [])]
+
+    def words(self, piece: bytes) -> list[bytes]:
+        if self.lowers:
+            lower = piece.lower()
+            if not any(s in lower for s in self.special):
+                piece = lower
+        return piece.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit little-endian integers."""
@@ -66,19 +82,23 @@ class WordEncoder:
     def learn(self, words: set[bytes]) -> None:
         """Encode, as one batch, the words that are not yet known."""
         if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        new = [w for w in words if w not in self.kept]
+            self.kept, self.older = {}, self.kept
+        new = words.difference(self.kept)
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.kept.update(again)
+        new = list(new.difference(again))
         self.kept.update(zip(new, self.encode([w.decode("utf-8", "replace") for w in new])))
 
     def pieces(self, texts: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
         """(number of the text, ids of its next piece), in order."""
         for group in groups_by_bytes(texts):
-            words = [piece.split() for _, piece in group]
-            self.learn({w for own in words for w in own})
+            words = [self.words(piece) for _, piece in group]
+            every = set().union(*words)
+            self.learn(every)
             for (number, _), own in zip(group, words):
                 yield number, b"".join(map(self.kept.__getitem__, own))
-            for long_word in [w for own in words for w in own if len(w) > KEPT_LENGTH]:
-                self.kept.pop(long_word, None)
+            for long_word in [w for w in every if len(w) > KEPT_LENGTH]:
+                del self.kept[long_word]
 
 
 class WholeEncoder(WordEncoder):
@@ -99,32 +119,38 @@ class WholeEncoder(WordEncoder):
         yield from zip((n for n, _ in group), self.encode([t.decode("utf-8", "replace") for _, t in group]))
 
 
+def rules_of(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def normalizers(rules: dict) -> list[dict]:
+    normal = rules.get("normalizer") or {}
+    return normal.get("normalizers", [normal])
+
+
 def white_space_is_border(path: str) -> bool:
     """Whether the file's own rules drop white space and start anew after it.
 
-    True for a normalizer that maps each run of white space to one space and otherwise works on characters (NFC,
+    True for normalizers that map each run of white space to one space and otherwise work on characters (NFC,
     lower case), followed by a split that keeps only matches without white space.
     """
-    import json
-
-    with open(path, encoding="utf-8") as f:
-        rules = json.load(f)
-    normal = rules.get("normalizer") or {}
-    steps = normal.get("normalizers", [normal])
+    rules = rules_of(path)
     local = all(
         s.get("type") in ("NFC", "Lowercase")
         or (s.get("type") == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " ")
-        for s in steps
+        for s in normalizers(rules)
     )
     before = rules.get("pre_tokenizer") or {}
     first = before.get("pretokenizers", [before])[0]
-    # \s occurs in the pattern only inside a negated class.
     pattern = first.get("pattern", {}).get("Regex", " ") if first.get("type") == "Split" else " "
     drops = first.get("behavior") == "Removed" and first.get("invert") and not re.search(r"\s|\.", pattern)
+    # White space may be named inside negated classes only.
     negated = all("^" in c for c in re.findall(r"\[[^\]]*\\s[^\]]*\]", pattern))
     outside = re.sub(r"\[[^\]]*\]", "", pattern)
-    special = all(not re.search(r"\s", t["content"]) for t in rules.get("added_tokens", []))
-    strips = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in rules.get("added_tokens", []))
+    added = rules.get("added_tokens", [])
+    special = not any(re.search(r"\s", t["content"]) for t in added)
+    strips = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
     return bool(local and drops and negated and r"\s" not in outside and special and not strips)
 
 
