@@ -47,3 +47,97 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+ROUNDS = 10
+
+
+def _spread(name: str, src: str, dst: str, verdict: str) -> str:
+    """Unrolled rounds of personalised PageRank, as common table expressions."""
+    steps = [
+        f"""{name}_start AS (
+    SELECT host, count(*)::DOUBLE / (SELECT count(*) FROM judged WHERE verdict = '{verdict}') AS score
+    FROM judged WHERE verdict = '{verdict}' GROUP BY host
+), {name}_edges AS (
+    SELECT {src} AS src, {dst} AS dst, weight::DOUBLE / sum(weight) OVER (PARTITION BY {src}) AS share FROM links
+), {name}_0 AS (SELECT * FROM {name}_start)"""
+    ]
+    for n in range(1, ROUNDS + 1):
+        steps.append(
+            f"""{name}_{n} AS (
+    SELECT host, sum(score) AS score FROM (
+        SELECT e.dst AS host, 0.85 * s.score * e.share AS score FROM {name}_edges e JOIN {name}_{n - 1} s ON e.src = s.host
+        UNION ALL SELECT host, 0.15 * score FROM {name}_start) GROUP BY host
+)"""
+        )
+    return ", ".join(steps)
+
+
+HOST = LOWER.format("coalesce(regexp_extract({}, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '')")
+
+ORACLE_SQL["op9_url_filters"] = rf"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), address AS (
+    SELECT page_id, html, {HOST.format("url")} AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages
+), judged AS (
+    SELECT a.*, rule_host || rule_path AS rule, rule_verdict AS verdict FROM address a LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+), targets AS (
+    SELECT page_id, host AS src, unnest(regexp_extract_all(html,
+        '(?is)<a\s[^>]*?href\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"''\s>]*)', 1)) AS target FROM address
+), named AS (
+    SELECT DISTINCT page_id, src, {HOST.format("CASE WHEN starts_with(target, '//') THEN 'x:' || target ELSE target END")} AS dst
+    FROM targets
+), links AS (
+    SELECT src, dst, count(*) AS weight FROM named WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+), {_spread("trust", "src", "dst", "allow")}, {_spread("distrust", "dst", "src", "block")}
+SELECT page_id, j.host, path, rule,
+       coalesce(verdict, CASE WHEN coalesce(d.score, 0) > 0.5 * (coalesce(t.score, 0) + coalesce(d.score, 0))
+                              THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN trust_{ROUNDS} t ON j.host = t.host LEFT JOIN distrust_{ROUNDS} d ON j.host = d.host
+"""
+
+ORACLE_SQL["op3_substring_dedup"] = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+), starts AS (
+    SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + 19), ' ')) AS gram
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS pos FROM split WHERE len(w) >= 20)
+), later AS (
+    SELECT doc_id, pos FROM starts QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS place FROM later
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM split
+), judged AS (
+    SELECT p.*, g.place IS NOT NULL AS gone FROM placed p LEFT JOIN gone g USING (doc_id, place)
+), sums AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept
+    FROM judged GROUP BY doc_id
+)
+SELECT s.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN sums USING (doc_id)
+"""
+
+ORACLE_SQL["op8_embedding_dedup"] = """
+WITH RECURSIVE able AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+    SELECT a.vec_id AS src, b.vec_id AS dst FROM able a JOIN able b USING (label)
+    WHERE a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.dst FROM reached r JOIN linked l ON r.other = l.src
+), least AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+), degrees AS (
+    SELECT src, count(*) AS n FROM linked GROUP BY src
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN degrees ON src = e.vec_id
+"""

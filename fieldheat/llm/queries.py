@@ -17,6 +17,7 @@ from fieldheat.llm.packing import pack
 from fieldheat.llm.simhash import near_duplicates
 from fieldheat.llm.substring_dedup import dedup_substrings
 from fieldheat.llm.token_counts import token_counts
+from fieldheat.llm.url_filters import filter_urls
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -79,6 +80,24 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(load(spark, sf_dir, "embeddings"), threshold=0.93).withColumnRenamed("id", "vec_id")
 
 
+URL_RULES = """
+SELECT * FROM VALUES
+    ('org', '/', 'allow'),
+    ('example.org', '/es/', 'block'),
+    ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'),
+    ('com', '/de/', 'block')
+AS rules(host, path, verdict)
+"""
+
+
+@query
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Address, rule and verdict of every page."""
+    judged = filter_urls(load(spark, sf_dir, "pages"), spark.sql(URL_RULES))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in ten words of a benchmark item."""
