@@ -17,6 +17,7 @@ from fieldheat.llm.packing import pack
 from fieldheat.llm.simhash import near_duplicates
 from fieldheat.llm.substring_dedup import dedup_substrings
 from fieldheat.llm.token_counts import token_counts
+from fieldheat.llm.toxicity import held_out, toxicity
 from fieldheat.llm.url_filters import filter_urls
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -45,6 +46,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, by a model that has seen labels outside the held-out fifth only."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity(docs, load(spark, sf_dir, "labels"))
+    return found.select(
+        "doc.doc_id",
+        held_out(F.col("doc.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they are more than 2048."""

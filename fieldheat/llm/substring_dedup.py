@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldheat.llm.common import WordHashes, arrow_map, mix, runs, stage, text_bytes
 
 SKETCH_BITS = 28
-WORDS_AT_ONCE = 1 << 19
+WORDS_AT_ONCE = 1 << 18
 ANCHORS_AT_ONCE = 1 << 21
 WINDOWS_AT_ONCE = 1 << 20
 BUCKET_BYTES = 12 << 20
