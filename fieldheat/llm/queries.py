@@ -12,6 +12,7 @@ from fieldheat.llm.common import load
 from fieldheat.llm.decontamination import benchmark_hits
 from fieldheat.llm.embedding_dedup import near_vectors
 from fieldheat.llm.line_dedup import dedup_lines
+from fieldheat.llm.lm_scoring import cross_entropy_difference
 from fieldheat.llm.oracle import ORACLE_SQL
 from fieldheat.llm.packing import pack
 from fieldheat.llm.simhash import near_duplicates
@@ -39,6 +40,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more every document is like the documents of good quality than like all documents."""
+    good = load(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(load(spark, sf_dir, "documents"), good)
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without words in twenty-word windows that start earlier."""
