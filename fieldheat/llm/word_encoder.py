@@ -8,11 +8,15 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress, count
+from operator import not_
 
 WHITE = re.compile(rb"[\x09-\x0d\x20]")
 GROUP_BYTES = 1 << 20
 KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
+# Letters a-z, then ASCII marks other than the apostrophe.
+PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def safe_pieces(text: bytes, limit: int = GROUP_BYTES) -> Iterator[bytes]:
@@ -63,6 +67,9 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.kept: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.plain = letters_are_whole(path)
         rules = rules_of(path)
         self.lowers = any(s.get("type") == "Lowercase" for s in normalizers(rules))
         self.special = [t["content"].encode().lower() for t in rules.get("added_tokens", [])]
@@ -79,25 +86,42 @@ class WordEncoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array.array("I", e.ids).tobytes() for e in encoded]
 
+    def part(self, text: str) -> bytes:
+        """Ids of a text that is one token before merging, straight from the model."""
+        return array.array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
     def learn(self, words: set[bytes]) -> None:
-        """Encode, as one batch, the words that are not yet known."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept, self.older = {}, self.kept
-        new = words.difference(self.kept)
-        again = {w: self.older[w] for w in new if w in self.older}
-        self.kept.update(again)
-        new = list(new.difference(again))
-        self.kept.update(zip(new, self.encode([w.decode("utf-8", "replace") for w in new])))
+        """Take words over from the older generation, encode the others."""
+        other = []
+        for word in words:
+            known = self.older.get(word)
+            if known is not None:
+                self.kept[word] = known
+            elif self.plain and (parts := PLAIN.fullmatch(word)):
+                letters, marks = parts.groups()
+                if marks not in self.marks:
+                    self.marks[marks] = self.part(marks.decode()) if marks else b""
+                self.kept[word] = self.part(letters.decode()) + self.marks[marks]
+            else:
+                other.append(word)
+        self.kept.update(zip(other, self.encode([w.decode("utf-8", "replace") for w in other])))
 
     def pieces(self, texts: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
         """(number of the text, ids of its next piece), in order."""
         for group in groups_by_bytes(texts):
+            if len(self.kept) > KEPT_WORDS:
+                self.kept, self.older = {}, self.kept
+            if len(self.marks) > KEPT_WORDS // 10:
+                self.marks.clear()
             words = [self.words(piece) for _, piece in group]
-            every = set().union(*words)
-            self.learn(every)
-            for (number, _), own in zip(group, words):
-                yield number, b"".join(map(self.kept.__getitem__, own))
-            for long_word in [w for w in every if len(w) > KEPT_LENGTH]:
+            found = [list(map(self.kept.get, own)) for own in words]
+            new = set().union(*(compress(own, map(not_, ids)) for own, ids in zip(words, found)))
+            self.learn(new)
+            for (number, _), own, ids in zip(group, words, found):
+                for place in list(compress(count(), map(not_, ids))):
+                    ids[place] = self.kept[own[place]]
+                yield number, b"".join(ids)
+            for long_word in [w for w in new if len(w) > KEPT_LENGTH]:
                 del self.kept[long_word]
 
 
@@ -154,6 +178,21 @@ def white_space_is_border(path: str) -> bool:
     return bool(local and drops and negated and r"\s" not in outside and special and not strips)
 
 
+def letters_are_whole(path: str) -> bool:
+    """Whether a-z alone, and ASCII marks alone, each reach the model as they are, as one token before merging.
+
+    So if the normalizers leave them as they are and the split's pattern keeps runs of letters and runs of marks
+    whole, its other alternatives beginning with an apostrophe or being about numbers.
+    """
+    rules = rules_of(path)
+    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [s.get("type") for s in steps] != ["Split", "ByteLevel"] or not white_space_is_border(path):
+        return False
+    choices = steps[0]["pattern"].get("Regex", "").split("|")
+    rest = {c for c in choices if not c.startswith("'")} - {r"[\p{N}]", r"\p{N}"}
+    return rest == {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} and not steps[1].get("add_prefix_space")
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """One encoder a Python worker, so that known words outlive a task."""
