@@ -1,0 +1,44 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[2]
+sys.path.insert(0, str(ROOT))
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Documents from (id, text) pairs, over several partitions, with columns named like the operators' own."""
+
+    def make(rows, extra=True):
+        schema = "doc_id long, text string" + (", id long, fp string, keep string, spans long" if extra else "")
+        filled = [(i, t, *((7, "x", "y", 1) if extra else ())) for i, t in rows]
+        return spark.createDataFrame(filled, schema).repartition(3) if rows else spark.createDataFrame([], schema)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    """Texts with nulls, blanks, copies, near copies, shared passages, odd white space and a very long one."""
+    import random
+
+    random.seed(5)
+    vocabulary = [f"w{n}" for n in range(400)] + ["Ärger", "naïve", "ÉTÉ", "日本語", "don't,", "A-b", "x1"]
+
+    def prose(n):
+        return " ".join(random.choice(vocabulary) for _ in range(n))
+
+    passage, notice = prose(70), "All  Rights reserved."
+    rows = [(n, prose(random.randint(1, 120))) for n in range(60)]
+    rows += [(100 + n, rows[n % 5][1]) for n in range(20)]  # copies
+    rows += [(200 + n, rows[7][1].replace(" w", f" w{n}", 1)) for n in range(6)]  # near copies
+    rows += [(300 + n, f"{prose(12)} {passage} {prose(9)}") for n in range(8)]
+    rows += [(400 + n, f"{prose(8)}\n{notice if n % 2 else notice.upper()}\t\n{prose(5)}\n{notice}") for n in range(14)]
+    rows += [(500, None), (501, ""), (502, " \n\t "), (503, "one"), (504, "\n\n"), (505, "tab\x0bfeed\x0c end\r\n")]
+    rows += [(600, prose(30_000)), (601, "x" * 100_000), (602, "la " * 500)]
+    rows += [(None, prose(40)), (None, rows[0][1]), (0, rows[0][1]), (1, prose(25))]  # null and repeated ids
+    return rows
