@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldheat.schemas import BOUNDARY_POINT, require_columns
+from fieldheat.schemas import BOUNDARY_POINT, number, require_columns
 
 STATES_SERVED = ("AZ", "ID", "UT")
 POLYGON_CELL_DEGREES = 0.25
@@ -97,21 +97,36 @@ def with_state(points: DataFrame, polygons: DataFrame, cell: float = POLYGON_CEL
     )
 
 
-def _merged_elevations(
-    points: DataFrame, grid: DataFrame, cache: DataFrame | None, cells_per_degree: int
-) -> DataFrame:
-    require_columns(points, "FIELD_ID", "lat", "lon")
+# Rows of cells that no raster has: beyond the south pole at any resolution.
+NO_CELL = -1_000_000_000
+
+
+def _raster_elevation(points: DataFrame, grid: DataFrame, cells_per_degree: int) -> DataFrame:
+    """Points with the raster's elevation, `fetched`; NULL outside it and for points with a `cached` one.
+
+    The latter are sent to cells that do not exist, evenly spread, so that they neither meet a raster row nor each
+    other in one task.
+    """
     require_columns(grid, "cell_lat", "cell_lon", "elev_ft")
-    raster = grid.groupBy("cell_lat", "cell_lon").agg(F.min("elev_ft").alias("fetched"))
-    located = points.withColumn("cell_lat", F.floor(F.col("lat") * cells_per_degree)).withColumn(
-        "cell_lon", F.floor(F.col("lon") * cells_per_degree)
+    raster = grid.groupBy("cell_lat", "cell_lon").agg(F.min(number(F.col("elev_ft"))).alias("fetched"))
+    asked = F.col("cached").isNull()
+    nowhere = F.lit(NO_CELL) - F.pmod(F.xxhash64("FIELD_ID"), F.lit(-NO_CELL))
+    located = points.withColumns(
+        {
+            "cell_lat": F.when(asked, F.floor(F.col("lat") * cells_per_degree)).otherwise(nowhere),
+            "cell_lon": F.floor(F.col("lon") * cells_per_degree),
+        }
     )
+    return located.join(raster, ["cell_lat", "cell_lon"], "left").drop("cell_lat", "cell_lon")
+
+
+def _cached_elevation(points: DataFrame, cache: DataFrame | None) -> DataFrame:
+    """Points with the cached elevation, `cached`; NULL where there is none."""
+    require_columns(points, "FIELD_ID", "lat", "lon")
     if cache is None:
-        known = located.withColumn("cached", F.lit(None).cast("double"))
-    else:
-        one_each = cache.groupBy("FIELD_ID").agg(F.min("ELEVATION").cast("double").alias("cached"))
-        known = located.join(one_each, "FIELD_ID", "left")
-    return known.join(raster, ["cell_lat", "cell_lon"], "left").drop("cell_lat", "cell_lon")
+        return points.withColumn("cached", F.lit(None).cast("double"))
+    one_each = cache.groupBy("FIELD_ID").agg(F.min(number(F.col("ELEVATION"))).alias("cached"))
+    return points.join(one_each, "FIELD_ID", "left")
 
 
 def with_elevation(
@@ -120,9 +135,12 @@ def with_elevation(
     cache: DataFrame | None = None,
     cells_per_degree: int = ELEVATION_CELLS_PER_DEGREE,
 ) -> DataFrame:
-    """Add ELEVATION in feet: the cached value where there is one, else the raster's."""
-    merged = _merged_elevations(points, grid, cache, cells_per_degree)
-    return merged.withColumn("ELEVATION", F.coalesce("cached", "fetched")).drop("cached", "fetched")
+    """Add ELEVATION in feet: the cached value where there is one, else the raster's.
+
+    Only points that the cache lacks are looked up.
+    """
+    found = _raster_elevation(_cached_elevation(points, cache), grid, cells_per_degree)
+    return found.withColumn("ELEVATION", F.coalesce("cached", "fetched")).drop("cached", "fetched")
 
 
 def elevation_cache_delta(
@@ -132,14 +150,23 @@ def elevation_cache_delta(
     cells_per_degree: int = ELEVATION_CELLS_PER_DEGREE,
 ) -> DataFrame:
     """Rows to append to the cache: fields it lacked, with the elevation found for them."""
-    merged = _merged_elevations(points, grid, cache, cells_per_degree)
+    missing = _cached_elevation(points, cache).filter("cached IS NULL")
     return (
-        merged.filter("cached IS NULL AND fetched IS NOT NULL")
+        _raster_elevation(missing, grid, cells_per_degree)
+        .filter("fetched IS NOT NULL")
         .groupBy("FIELD_ID")
         .agg(F.min("fetched").alias("ELEVATION"))
     )
 
 
+def append_elevations(delta: DataFrame, cache_table: str) -> None:
+    """Add the rows of elevation_cache_delta to the cache's table; the first call creates it.
+
+    The rows are worked out from the cache itself, so store them (`stage`) before they are appended to it.
+    """
+    delta.select("FIELD_ID", "ELEVATION").write.mode("append").saveAsTable(cache_table)
+
+
 def field_master(
     fields: DataFrame,
     boundaries: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldheat.schemas import require_columns
+from fieldheat.schemas import number, require_columns
 
 FIELD_SEASON = ["FIELD_ID", "CROP_SEASON"]
 SERIES = [*FIELD_SEASON, "station_id"]
@@ -23,7 +23,7 @@ def hourly_mean(field_readings: DataFrame) -> DataFrame:
     return (
         field_readings.filter((day >= F.col("seeding_date")) & (day <= F.col("harvest_date")))
         .groupBy(*SERIES, day.alias("Date"), F.hour("date_time").alias("Hour"))
-        .agg(F.avg("air_temp_set_1").alias("temp_avg"))
+        .agg(F.avg(number(F.col("air_temp_set_1"))).alias("temp_avg"))
     )
 
 

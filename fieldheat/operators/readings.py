@@ -66,6 +66,21 @@ def with_year(readings: DataFrame) -> DataFrame:
     return readings.withColumn("year", F.year("date_time"))
 
 
+def of_years(readings: DataFrame, years: DataFrame) -> DataFrame:
+    """Readings of the listed station-years (station_id, year) only.
+
+    The first and last year reach the scan as limits on the year column, by which readings are stored; the rest is a
+    semi-join, before anything is computed.
+    """
+    bounds = years.agg(F.min("year").alias("low"), F.max("year").alias("high"))
+    if "year" not in readings.columns:
+        readings = with_year(readings)
+    limited = readings.filter(
+        (F.col("year") >= bounds.select("low").scalar()) & (F.col("year") <= bounds.select("high").scalar())
+    )
+    return limited.join(years.select("station_id", "year").distinct(), ["station_id", "year"], "left_semi")
+
+
 def _at_or_after(day: Column) -> Column:
     return F.col("date_time") >= day.cast("timestamp")
 
@@ -79,14 +94,24 @@ def readings_by_plan(readings: DataFrame, plan: DataFrame) -> DataFrame:
 
     Ranges run from midnight to midnight, so of the last day only the midnight reading is inside.
     """
-    require_columns(readings, "station_id", "date_time")
-    ranges = plan.select(F.col("station_id").alias("planned_id"), "seeding_date", "harvest_date")
+    require_columns(readings, "station_id", "date_time", "year")
+    ranges = plan.filter("seeding_date <= harvest_date").select(
+        F.col("station_id").alias("planned_id"),
+        "seeding_date",
+        "harvest_date",
+        F.explode(F.sequence(F.year("seeding_date"), F.year("harvest_date"))).alias("planned_year"),
+    )
+    bounds = ranges.agg(F.min("planned_year").alias("low"), F.max("planned_year").alias("high"))
     inside = (
         (F.col("station_id") == F.col("planned_id"))
+        & (F.col("year") == F.col("planned_year"))
         & _at_or_after(F.col("seeding_date"))
         & _at_or_before(F.col("harvest_date"))
     )
-    return readings.join(ranges, inside, "left_semi")
+    limited = readings.filter(
+        (F.col("year") >= bounds.select("low").scalar()) & (F.col("year") <= bounds.select("high").scalar())
+    )
+    return limited.join(ranges, inside, "left_semi")
 
 
 def readings_all(
@@ -98,13 +123,15 @@ def readings_all(
     """Readings of all the fields' stations in one shared range.
 
     The range defaults to the earliest seeding and the latest harvest. Given dates reach the scan
-    as literals.
+    as literals. Either way the years of the range limit the year column, by which readings are stored.
     """
+    require_columns(readings, "station_id", "date_time", "year")
     stations = field_stations.select("station_id").distinct()
     bounds = field_stations.agg(F.min("seeding_date").alias("low"), F.max("harvest_date").alias("high"))
     low = F.lit(min_date) if min_date is not None else bounds.select("low").scalar()
     high = F.lit(max_date) if max_date is not None else bounds.select("high").scalar()
-    return readings.filter(_at_or_after(low) & _at_or_before(high)).join(stations, "station_id", "left_semi")
+    limited = readings.filter((F.col("year") >= F.year(low)) & (F.col("year") <= F.year(high)))
+    return limited.filter(_at_or_after(low) & _at_or_before(high)).join(stations, "station_id", "left_semi")
 
 
 def field_readings(field_stations: DataFrame, readings: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fieldheat.operators import degree_hours, fields, hourly, readings, seasons, stations, weather
 from fieldheat.plans import season_heat
-from fieldheat.plans.testmap import AS_OF, RADIUS_MILES, TestTables
+from fieldheat.plans.testmap import AS_OF, RADIUS_MILES, SINCE, TestTables
 from fieldheat.session import configure
 from fieldheat.sources import gdh_table
 from fieldheat.sources.staging import stage
@@ -69,8 +69,11 @@ class Tables(TestTables):
     def stations(self) -> DataFrame:
         return stations.active_stations(self.station_metadata(), self.field_master)
 
-    def nearest(self) -> DataFrame:
-        return stations.nearest_stations(self.field_seasons(), self.stations(), RADIUS_MILES)
+    def nearest(self, field: str | None = None) -> DataFrame:
+        wanted = self.field_seasons()
+        if field is not None:
+            wanted = wanted.filter(F.col("FIELD_ID") == field)
+        return stations.nearest_stations(wanted, self.stations(), RADIUS_MILES)
 
     @cached_property
     def field_stations(self) -> DataFrame:
@@ -207,6 +210,13 @@ def nearest_stations_wide(t: Tables) -> DataFrame:
     return found.withColumn("distance_m", F.round("distance_m", 3))
 
 
+@query
+def nearest_stations_descent(t: Tables) -> DataFrame:
+    """The same by the descent through smaller cells that crowded regions get, forced on this table."""
+    found = stations.nearest_stations(t.field_seasons(), t.stations(), 20, k=3, with_distance=True, levels=3)
+    return found.withColumn("distance_m", F.round("distance_m", 3))
+
+
 @query
 def date_windows(t: Tables) -> DataFrame:
     return readings.date_windows(t.plan(), days=5, as_of=AS_OF)
@@ -328,9 +338,33 @@ def gdh_hourly(t: Tables) -> DataFrame:
 
 @query
 def gdh_one_field(t: Tables) -> DataFrame:
-    """The report for one grower's field."""
-    data = degree_hours.gdh_input(t.field_weather(), t.windows(), t.thresholds())
-    return degree_hours.gdh_hourly(data, field="144")
+    """The report for one grower's field: only its own stations are searched and only their readings taken.
+
+    Which stations are active depends on the states of all fields, so those are still located.
+    """
+    chosen = stage(t.nearest(field="144"), "field_stations")
+    heat = season_heat.season_degree_hours(chosen, t.readings(), t.windows(), t.thresholds())
+    return heat.filter("FIELD_ID = '144'")
+
+
+@query
+def gdh_since(t: Tables) -> DataFrame:
+    """The increment: degree hours from one day on."""
+    return season_heat.season_degree_hours(
+        t.field_stations, t.readings(), t.windows(), t.thresholds(), since=SINCE
+    )
+
+
+@query
+def gdh_with_nan(t: Tables) -> DataFrame:
+    """Daily degree hours where every seventh station reports NaN instead of nothing."""
+    broken = F.when(
+        (F.col("air_temp_set_1") < 35) | (F.substring("station_id", 2, 9).cast("int") % 7 == 0), F.lit(float("nan"))
+    ).otherwise(F.col("air_temp_set_1"))
+    heat = season_heat.season_degree_hours(
+        t.field_stations, t.readings().withColumn("air_temp_set_1", broken), t.windows(), t.thresholds()
+    )
+    return heat
 
 
 @query
@@ -348,6 +382,13 @@ def gdh_push_rows(t: Tables) -> DataFrame:
     return gdh_table.rows_to_push(t.gdh())
 
 
+@query
+def gdh_pushed_twice(t: Tables) -> DataFrame:
+    """Rows that are left of two pushes of the same degree hours."""
+    rows = stage(gdh_table.rows_to_push(t.gdh()), "pushed")
+    return gdh_table.distinct_rows(rows.unionByName(rows))
+
+
 @query
 def gdh_dedup(t: Tables) -> DataFrame:
     return gdh_table.distinct_rows(t.loaded())

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import re
 
-from fieldheat.functions.geo import EARTH_RADIUS_M, METRES_PER_MILE
-from fieldheat.plans.testmap import AS_OF, CROPS, DATE_SHIFT_DAYS, RADIUS_MILES, outline_rows
+from fieldheat.plans.testmap import AS_OF, CROPS, DATE_SHIFT_DAYS, SINCE, outline_rows
 
 
 def _values(rows) -> str:
@@ -21,7 +20,7 @@ def _values(rows) -> str:
 
 def _metres(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return (
-        f"{2 * EARTH_RADIUS_M!r}::DOUBLE * asin(sqrt(least(1e0, "
+        f"2 * 6378137e0 * asin(sqrt(least(1e0, "
         f"pow(sin(radians({lat2} - {lat1}) / 2), 2) "
         f"+ cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
     )
@@ -39,7 +38,7 @@ def _nearest(radius_miles: float, k: int) -> str:
                          s.lat AS station_lat, s.lon AS station_lon,
                          {_metres('f.field_lat', 'f.field_lon', 's.lat', 's.lon')} AS distance_m
                   FROM field_seasons f JOIN stations s ON s.record_start < f.seeding_date)
-            WHERE distance_m <= {radius_miles} * {METRES_PER_MILE}::DOUBLE)
+            WHERE distance_m <= {radius_miles} * 1609.344e0)
         WHERE rnk <= {k}"""
 
 
@@ -188,7 +187,7 @@ STEPS: dict[str, str] = {
         WHERE s_suppkey % 10 <> 7 AND NOT s_acctbal < 0
           AND CASE s_nationkey % 4 WHEN 0 THEN 'ID' WHEN 1 THEN 'UT' WHEN 2 THEN 'AZ' ELSE 'NV' END
               IN (SELECT state FROM master)""",
-    "field_stations": _nearest(RADIUS_MILES, 5),
+    "field_stations": _nearest(8, 5),
     "plan": """
         SELECT station_id, CROP_SEASON, min(seeding_date) AS seeding_date, max(harvest_date) AS harvest_date
         FROM field_stations GROUP BY station_id, CROP_SEASON""",
@@ -316,6 +315,7 @@ FINAL: dict[str, str] = {
     "active_stations": f"""
         SELECT STID, {_rounded('ELEVATION', 'lat', 'lon')}, {_text('record_start', 'record_end')} FROM stations""",
     "nearest_stations": f"SELECT {_PAIRING} FROM field_stations",
+    "nearest_stations_descent": f"SELECT {_PAIRING}, round(distance_m, 3) AS distance_m FROM ({_nearest(20, 3)})",
     "nearest_stations_wide": f"SELECT {_PAIRING}, round(distance_m, 3) AS distance_m FROM ({_nearest(20, 3)})",
     "date_windows": f"""
         SELECT station_id, CROP_SEASON, {_text('seeding_date', 'harvest_date')}, CAST(starts AS VARCHAR) AS starts,
@@ -372,6 +372,8 @@ FINAL: dict[str, str] = {
         FROM heat_input""",
     "gdh_hourly": f"SELECT {_HEAT} FROM heat",
     "gdh_one_field": f"SELECT {_HEAT} FROM heat WHERE FIELD_ID = '144'",
+    "gdh_since": f"SELECT {_HEAT} FROM heat WHERE GDH_DATE >= DATE '{SINCE}'",
+    "gdh_with_nan": f"SELECT {_HEAT} FROM heat",
     "gdh_daily": f"""
         SELECT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, round(gdh_day, 6) AS gdh_day,
                hours, round(sum(gdh_day) OVER (PARTITION BY FIELD_ID, CROP_NAME, CROP_SEASON ORDER BY GDH_DATE
@@ -383,6 +385,11 @@ FINAL: dict[str, str] = {
                CAST(seeding_date AS VARCHAR) AS SEEDING_DATE, CAST(harvest_date AS VARCHAR) AS HARVEST_DATE,
                round(gdh, 6) AS GDH, Hour || '_' || FIELD_ID || '_' || GDH_DATE AS ID
         FROM heat""",
+    "gdh_pushed_twice": """
+        SELECT DISTINCT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, Hour AS HOUR,
+               CAST(seeding_date AS VARCHAR) AS SEEDING_DATE, CAST(harvest_date AS VARCHAR) AS HARVEST_DATE,
+               round(gdh, 6) AS GDH, Hour || '_' || FIELD_ID || '_' || GDH_DATE AS ID
+        FROM heat""",
     "gdh_dedup": "SELECT DISTINCT FIELD_ID, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE FROM loaded",
 }
 
@@ -402,10 +409,26 @@ def _needed(sql: str) -> list[str]:
     return found
 
 
+# Steps that a query sees otherwise: temperatures that a query's mapping turns into NaN are missing ones.
+CHANGED: dict[str, dict[str, str]] = {
+    "gdh_with_nan": {
+        "readings": """
+        SELECT station_id, date_time, year,
+               CASE WHEN air_temp_set_1 >= 35 AND CAST(substr(station_id, 2) AS INTEGER) % 7 <> 0 THEN air_temp_set_1 END
+                 AS air_temp_set_1
+        FROM (SELECT 'S' || user_id AS station_id, date_trunc('minute', ts) AS date_time,
+                     CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END AS air_temp_set_1,
+                     CAST(year(ts) AS INTEGER) AS year
+              FROM events)"""
+    }
+}
+
+
 def oracle_queries() -> dict[str, str]:
     statements = {}
     for name, sql in FINAL.items():
         steps = _needed(sql)
-        head = "WITH " + ", ".join(f"{step} AS MATERIALIZED ({STEPS[step]})" for step in steps) + " " if steps else ""
+        own = {**STEPS, **CHANGED.get(name, {})}
+        head = "WITH " + ", ".join(f"{step} AS MATERIALIZED ({own[step]})" for step in steps) + " " if steps else ""
         statements[name] = head + sql
     return statements

@@ -2,6 +2,7 @@
 
 Equal in result to chaining the operators of fieldheat.operators, arranged for large inputs:
 
+* Only readings of station-years that some field-season needs are read.
 * Readings are averaged per station and hour once, before they meet fields, with map-side combine.
 * A station-day then travels as one row with its (at most 24) hours inside.
 * Stations and fields meet per station-month; the fields of a busy station are split into shares.
@@ -13,19 +14,19 @@ Equal in result to chaining the operators of fieldheat.operators, arranged for l
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldheat.functions.heat import LAPSE_F_PER_1000_FT, lapse_shift
 from fieldheat.operators.degree_hours import gdh_hourly, gdh_input
 from fieldheat.operators.hourly import FIELD_SEASON, HOUR_KEY, SERIES
-from fieldheat.operators.readings import station_season_plan
+from fieldheat.operators.readings import of_years, station_season_plan
 from fieldheat.operators.weather import field_weather
-from fieldheat.schemas import require_columns
+from fieldheat.schemas import number, require_columns
 
 STATION_MONTH = ["station_id", "month"]
-BUSY_PARTS = 256
-BUSY_SHARES = 64
 
 
 def station_days(readings: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def station_days(readings: DataFrame) -> DataFrame:
     require_columns(readings, "station_id", "date_time", "air_temp_set_1")
     day = F.to_date("date_time")
     at_midnight = F.col("date_time") == day.cast("timestamp")
-    temp = F.col("air_temp_set_1")
+    temp = number(F.col("air_temp_set_1"))
     hours = readings.groupBy("station_id", day.alias("Date"), F.hour("date_time").alias("Hour")).agg(
         F.avg(temp).alias("temp_avg"),
         F.avg(F.when(at_midnight, temp)).alias("midnight_avg"),
@@ -120,14 +121,20 @@ def _field_months(field_stations: DataFrame, rate: float) -> DataFrame:
     )
 
 
-def _busy_stations(field_stations: DataFrame) -> DataFrame:
-    """Stations that each serve more than one part in BUSY_PARTS of all field-seasons.
+def _station_years(field_stations: DataFrame) -> DataFrame:
+    """The years in which stations serve a field-season: a season takes readings of its own calendar year."""
+    return field_stations.filter("seeding_date <= harvest_date").select("station_id", F.col("CROP_SEASON").alias("year"))
+
 
-    There are fewer than BUSY_PARTS of them whatever the data, so the table may be broadcast.
+def _busy_stations(field_stations: DataFrame, tasks: int) -> DataFrame:
+    """Stations that serve more field-seasons than one task's part of all of them, and their number of shares.
+
+    There are fewer of them than shuffle tasks, so the table may be broadcast.
     """
     served = field_stations.groupBy("station_id").count()
     total = field_stations.agg(F.count(F.lit(1))).scalar()
-    return served.filter(F.col("count") * BUSY_PARTS > total).select("station_id", F.lit(True).alias("busy"))
+    busy = served.filter(F.col("count") * tasks > total)
+    return busy.select("station_id", F.ceil(F.col("count") * tasks / total).cast("int").alias("shares"))
 
 
 def field_station_days(
@@ -135,18 +142,20 @@ def field_station_days(
 ) -> DataFrame:
     """Days of each field-season's stations with their hours, partitioned by field and season.
 
-    The days of the few busy stations are repeated for BUSY_SHARES shares of their fields, so that
+    The days of a busy station are repeated for as many shares of its fields as it fills shuffle tasks, so that
     no task meets all fields of one. Use a stored field_stations: it is read several times.
     """
-    busy = F.broadcast(_busy_stations(field_stations))
-    shares = F.when(F.col("busy"), F.sequence(F.lit(0), F.lit(BUSY_SHARES - 1))).otherwise(F.array(F.lit(0)))
+    tasks = int(field_stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    busy = F.broadcast(_busy_stations(field_stations, tasks))
+    share_list = F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)
+    needed = of_years(readings, _station_years(field_stations))
     days = (
-        _open_days(station_days(readings), field_stations)
+        _open_days(station_days(needed), field_stations)
         .join(busy, "station_id", "left")
-        .withColumn("share", F.explode(shares))
-        .drop("busy")
+        .withColumn("share", F.explode(share_list))
+        .drop("shares")
     )
-    own_share = F.when(F.col("busy"), F.pmod(F.xxhash64("FIELD_ID"), F.lit(BUSY_SHARES)).cast("int")).otherwise(0)
+    own_share = F.pmod(F.xxhash64("FIELD_ID"), F.coalesce("shares", F.lit(1))).cast("int")
     in_window = F.expr("exists(windows, w -> Date BETWEEN w.low AND w.high)")
     return (
         _field_months(field_stations, rate)
@@ -284,8 +293,25 @@ def season_degree_hours(
     x: str = "position",
     rate: float = LAPSE_F_PER_1000_FT,
     temp_col: str = "temp_combined_avg",
+    since: date | None = None,
 ) -> DataFrame:
-    """Degree hours per field, crop and hour, from the chosen stations and their readings."""
+    """Degree hours per field, crop and hour, from the chosen stations and their readings.
+
+    With `since`, the rows of the full result from that day on. Gaps are filled along whole seasons, so the
+    field-seasons that are open that day or later are computed from all their readings; those of other
+    station-years are not read.
+    """
+    if since is not None:
+        field_stations = open_field_seasons(field_stations, since)
     adjusted = filled_hours(field_station_days(field_stations, readings, rate), x=x)
     weather = field_weather(adjusted, keys=(*FIELD_SEASON, "Date", "Hour"))
+    if since is not None:
+        weather = weather.filter(F.col("Date") >= F.lit(since))
     return gdh_hourly(gdh_input(weather, seasons, thresholds), temp_col=temp_col)
+
+
+def open_field_seasons(field_stations: DataFrame, since: date) -> DataFrame:
+    """All rows of the field-seasons of which some crop's window reaches a day or goes beyond it."""
+    last = F.least("harvest_date", F.make_date("CROP_SEASON", F.lit(12), F.lit(31)))
+    still_open = field_stations.filter(last >= F.lit(since)).select(*FIELD_SEASON).distinct()
+    return field_stations.join(still_open, FIELD_SEASON, "left_semi")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = date(2024, 7, 1)
+SINCE = date(2024, 1, 20)
 RADIUS_MILES = 8
 DATE_SHIFT_DAYS = 8401  # orders of 1995 to 2001 become seasons 2018 to 2024
 

@@ -14,20 +14,27 @@ from fieldheat.operators.readings import timeseries_readings
 from fieldheat.schemas import STATION_TIMESERIES
 
 
-def stream_timeseries(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Readings of a folder of responses, as a stream."""
-    reader = spark.readStream.schema(STATION_TIMESERIES).option("multiLine", True)
+def stream_timeseries(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, lines: bool = False
+) -> DataFrame:
+    """Readings of a folder of responses, as a stream. With `lines`, responses are one to a line and files are split."""
+    reader = spark.readStream.schema(STATION_TIMESERIES).option("multiLine", not lines)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return timeseries_readings(reader.json(path))
 
 
 def load_landed(
-    spark: SparkSession, path: str, table_path: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    table_path: str,
+    checkpoint: str,
+    files_per_batch: int | None = None,
+    lines: bool = False,
 ) -> StreamingQuery:
     """Append everything landed so far to a Parquet table by year, then stop."""
     return (
-        stream_timeseries(spark, path, files_per_batch)
+        stream_timeseries(spark, path, files_per_batch, lines)
         .writeStream.format("parquet")
         .partitionBy("year")
         .option("checkpointLocation", checkpoint)
