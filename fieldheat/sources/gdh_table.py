@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -37,7 +39,10 @@ def rows_to_push(gdh: DataFrame, key: str = "as_is") -> DataFrame:
 
 
 def push(gdh: DataFrame, table: str, key: str = "as_is", partition_by: Sequence[str] = ()) -> None:
-    """Append by column name; the first push creates the table, partitioned if asked."""
+    """Append by column name; the first push creates the table, partitioned if asked.
+
+    Not to be run beside a removal of duplicates, which it would take for a dead one.
+    """
     spark = gdh.sparkSession
     recover(spark, table)
     partitions = _partition_columns(spark, table) if spark.catalog.tableExists(table) else list(partition_by)
@@ -48,15 +53,40 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def _staging(table: str) -> tuple[str, str]:
-    return f"{table}__distinct", f"{table}__replaced"
+# Marks on a copy, as table properties: the table's files when the copy was taken, set once it is complete, and that
+# the table is being overwritten from it.
+COPY_OF, OVERWRITING = "fieldheat.copy_of", "fieldheat.overwriting"
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
+def _beside(spark: SparkSession, table: str, kind: str) -> list[str]:
+    """Tables beside a table that removals of duplicates have left, by kind: 'distinct' or 'replaced'."""
+    database, _, name = table.rpartition(".")
+    prefix = f"{name}__{kind}_".lower()
+    listed = spark.catalog.listTables(database) if database else spark.catalog.listTables()
+    names = [t.name for t in listed if t.name.lower().startswith(prefix)]
+    return [f"{database}.{n}" if database else n for n in names]
+
+
+def _files(spark: SparkSession, table: str) -> str:
+    """What identifies the contents of a table of plain files: a digest of their sorted paths."""
+    spark.catalog.refreshTable(table)
+    return hashlib.sha256("\n".join(sorted(spark.table(table).inputFiles())).encode()).hexdigest()
+
+
+def _mark(spark: SparkSession, table: str, name: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{value}')")
+
+
+def _marks(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def _overwrite(spark: SparkSession, table: str, fresh: str) -> None:
+    _mark(spark, fresh, OVERWRITING, "true")
     spark.table(fresh).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     spark.sql(f"DROP TABLE {fresh}")
 
@@ -64,33 +94,46 @@ def _overwrite(spark: SparkSession, table: str, fresh: str) -> None:
 def recover(spark: SparkSession, table: str) -> None:
     """Settle a removal of duplicates that died halfway; harmless otherwise.
 
-    A finished copy beside a partitioned table is put into it again, since the table may be half
-    written; beside a plain table it is dropped, or takes the name if the table has lost it.
+    A copy is put into its table again only if it is marked as being written there, since the table may be half
+    written then. Any other copy is dropped: its table is whole, with whatever was added since. If the table
+    has lost its name, the replaced table gets it back, or else the complete copy takes it.
     """
-    fresh, old = _staging(table)
-    exists = spark.catalog.tableExists
-    if exists(fresh):
-        if not exists(table):
-            spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-        elif _partition_columns(spark, table):
-            _overwrite(spark, table, fresh)
+    copies, replaced = _beside(spark, table, "distinct"), _beside(spark, table, "replaced")
+    if not spark.catalog.tableExists(table):
+        complete = [c for c in copies if COPY_OF in _marks(spark, c)]
+        for name in [*replaced, *complete][:1]:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
+            copies, replaced = [c for c in copies if c != name], [r for r in replaced if r != name]
+    for name in copies:
+        if OVERWRITING in _marks(spark, name):
+            _overwrite(spark, table, name)
         else:
-            spark.sql(f"DROP TABLE {fresh}")
-    if exists(old):
-        spark.sql(f"DROP TABLE {old}" if exists(table) else f"ALTER TABLE {old} RENAME TO {table}")
+            spark.sql(f"DROP TABLE {name}")
+    for name in replaced:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def remove_duplicates(spark: SparkSession, table: str) -> None:
     """Replace a table by its distinct rows, by way of a copy beside it.
 
-    A plain table and its copy swap names. Renaming does not carry partitions along on every
-    catalog, so a partitioned table is overwritten from the copy. Either way the copy stays until
-    the table is whole, and recover() settles a run that died in between. A table format with
-    transactions would do this in one commit.
+    A plain table and its copy swap names. Renaming does not carry partitions along on every catalog, so a partitioned
+    table is overwritten from the copy. Either way recover() settles a run that died in between. Each attempt has
+    a name of its own, so what a dead one left is never in the way. If rows were added while the copy was taken, it
+    is dropped and taken again.
+
+    One writer at a time: nothing may be added between the last look at the table's files and the swap or
+    overwriting. A table format with transactions would do all this in one commit.
     """
     recover(spark, table)
-    fresh, old = _staging(table)
-    distinct_rows(spark.table(table)).write.saveAsTable(fresh)
+    while True:
+        attempt = uuid.uuid4().hex[:12]
+        fresh, old = f"{table}__distinct_{attempt}", f"{table}__replaced_{attempt}"
+        before = _files(spark, table)
+        distinct_rows(spark.table(table)).write.saveAsTable(fresh)
+        _mark(spark, fresh, COPY_OF, before)
+        if _files(spark, table) == before:
+            break
+        spark.sql(f"DROP TABLE {fresh}")
     if _partition_columns(spark, table):
         _overwrite(spark, table, fresh)
         return
@@ -99,6 +142,18 @@ def remove_duplicates(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE {old}")
 
 
+def replace_hours(gdh: DataFrame, table: str, key: Sequence[str] = ("FIELD_ID", "CROP_NAME", "GDH_DATE", "HOUR")) -> DataFrame:
+    """A table's rows without those that recomputed rows replace, with these; to be written as a new table.
+
+    Pushing and removing exact duplicates keeps both an old row and a recomputed one that differ, as after a gap at
+    the season's edge was filled or the harvest date moved.
+    """
+    fresh = rows_to_push(gdh)
+    kept = gdh.sparkSession.table(table)
+    same = [kept[k].eqNullSafe(fresh[k]) for k in key]
+    return kept.join(fresh, same, "left_anti").unionByName(fresh)
+
+
 def write_csv(gdh: DataFrame, folder: str, as_of: date) -> str:
     """Write degree hours as CSV files with a header under a folder named by day; returns its path."""
     path = f"{folder.rstrip('/')}/GDH-{as_of.isoformat()}"

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldheat.schemas import GDH
 from fieldheat.sources import gdh_table
@@ -20,8 +21,9 @@ def gdh(table):
 @pytest.fixture
 def name(spark):
     yield "gdh_under_test"
-    for suffix in ("", "__distinct", "__replaced"):
-        spark.sql(f"DROP TABLE IF EXISTS gdh_under_test{suffix}")
+    for found in spark.catalog.listTables():
+        if found.name.startswith("gdh_under_test"):
+            spark.sql(f"DROP TABLE IF EXISTS {found.name}")
 
 
 def test_row_key(gdh, table):
@@ -50,23 +52,98 @@ def test_pushing_twice_and_removing_duplicates_is_pushing_once(spark, gdh, name,
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == partitions
 
 
+class Died(Exception):
+    pass
+
+
+def die_at(monkeypatch, spark, statement):
+    """Let remove_duplicates die just before the first SQL statement that holds a text."""
+    plain = type(spark).sql
+
+    def sql(self, query, *args, **kwargs):
+        if statement in query:
+            raise Died
+        return plain(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+
+
 @pytest.mark.parametrize("partitions", [[], ["CROP_SEASON"]])
-@pytest.mark.parametrize("renames", [0, 1, 2])
-def test_recovery_of_an_interrupted_removal(spark, gdh, name, renames, partitions):
+@pytest.mark.parametrize("statement", ["fieldheat.copy_of", "fieldheat.overwriting", "RENAME TO", "__distinct_", "DROP TABLE"])
+def test_recovery_of_an_interrupted_removal(spark, gdh, name, partitions, statement, monkeypatch):
+    """Rows added after the death are kept, whatever the removal had done by then."""
     gdh_table.push(gdh, name, partition_by=partitions)
     once = contents(spark, name)
-    spark.table(name).distinct().write.saveAsTable(name + "__distinct")
-    if partitions:
-        spark.sql(f"TRUNCATE TABLE {name}")
-    elif renames >= 1:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__replaced")
-        if renames == 2:
-            spark.sql(f"ALTER TABLE {name}__distinct RENAME TO {name}")
-    gdh_table.recover(spark, name)
+    gdh_table.push(gdh, name)
+    with monkeypatch.context() as patch:
+        die_at(patch, spark, statement)
+        try:
+            gdh_table.remove_duplicates(spark, name)
+        except Died:
+            pass
+    gdh_table.push(gdh.limit(1), name)
+    assert sorted(set(contents(spark, name))) == once
+    assert spark.table(name).count() in (4, 7)
+    gdh_table.remove_duplicates(spark, name)
     assert contents(spark, name) == once
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
 
 
+def test_a_half_written_table_is_filled_from_its_copy(spark, gdh, name):
+    gdh_table.push(gdh, name, partition_by=["CROP_SEASON"])
+    once = contents(spark, name)
+    copy = f"{name}__distinct_x"
+    spark.table(name).write.saveAsTable(copy)
+    gdh_table._mark(spark, copy, gdh_table.COPY_OF, "")
+    gdh_table._mark(spark, copy, gdh_table.OVERWRITING, "true")
+    spark.sql(f"TRUNCATE TABLE {name}")
+    gdh_table.recover(spark, name)
+    assert contents(spark, name) == once
+
+
+def test_rows_appended_beside_a_finished_copy_are_kept(spark, gdh, name):
+    gdh_table.push(gdh.limit(1), name, partition_by=["CROP_SEASON"])
+    spark.table(name).write.saveAsTable(f"{name}__distinct_x")
+    gdh_table._mark(spark, f"{name}__distinct_x", gdh_table.COPY_OF, "")
+    rows = gdh_table.rows_to_push(gdh.filter("CROP_SEASON = 2021"))
+    rows.write.mode("append").partitionBy("CROP_SEASON").saveAsTable(name)
+    gdh_table.recover(spark, name)
+    assert spark.table(name).count() == 2
+
+
+def test_a_copy_that_died_being_written_is_not_in_the_way(spark, gdh, name, tmp_path):
+    from pathlib import Path
+
+    gdh_table.push(gdh, name)
+    gdh_table.push(gdh, name)
+    left = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")) / f"{name}__distinct" / "_temporary"
+    left.mkdir(parents=True)
+    gdh_table.remove_duplicates(spark, name)
+    assert spark.table(name).count() == 3
+
+
+def test_rows_added_while_copying_are_not_lost(spark, gdh, name, monkeypatch):
+    gdh_table.push(gdh, name)
+    added = []
+
+    def distinct(df):
+        if not added:
+            added.append(True)
+            gdh_table.rows_to_push(gdh.withColumn("CROP_NAME", F.lit("oats"))).write.mode("append").saveAsTable(name)
+        return df.distinct()
+
+    monkeypatch.setattr(gdh_table, "distinct_rows", distinct)
+    gdh_table.remove_duplicates(spark, name)
+    assert spark.table(name).count() == 6
+
+
+def test_recomputed_hours_replace_old_ones(spark, gdh, name):
+    gdh_table.push(gdh, name)
+    newer = gdh.filter("CROP_NAME = 'corn'").withColumn("gdh", F.lit(1.0))
+    found = gdh_table.replace_hours(newer, name)
+    assert sorted(r.GDH for r in found.collect()) == [1.0, 1.0, 10.0]
+
+
 def test_high_water_mark(gdh, table):
     assert gdh_table.latest_date(gdh).first().GDH_DATE == date(2022, 5, 1)
     assert gdh_table.latest_date(table([], GDH)).collect()[0].GDH_DATE is None
