@@ -7,7 +7,8 @@ from datetime import date, datetime
 
 import pytest
 
-from fieldheat.operators import fields, readings, seasons, stations
+from fieldheat.operators import fields, hourly, readings, seasons, stations
+from fieldheat.plans import season_heat
 from fieldheat.plans.season_heat import season_degree_hours
 from fieldheat.schemas import (
     BOUNDARIES,
@@ -95,7 +96,7 @@ def test_date_limits_reach_the_scan(stored):
     (scan,) = [p for p in plan(chosen).split("\n\n") if "Scan parquet" in p and "date_time" in p]
     assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(date_time", scan)
     assert re.search(r"PushedFilters: .*LessThanOrEqual\(date_time", scan)
-    assert "year" not in re.search(r"ReadSchema: (.*)", scan).group(1)
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(year,2022\), LessThanOrEqual\(year,2022", scan)
 
 
 def test_season_windows_need_no_window(stored):
@@ -122,3 +123,97 @@ def test_a_reading_in_two_ranges_of_a_busy_station_is_not_repeated(table):
     rows = [("S", datetime(2022, 1, d), 1.0, 2022) for d in range(1, 20)]
     ranges = [("F", 2022, "c", "S", date(2022, 1, 1), date(2022, 1, 30), 0.0, 0.0)] * 50
     assert readings.readings_by_plan(table(rows, READINGS), table(ranges, PAIRS)).count() == 19
+
+
+@pytest.fixture
+def by_year(table, spark, tmp_path):
+    """Readings stored by year, as the loader writes them."""
+    rows = [("S", datetime(y, 6, d, 1), 50.0 + d, y) for y in (2020, 2021, 2022) for d in range(1, 9)]
+    table(rows, READINGS).write.partitionBy("year").parquet(str(tmp_path / "by_year"))
+    return spark.read.parquet(str(tmp_path / "by_year"))
+
+
+CHOSEN = [("F", 2021, "c", "S", date(2021, 6, 2), date(2021, 6, 5), 0.0, 0.0)]
+
+
+def scan_of_readings(text):
+    (scan,) = [p for p in text.split("\n\n") if "Scan parquet" in p and "by_year" in p]
+    return scan
+
+
+def test_other_years_and_stations_are_not_aggregated(by_year, stored):
+    pairs = stored("pairs", PAIRS, CHOSEN)
+    text = plan(season_degree_hours(pairs, by_year, pairs, stored("crops", CROP_THRESHOLDS)))
+    assert re.search(r"PartitionFilters: .*year#\d+ >= Subquery.*year#\d+ <= Subquery", scan_of_readings(text))
+    tree = text[text.index("== Physical Plan ==") : text.index("\n\n\n")].splitlines()
+    scan = next(n for n, line in enumerate(tree) if "Scan parquet" in line and f"({re.search(r'[(]([0-9]+)[)]', scan_of_readings(text)).group(1)})" in line)
+    above = [line for line in tree[:scan]][::-1]
+    depth = tree[scan].index("Scan")
+    ancestors = []
+    for line in above:
+        at = re.search(r"[A-Z]", line)
+        if at and at.start() < depth:
+            ancestors.append(line[at.start() :])
+            depth = at.start()
+    joins = [n for n, line in enumerate(ancestors) if "Join" in line]
+    sums = [n for n, line in enumerate(ancestors) if "Aggregate" in line]
+    assert joins[0] < sums[0] and "LeftSemi" in text
+
+
+@pytest.mark.parametrize("given", [(None, None), (date(2021, 6, 1), date(2021, 6, 4))])
+def test_years_limit_what_is_read(by_year, stored, given):
+    pairs = stored("pairs", PAIRS, CHOSEN)
+    for chosen, rows in (
+        (readings.readings_by_plan(by_year, readings.station_season_plan(pairs)), 3),
+        (readings.readings_all(by_year, pairs, *given), 3),
+    ):
+        assert re.search(r"PartitionFilters: \[.*year#\d+ [<>]=", scan_of_readings(plan(chosen)))
+        assert chosen.count() == rows
+
+
+def test_an_increment_is_the_end_of_the_full_run(table, by_year):
+    pairs = table(
+        [
+            ("F", 2021, "c", "S", date(2021, 6, 1), date(2021, 6, 8), 0.0, 0.0),
+            ("F", 2021, "d", "S", date(2021, 6, 1), date(2021, 6, 3), 0.0, 0.0),
+            ("G", 2020, "c", "S", date(2020, 6, 1), date(2020, 6, 8), 0.0, 0.0),
+        ],
+        PAIRS,
+    )
+    crops = table([("c", 40.0, 86.0), ("d", 40.0, 86.0)], CROP_THRESHOLDS)
+    full = season_degree_hours(pairs, by_year, pairs, crops)
+    since = season_degree_hours(pairs, by_year, pairs, crops, since=date(2021, 6, 3))
+    expected = sorted(map(str, full.filter("GDH_DATE >= '2021-06-03'").collect()))
+    assert expected and sorted(map(str, since.collect())) == expected
+
+
+def test_nan_readings_are_missing_ones(table):
+    day = date(2021, 6, 1)
+    rows = [("S", datetime(2021, 6, 1, h), t, 2021) for h, t in ((1, 10.0), (2, float("nan")), (3, 30.0))]
+    pairs = table([("F", 2021, "c", "S", day, date(2021, 6, 2), 0.0, 0.0)], PAIRS)
+    found = season_heat.field_station_hours(pairs, table(rows, READINGS)).orderBy("Hour").collect()
+    assert [r.temp_avg for r in found] == [10.0, 20.0, 30.0]
+    joined = readings.field_readings(pairs, table(rows, READINGS))
+    assert [r.temp_avg for r in hourly.hourly_mean(joined).orderBy("Hour").collect()] == [10.0, None, 30.0]
+
+
+def test_nan_elevations_are_missing_ones(table):
+    points = table([("A", 42.05, -112.95), ("B", 42.05, -112.95)], "FIELD_ID STRING, lat DOUBLE, lon DOUBLE")
+    grid = table([(420, -1130, float("nan")), (420, -1130, 5000.0)], ELEVATION_GRID)
+    cache = table([("A", float("nan")), ("B", 4000.0)], "FIELD_ID STRING, ELEVATION DOUBLE")
+    found = {r.FIELD_ID: r.ELEVATION for r in fields.with_elevation(points, grid, cache).collect()}
+    assert found == {"A": 5000.0, "B": 4000.0}
+    delta = fields.elevation_cache_delta(points, grid, cache).collect()
+    assert [(r.FIELD_ID, r.ELEVATION) for r in delta] == [("A", 5000.0)]
+
+
+@pytest.mark.parametrize("partitions", ["2", "64"])
+def test_shares_follow_the_cluster_and_change_no_row(spark, table, partitions):
+    rows = [("S", datetime(2021, 6, d, h), float(d + h), 2021) for d in range(1, 5) for h in (0, 5)]
+    chosen = [(f"F{n}", 2021, "c", "S", date(2021, 6, 1), date(2021, 6, 5), 0.0, 0.0) for n in range(40)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = season_heat.field_station_hours(table(chosen, PAIRS), table(rows, READINGS)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(found) == 40 * 8 and {r.temp_avg - r.Date.day - r.Hour for r in found} == {0.0}
