@@ -1,0 +1,93 @@
+"""Pipeline stages against brute force, and the contract's queries."""
+
+import random
+from collections import defaultdict
+
+import pytest
+
+import __spark_entry__ as contract
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Small tables with planted cases."""
+    rng = random.Random(11)
+    words = [f"v{n}" for n in range(500)]
+
+    def prose(n):
+        return " ".join(rng.choices(words, k=n))
+
+    docs, labels = [], []
+    for n in range(400):
+        text = prose(rng.randint(20, 80))
+        toxic = n % 8 == 1
+        if toxic:
+            text += rng.choice([" you idiot", " moron scum", " what trash"])
+        docs.append((n, text))
+        labels.append((n, 1, int(toxic)))
+    docs += [(500 + n, docs[10][1]) for n in range(5)]  # copies
+    docs += [(600 + n, f"All rights reserved\n{prose(30)}\n ALL rights Reserved ") for n in range(12)]
+    item = prose(25)
+    docs += [(700, f"{prose(20)} {item} {prose(9)}"), (701, None), (702, None), (None, prose(30)), (12, docs[12][1])]
+    out = tmp_path_factory.mktemp("tables")
+    rows = [(i, t, "en", "s", 3, 9) for i, t in docs]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, r1 long"
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{out}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    return str(out)
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "line_dedup", "simhash", "decontamination", "packing"]
+
+    clean = stages["toxicity"](spark, docs, folder)
+    assert clean.columns == columns
+    kept = {r.doc_id for r in clean.collect()}
+    assert {n for n in range(400) if n % 8 == 1} & kept == set()
+    assert rows_of(clean) == rows_of(docs.where("doc_id is null or doc_id >= 400 or doc_id % 8 <> 1"))
+
+    lines = stages["line_dedup"](spark, clean, folder)
+    assert lines.columns == columns and lines.count() == clean.count()
+    changed = {r.doc_id: r.text for r in lines.where("doc_id between 600 and 611").collect()}
+    assert len(changed) == 12 and not any("ights" in t or "\n" in t for t in changed.values())
+    same = "doc_id is null or not doc_id between 600 and 611"
+    assert rows_of(lines.where(same)) == rows_of(clean.where(same))
+
+    single = stages["simhash"](spark, lines, folder)
+    assert single.columns == columns
+    assert sorted(str(r.doc_id) for r in single.where("text is null").collect()) == ["701"]
+    ids = [r.doc_id for r in single.collect()]
+    assert ids.count(10) == 1 and ids.count(12) == 1 and not {500, 501, 502, 503, 504} & set(ids) and ids.count(None) == 1
+    assert len(ids) == lines.count() - 7
+
+    safe = stages["decontamination"](spark, single, folder)
+    assert rows_of(safe) == rows_of(single.where("doc_id is null or doc_id <> 700"))
+
+    packed = stages["packing"](spark, safe, folder)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in safe.collect()}
+
+
+def test_run(spark, folder):
+    found = corpus_pipeline.run(spark, folder)
+    pieces = defaultdict(list)
+    for r in found.collect():
+        pieces[r.doc_id].append(r)
+    assert 700 not in pieces and 501 not in pieces and 10 in pieces and 600 in pieces and 1 not in pieces
+    assert all(sum(r.length for r in own) == own[0].doc_tokens for own in pieces.values())
+
+
+def test_registered_queries():
+    names = contract.queries()
+    assert "pipeline" in names
+    for n in range(1, 11):
+        assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
