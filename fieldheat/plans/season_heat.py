@@ -191,34 +191,28 @@ def _spread(days: DataFrame) -> DataFrame:
     day.
     """
     by_day = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date{})"
-    # Ordered like by_day although the order does not matter, so that one sort serves both.
-    whole = (
-        "OVER (PARTITION BY FIELD_ID, CROP_SEASON ORDER BY station_id, Date"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    )
+    in_season = "OVER (PARTITION BY FIELD_ID, CROP_SEASON ORDER BY Date{})"
+    # Ordered like in_season although the order matters for the dates only, so that one sort serves both.
+    whole = in_season.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
     rank_of = "bit_count(season_bits & (shiftleft(1, {0}) - 1))"
 
     first_known = F.expr(
-        "if(size(known) > 0, struct(Date, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)"
+        "if(size(known) > 0, struct(Date, day_no, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)"
     )
     placed = (
-        days.withColumn("first_known", first_known)
+        days.withColumn("day_no", F.expr(f"dense_rank() {in_season.format('')} - 1"))
+        .withColumn("new_date", F.expr(f"if(lag(Date) {in_season.format('')} <=> Date, NULL, Date)"))
+        .withColumn("dates", F.expr(f"collect_list(new_date) {whole}"))
+        .withColumn("season_bits", F.expr(f"bit_or(hour_bits) {whole}"))
+        .withColumn("first_known", first_known)
         .withColumn("later", F.expr(f"lead(first_known) IGNORE NULLS {by_day.format('')}"))
         .withColumn("days_before", F.expr(f"row_number() {by_day.format('')} - 1"))
         .withColumn("known_days", F.expr(f"count(first_known) {by_day.format(' ROWS UNBOUNDED PRECEDING')}"))
-        .withColumn("dates", F.expr(f"collect_set(Date) {whole}"))
-        .withColumn("season_bits", F.expr(f"bit_or(hour_bits) {whole}"))
         .filter("size(known) > 0 OR (days_before = 0 AND later IS NULL)")
-        .withColumn("dates", F.sort_array("dates"))
         .withColumn("per_day", F.expr("bit_count(season_bits)"))
         .withColumn("hours_seen", F.expr("filter(sequence(0, 23), h -> (season_bits & shiftleft(1, h)) <> 0)"))
-        .withColumn("day_at", F.expr("CAST(array_position(dates, Date) - 1 AS INT) * per_day"))
-        .withColumn(
-            "later_at",
-            F.expr(
-                "CAST(array_position(dates, later.Date) - 1 AS INT) * per_day + " + rank_of.format("later.Hour")
-            ),
-        )
+        .withColumn("day_at", F.expr("day_no * per_day"))
+        .withColumn("later_at", F.expr("later.day_no * per_day + " + rank_of.format("later.Hour")))
     )
     # Hours of the day with the next known hour, which may lie on a later day.
     hours = placed.select(
