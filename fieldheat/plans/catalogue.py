@@ -232,6 +232,12 @@ def timeseries_readings(t: Tables) -> DataFrame:
     return readings.timeseries_readings(t.timeseries())
 
 
+@query
+def timeseries_pages(t: Tables) -> DataFrame:
+    """Responses with several readings, uneven arrays and times that cannot be parsed."""
+    return readings.timeseries_readings(t.timeseries_pages())
+
+
 @query
 def readings_by_plan(t: Tables) -> DataFrame:
     return t.planned_readings()
@@ -357,14 +363,12 @@ def gdh_since(t: Tables) -> DataFrame:
 
 @query
 def gdh_with_nan(t: Tables) -> DataFrame:
-    """Daily degree hours where every seventh station reports NaN instead of nothing."""
+    """Degree hours where every seventh station, and every cold reading, is NaN instead of NULL."""
     broken = F.when(
         (F.col("air_temp_set_1") < 35) | (F.substring("station_id", 2, 9).cast("int") % 7 == 0), F.lit(float("nan"))
     ).otherwise(F.col("air_temp_set_1"))
-    heat = season_heat.season_degree_hours(
-        t.field_stations, t.readings().withColumn("air_temp_set_1", broken), t.windows(), t.thresholds()
-    )
-    return heat
+    readings_with_nan = t.readings().withColumn("air_temp_set_1", broken)
+    return season_heat.season_degree_hours(t.field_stations, readings_with_nan, t.windows(), t.thresholds())
 
 
 @query

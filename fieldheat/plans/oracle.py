@@ -331,6 +331,14 @@ FINAL: dict[str, str] = {
                round(CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END, 6) AS air_temp_set_1,
                CAST(year(ts) AS INTEGER) AS year
         FROM events""",
+    "timeseries_pages": """
+        SELECT 'S' || user_id AS station_id, CASE WHEN readable THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS date_time,
+               CASE WHEN later > 0 AND event_type <> 'error' THEN round(30 + 4e0 * sqrt(value), 6) END AS air_temp_set_1,
+               CASE WHEN readable THEN CAST(year(ts) AS INTEGER) END AS year
+        FROM (SELECT *, event_id % 17 <> 0 AS readable,
+                     count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
+                                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later
+              FROM events)""",
     "readings_by_plan": f"SELECT {_READING}, year FROM planned",
     "readings_all": f"""
         SELECT {_READING}, year FROM readings

@@ -161,6 +161,24 @@ class TestTables:
             )) AS STATION"""
         )
 
+    def timeseries_pages(self) -> DataFrame:
+        """A response per station and day. Each lacks its last temperature, and some times cannot be parsed."""
+        time = "CASE WHEN event_id % 17 = 0 THEN 'n/a' ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END"
+        reading = f"struct(event_id, {time} AS time, CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END AS temp)"
+        pages = (
+            self._table("events")
+            .groupBy("user_id", F.to_date("ts").alias("day"))
+            .agg(F.sort_array(F.collect_list(F.expr(reading))).alias("page"))
+        )
+        return pages.selectExpr(
+            """array(named_struct(
+                'STID', concat('S', user_id),
+                'OBSERVATIONS', named_struct(
+                    'date_time', page.time,
+                    'air_temp_set_1', slice(page.temp, 1, size(page) - 1))
+            )) AS STATION"""
+        )
+
     def readings(self) -> DataFrame:
         """Readings as a landed table; seconds are dropped so that some fall exactly on midnight."""
         return self._table("events").selectExpr(
