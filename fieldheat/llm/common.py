@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,10 @@ from pyspark.sql import functions as F
 
 from fieldheat.sources.staging import stage
 
-__all__ = ["WordHashes", "arrow_map", "load", "mix", "row_key", "runs", "stage", "text_bytes"]
+__all__ = ["WordHashes", "arrow_map", "load", "mix", "row_key", "runs", "safe_pieces", "stage", "text_bytes"]
+
+WHITE = re.compile(rb"[\x09-\x0d\x20]")
+PIECE_BYTES = 1 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,6 +39,18 @@ def row_key(*columns: str) -> list[Column]:
     ]
 
 
+def safe_pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
+    """A text in pieces of about a limit, each cut before a white-space byte. A word is never cut."""
+    begin = 0
+    while len(text) - begin > limit:
+        space = WHITE.search(text, begin + limit)
+        if not space:
+            break
+        yield text[begin : space.start()]
+        begin = space.start()
+    yield text[begin:] if begin else text
+
+
 def arrow_map(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:

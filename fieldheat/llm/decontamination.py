@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, stage, text_bytes
+from fieldheat.llm.common import arrow_map, safe_pieces, stage, text_bytes
 
 # Words are runs of 0-9, a-z (A-Z lower-cased) and bytes from 0x80; all else separates them.
 KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -22,6 +22,25 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def search(engines: list["WuManber"], text: bytes) -> tuple[int, list[tuple[int, int]], set]:
+    """Words of a text, hit stretches (they may overlap) and items found.
+
+    A long text is searched in pieces, with the last words of one in front of the next.
+    """
+    overlap = max((e.length for e in engines), default=1) - 1
+    words: list[bytes] = []
+    before, hits, items = 0, [], set()
+    for piece in safe_pieces(text.translate(WORD_BYTES)):
+        words += piece.split()
+        for engine in engines:
+            for begin, own in engine.search(words):
+                hits.append((before + begin, before + begin + engine.length))
+                items |= own
+        gone = max(0, len(words) - overlap)
+        before, words = before + gone, words[gone:]
+    return before + len(words), hits, items
+
+
 class WuManber:
     """Patterns of one length, in words, with blocks of BLOCK words as the shift table's keys."""
 
@@ -125,14 +144,10 @@ def _search(found: DataFrame, items: list[tuple[int | None, bytes]], window: int
             n_words, spans, names = [], [], []
             earlier = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
             for text, (old_spans, old_items) in zip(batch.column("text").to_pylist(), earlier):
-                words = words_of(text)
-                here = list(zip(old_spans[::2], old_spans[1::2]))
-                listed = set(old_items)
-                for engine in engines:
-                    for begin, own in engine.search(words):
-                        here.append((begin, begin + engine.length))
-                        listed |= own
-                n_words.append(len(words))
+                n, here, listed = search(engines, text)
+                here += zip(old_spans[::2], old_spans[1::2])
+                listed.update(old_items)
+                n_words.append(n)
                 spans.append(merged(here) if here else here)
                 names.append(sorted(listed - {None}) if listed else [])
             yield {

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, runs, stage, text_bytes
+from fieldheat.llm.common import arrow_map, runs, safe_pieces, stage, text_bytes
 
 VOCABULARY = 65_000
 UNKNOWN, BOUNDARY, FIRST = 0, 1, 2
@@ -29,8 +29,10 @@ def squeezed(*arrays: np.ndarray) -> bytes:
     return zstandard.compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def words_of(text: bytes) -> Iterator[list[bytes]]:
+    """Words of a text, piece by piece."""
+    for piece in safe_pieces(text.lower()):
+        yield piece.split()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -40,10 +42,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
         held: Counter = Counter()
         for batch in stream:
             for text in batch.column("text").to_pylist():
-                held.update(words_of(text))
-                if len(held) > WORDS_AT_ONCE:
-                    yield columns(held)
-                    held = Counter()
+                for words in words_of(text):
+                    held.update(words)
+                    if len(held) > WORDS_AT_ONCE:
+                        yield columns(held)
+                        held = Counter()
         yield columns(held)
 
     def columns(held: Counter) -> dict:
@@ -89,8 +92,8 @@ def token_rows(docs: DataFrame, words: np.ndarray, id_col: str, text_col: str) -
         for batch in stream:
             out = []
             for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                out.append(squeezed(np.fromiter(map(ids.__getitem__, words), np.uint16, len(words))))
+                parts = [np.fromiter(map(ids.__getitem__, words), np.uint16, len(words)) for words in words_of(text)]
+                out.append(squeezed(*parts))
             yield {"id": batch.column("id"), "tokens": pa.array(out, pa.binary())}
 
     picked = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))

@@ -11,32 +11,35 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, stage, text_bytes
+from fieldheat.llm.common import arrow_map, safe_pieces, stage, text_bytes
 from fieldheat.llm.components import connected_components
 
 TILE = 2048
 BITS = 64
 PARTS = 4
 LEVELS = BITS // PARTS + 1
-SHINGLES_AT_ONCE = 1 << 16
 
 
 def shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
-    """XXH64 (seed 42) of each run of `size` words joined by spaces, in blocks; of all words if there are fewer."""
-    words = text.lower().split()
-    if not words:
-        return
-    digest = xxhash.xxh64_intdigest
-    joined = b" ".join(words)
-    if len(words) <= size:
-        yield np.array([digest(joined, 42)], np.uint64)
-        return
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate([[0], ends[:-size]]).tolist()
-    stops = (ends[size - 1 :] - 1).tolist()
-    for at in range(0, len(starts), SHINGLES_AT_ONCE):
-        block = zip(starts[at : at + SHINGLES_AT_ONCE], stops[at : at + SHINGLES_AT_ONCE])
-        yield np.array([digest(joined[a:b], 42) for a, b in block], np.uint64)
+    """XXH64 (seed 42) of each run of `size` words joined by spaces; of all words if there are fewer.
+
+    Long texts are taken in pieces, with the last words of one in front of the next.
+    """
+    words: list[bytes] = []
+    seen = 0
+    for piece in safe_pieces(text.lower()):
+        words += piece.split()
+        if len(words) < size:
+            continue
+        joined = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        starts = np.concatenate([[0], ends[:-size]]).tolist()
+        stops = (ends[size - 1 :] - 1).tolist()
+        seen += len(starts)
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, stops)], np.uint64)
+        words = words[len(words) - size + 1 :]
+    if words and not seen:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
 
 
 def fingerprint(text: bytes, size: int) -> int:

@@ -12,7 +12,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import WordHashes, arrow_map, mix, runs, stage, text_bytes
+from fieldheat.llm.common import WordHashes, arrow_map, mix, runs, safe_pieces, stage, text_bytes
 
 SKETCH_BITS = 28
 WORDS_AT_ONCE = 1 << 18
@@ -41,9 +41,9 @@ def segments(texts: list[bytes], known: WordHashes, window: int) -> Iterator[Seg
         return Segments(np.concatenate(arrays), lengths, np.array(docs), np.array(skipped, np.int64))
 
     for number, text in enumerate(texts):
-        words = text.split()
+        words = np.concatenate([known.of(piece.split()) for piece in safe_pieces(text)])
         for begin in range(0, max(0, len(words) - window + 1), WORDS_AT_ONCE):
-            part = known.of(words[begin : begin + WORDS_AT_ONCE + window - 1])
+            part = words[begin : begin + WORDS_AT_ONCE + window - 1]
             held.append((part, number, begin))
             size += len(part)
             if size >= WORDS_AT_ONCE:
@@ -371,18 +371,22 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
 
 
 def cleaned(text: bytes, start: list[int] | None, n: list[int] | None, window: int) -> tuple[bytes, list[int], int, int]:
-    words = text.split()
+    """Kept words, removed stretches, and numbers of words and of removed ones."""
     if not start:
-        return b" ".join(words), [], len(words), 0
-    depth = np.zeros(len(words) + 1, np.int64)
-    np.add.at(depth, start, 1)
-    np.add.at(depth, np.array(start) + np.array(n) - 1 + window, -1)
-    gone = np.cumsum(depth[:-1]) > 0
+        words = [piece.split() for piece in safe_pieces(text)]
+        return b" ".join(b" ".join(own) for own in words if own), [], sum(map(len, words)), 0
+    begins, lengths = np.array(start, np.int64), np.array(n, np.int64)
+    depth = np.zeros(int((begins + lengths).max()) + window, np.int64)
+    np.add.at(depth, begins, 1)
+    np.add.at(depth, begins + lengths - 1 + window, -1)
+    gone = np.cumsum(depth) > 0
     spans = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]))).tolist()
-    left: list[bytes] = []
-    at = 0
-    for begin, end in zip(spans[::2], spans[1::2]):
-        left += words[at:begin]
-        at = end
-    left += words[at:]
-    return b" ".join(left), spans, len(words), int(gone.sum())
+    kept, before = [], 0
+    for piece in safe_pieces(text):
+        words = piece.split()
+        mask = gone[before : before + len(words)]
+        left = np.flatnonzero(~mask).tolist() + list(range(len(mask), len(words)))
+        before += len(words)
+        if left:
+            kept.append(b" ".join([words[k] for k in left]))
+    return b" ".join(kept), spans, before, int(gone.sum())

@@ -106,9 +106,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str,
     known = labels.where(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("id")).agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     present = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id")))
-    known = known.join(present.distinct(), "id", "left_semi")
-    # A bounded number of rows of two numbers.
-    picked = F.broadcast(known.orderBy(F.xxhash64("id"), "id").limit(sample))
+    known = stage(known.join(present.distinct(), "id", "left_semi"), "known_labels")
+    # Thinned first, so that few rows beyond the sample meet to be ordered.
+    place = F.pmod(F.xxhash64("id"), F.lit(max(1, known.count())))
+    picked = F.broadcast(known.where(place < 2 * sample).orderBy(place, "id").limit(sample))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = texts.join(picked, "id").groupBy("id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))
     return found.select(text_bytes("text").alias("text"), "toxic")

@@ -11,7 +11,8 @@ from functools import lru_cache
 from itertools import compress, count
 from operator import not_
 
-WHITE = re.compile(rb"[\x09-\x0d\x20]")
+from fieldheat.llm.common import safe_pieces
+
 GROUP_BYTES = 1 << 20
 KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
@@ -19,18 +20,6 @@ KEPT_LENGTH = 64
 PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def safe_pieces(text: bytes, limit: int = GROUP_BYTES) -> Iterator[bytes]:
-    """A text in pieces of about a limit, each cut before a white-space byte. A word is never cut."""
-    begin = 0
-    while len(text) - begin > limit:
-        space = WHITE.search(text, begin + limit)
-        if not space:
-            break
-        yield text[begin : space.start()]
-        begin = space.start()
-    yield text[begin:] if begin else text
-
-
 def groups_by_bytes(texts: Iterable[bytes], limit: int = GROUP_BYTES) -> Iterator[list[tuple[int, bytes]]]:
     """Texts as groups of about equal bytes: (number of the text, piece of it), in order."""
     group: list[tuple[int, bytes]] = []

@@ -6,7 +6,14 @@ import pytest
 ROOT = Path(__file__).resolve().parents[2]
 sys.path.insert(0, str(ROOT))
 
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def small_pieces(monkeypatch):
+    """Texts of some words are already cut into pieces, in functions called in this process."""
+    from fieldheat.llm import common
+
+    monkeypatch.setattr(common.safe_pieces, "__defaults__", (40,))
 
 
 @pytest.fixture(scope="session")

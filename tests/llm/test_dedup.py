@@ -154,8 +154,7 @@ def slow_substrings(rows, size):
 
 
 @pytest.mark.parametrize("size", [20, 7])
-def test_substrings(documents, corpus, size, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "WORDS_AT_ONCE", 1000)  # the long text is cut
+def test_substrings(documents, corpus, size):
     rows = [(n, t) for n, (_, t) in enumerate(corpus)]
     found = substring_dedup.dedup_substrings(documents(rows), size).collect()
     expected = slow_substrings(rows, size)
@@ -220,3 +219,43 @@ def test_vectors(spark, monkeypatch):
     if not missed:
         assert got == expected
     assert near_vectors(spark.createDataFrame([], schema)).count() == 0
+
+
+TEXTS = ["", " ", "a", "a b", "A  b\tc d", " ".join(f"W{n % 17}é" for n in range(300)), "x" * 500, "x" * 90 + " y " * 90]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_long_texts_are_taken_in_pieces(small_pieces, text):
+    assert simhash.fingerprint(text.encode(), 3) == slow_fingerprint(text)
+    words = text.encode().split()
+    plain = substring_dedup.cleaned(text.encode(), None, None, 20)
+    assert plain == (b" ".join(words), [], len(words), 0)
+    if len(words) > 60:
+        kept, spans, n, gone = substring_dedup.cleaned(text.encode(), [2, 50, 5], [1, 3, 2], 10)
+        assert spans == [2, 16, 50, 62] and n == len(words) and gone == 26
+        assert kept == b" ".join(words[:2] + words[16:50] + words[62:])
+
+
+def test_windows_of_cut_texts(small_pieces, monkeypatch):
+    """Every window once, with the anchors that the uncut text gives."""
+    from fieldheat.llm.common import WordHashes
+
+    texts = [t.encode() for t in TEXTS]
+    whole = [substring_dedup.windows(g, 20) for g in substring_dedup.segments(texts, WordHashes(), 20)]
+    monkeypatch.setattr(substring_dedup, "WORDS_AT_ONCE", 25)
+    groups_of = list(substring_dedup.segments(texts, WordHashes(), 20))
+    cut = [substring_dedup.windows(g, 20) for g in groups_of]
+    assert len(cut) > 5 and len(whole) == 1
+
+    def listed(found, docs):
+        return sorted(
+            (int(d), int(s), int(w.half[a]), int(w.half[p]))
+            for w, doc in zip(found, docs)
+            for d, s, a, p in zip(doc[w.segment], w.start, w.anchor, w.place)
+        )
+
+    first = list(substring_dedup.segments(texts, WordHashes(), 20))
+    monkeypatch.undo()
+    assert listed(cut, [g.doc for g in first]) == listed(
+        whole, [g.doc for g in substring_dedup.segments(texts, WordHashes(), 20)]
+    )

@@ -62,6 +62,18 @@ def test_benchmark_hits_of_nothing(spark, documents):
     assert [r.spans for r in benchmark_hits(documents([(1, "a b")]), empty).collect()] == [[]]
 
 
+def test_long_texts_are_searched_in_pieces(small_pieces):
+    rng = random.Random(3)
+    words = [f"w{n}" for n in range(8)]
+    items = [(n, " ".join(rng.choices(words, k=k))) for n, k in enumerate((1, 2, 4, 5, 5, 7, 9))]
+    engines = decontamination.searchers([(i, t.encode()) for i, t in items], 5)
+    for n in (0, 1, 30, 400):
+        text = " ".join(rng.choices([*words, "é", "W1,w2"], k=n))
+        count, hits, found = decontamination.search(engines, text.encode())
+        expected = slow_hits(text, items, 5)
+        assert (count, {w for a, b in hits for w in range(a, b)}, found) == expected
+
+
 def test_shift_tables_skip():
     pattern = tuple(b"a b c d e f g h i j".split())
     engine = decontamination.WuManber(10, {pattern: {1}})

@@ -10,9 +10,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from fieldheat.llm.common import safe_pieces
 from fieldheat.llm.packing import best_fit_decreasing, pack
 from fieldheat.llm.token_counts import token_counts
-from fieldheat.llm.word_encoder import encoder, letters_are_whole, safe_pieces, white_space_is_border
+from fieldheat.llm.word_encoder import encoder, letters_are_whole, white_space_is_border
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
