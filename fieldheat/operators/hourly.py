@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldheat.schemas import number, require_columns
+from fieldheat.sources.staging import stage
 
 FIELD_SEASON = ["FIELD_ID", "CROP_SEASON"]
 SERIES = [*FIELD_SEASON, "station_id"]
@@ -70,12 +71,13 @@ def _next_known(value: str, partition: list[str], order: list[str]) -> Column:
     )
 
 
-def fill_gaps(grid: DataFrame, *, x: str = "position", scope: str = "series", buckets: int = 64) -> DataFrame:
+def fill_gaps(grid: DataFrame, *, x: str = "position", scope: str = "series", buckets: int | None = None) -> DataFrame:
     """Fill missing hours of a completed grid linearly between the known hours around them.
 
     Distance is counted in rows ("position") or hours ("time"). Within "series", hours before the
     first or after the last known one stay NULL. Scope "global" (compatibility) treats the whole
-    table, sorted by field, season, station, date and hour, as one column.
+    table, sorted by field, season, station, date and hour, as one column; its series are summed up in so many
+    buckets, by default one per shuffle task.
     """
     if x not in ("position", "time") or scope not in ("series", "global"):
         raise ValueError(f"unknown x {x!r} or scope {scope!r}")
@@ -91,6 +93,7 @@ def fill_gaps(grid: DataFrame, *, x: str = "position", scope: str = "series", bu
         "after", _next_known("known", SERIES, ["Date", "Hour"])
     )
     if scope == "global":
+        buckets = buckets or int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         around = _reach_across_series(around, placed, buckets)
     filled = around.select(
         *HOUR_KEY,
@@ -202,10 +205,13 @@ def _range_bounds(summary: DataFrame, buckets: int) -> list[tuple]:
 def hourly_temperatures(
     field_readings: DataFrame, *, x: str = "position", scope: str = "series", dedup: str = "field"
 ) -> DataFrame:
-    """Hourly means, completed to the grid and gap-filled, from readings joined to field-seasons."""
+    """Hourly means, completed to the grid and gap-filled, from readings joined to field-seasons.
+
+    The means are staged, since the grid reads them twice.
+    """
     if dedup not in ("field", "station"):
         raise ValueError(f"unknown dedup {dedup!r}")
     hourly = hourly_mean(field_readings)
     if dedup == "station":
         hourly = first_field_per_station_hour(hourly)
-    return fill_gaps(complete_grid(hourly), x=x, scope=scope)
+    return fill_gaps(complete_grid(stage(hourly, "hourly")), x=x, scope=scope)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldheat.functions import geo
 from fieldheat.functions.rows import explode_range
 from fieldheat.schemas import number, require_columns
+from fieldheat.sources.staging import stage
 
 MAX_GRID_LEVELS = 12
 LEVELS_AT_ONCE = 2
@@ -190,7 +191,8 @@ def nearest_stations(
 
     One row per field-season and station, ties by station id; field-seasons without a station
     disappear. Equal input rows are searched once and repeated at the end. Without levels given,
-    the refinement is chosen by one count over the stations.
+    the refinement is chosen by one count over the stations. With refinement the thinned stations are
+    staged, which runs a job.
     """
     require_columns(field_seasons, "FIELD_ID", "field_lat", "field_lon", "seeding_date")
     require_columns(stations, "STID", "ELEVATION", "lat", "lon", "record_start")
@@ -210,7 +212,8 @@ def nearest_stations(
     else:
         # How much a degree of longitude shrinks, at most and at least, in the cells around a field.
         away = F.abs("field_lat")
-        placed = _placed(usable, "station_lat", "station_lon", step)
+        # Stored: every pass down the grid reads them.
+        placed = stage(_placed(usable, "station_lat", "station_lon", step), "placed_stations")
         seen = _seen_from(_with_cell(placed, 0), step).select("from_row", "from_col", *CELL).distinct()
         search = (
             searches.withColumn("widest", F.cos(F.radians(F.greatest(away - 2.1 * step, F.lit(0.0)))))
