@@ -20,8 +20,9 @@ FEATURES = 20_000
 MIN_DOCS = 4
 LABEL_ACCURACY = 0.98
 PREFIXES = (3, 4, 5, 6)
-KNOWN_WORDS = 300_000
-EDGES = ".,;:!?…\"'`´()[]{}<>«»„“”‚‘’*_~-–—¡¿"
+# Marks that part words, ASCII ones and others.
+MARKS = bytes.maketrans(b".,;:!?\"'`()[]{}<>*_~-|/\\", b" " * 24)
+OTHER_MARKS = "…´«»„“”‚‘’–—¡¿"
 
 # Common insults, each a voter of its own.
 LEXICON = """
@@ -37,55 +38,60 @@ basura cabrón cerdo escoria estúpido estúpida gilipollas idiota imbécil inú
 perra puta puto tonto
 """.split()
 
-# Patterns in the text as it stands, each a voter of its own.
+# Patterns in the text as it stands, each a voter of its own. Each comes with strings one of which the
+# lower-cased text must hold for the pattern to occur, since looking for those is much faster.
 PATTERNS = {
-    "shouting": r"(?:\b[A-Z]{4,}\b\W+){2}",
-    "exclamations": r"!{2,}",
-    "mixed marks": r"[!?]*(?:!\?|\?!)[!?]*",
-    "masked letters": r"\b\w[*#@$%]{2,}\w*",
-    "swearing signs": r"[#@$%&*!]{4,}",
-    "stretched letters": r"([A-Za-z])\1{3,}",
-    "digits in words": r"\b[a-z]+[013457]+[a-z]+\b",
-    "address": r"(?i)\byou(?:'re| are| r) (?:an? )?\w+",
-    "command": r"(?i)\b(?:shut up|get lost|go away|drop dead)\b",
+    "shouting": (r"[A-Z]{4,}\W+[A-Z]{4,}", []),
+    "exclamations": (r"!{2,}", ["!!"]),
+    "mixed marks": (r"!\?|\?!", ["!?", "?!"]),
+    "masked letters": (r"\b\w[*#@$%]{2,}\w*", list("*#@$%")),
+    "swearing signs": (r"[#@$%&*!]{4,}", [*"#@$%&*", "!!!!"]),
+    "stretched letters": (r"([A-Za-z])\1{3,}", [chr(c) * 4 for c in range(97, 123)]),
+    "digits in words": (r"(?<=[a-z])[013457]+(?=[a-z])", list("013457")),
+    "address": (r"(?i)\byou(?:'re| are| r) (?:an? )?\w+", ["you're ", "you are ", "you r "]),
+    "command": (r"(?i)\b(?:shut up|get lost|go away|drop dead)\b", ["shut up", "get lost", "go away", "drop dead"]),
 }
 
 
+def words_of(lower: str) -> set[str]:
+    """Distinct words of a lower-cased text, without marks."""
+    if any(m in lower for m in OTHER_MARKS):
+        lower = lower.translate(dict.fromkeys(map(ord, OTHER_MARKS), " "))
+    return set(lower.encode("utf-8", "replace").translate(MARKS).decode().split())
+
+
 def units_of(word: str) -> list[str]:
     """What a word stands for: itself, and its beginnings."""
-    word = word.strip(EDGES)
-    return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) > n)] if word else []
-
+    return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) > n)]
 
-class Units(dict):
-    """Units of a word among a chosen set; forgets all words rather than grow without bound."""
 
-    def __init__(self, places: dict[str, int] | None = None):
-        super().__init__()
-        self.places = places
+class Units:
+    """Chosen units and their places; finds those of a text by few look-ups."""
 
-    def __missing__(self, word: str) -> tuple:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = units_of(word)
-        if self.places is not None:
-            found = [self.places[u] for u in found if u in self.places]
-        value = self[word] = tuple(found)
-        return value
+    def __init__(self, units: list[str]):
+        self.places = {u: n for n, u in enumerate(units)}
+        self.words = {u[1:] for u in units if u[0] == "="}
+        self.starts = {u[1 : 1 + PREFIXES[0]] for u in units if u[0] == "^"}
 
-    def of(self, text: str) -> set:
-        found: set = set()
-        for units in map(self.__getitem__, set(text.lower().split())):
-            if units:
-                found.update(units)
-        return found
+    def of(self, lower: str) -> list[int]:
+        words, size = words_of(lower), PREFIXES[0]
+        found = {self.places[f"={w}"] for w in words & self.words}
+        starts = {w[:size] for w in words} & self.starts
+        if starts:
+            own = (u for w in words if w[:size] in starts for u in units_of(w))
+            found.update(self.places[u] for u in own if u in self.places)
+        return sorted(found)
 
 
-def patterns_in(text: str) -> list[int]:
-    return [n for n, p in enumerate(_COMPILED) if p.search(text)]
+def patterns_in(text: str, lower: str) -> list[int]:
+    return [
+        n
+        for n, (pattern, hints) in enumerate(_COMPILED)
+        if (not hints or any(h in lower for h in hints)) and pattern.search(text)
+    ]
 
 
-_COMPILED = [re.compile(p) for p in PATTERNS.values()]
+_COMPILED = [(re.compile(p), hints) for p, hints in PATTERNS.values()]
 
 
 class Model(NamedTuple):
@@ -124,10 +130,11 @@ def unit_counts(rows: DataFrame) -> DataFrame:
     """Documents with each unit, by label: `unit`, `n1`, `n0`."""
 
     def counted(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known, ones, zeros = Units(), Counter(), Counter()
+        ones, zeros = Counter(), Counter()
         for batch in stream:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                (ones if toxic else zeros).update(known.of(text.decode("utf-8", "replace")))
+                words = words_of(text.decode("utf-8", "replace").lower())
+                (ones if toxic else zeros).update({u for w in words for u in units_of(w)})
             if len(ones) + len(zeros) > 1_000_000:
                 yield columns(ones, zeros)
                 ones, zeros = Counter(), Counter()
@@ -170,24 +177,27 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 15) -> np.n
     under one label are no independent witnesses: each counts for one over the sum of its correlations. The given
     label is one more witness, of a fixed accuracy.
     """
-    votes = votes.astype(np.float64)
     said = np.where(labels > 0, 1, -1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
     q = np.where(labels > 0, LABEL_ACCURACY, 1 - LABEL_ACCURACY)
     for _ in range(rounds):
         share = (q.sum() + 1) / (len(q) + 2)
         rates, together = [], np.zeros((votes.shape[1],) * 2)
         for weight in (q, 1 - q):
-            rate = (weight @ votes + 0.05) / (weight.sum() + 1)
-            apart = (votes - rate) * np.sqrt(weight)[:, None]
-            cov = apart.T @ apart + 1e-9 * np.eye(len(rate))
-            size = np.sqrt(np.diag(cov))
-            together += np.clip(cov / size[:, None] / size[None, :], 0, 1) * weight.sum() / len(q)
-            rates.append(np.clip(rate, 1e-5, 1 - 1e-5))
+            size = weight.sum()
+            met = np.zeros_like(together)  # votes that go together, added up in blocks of rows
+            for at in range(0, len(votes), 2048):
+                block = votes[at : at + 2048].astype(np.float64)
+                met += (block * weight[at : at + 2048, None]).T @ block
+            mean = np.diag(met) / max(size, 1e-9)
+            cov = met - size * np.outer(mean, mean) + 1e-9 * np.eye(len(mean))
+            spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+            together += np.clip(cov / spread[:, None] / spread[None, :], 0, 1) * size / len(q)
+            rates.append(np.clip((np.diag(met) + 0.05) / (size + 1), 1e-5, 1 - 1e-5))
         np.fill_diagonal(together, 1)
         counts_for = 1 / together.sum(axis=1)
         yes = counts_for * np.log(rates[0] / rates[1])
         no = counts_for * np.log((1 - rates[0]) / (1 - rates[1]))
-        score = np.log(share / (1 - share)) + said + votes @ (yes - no) + no.sum()
+        score = np.log(share / (1 - share)) + said + votes @ (yes - no).astype(np.float32) + no.sum()
         new = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
         if np.abs(new - q).max() < 1e-4:
             return new
@@ -245,26 +255,26 @@ def fit(
     voters = list(dict.fromkeys([places[u] for u in [*mined, *(f"={w}" for w in LEXICON)]]))
 
     def present(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known = Units(places)
+        known = Units(units)
         for batch in stream:
             texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
-            found = [sorted(known.of(t)) + [len(units) + p for p in patterns_in(t)] for t in texts]
+            lowered = [t.lower() for t in texts]
+            found = [known.of(o) + [len(units) + p for p in patterns_in(t, o)] for t, o in zip(texts, lowered)]
             yield {"toxic": batch.column("toxic"), "places": pa.array(found, pa.list_(pa.int32()))}
 
-    # At most `sample` rows, each with some of FEATURES places.
-    table = arrow_map(rows, present, "toxic int, places array<int>").toPandas()
-    row = np.repeat(np.arange(len(table)), table["places"].map(len))
-    place = np.concatenate(table["places"].to_list()).astype(np.int64)
-    order = np.lexsort((place, row))
-    row, place = row[order], place[order]
+    # At most `sample` rows, each with some of FEATURES places, as flat arrays.
+    table = arrow_map(rows, present, "toxic int, places array<int>").toArrow().combine_chunks()
+    toxic, lists = table.column("toxic").to_numpy(), table.column("places").combine_chunks()
+    place = lists.flatten().to_numpy().astype(np.int32)
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     voting = np.full(len(units) + len(PATTERNS), -1)
     everyone = np.array([*voters, *range(len(units), len(units) + len(PATTERNS))])
     voting[everyone] = np.arange(len(everyone))
-    votes = np.zeros((len(table), len(everyone)), np.float32)
+    votes = np.zeros((len(toxic), len(everyone)), np.float32)
     spoken = voting[place] >= 0
     votes[row[spoken], voting[place[spoken]]] = 1
-    target = label_model(votes, table["toxic"].to_numpy())
-    weights, bias = logistic(row, place, len(table), len(voting), target)
+    target = label_model(votes, toxic)
+    weights, bias = logistic(row, place, len(toxic), len(voting), target)
     return Model(units, weights[: len(units)], weights[len(units) :], bias)
 
 
@@ -278,13 +288,14 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         own = shared.value
-        known = Units({u: n for n, u in enumerate(own.units)})
+        known = Units(own.units)
         for batch in stream:
             scores = []
             for text in batch.column("text").to_pylist():
                 text = text.decode("utf-8", "replace")
-                total = own.bias + sum(own.unit_weights[n] for n in sorted(known.of(text)))
-                total += sum(own.pattern_weights[n] for n in patterns_in(text))
+                lower = text.lower()
+                total = own.bias + sum(own.unit_weights[n] for n in known.of(lower))
+                total += sum(own.pattern_weights[n] for n in patterns_in(text, lower))
                 scores.append(1 / (1 + np.exp(-np.clip(total, -30, 30))))
             yield {"doc": batch.column("doc"), "score": pa.array(scores, pa.float64())}
 
