@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ __all__ = ["WordHashes", "arrow_map", "load", "mix", "row_key", "runs", "safe_pi
 
 WHITE = re.compile(rb"[\x09-\x0d\x20]")
 PIECE_BYTES = 1 << 20
+HOME = str(Path(__file__).resolve().parents[2])
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -51,10 +54,19 @@ def safe_pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
     yield text[begin:] if begin else text
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did; a cluster installs it."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, known)])
+
+
 def arrow_map(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
     """mapInArrow for a function that yields columns by name, in the order of the schema."""
+    find_package(df.sparkSession)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in rows(stream):
