@@ -87,7 +87,8 @@ def tile_rows(rows: DataFrame) -> DataFrame:
     """
     bucket = ["label", "place", "code"]
     large = rows.groupBy(*bucket).count().where(F.col("count") > TILE)
-    large = large.select(*bucket, F.ceil(F.col("count") / TILE).cast("int").alias("parts"))
+    # Stored, so that its size is known to the join, which can then be a broadcast, or be split where a bucket is hot.
+    large = stage(large.select(*bucket, F.ceil(F.col("count") / TILE).cast("int").alias("parts")), "large_buckets")
     split = rows.join(large, bucket, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     split = split.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     met = split.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
