@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldheat.functions.rows import observed
 from fieldheat.schemas import BOUNDARY_POINT, number, require_columns
 
 STATES_SERVED = ("AZ", "ID", "UT")
@@ -159,12 +160,14 @@ def elevation_cache_delta(
     )
 
 
-def append_elevations(delta: DataFrame, cache_table: str) -> None:
-    """Add the rows of elevation_cache_delta to the cache's table; the first call creates it.
+def append_elevations(delta: DataFrame, cache_table: str) -> int:
+    """Add the rows of elevation_cache_delta to the cache's table; the first call creates it. Returns their number.
 
     The rows are worked out from the cache itself, so store them (`stage`) before they are appended to it.
     """
-    delta.select("FIELD_ID", "ELEVATION").write.mode("append").saveAsTable(cache_table)
+    rows, counted = observed(delta.select("FIELD_ID", "ELEVATION"), "elevations")
+    rows.write.mode("append").saveAsTable(cache_table)
+    return counted()
 
 
 def field_master(

@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldheat.functions.rows import observed
 from fieldheat.schemas import require_columns
 
 
@@ -38,15 +39,17 @@ def rows_to_push(gdh: DataFrame, key: str = "as_is") -> DataFrame:
     return gdh.withColumn("ID", F.concat_ws("_", *text)).toDF(*[name.upper() for name in gdh.columns], "ID")
 
 
-def push(gdh: DataFrame, table: str, key: str = "as_is", partition_by: Sequence[str] = ()) -> None:
-    """Append by column name; the first push creates the table, partitioned if asked.
+def push(gdh: DataFrame, table: str, key: str = "as_is", partition_by: Sequence[str] = ()) -> int:
+    """Append by column name; the first push creates the table, partitioned if asked. Returns the rows pushed.
 
     Not to be run beside a removal of duplicates, which it would take for a dead one.
     """
     spark = gdh.sparkSession
     recover(spark, table)
     partitions = _partition_columns(spark, table) if spark.catalog.tableExists(table) else list(partition_by)
-    rows_to_push(gdh, key).write.mode("append").partitionBy(*partitions).saveAsTable(table)
+    rows, counted = observed(rows_to_push(gdh, key), "pushed")
+    rows.write.mode("append").partitionBy(*partitions).saveAsTable(table)
+    return counted()
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -41,9 +41,9 @@ def contents(spark, name):
 
 @pytest.mark.parametrize("partitions", [[], ["CROP_SEASON"]])
 def test_pushing_twice_and_removing_duplicates_is_pushing_once(spark, gdh, name, partitions):
-    gdh_table.push(gdh, name, partition_by=partitions)
+    assert gdh_table.push(gdh, name, partition_by=partitions) == 3
     once = contents(spark, name)
-    gdh_table.push(gdh.select(*reversed(gdh.columns)), name)
+    assert gdh_table.push(gdh.select(*reversed(gdh.columns)), name) == 3
     assert spark.table(name).count() == 6
     for _ in range(2):
         gdh_table.remove_duplicates(spark, name)

@@ -207,6 +207,15 @@ def test_nan_elevations_are_missing_ones(table):
     assert [(r.FIELD_ID, r.ELEVATION) for r in delta] == [("A", 5000.0)]
 
 
+def test_elevations_are_appended_to_the_cache(spark, table):
+    delta = table([("A", 5000.0)], "FIELD_ID STRING, ELEVATION DOUBLE")
+    try:
+        assert [fields.append_elevations(delta, "elevations_under_test") for _ in range(2)] == [1, 1]
+        assert spark.table("elevations_under_test").count() == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS elevations_under_test")
+
+
 @pytest.mark.parametrize("partitions", ["2", "64"])
 def test_shares_follow_the_cluster_and_change_no_row(spark, table, partitions):
     rows = [("S", datetime(2021, 6, d, h), float(d + h), 2021) for d in range(1, 5) for h in (0, 5)]
