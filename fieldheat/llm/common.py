@@ -54,19 +54,25 @@ def safe_pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
     yield text[begin:] if begin else text
 
 
-def find_package(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver did; a cluster installs it."""
+def prepare_workers(spark: SparkSession) -> None:
+    """What Python workers start with.
+
+    On this machine they import the package from where the driver did; a cluster installs it. Arrays of a megabyte and more
+    go back to the system when they are freed, so a worker does not keep the most it ever held.
+    """
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if HOME not in known:
         environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, known)])
+    environment.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
 
 
 def arrow_map(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
     """mapInArrow for a function that yields columns by name, in the order of the schema."""
-    find_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in rows(stream):
@@ -101,7 +107,7 @@ def runs(stream: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table
 class WordHashes(dict):
     """64-bit hashes of words; forgets all of them rather than grow without bound."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

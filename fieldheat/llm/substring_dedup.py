@@ -16,8 +16,8 @@ from fieldheat.llm.common import WordHashes, arrow_map, mix, runs, safe_pieces,
 
 SKETCH_BITS = 28
 WORDS_AT_ONCE = 1 << 18
-ANCHORS_AT_ONCE = 1 << 21
-WINDOWS_AT_ONCE = 1 << 20
+ANCHORS_AT_ONCE = 1 << 20
+WINDOWS_AT_ONCE = 1 << 19
 BUCKET_BYTES = 12 << 20
 
 
@@ -165,7 +165,8 @@ class Batch:
         new[1:] = (docs[1:] != docs[:-1]).any(axis=1)
         rank = (np.cumsum(new) - 1)[rank]  # repeated rows are one document
         hashes, checks, anchors, doc, start = (np.concatenate(p) for p in zip(*self.parts))
-        return docs[new], hashes, checks, anchors, rank[doc], start
+        self.parts = []
+        return docs[new], hashes, checks, anchors, rank[doc], start.astype(np.int64)
 
 
 def firsts(hashes: np.ndarray, checks: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +255,8 @@ def candidate_blocks(docs: DataFrame, sketch: Broadcast, window: int, buckets: i
                         held.docs.append(ids[number])
                 table = np.zeros(int(group.doc.max()) + 1, np.int64)
                 table[new] = [numbers[n] for n in new.tolist()]
-                held.parts.append((hashes, checks, anchors[maybe], table[group.doc[segment]], found.start[maybe]))
+                doc, start = table[group.doc[segment]].astype(np.int32), found.start[maybe].astype(np.int32)
+                held.parts.append((hashes, checks, anchors[maybe], doc, start))
                 held.size += len(maybe)
                 if held.size >= WINDOWS_AT_ONCE:
                     yield from sent(held)
