@@ -18,7 +18,9 @@ def gdh_input(weather: DataFrame, seasons: DataFrame, thresholds: DataFrame) ->
     Thresholds are joined to the seasons, not to their hours: crops are few and some are common.
     """
     require_columns(seasons, "FIELD_ID", "CROP_NAME", "CROP_SEASON", "seeding_date", "harvest_date")
-    if "CROP_SEASON" not in weather.columns:
+    if "CROP_SEASON" in weather.columns:  # kept as a column, since the table may be partitioned by it
+        weather = weather.filter(F.col("CROP_SEASON") == F.year("Date"))
+    else:
         weather = weather.withColumn("CROP_SEASON", F.year("Date"))
     limits = thresholds.select(F.col("CROP").alias("CROP_NAME"), "Base_Fahrenheit", "Upper_Fahrenheit")
     windows = seasons.select("FIELD_ID", "CROP_SEASON", "CROP_NAME", "seeding_date", "harvest_date").join(

@@ -68,3 +68,16 @@ def test_daily_sums(table):
 def test_missing_columns_are_named(table):
     with pytest.raises(ValueError, match="harvest_date"):
         gdh_hourly(table([(1,)], "Date INT").selectExpr("Date", "1 AS Hour", "1 AS seeding_date"))
+
+
+def test_a_season_column_does_not_replace_the_date(table):
+    weather = table(
+        [("F1", 2022, date(2022, 5, 1), 3, 60.0, 60.0), ("F1", 2022, date(2021, 5, 1), 3, 60.0, 60.0)],
+        "FIELD_ID STRING, CROP_SEASON INT, Date DATE, Hour INT, temp_combined_avg DOUBLE, temp_wt_avg DOUBLE",
+    )
+    seasons = table(
+        [("F1", "corn", 2022, DAY, DAY)],
+        "FIELD_ID STRING, CROP_NAME STRING, CROP_SEASON INT, seeding_date DATE, harvest_date DATE",
+    )
+    found = gdh_input(weather, seasons, table([("corn", 50.0, 86.0)], CROP_THRESHOLDS)).collect()
+    assert [r.Date for r in found] == [date(2022, 5, 1)]
