@@ -19,6 +19,7 @@ WORDS_AT_ONCE = 1 << 18
 ANCHORS_AT_ONCE = 1 << 20
 WINDOWS_AT_ONCE = 1 << 19
 BUCKET_BYTES = 12 << 20
+SHORTEST = 5
 
 
 class Segments(NamedTuple):
@@ -65,38 +66,65 @@ def doubled(hashes: np.ndarray, length: int) -> np.ndarray:
 class Windows(NamedTuple):
     """The windows of a group of segments."""
 
-    half: np.ndarray  # hashes of all runs of half a window
-    anchor: np.ndarray  # place in `half` of the least hash inside each window
+    runs: np.ndarray  # hashes of all runs of the level's length
+    anchor: np.ndarray  # place in `runs` of the least hash inside each window
     place: np.ndarray  # first word of each window in the group
     segment: np.ndarray  # its segment
     start: np.ndarray  # its first word in the document
 
 
-def windows(group: Segments, window: int) -> Windows:
-    """Windows and their anchors: equal windows hold equal anchors at equal places."""
-    half = doubled(group.hashes, window // 2)
+def levels_of(window: int) -> list[int]:
+    """Lengths looked at before the window's own: half of it, half of that, and so on, down to SHORTEST or more."""
+    levels = [max(1, window // 2)]
+    while levels[0] // 2 >= SHORTEST:
+        levels.insert(0, levels[0] // 2)
+    return levels
+
+
+def windows(group: Segments, window: int, length: int) -> Windows:
+    """Windows and their anchors of a length: equal windows hold equal anchors at equal places."""
+    found = doubled(group.hashes, length)
     ends = np.cumsum(group.lengths)
     counts = group.lengths - window + 1
     segment = np.repeat(np.arange(len(counts)), counts)
     first = ends - group.lengths
     inside = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
     place = first[segment] + inside
-    spans = np.lib.stride_tricks.sliding_window_view(half, window - window // 2 + 1)
+    spans = np.lib.stride_tricks.sliding_window_view(found, window - length + 1)
     anchor = spans.argmin(axis=1)[place] + place
-    return Windows(half, anchor, place, segment, inside + group.skipped[segment])
+    return Windows(found, anchor, place, segment, inside + group.skipped[segment])
+
+
+def surviving(found: Windows, bits: np.ndarray) -> np.ndarray:
+    """The windows whose anchor may occur more than once."""
+    at = (found.runs[found.anchor] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    return np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+
+
+class Sketch(NamedTuple):
+    """Where anchors of a length occur more than once."""
 
+    length: int
+    bits: Broadcast
 
-def anchor_blocks(docs: DataFrame, window: int, buckets: int) -> DataFrame:
-    """Hashes of all anchors, dealt to buckets by their leading bits: `bucket`, `once`, `more` (seen more than once)."""
+
+def anchor_blocks(docs: DataFrame, window: int, length: int, earlier: Sketch | None, buckets: int) -> DataFrame:
+    """Hashes of the anchors of windows that survived the level before, all of them on the first level.
+
+    Dealt to buckets by their leading bits: `bucket`, `once`, `more` (seen more than once).
+    """
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, held, size = WordHashes(), [], 0
         for batch in stream:
             for group in segments(batch.column("text").to_pylist(), known, window):
-                found = windows(group, window)
-                own = found.anchor[np.diff(found.anchor, prepend=-1) != 0]
-                held.append(found.half[own])
+                found = windows(group, window, length)
+                anchor = found.anchor
+                if earlier is not None:
+                    anchor = anchor[surviving(windows(group, window, earlier.length), np.frombuffer(earlier.bits.value, np.uint8))]
+                own = anchor[np.diff(anchor, prepend=-1) != 0]
+                held.append(found.runs[own])
                 size += len(own)
                 if size >= ANCHORS_AT_ONCE:
                     yield flushed(np.concatenate(held))
@@ -118,9 +146,11 @@ def anchor_blocks(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     return arrow_map(docs.select("text"), rows, "bucket long, once binary, more binary")
 
 
-def repeated_sketch(docs: DataFrame, window: int, buckets: int) -> Broadcast:
+def repeated_sketch(docs: DataFrame, window: int, length: int, earlier: Sketch | None, buckets: int) -> Sketch | None:
     """A bit for each value of the leading SKETCH_BITS bits of a hash, set where an anchor occurs more than once.
 
+    None if none does.
+
     Its size is fixed (32 MB). The more anchors repeat, the more others pass for repeated too; none that repeats is
     ever missed, and what passes is compared exactly.
     """
@@ -134,16 +164,20 @@ def repeated_sketch(docs: DataFrame, window: int, buckets: int) -> Broadcast:
                 np.frombuffer(b"".join(run.column("once").to_pylist()), np.uint64), return_counts=True
             )
             again = np.concatenate([more, once[counts > 1]])
+            if not len(again):
+                continue
             bits = np.zeros(width, np.uint8)
             bits[((again >> below) & np.uint64(width - 1)).astype(np.int64)] = 1
             packed = zstandard.compress(np.packbits(bits).tobytes(), 1)
             yield {"bucket": [run.column("bucket")[0].as_py()], "bits": [packed]}
 
-    blocks = anchor_blocks(docs, window, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    blocks = anchor_blocks(docs, window, length, earlier, buckets).repartition("bucket").sortWithinPartitions("bucket")
     slices = {r.bucket: r.bits for r in arrow_map(blocks, rows, "bucket long, bits binary").collect()}
+    if not slices:
+        return None
     empty = bytes(width // 8)
     joined = b"".join(zstandard.decompress(slices[b]) if b in slices else empty for b in range(buckets))
-    return docs.sparkSession.sparkContext.broadcast(joined)
+    return Sketch(length, docs.sparkSession.sparkContext.broadcast(joined))
 
 
 class Batch:
@@ -221,29 +255,27 @@ def marks_columns(docs: np.ndarray, doc: np.ndarray, start: np.ndarray) -> dict:
     return {"bucket": nothing.cast(pa.int64()), "packed": nothing.cast(pa.binary())} | own
 
 
-def candidate_blocks(docs: DataFrame, sketch: Broadcast, window: int, buckets: int) -> DataFrame:
-    """Windows whose anchor may repeat, extended to full length.
+def candidate_blocks(docs: DataFrame, sketch: Sketch, window: int, buckets: int) -> DataFrame:
+    """Windows that survived the last level, of half a window, extended to full length.
 
     Among the windows a task holds at a time, only the earliest of a kind goes on, in a block for its bucket; the
     later ones are marks already. So a passage that very many documents share is sent once per block at most.
     """
-    below = np.uint64(64 - SKETCH_BITS)
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, held = WordHashes(), Batch()
-        bits = np.frombuffer(sketch.value, np.uint8)
+        bits = np.frombuffer(sketch.bits.value, np.uint8)
         for batch in stream:
             ids = list(zip(batch.column("d").to_pylist(), batch.column("r1").to_pylist()))
             numbers: dict[int, int] = {}
             for group in segments(batch.column("text").to_pylist(), known, window):
-                found = windows(group, window)
-                anchors = found.half[found.anchor]
-                at = (anchors >> below).astype(np.int64)
-                maybe = np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+                found = windows(group, window, sketch.length)
+                maybe = surviving(found, bits)
                 if not len(maybe):
                     continue
                 place, segment = found.place[maybe], found.segment[maybe]
-                left, right = found.half[place], found.half[place + window - window // 2]
+                anchors = found.runs[found.anchor[maybe]]
+                left, right = found.runs[place], found.runs[place + window - window // 2]
                 hashes = mix(left, right, window)
                 if window % 2:
                     hashes = mix(hashes, group.hashes[place + window // 2], 1)
@@ -256,7 +288,7 @@ def candidate_blocks(docs: DataFrame, sketch: Broadcast, window: int, buckets: i
                 table = np.zeros(int(group.doc.max()) + 1, np.int64)
                 table[new] = [numbers[n] for n in new.tolist()]
                 doc, start = table[group.doc[segment]].astype(np.int32), found.start[maybe].astype(np.int32)
-                held.parts.append((hashes, checks, anchors[maybe], doc, start))
+                held.parts.append((hashes, checks, anchors, doc, start))
                 held.size += len(maybe)
                 if held.size >= WINDOWS_AT_ONCE:
                     yield from sent(held)
@@ -319,15 +351,19 @@ def with_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_ranges(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ranges of windows whose words also start earlier: `d`, `r1` (`with_order`), `start`, `n`; repeats possible.
 
-    Windows of half the length are looked at first, by their anchors: the half window with the least hash inside each
-    window. Equal windows have equal anchors, so a window with an anchor that occurs once is settled. The others are
-    doubled to full length and compared; at full length the windows that are left repeat, and nothing survives.
+    Short runs of words are looked at first (`levels_of`), by the windows' anchors: the run with the least hash inside
+    each window. Equal windows have equal anchors, so a window whose anchor occurs once is settled. Only the others are
+    looked at with runs of twice the length, and so on until none survives or the window itself is compared.
     """
     ordered = with_order(docs, id_col, text_col)
     size = ordered.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 << min(SKETCH_BITS - 10, max(0, (size // BUCKET_BYTES).bit_length()))
     source = ordered.select(text_bytes("text").alias("text"), "d", "r1")
-    sketch = repeated_sketch(source, window, buckets)
+    sketch = None
+    for length in levels_of(window):
+        sketch = repeated_sketch(source, window, length, sketch, buckets)
+        if sketch is None:
+            return docs.sparkSession.createDataFrame([], "d long, r1 long, start long, n long")
     blocks = stage(candidate_blocks(source, sketch, window, buckets), "windows")
     at_once = blocks.where("bucket is null").select("d", "r1", "start", "n")
     return at_once.unionByName(later_windows(blocks.where("bucket is not null")))
@@ -347,6 +383,8 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     document; rows that share an id but not the text come in the order of a hash of the text. An empty table gives
     no rows.
     """
+    if window < 2:
+        raise ValueError("window must be at least 2")
     ranged = repeated_ranges(docs, window, id_col, text_col)
     marks = ranged.groupBy("d", "r1").agg(F.collect_list("start").alias("start"), F.collect_list("n").alias("n"))
     joined = with_order(docs, id_col, text_col).join(marks.hint("shuffle_hash"), ["d", "r1"], "left")

@@ -162,6 +162,11 @@ def test_substrings(documents, corpus, size):
     assert all(sum(b - a for a, b in zip(r.spans[::2], r.spans[1::2])) == r.n_removed for r in found)
 
 
+def test_levels():
+    assert substring_dedup.levels_of(20) == [5, 10] and substring_dedup.levels_of(50) == [6, 12, 25]
+    assert substring_dedup.levels_of(7) == [3] and substring_dedup.levels_of(2) == [1]
+
+
 def test_substrings_with_null_and_repeated_ids(documents):
     text = " ".join(f"a{n}" for n in range(30))
     found = substring_dedup.dedup_substrings(documents([(None, text), (4, text), (4, text), (4, None), (9, "a b")])).collect()
@@ -241,15 +246,15 @@ def test_windows_of_cut_texts(small_pieces, monkeypatch):
     from fieldheat.llm.common import WordHashes
 
     texts = [t.encode() for t in TEXTS]
-    whole = [substring_dedup.windows(g, 20) for g in substring_dedup.segments(texts, WordHashes(), 20)]
+    whole = [substring_dedup.windows(g, 20, 10) for g in substring_dedup.segments(texts, WordHashes(), 20)]
     monkeypatch.setattr(substring_dedup, "WORDS_AT_ONCE", 25)
     groups_of = list(substring_dedup.segments(texts, WordHashes(), 20))
-    cut = [substring_dedup.windows(g, 20) for g in groups_of]
+    cut = [substring_dedup.windows(g, 20, 10) for g in groups_of]
     assert len(cut) > 5 and len(whole) == 1
 
     def listed(found, docs):
         return sorted(
-            (int(d), int(s), int(w.half[a]), int(w.half[p]))
+            (int(d), int(s), int(w.runs[a]), int(w.runs[p]))
             for w, doc in zip(found, docs)
             for d, s, a, p in zip(doc[w.segment], w.start, w.anchor, w.place)
         )
