@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -13,20 +14,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, runs, safe_pieces, stage, text_bytes
+from fieldheat.llm.common import arrow_map, mix, runs, safe_pieces, stage, text_bytes
 
-VOCABULARY = 65_000
-UNKNOWN, BOUNDARY, FIRST = 0, 1, 2
+UNKNOWN, BOUNDARY = 0, 1  # in place of a word's hash
 WORDS_AT_ONCE = 400_000
 TOKENS_AT_ONCE = 1 << 20
-BUCKET_TOKENS = 1 << 22
+BUCKET_TOKENS = 1 << 21
 CONTEXT_PRIOR = 20.0
 WORD_PRIOR = 0.1
 CLASSES = 4  # counts of target documents in either half, then of all documents in either half
 
 
 def squeezed(*arrays: np.ndarray) -> bytes:
-    return zstandard.compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
+    """Arrays one after the other, each with the first byte of all numbers first, then the second of all, and so on."""
+    flat = [np.ascontiguousarray(a).reshape(-1) for a in arrays]
+    return zstandard.compress(b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in flat), 1)
+
+
+class Unsqueezed:
+    """Reads the arrays of `squeezed` in order."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = zstandard.decompress(data)
+        self.at = 0
+
+    def take(self, n: int, kind: type) -> np.ndarray:
+        size = np.dtype(kind).itemsize
+        found = np.frombuffer(self.data, np.uint8, n * size, self.at).reshape(size, n)
+        self.at += n * size
+        return np.ascontiguousarray(found.T).view(kind).reshape(n)
 
 
 def words_of(text: bytes) -> Iterator[list[bytes]]:
@@ -73,233 +89,269 @@ def vocabulary(counts: DataFrame, size: int) -> np.ndarray:
     return np.sort(picked.to_numpy(np.int64).view(np.uint64))
 
 
-def token_rows(docs: DataFrame, words: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """`id` and `tokens` (unsigned 16-bit, squeezed) of every document. Words beyond the vocabulary are UNKNOWN."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
-    class Ids(dict):
-        def __missing__(self, word: bytes) -> int:
-            if len(self) >= WORDS_AT_ONCE:
-                self.clear()
-            value = xxhash.xxh3_64_intdigest(word)
-            at = int(np.searchsorted(shared.value, np.uint64(value)))
-            known = at < len(shared.value) and int(shared.value[at]) == value
-            self[word] = found = at + FIRST if known else UNKNOWN
-            return found
+def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`id` and `text` (lower case, squeezed) of every document."""
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        ids = Ids()
         for batch in stream:
-            out = []
-            for text in batch.column("text").to_pylist():
-                parts = [np.fromiter(map(ids.__getitem__, words), np.uint16, len(words)) for words in words_of(text)]
-                out.append(squeezed(*parts))
-            yield {"id": batch.column("id"), "tokens": pa.array(out, pa.binary())}
+            texts = [zstandard.compress(text.lower(), 1) for text in batch.column("text").to_pylist()]
+            yield {"id": batch.column("id"), "text": pa.array(texts, pa.binary())}
 
     picked = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    return arrow_map(picked, rows, f"id {picked.schema['id'].dataType.simpleString()}, tokens binary")
+    return arrow_map(picked, rows, f"id {picked.schema['id'].dataType.simpleString()}, text binary")
+
+
+class Keys(NamedTuple):
+    """The different words or bigrams of a block."""
+
+    values: np.ndarray  # their 64-bit keys, sorted
+    place: np.ndarray  # where in `values` each transition's is
+
+    def counts(self, chosen: np.ndarray, half: np.ndarray) -> np.ndarray:
+        """Chosen transitions with each key in either half."""
+        n = len(self.values)
+        return np.bincount(self.place[chosen] * 2 + half[chosen], minlength=2 * n).reshape(n, 2)
 
 
 class Block:
-    """Consecutive documents of a task, until they are sent."""
+    """Consecutive documents of a task, until they are sent. Words have numbers of the block's own."""
 
     def __init__(self) -> None:
         self.ids: list = []
         self.tokens: list[np.ndarray] = []
         self.target: list[int] = []
         self.half: list[int] = []
+        self.hashes = np.zeros(0, np.uint64)  # of each word number
         self.size = 0
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bigram of each transition, its document, and the transitions per document; boundaries at both ends."""
-        lengths = np.array([len(t) + 1 for t in self.tokens], np.int64)
-        edge = np.array([BOUNDARY], np.uint32)
-        line = np.concatenate([p for t in self.tokens for p in (edge, t.astype(np.uint32))] + [edge])
-        return line[:-1] << np.uint32(16) | line[1:], np.repeat(np.arange(len(lengths)), lengths), lengths
+    def lengths(self) -> np.ndarray:
+        """Transitions per document."""
+        return np.array([len(t) + 1 for t in self.tokens], np.int64)
 
+    def keys(self) -> tuple[Keys, Keys, np.ndarray]:
+        """The word each transition leads to, its bigram, and the word it starts from; boundaries at both ends."""
+        edge = np.array([len(self.hashes)], np.int64)
+        line = np.concatenate([p for t in self.tokens for p in (edge, t)] + [edge])
+        words, place = np.unique(np.append(self.hashes, np.uint64(BOUNDARY)), return_inverse=True)
+        line = place[line]
+        hashes = words[line]
+        bigrams, at = np.unique(mix(hashes[:-1], hashes[1:], 2), return_inverse=True)
+        return Keys(words, line[1:]), Keys(bigrams, at), line[:-1]
 
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys * np.uint32(2654435769)) >> np.uint32(16)).astype(np.int64) % buckets
 
+class Numbers(dict):
+    """Numbers of a block's words, in the order they come."""
 
-def dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys by bucket, then key, and where each bucket begins."""
-    bucket = bucket_of(keys, buckets)
-    order = np.lexsort((keys, bucket))
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    def __init__(self, vocabulary: np.ndarray | None) -> None:
+        self.vocabulary = vocabulary
+        self.hashes: list[int] = []
 
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if self.vocabulary is not None:
+            at = int(np.searchsorted(self.vocabulary, np.uint64(value)))
+            if at == len(self.vocabulary) or int(self.vocabulary[at]) != value:
+                value = UNKNOWN
+        self.hashes.append(value)
+        self[word] = found = len(self)
+        return found
 
-def block_rows(documents: DataFrame, buckets: int) -> DataFrame:
-    """Blocks of documents (`bucket` null) and the counts of their bigrams, a row per bucket.
 
-    A bigram is sent once per block, however frequent it is.
-    """
+def slices(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins in sorted keys; buckets are equal parts of all 64-bit numbers."""
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    return np.searchsorted(bucket.astype(np.int64), np.arange(buckets + 1))
+
+
+def block_rows(documents: DataFrame, words: np.ndarray | None) -> DataFrame:
+    """Blocks of documents; words beyond a vocabulary, if one is given, are UNKNOWN."""
     ids = documents.schema["id"].dataType.simpleString()
+    shared = documents.sparkSession.sparkContext.broadcast(words)
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 32
-        held = Block()
+        held, numbers = Block(), Numbers(shared.value)
         kind = None
         for batch in stream:
             kind = batch.schema.field("id").type
-            columns = [batch.column(c).to_pylist() for c in ("id", "tokens", "target", "half")]
-            for ident, tokens, target, half in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("id", "text", "target", "half")]
+            for ident, text, target, half in zip(*columns):
+                parts = [np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)) for own in words_of(zstandard.decompress(text))]
                 held.ids.append(ident)
-                held.tokens.append(np.frombuffer(zstandard.decompress(tokens), np.uint16))
+                held.tokens.append(np.concatenate(parts))
                 held.target.append(target)
                 held.half.append(half)
                 held.size += len(held.tokens[-1]) + 1
                 if held.size >= TOKENS_AT_ONCE:
-                    yield from sent(held, number, kind)
-                    held, number = Block(), number + 1
+                    yield sent(held, numbers, number, kind)
+                    held, numbers, number = Block(), Numbers(shared.value), number + 1
         if held.ids:
-            yield from sent(held, number, kind)
-
-    def sent(held: Block, number: int, kind: pa.DataType) -> Iterator[dict]:
-        keys, doc, _ = held.keys()
-        half, target = np.array(held.half), np.array(held.target)
-        values, place = np.unique(keys, return_inverse=True)
-        n = len(values)
-        background = np.bincount(place * 2 + half[doc], minlength=2 * n).reshape(n, 2)
-        own = target[doc] == 1
-        wanted = np.bincount(place[own] * 2 + half[doc][own], minlength=2 * n).reshape(n, 2)
-        counts = np.concatenate([wanted, background], axis=1).astype(np.uint32)
-        order, edges = dealt(values, buckets)
-        values, counts = values[order], counts[order]
-        used = np.flatnonzero(np.diff(edges)).tolist()
-        blobs = [
-            squeezed(np.array([e - b], np.uint32), np.diff(values[b:e], prepend=np.uint32(0)), counts[b:e].T)
-            for b, e in ((edges[k], edges[k + 1]) for k in used)
-        ]
+            yield sent(held, numbers, number, kind)
+
+    def sent(held: Block, numbers: Numbers, number: int, kind: pa.DataType) -> dict:
         lengths = np.array([len(t) for t in held.tokens], np.uint32)
-        parts = np.concatenate(held.tokens) if held.tokens else np.zeros(0, np.uint16)
-        blob = squeezed(np.array([len(lengths)], np.uint32), lengths, half.astype(np.uint8), target.astype(np.uint8), parts)
-        yield {
-            "block": pa.array([number] * (len(used) + 1), pa.int64()),
-            "bucket": pa.array([None, *used], pa.int64()),
-            "data": pa.array([blob, *blobs], pa.binary()),
-            "ids": pa.array([held.ids, *([None] * len(used))], pa.list_(kind)),
+        sizes = np.array([len(lengths), len(numbers.hashes), lengths.sum(dtype=np.int64)], np.int64)
+        flags = (np.array(held.half, np.uint8), np.array(held.target, np.uint8))
+        blob = squeezed(sizes, lengths, *flags, np.array(numbers.hashes, np.uint64), np.concatenate(held.tokens))
+        return {
+            "block": pa.array([number], pa.int64()),
+            "data": pa.array([blob], pa.binary()),
+            "ids": pa.array([held.ids], pa.list_(kind)),
         }
 
-    return arrow_map(documents, rows, f"block long, bucket long, data binary, ids array<{ids}>")
+    return arrow_map(documents, rows, f"block long, data binary, ids array<{ids}>")
 
 
 def unsqueezed_block(data: bytes, ids: list) -> Block:
-    data = zstandard.decompress(data)
-    n = int(np.frombuffer(data, np.uint32, 1)[0])
-    lengths = np.frombuffer(data, np.uint32, n, 4).astype(np.int64)
+    found = Unsqueezed(data)
+    n, n_words, n_tokens = found.take(3, np.int64).tolist()
     held = Block()
     held.ids = ids
-    held.half = np.frombuffer(data, np.uint8, n, 4 + 4 * n).tolist()
-    held.target = np.frombuffer(data, np.uint8, n, 4 + 5 * n).tolist()
-    tokens = np.frombuffer(data[4 + 6 * n :], np.uint16)
-    held.tokens = np.split(tokens, np.cumsum(lengths)[:-1]) if n else []
+    lengths = found.take(n, np.uint32).astype(np.int64)
+    held.half, held.target = found.take(n, np.uint8).tolist(), found.take(n, np.uint8).tolist()
+    held.hashes = found.take(n_words, np.uint64)
+    held.tokens = np.split(found.take(n_tokens, np.uint32).astype(np.int64), np.cumsum(lengths)[:-1])
     return held
 
 
-def token_counts(blocks: DataFrame, size: int) -> np.ndarray:
-    """Occurrences of each token in each class; the bounded vocabulary's table."""
+def sent_counts(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Counts of the words and bigrams of each block, a row per bucket: `block`, `bucket`, `data`.
+
+    A word or bigram is sent once per block, however frequent it is.
+    """
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        total = np.zeros((size, CLASSES), np.int64)
         for batch in stream:
-            for data, ids in zip(batch.column("data").to_pylist(), batch.column("ids").to_pylist()):
-                held = unsqueezed_block(data, ids)
-                keys, doc, _ = held.keys()
-                half, target = np.array(held.half)[doc], np.array(held.target)[doc]
-                token = (keys & np.uint32(0xFFFF)).astype(np.int64)
-                for k in range(2):
-                    total[:, 2 + k] += np.bincount(token[half == k], minlength=size)
-                    total[:, k] += np.bincount(token[(half == k) & (target == 1)], minlength=size)
-        found = np.flatnonzero(total.any(axis=1))
-        yield {"token": found} | {f"n{c}": total[found, c] for c in range(CLASSES)}
-
-    names = [f"n{c}" for c in range(CLASSES)]
-    schema = "token long, " + ", ".join(f"{n} long" for n in names)
-    parts = arrow_map(blocks.where("bucket is null").select("data", "ids"), rows, schema)
-    found = parts.groupBy("token").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    table = np.zeros((size, CLASSES), np.int64)
-    table[found["token"].to_numpy(np.int64)] = found[names].to_numpy(np.int64)
-    return table
-
-
-def losses(keys: np.ndarray, counts: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Target loss less background loss of each bigram, for documents of either half.
+            for number, data in zip(batch.column("block").to_pylist(), batch.column("data")):
+                yield sent(number, unsqueezed_block(data.as_py(), []))
+
+    def sent(number: int, held: Block) -> dict:
+        words, bigrams, _ = held.keys()
+        lengths = held.lengths()
+        half = np.repeat(np.array(held.half, np.int64), lengths)
+        own = np.repeat(np.array(held.target), lengths) == 1
+        every = slice(None)
+        parts = []
+        for keys in (words, bigrams):
+            counts = np.concatenate([keys.counts(own, half), keys.counts(every, half)], axis=1).astype(np.uint32)
+            parts.append((keys.values, counts, slices(keys.values, buckets)))
+        used, blobs = [], []
+        for k in range(buckets):
+            found = [(values[e[k] : e[k + 1]], counts[e[k] : e[k + 1]]) for values, counts, e in parts]
+            sizes = np.array([len(values) for values, _ in found], np.int64)
+            if sizes.any():
+                steps = [np.diff(values, prepend=np.uint64(0)) for values, _ in found]
+                used.append(k)
+                blobs.append(squeezed(sizes, *steps, *[counts.T for _, counts in found]))
+        return {
+            "block": pa.array([number] * len(used), pa.int64()),
+            "bucket": pa.array(used, pa.int64()),
+            "data": pa.array(blobs, pa.binary()),
+        }
+
+    return arrow_map(blocks.select("block", "data"), rows, "block long, bucket long, data binary")
 
-    Both models are Dirichlet-smoothed bigrams over a smoothed unigram of the same vocabulary, and both leave out the
-    half that the document itself is in.
-    """
-    before, after = keys >> 16, keys & 0xFFFF
-    out = np.zeros((len(keys), 2))
-    for half in range(2):
-        logs = []
-        for c in (1 - half, 3 - half):
-            alone = (table[after, c] + WORD_PRIOR) / (table[:, c].sum() + WORD_PRIOR * len(table))
-            logs.append(np.log((counts[:, c] + CONTEXT_PRIOR * alone) / (table[before, c] + CONTEXT_PRIOR)))
-        out[:, half] = logs[1] - logs[0]
-    return out
 
+def answered(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """What each sender of keys gets back, and the different keys with their counts in all.
 
-def bigram_losses(blocks: DataFrame, table: np.ndarray) -> DataFrame:
-    """An answer to each block from each bucket: the losses of the bigrams that it sent, in order."""
-    shared = blocks.sparkSession.sparkContext.broadcast(table)
+    Of each half that the sender has a key in, it gets the counts in the other half: target documents, all documents.
+    """
+    values, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros((len(values), CLASSES), np.int64)
+    for c in range(CLASSES):
+        every = np.concatenate([own[c] for own in counts])
+        total[:, c] = np.bincount(place, every, len(values))
+    edges = np.cumsum([0, *map(len, keys)])
+    answers = []
+    for own, begin, end in zip(counts, edges, edges[1:]):
+        mine = total[place[begin:end]][:, [[1, 3], [0, 2]]]
+        answers.append(mine[own[2:].T > 0])
+    return answers, values, total
+
+
+def counted_answers(counted: DataFrame) -> DataFrame:
+    """An answer to each block from each bucket: counts of the words and bigrams that it sent, in order.
+
+    The first row of a bucket also has its number of different words, and of transitions in each class (`totals`).
+    """
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for run in runs(stream, ["bucket"]):
-            keys, counts = [], []
-            for data in run.column("data").to_pylist():
-                data = zstandard.decompress(data)
-                n = int(np.frombuffer(data, np.uint32, 1)[0])
-                keys.append(np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.uint32))
-                counts.append(np.frombuffer(data, np.uint32, CLASSES * n, 4 + 4 * n).reshape(CLASSES, n))
-            values, place = np.unique(np.concatenate(keys), return_inverse=True)
-            every = np.concatenate(counts, axis=1)
-            total = np.stack([np.bincount(place, c, len(values)) for c in every], axis=1)
-            found = losses(values.astype(np.int64), total, shared.value).astype(np.float32)
-            edges = np.cumsum([0, *map(len, keys)])
-            answers = []
-            for own, (begin, end) in zip(counts, zip(edges, edges[1:])):
-                mine = found[place[begin:end]]
-                # Only for the halves that the block has the bigram in.
-                answers.append(mine[own[2:].T > 0].tobytes())
-            yield {"block": run.column("block"), "bucket": run.column("bucket"), "data": pa.array(answers, pa.binary())}
-
-    counted = blocks.where("bucket is not null").select("block", "bucket", "data")
-    counted = counted.repartition("bucket").sortWithinPartitions("bucket", "block")
-
-    def chunked(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for columns in rows(stream):
-            yield {k: v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v for k, v in columns.items()}
-
-    return arrow_map(counted, chunked, "block long, bucket long, data binary")
-
-
-def document_scores(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
-    """`id`, `n_words` and `score` of every document, from its block and the block's answers."""
+            keys: tuple[list, list] = ([], [])
+            counts: tuple[list, list] = ([], [])
+            for data in run.column("data"):
+                found = Unsqueezed(data.as_py())
+                sizes = found.take(2, np.int64).tolist()
+                for held, n in zip(keys, sizes):
+                    held.append(np.cumsum(found.take(n, np.uint64), dtype=np.uint64))
+                for held, n in zip(counts, sizes):
+                    held.append(found.take(CLASSES * n, np.uint32).reshape(CLASSES, n))
+            own, values, total = answered(keys[0], counts[0])
+            pairs, _, _ = answered(keys[1], counts[1])
+            blobs = [squeezed(np.array([len(w), len(p)], np.int64), w.T, p.T) for w, p in zip(own, pairs)]
+            words = int((values > BOUNDARY).sum())
+            yield {
+                "block": run.column("block").combine_chunks(),
+                "bucket": run.column("bucket").combine_chunks(),
+                "data": pa.array(blobs, pa.binary()),
+                "totals": pa.array([[words, *total.sum(axis=0).tolist()], *([None] * (len(blobs) - 1))], pa.list_(pa.int64())),
+            }
+
+    met = counted.repartition("bucket").sortWithinPartitions("bucket", "block")
+    return arrow_map(met, rows, "block long, bucket long, data binary, totals array<long>")
+
+
+class Received:
+    """Answers to a block, in the order of its keys."""
+
+    def __init__(self, data: list[bytes]) -> None:
+        self.parts: tuple[list, list] = ([], [])
+        for answer in data:
+            found = Unsqueezed(answer)
+            for held, n in zip(self.parts, found.take(2, np.int64).tolist()):
+                held.append(found.take(2 * n, np.int64).reshape(2, n))
+
+    def counts(self, kind: int, keys: Keys, half: np.ndarray) -> np.ndarray:
+        """For the words (0) or bigrams (1): counts in the other half, by key, half and model (target, all)."""
+        found = np.zeros((len(keys.values), 2, 2))
+        found[keys.counts(slice(None), half) > 0] = np.concatenate(self.parts[kind], axis=1).T
+        return found
+
+
+def document_scores(blocks: DataFrame, answers: DataFrame, totals: list[int]) -> DataFrame:
+    """`id`, `n_words` and `score` of every document, from its block and the block's answers.
+
+    Both models are Dirichlet-smoothed bigrams over a smoothed unigram of the same vocabulary, and both leave out the
+    half that the document itself is in.
+    """
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
-    none = F.lit(None)
-    both = blocks.where("bucket is null").select("block", F.lit(-1).cast("long").alias("bucket"), "data", "ids")
-    both = both.unionByName(answers.withColumn("ids", none.cast(f"array<{kind}>")))
+    both = blocks.select("block", F.lit(-1).cast("long").alias("bucket"), "data", "ids")
+    both = both.unionByName(answers.select("block", "bucket", "data", F.lit(None).cast(f"array<{kind}>").alias("ids")))
+    n_words, *classes = totals
+    size = n_words + 2  # UNKNOWN and BOUNDARY
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for run in runs(stream, ["block"]):
             data = run.column("data").to_pylist()
             held = unsqueezed_block(data[0], run.column("ids")[0].as_py())
-            keys, doc, lengths = held.keys()
-            values, place = np.unique(keys, return_inverse=True)
-            half = np.array(held.half)[doc]
-            has = np.bincount(place * 2 + half, minlength=2 * len(values)).reshape(-1, 2) > 0
-            order, _ = dealt(values, buckets)
-            found = np.zeros((len(values), 2), np.float32)
-            sent = np.zeros((len(values), 2), np.float32)
-            sent[has[order]] = np.frombuffer(b"".join(data[1:]), np.float32)
-            found[order] = sent
-            total = np.bincount(doc, found[place, half].astype(np.float64), len(lengths))
+            words, bigrams, before = held.keys()
+            lengths = held.lengths()
+            half = np.repeat(np.array(held.half, np.int64), lengths)
+            received = Received(data[1:])
+            single, pairs = received.counts(0, words, half), received.counts(1, bigrams, half)
+            loss = np.zeros(len(half))
+            for model, sign in ((0, -1), (1, 1)):
+                every = np.array([classes[2 * model + 1], classes[2 * model]])[half]
+                alone = (single[words.place, half, model] + WORD_PRIOR) / (every + WORD_PRIOR * size)
+                together = pairs[bigrams.place, half, model] + CONTEXT_PRIOR * alone
+                loss += sign * np.log(together / (single[before, half, model] + CONTEXT_PRIOR))
+            doc = np.repeat(np.arange(len(lengths)), lengths)
             yield {
                 "id": pa.array(held.ids, run.schema.field("ids").type.value_type),
                 "n_words": lengths - 1,
-                "score": total / lengths,
+                "score": np.bincount(doc, loss, len(lengths)) / lengths,
             }
 
     met = both.repartition("block").sortWithinPartitions("block", "bucket")
@@ -309,7 +361,7 @@ def document_scores(blocks: DataFrame, answers: DataFrame, buckets: int) -> Data
 def cross_entropy_difference(
     docs: DataFrame,
     targets: DataFrame,
-    vocabulary_size: int = VOCABULARY,
+    vocabulary_size: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -318,27 +370,30 @@ def cross_entropy_difference(
     `targets` holds the ids of the target documents; repeats and nulls in it do not count. Returns the id, `n_words`
     and `score` (negative: more like the targets), one row per row of `docs`.
 
-    Both models are bigram models with one smoothing and one vocabulary, the most frequent words of all documents
-    (lower case, split at white space); other words are one unknown word, and a boundary token stands at either end.
+    Both models are bigram models with one smoothing and one vocabulary: every word of all documents (lower case, split
+    at white space), and a boundary token at either end. With a `vocabulary_size`, only that many of the most frequent
+    words are told apart, and the others are one unknown word.
     Documents fall into two halves by a hash of the id, and each is scored by the models of the other half, so that
     no document is scored by a model that has seen it.
 
     Null and empty texts consist of the two boundaries. A null id is no target. Repeated rows are counted and scored
     each. Without targets the target model is uniform. An empty table gives no rows.
 
-    All words and bigrams of all documents are counted. Documents travel as word numbers in blocks of bounded
-    size; a block sends each of its bigrams once and gets the loss back, so a frequent bigram is no burden to the task that
-    adds it up.
+    All words and bigrams of all documents are counted, by hashes of 64 bits. Documents travel as word numbers in
+    blocks of bounded size, each with the hashes of its own words; a block sends each of its words and bigrams once and
+    gets the counts back, so a frequent one is no burden to the task that adds it up, and no task holds the vocabulary.
     """
-    words = vocabulary(word_counts(docs.select(text_bytes(text_col).alias("text"))), vocabulary_size)
-    size = len(words) + FIRST
+    words = None
+    if vocabulary_size is not None:
+        words = vocabulary(word_counts(docs.select(text_bytes(text_col).alias("text"))), vocabulary_size)
     wanted = targets.select(F.col(id_col).alias("id"), F.lit(1).alias("target")).where("id is not null").distinct()
-    tokens = token_rows(docs, words, id_col, text_col)
-    known = tokens.join(wanted.hint("shuffle_hash"), "id", "left")
+    known = text_rows(docs, id_col, text_col).join(wanted.hint("shuffle_hash"), "id", "left")
     half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
-    flagged = known.select("id", "tokens", F.coalesce("target", F.lit(0)).alias("target"), half)
+    flagged = known.select("id", "text", F.coalesce("target", F.lit(0)).alias("target"), half)
     length = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = int(max(1, min(32_768, length // 5 // BUCKET_TOKENS)))
-    blocks = stage(block_rows(flagged, buckets), "token_blocks")
-    answers = bigram_losses(blocks, token_counts(blocks, size))
-    return document_scores(blocks, answers, buckets).withColumnRenamed("id", id_col)
+    blocks = stage(block_rows(flagged, words), "token_blocks")
+    answers = stage(counted_answers(sent_counts(blocks, buckets)), "token_answers")
+    sums = [F.coalesce(F.sum(F.col("totals")[k]), F.lit(0)) for k in range(1 + CLASSES)]
+    totals = list(answers.agg(*sums).first())
+    return document_scores(blocks, answers, totals).withColumnRenamed("id", id_col)
