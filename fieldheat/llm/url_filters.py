@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from fieldheat.llm.common import stage
 
+TOLERANCE = 1e-6
+LEAST = 1e-300
+STAGED_ROUNDS = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?is)<a\s[^>]*?href\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]*)"
@@ -59,23 +62,39 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     return found.groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """Personalised PageRank after some rounds: `host`, `score`. `edges`: `src`, `dst`, `share` (adding up to 1 per `src`).
+def spread(
+    edges: DataFrame, seeds: DataFrame, damping: float, rounds: int | None = None, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """Personalised PageRank: `host`, `score`. `edges`: `src`, `dst`, `share` (adding up to 1 per `src`).
 
     `seeds`: `host`, `start` (adding up to 1). Every round passes on `damping` of each score along the links and gives
-    the rest back to the seeds; what reaches hosts without links goes no further. Scores are written every few
-    rounds, which keeps the plan small and survives lost executors. Sums are combined before the shuffle.
+    the rest back to the seeds; what reaches hosts without links goes no further. Rounds go on until one reaches no new
+    host and changes no score by more than `tolerance` of itself, or as many are made as `rounds` says. A host once
+    reached keeps a score above zero, however far it is. Scores are written every few rounds, which keeps the plan small
+    and survives lost executors. Sums are combined before the shuffle.
     """
+    if damping >= 1 and rounds is None:
+        raise ValueError("damping must be below 1 for scores to settle")
     score = seeds.select("host", F.col("start").alias("score"))
-    for done in range(1, rounds + 1):
+    done = 0
+    while rounds is None or done < rounds:
+        done += 1
         passed = edges.join(score, F.col("src") == F.col("host")).select(
-            F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")
+            F.col("dst").alias("host"), F.greatest(F.col("score") * F.col("share") * damping, F.lit(LEAST)).alias("score")
         )
         back = seeds.select("host", (F.col("start") * (1 - damping)).alias("score"))
-        score = passed.unionByName(back).groupBy("host").agg(F.sum("score").alias("score"))
-        if done % 5 == 0 and done < rounds:
-            score = stage(score, "host_scores")
-    return score
+        if done % STAGED_ROUNDS or done == rounds:
+            score = passed.unionByName(back).groupBy("host").agg(F.sum("score").alias("score"))
+            continue
+        before = score.select("host", F.lit(0.0).alias("score"), F.col("score").alias("before"))
+        both = passed.unionByName(back).withColumn("before", F.lit(0.0)).unionByName(before)
+        score = stage(both.groupBy("host").agg(F.sum("score").alias("score"), F.sum("before").alias("before")), "host_scores")
+        if rounds is None:
+            # 1 where a host is new; never more in a later round than in an earlier one.
+            change = score.agg(F.max(F.abs(F.col("score") - F.col("before")) / F.greatest("score", "before"))).first()[0]
+            if (change or 0) <= tolerance:
+                break
+    return score.select("host", "score")
 
 
 def seed_hosts(judged: DataFrame, verdict: str) -> DataFrame:
@@ -96,7 +115,7 @@ def filter_urls(
     pages: DataFrame,
     rules: DataFrame,
     damping: float = 0.85,
-    rounds: int = 10,
+    rounds: int | None = None,
     threshold: float = 0.5,
     id_col: str = "page_id",
     url_col: str = "url",
@@ -106,7 +125,8 @@ def filter_urls(
 
     A page that a rule fits has the rule's verdict. Others have their host's: trust starts at hosts of allowed pages
     and follows links, distrust starts at hosts of blocked pages and follows links backwards; a host is blocked if
-    distrust is more than `threshold` of both together, and allowed otherwise, also where neither reaches it.
+    distrust is more than `threshold` of both together, and allowed otherwise, also where neither reaches it. Both are
+    spread until they settle (`spread`), through chains of any length; with `rounds`, so many links far only.
 
     Null urls and urls without `://` have an empty host and path, which no rule fits and no link reaches, so they are
     allowed. Null pages have no links. Links within a host do not count. Repeated rows are judged each. An empty table
@@ -119,8 +139,9 @@ def filter_urls(
     ruled = stage(matching_rules(address, rules), "ruled")
     judged = stage(address.join(ruled, ["host", "path"], "left"), "judged")
     links = stage(host_links(pages, url_col, html_col), "host_links")
-    trust = spread(shares(links, "src", "dst"), seed_hosts(judged, "allow"), damping, rounds)
-    distrust = spread(shares(links, "dst", "src"), seed_hosts(judged, "block"), damping, rounds)
+    forward, backward = stage(shares(links, "src", "dst"), "forward_links"), stage(shares(links, "dst", "src"), "backward_links")
+    trust = spread(forward, stage(seed_hosts(judged, "allow"), "trusted"), damping, rounds)
+    distrust = spread(backward, stage(seed_hosts(judged, "block"), "distrusted"), damping, rounds)
     scores = trust.select("host", F.col("score").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(
         distrust.select("host", F.lit(0.0).alias("trust"), F.col("score").alias("distrust"))
     )
