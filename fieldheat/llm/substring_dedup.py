@@ -20,6 +20,7 @@ ANCHORS_AT_ONCE = 1 << 20
 WINDOWS_AT_ONCE = 1 << 19
 BUCKET_BYTES = 12 << 20
 SHORTEST = 5
+FREQUENT = 4096  # an anchor that occurs more often has its windows dealt one by one
 
 
 class Segments(NamedTuple):
@@ -106,12 +107,13 @@ class Sketch(NamedTuple):
 
     length: int
     bits: Broadcast
+    frequent: Broadcast  # sorted hashes of the anchors that occur more than FREQUENT times
 
 
 def anchor_blocks(docs: DataFrame, window: int, length: int, earlier: Sketch | None, buckets: int) -> DataFrame:
     """Hashes of the anchors of windows that survived the level before, all of them on the first level.
 
-    Dealt to buckets by their leading bits: `bucket`, `once`, `more` (seen more than once).
+    Dealt to buckets by their leading bits: `bucket`, `once`, `more` (seen more than once) and `times` (how often).
     """
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
@@ -136,14 +138,15 @@ def anchor_blocks(docs: DataFrame, window: int, length: int, earlier: Sketch | N
         values, counts = np.unique(hashes, return_counts=True)  # sorted, so buckets are slices
         bucket = (values >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(values), np.int64)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        once, more = [], []
+        once, more, times = [], [], []
         for begin, end in zip(edges, edges[1:]):
             alone = counts[begin:end] == 1
             once.append(values[begin:end][alone].tobytes())
             more.append(values[begin:end][~alone].tobytes())
-        return {"bucket": np.arange(buckets, dtype=np.int64), "once": once, "more": more}
+            times.append(counts[begin:end][~alone].astype(np.uint32).tobytes())
+        return {"bucket": np.arange(buckets, dtype=np.int64), "once": once, "more": more, "times": times}
 
-    return arrow_map(docs.select("text"), rows, "bucket long, once binary, more binary")
+    return arrow_map(docs.select("text"), rows, "bucket long, once binary, more binary, times binary")
 
 
 def repeated_sketch(docs: DataFrame, window: int, length: int, earlier: Sketch | None, buckets: int) -> Sketch | None:
@@ -152,8 +155,9 @@ def repeated_sketch(docs: DataFrame, window: int, length: int, earlier: Sketch |
     None if none does.
 
     Its size is fixed (32 MB). The more anchors repeat, the more others pass for repeated too; none that repeats is
-    ever missed, and what passes is compared exactly.
+    ever missed, and what passes is compared exactly. Anchors that occur more than FREQUENT times are listed.
     """
+    least = FREQUENT
     width = (1 << SKETCH_BITS) // buckets
     below = np.uint64(64 - SKETCH_BITS)
 
@@ -166,18 +170,29 @@ def repeated_sketch(docs: DataFrame, window: int, length: int, earlier: Sketch |
             again = np.concatenate([more, once[counts > 1]])
             if not len(again):
                 continue
+            times = np.frombuffer(b"".join(run.column("times").to_pylist()), np.uint32)
+            values, place = np.unique(again, return_inverse=True)
+            total = np.bincount(place, np.concatenate([times, counts[counts > 1]]), len(values))
+            # Once in a group of one, and more often in others.
+            alone = once[counts == 1]
+            at = np.minimum(np.searchsorted(values, alone), len(values) - 1)
+            total[at[values[at] == alone]] += 1
+            frequent = values[total > least].tobytes()
             bits = np.zeros(width, np.uint8)
             bits[((again >> below) & np.uint64(width - 1)).astype(np.int64)] = 1
             packed = zstandard.compress(np.packbits(bits).tobytes(), 1)
-            yield {"bucket": [run.column("bucket")[0].as_py()], "bits": [packed]}
+            yield {"bucket": [run.column("bucket")[0].as_py()], "bits": [packed], "frequent": [frequent]}
 
     blocks = anchor_blocks(docs, window, length, earlier, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    slices = {r.bucket: r.bits for r in arrow_map(blocks, rows, "bucket long, bits binary").collect()}
-    if not slices:
+    found = arrow_map(blocks, rows, "bucket long, bits binary, frequent binary").collect()
+    if not found:
         return None
+    slices = {r.bucket: r.bits for r in found}
+    frequent = np.sort(np.frombuffer(b"".join(bytes(r.frequent) for r in found), np.uint64))
     empty = bytes(width // 8)
     joined = b"".join(zstandard.decompress(slices[b]) if b in slices else empty for b in range(buckets))
-    return Sketch(length, docs.sparkSession.sparkContext.broadcast(joined))
+    share = docs.sparkSession.sparkContext.broadcast
+    return Sketch(length, share(joined), share(frequent))
 
 
 class Batch:
@@ -260,6 +275,8 @@ def candidate_blocks(docs: DataFrame, sketch: Sketch, window: int, buckets: int)
 
     Among the windows a task holds at a time, only the earliest of a kind goes on, in a block for its bucket; the
     later ones are marks already. So a passage that very many documents share is sent once per block at most.
+    Windows go to buckets by their anchor, which keeps neighbours together, but by their own hash if the anchor is a
+    frequent one: a short line that very many documents share has a different window in each.
     """
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -301,9 +318,10 @@ def candidate_blocks(docs: DataFrame, sketch: Sketch, window: int, buckets: int)
         first, later = firsts(hashes, checks, doc, start)
         if len(later):
             yield marks_columns(documents, doc[later], start[later])
-        bucket = (anchors[first] % np.uint64(buckets)).astype(np.int64)
-        first = first[np.lexsort((start[first], doc[first], bucket))]
-        bucket = (anchors[first] % np.uint64(buckets)).astype(np.int64)
+        spread = np.isin(anchors, sketch.frequent.value)
+        bucket = (np.where(spread, hashes, anchors) % np.uint64(buckets)).astype(np.int64)
+        first = first[np.lexsort((start[first], doc[first], bucket[first]))]
+        bucket = bucket[first]
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         names, blocks = [], []
         for k in np.flatnonzero(np.diff(edges)).tolist():
