@@ -102,7 +102,8 @@ FROM judged j LEFT JOIN trust_{ROUNDS} t ON j.host = t.host LEFT JOIN distrust_{
 
 ORACLE_SQL["op3_substring_dedup"] = r"""
 WITH split AS (
-    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
 ), starts AS (
     SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + 19), ' ')) AS gram
     FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS pos FROM split WHERE len(w) >= 20)
@@ -141,3 +142,55 @@ WITH RECURSIVE able AS (
 SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN least USING (vec_id) LEFT JOIN degrees ON src = e.vec_id
 """
+
+
+def _nearest_entries(books: str) -> str:
+    """The nearest entry of every part and the squared distance to it; whole numbers, exact in double precision."""
+    return f"""
+    SELECT vec_id, part, any_value(p) AS p, min(key) // 256 AS distance, min(key) % 256 AS entry
+    FROM (SELECT c.*, CAST(list_inner_product(p, p) - 2 * list_inner_product(p, e) + list_inner_product(e, e) AS HUGEINT)
+                      * 256 + b.entry AS key
+          FROM cells c JOIN {books} b USING (part))
+    GROUP BY vec_id, part"""
+
+
+def _moved_books(nearest: str, books: str) -> str:
+    """Entries as floored means of their parts; those without parts as they were."""
+    return f"""
+    SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM {books} b LEFT JOIN (
+        SELECT part, entry, list(mean ORDER BY place) AS e
+        FROM (SELECT part, entry, place, floor(sum(x) / count(*)) AS mean
+              FROM (SELECT part, entry, unnest(p) AS x, generate_subscripts(p, 1) AS place FROM {nearest})
+              GROUP BY part, entry, place)
+        GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry"""
+
+
+CODE_ROUNDS = 6
+_CODE_STEPS = [
+    """able AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+    """cells AS (
+    SELECT vec_id, part, list_slice(v, part * len(v) // 8 + 1, (part + 1) * len(v) // 8) AS p
+    FROM (SELECT vec_id, v, unnest(range(8)) AS part FROM able))""",
+    """books_0 AS (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, p AS e
+    FROM cells WHERE vec_id IN (SELECT vec_id FROM able ORDER BY vec_id LIMIT 16))""",
+]
+for _n in range(CODE_ROUNDS):
+    _CODE_STEPS.append(f"nearest_{_n} AS MATERIALIZED ({_nearest_entries(f'books_{_n}')})")
+    _CODE_STEPS.append(f"books_{_n + 1} AS MATERIALIZED ({_moved_books(f'nearest_{_n}', f'books_{_n}')})")
+_CODE_STEPS.append(f"coded AS MATERIALIZED ({_nearest_entries(f'books_{CODE_ROUNDS}')})")
+
+ORACLE_SQL["op12_vector_codes"] = f"""
+WITH {", ".join(_CODE_STEPS)}, summed AS (
+    SELECT vec_id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code,
+           CAST(sum(distance) AS BIGINT) AS error
+    FROM coded GROUP BY vec_id
+), digest AS (
+    SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256
+    FROM (SELECT part, entry, unnest(e) AS x, generate_subscripts(e, 1) AS place FROM books_{CODE_ROUNDS})
+)
+SELECT s.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM summed s JOIN able USING (vec_id), digest
+"""

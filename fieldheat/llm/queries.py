@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldheat.llm.common import load
 from fieldheat.llm.decontamination import benchmark_hits
 from fieldheat.llm.embedding_dedup import near_vectors
+from fieldheat.llm.exact_fit import pack_exactly
 from fieldheat.llm.line_dedup import dedup_lines
 from fieldheat.llm.lm_scoring import cross_entropy_difference
 from fieldheat.llm.oracle import ORACLE_SQL
@@ -20,6 +21,8 @@ from fieldheat.llm.substring_dedup import dedup_substrings
 from fieldheat.llm.token_counts import token_counts
 from fieldheat.llm.toxicity import held_out, toxicity
 from fieldheat.llm.url_filters import filter_urls
+from fieldheat.llm.vector_codes import codebook_digest, compress_vectors
+from fieldheat.llm.whitening import whiten
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -135,3 +138,33 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(names, 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few sequences of at most 2048 tokens as exact complements and best fit give."""
+    docs = load(spark, sf_dir, "documents")
+    packed = pack_exactly(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, window=2048)
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code of eight parts for every vector, and how far it is from the vector."""
+    found, books = compress_vectors(load(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, factor=4096)
+    return found.select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(codebook_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thirty-two whitened components of every vector."""
+    found = whiten(load(spark, sf_dir, "embeddings"), components=32, factor=64, shift=1_000_000)
+    return found.withColumnRenamed("id", "vec_id")

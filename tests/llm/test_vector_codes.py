@@ -1,0 +1,113 @@
+"""Vector codes against plain k-means in Python integers."""
+
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from fieldheat.llm.vector_codes import Codebook, codebook_digest, compress_vectors, part_borders
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id string, codes int, error string, vector int"
+
+
+def vectors(spark, rows, tasks=5):
+    full = [(i, v, label, "x", 1, "y", 2) for i, v, label in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(tasks)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(-4, 4), min_size=2, max_size=2), min_size=1, max_size=20),
+    st.lists(st.lists(st.integers(-4, 4), min_size=2, max_size=2), min_size=1, max_size=30),
+)
+def test_the_search_finds_the_nearest_entry_and_the_first_of_several(entries, points):
+    entries, points = np.array(entries, np.int64), np.array(points, np.int64)
+    at, distance = Codebook(entries).nearest(points)
+    every = ((points[:, None] - entries[None]) ** 2).sum(axis=2)
+    assert at.tolist() == every.argmin(axis=1).tolist() and distance.tolist() == every.min(axis=1).tolist()
+
+
+def expected_codes(rows, size, parts, entries, rounds):
+    rows = [
+        (i, [max(-(2**24), min(2**24, math.floor(4096 * float(x)))) for x in v], label)
+        for i, v, label in rows
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    seeds = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    borders = part_borders(size, parts)
+
+    def nearest(point, book):
+        return min((sum((a - b) ** 2 for a, b in zip(point, e)), k) for k, e in enumerate(book))
+
+    books = [[s[1][a:b] for s in seeds] for a, b in zip(borders, borders[1:])]
+    for _ in range(rounds):
+        for n, (a, b) in enumerate(zip(borders, borders[1:])):
+            members = defaultdict(list)
+            for _, v, _ in rows:
+                members[nearest(v[a:b], books[n])[1]].append(v[a:b])
+            for k, own in members.items():
+                books[n][k] = [sum(x) // len(own) for x in zip(*own)]
+    coded, by_label = [], defaultdict(int)
+    for i, v, label in rows:
+        found = [nearest(v[a:b], books[n]) for n, (a, b) in enumerate(zip(borders, borders[1:]))]
+        coded.append((i, bytes(k for _, k in found), sum(d for d, _ in found), label))
+        by_label[label] += coded[-1][2]
+    return sorted((repr(i), c, e, by_label[label]) for i, c, e, label in coded), books
+
+
+def checked(spark, rows, size, parts=4, entries=5, rounds=3):
+    found, books = compress_vectors(vectors(spark, rows), parts=parts, entries=entries, rounds=rounds)
+    expected, expected_books = expected_codes(rows, size, parts, entries, rounds)
+    assert sorted((repr(r.id), bytes(r.codes), r.error, r.label_error) for r in found.collect()) == expected
+    assert [b.tolist() for b in books] == expected_books
+    return books
+
+
+def sample(n, size, seed=3):
+    rng = np.random.default_rng(seed)
+    return [(int(i), rng.normal(0, 0.3, size).astype(np.float32).tolist(), int(i) % 3) for i in range(n)]
+
+
+def test_against_plain_k_means(spark):
+    rows = sample(120, 12)
+    rows += [(200 + n, rows[n % 4][1], None) for n in range(30)]  # copies, null labels
+    rows += [(300, None, 1), (301, [0.1] * 11 + [None], 1), (302, [0.1] * 11 + [math.inf], 2), (303, [math.nan] * 12, 0)]
+    rows += [(304, [0.5] * 7, 1), (305, [], 1), (None, rows[9][1], 2), (7, rows[8][1], 7), (7, rows[8][1], 7)]
+    rows += [(306, [0.0] * 12, 1), (-5, [1e30, -1e30] * 6, 4)]
+    checked(spark, rows, 12)
+
+
+def test_parts_of_unequal_length(spark):
+    assert part_borders(10, 4) == [0, 3, 6, 8, 10] and part_borders(2, 4) == [0, 1, 2, 2, 2]
+    checked(spark, sample(40, 10), 10)
+    checked(spark, sample(20, 2), 2)
+
+
+def test_fewer_vectors_than_entries(spark):
+    books = checked(spark, sample(3, 8), 8)
+    assert [len(b) for b in books] == [3] * 4
+
+
+def test_one_vector_repeated(spark):
+    checked(spark, [(n, [0.25] * 8, None) for n in range(30)], 8)
+
+
+def test_nothing(spark):
+    for rows in ([], [(1, None, 1), (2, [], 1), (3, [math.nan], 2)]):
+        found, books = compress_vectors(vectors(spark, rows))
+        assert found.collect() == [] and books == []
+
+
+def test_the_digest_lists_components_in_order():
+    import hashlib
+
+    books = [np.array([[1, -2], [3, 4]]), np.array([[5], [6]])]
+    assert codebook_digest(books) == hashlib.sha256(b"1,-2,3,4,5,6").hexdigest()
+
+
+def test_an_entry_number_is_a_byte(spark):
+    with pytest.raises(ValueError):
+        compress_vectors(vectors(spark, sample(2, 8)), entries=257)

@@ -1,0 +1,163 @@
+"""Whitening against numpy's own decompositions and integer arithmetic."""
+
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from hypothesis.extra.numpy import arrays
+
+from fieldheat.llm import whitening
+from fieldheat.llm.whitening import centred, deviations, dqds, right_singular, whiten
+
+SCHEMA = "vec_id long, embedding array<float>, id string, component int, n string, vector int"
+
+
+def vectors(spark, rows, tasks=5):
+    return spark.createDataFrame([(i, v, "x", 1, "y", 2) for i, v in rows], SCHEMA).repartition(tasks)
+
+
+def check_decomposition(r):
+    values, vectors = right_singular(r)
+    size = r.shape[1]
+    exact = np.sort(np.linalg.svd(r, compute_uv=False))[::-1] ** 2
+    top = max(exact.max(initial=0), 1e-300)
+    assert np.abs(values - exact).max(initial=0) <= 1e-12 * top
+    assert np.abs(vectors.T @ vectors - np.eye(size)).max(initial=0) < 1e-10
+    assert np.abs(r.T @ r @ vectors - vectors * values).max(initial=0) <= 1e-10 * top
+    assert (np.diff(values) <= 0).all()
+
+
+RNG = np.random.default_rng(8)
+ORTHOGONAL = np.linalg.qr(RNG.normal(size=(30, 30)))[0]
+CASES = {
+    "random": RNG.normal(size=(40, 40)),
+    "graded": RNG.normal(size=(40, 40)) @ np.diag(np.logspace(0, -7, 40)),
+    "equal": ORTHOGONAL,
+    "two values": ORTHOGONAL @ np.diag([3.0] * 12 + [1.0] * 18) @ np.linalg.qr(RNG.normal(size=(30, 30)))[0],
+    "nearly equal": np.eye(20) + 1e-9 * RNG.normal(size=(20, 20)),
+    "pairs far apart": np.diag(np.abs(np.arange(-10.0, 11)) + 1) + np.diag(np.ones(20), 1),
+    "rank one": np.outer(RNG.normal(size=12), RNG.normal(size=12)),
+    "null columns": RNG.normal(size=(15, 15)) * (np.arange(15) % 3 > 0),
+    "equal columns": RNG.normal(size=(15, 15))[:, [0, 0, 1, 2, 2, *range(5, 15)]],
+    "nothing": np.zeros((6, 6)),
+    "identity": np.eye(9),
+    "one": np.array([[-2.0]]),
+    "large": 1e120 * RNG.normal(size=(10, 10)),
+    "small": 1e-120 * RNG.normal(size=(10, 10)),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_small_matrices(name):
+    check_decomposition(CASES[name])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 9).flatmap(lambda k: arrays(float, (k, k), elements=st.integers(-3, 3).map(float))))
+def test_any_small_matrix(r):
+    check_decomposition(r)
+
+
+def test_dqds_keeps_small_values_accurate():
+    """A bidiagonal matrix gives its singular values to high relative accuracy, the least too: compared at 60 digits."""
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 60
+    diagonal, above = np.array([1e-8, 1.0, 3.0]), np.array([0.5, 1e-5])
+    product = math.prod(Decimal(float(x)) ** 2 for x in diagonal)
+    values = dqds(diagonal, above)
+    assert abs(float(math.prod(Decimal(v) for v in values) / product) - 1) < 1e-13
+
+
+def test_deviations_are_exact_and_null_beyond_a_long():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-1000, 1000, (50, 6)) + 1_000_000
+    sums = x.sum(axis=0).tolist()
+    exact = [sum((50 * v - s) ** 2 for v, s in zip(row, sums)) for row in x.tolist()]
+    assert deviations(x, 50, sums) == exact
+    large = x.copy()
+    large[3] = 1 << 52
+    sums = large.sum(axis=0).tolist()
+    exact = [sum((50 * v - s) ** 2 for v, s in zip(row, sums)) for row in large.tolist()]
+    assert deviations(large, 50, sums) == [v if v < 1 << 63 else None for v in exact]
+    middle = x * 40_000
+    sums = middle.sum(axis=0).tolist()
+    exact = [sum((50 * v - s) ** 2 for v, s in zip(row, sums)) for row in middle.tolist()]
+    assert deviations(middle, 50, sums) == [v if v < 1 << 63 else None for v in exact]
+    assert np.allclose(centred(x, 50, x.sum(axis=0).tolist()), x - x.mean(axis=0), atol=1e-9)
+
+
+def checked(spark, rows, size, components=32, tasks=5):
+    kept = [
+        (i, [math.floor(64 * float(c)) + 1_000_000 for c in v])
+        for i, v in rows
+        if v is not None and len(v) == size and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    x = np.array([v for _, v in kept], float)
+    n, sums = len(kept), [sum(c) for c in zip(*(v for _, v in kept))]
+    values = np.linalg.eigvalsh(np.cov(x.T, bias=True).reshape(size, size))[::-1][: min(components, size)]
+    found = whiten(vectors(spark, rows, tasks), components=components).collect()
+    assert len(found) == n * len(values)
+    own = defaultdict(list)
+    for r in sorted(found, key=lambda r: r.component):
+        assert r.n == n
+        own[(repr(r.id), r.deviation)].append(r)
+    # Repeated rows have equal components, so they are compared as one.
+    matrix = []
+    for i, v in kept:
+        deviation = sum((n * c - s) ** 2 for c, s in zip(v, sums))
+        mine = own[(repr(i), deviation)]
+        assert {r.component for r in mine} == set(range(1, len(values) + 1))
+        by_component = {r.component: r.whitened for r in mine}
+        matrix.append([by_component[k + 1] for k in range(len(values))])
+        for r in mine:
+            share = values[r.component - 1] / max(values.sum() if len(values) == size else np.trace(np.cov(x.T, bias=True)), 1e-300)
+            assert r.explained is None or abs(r.explained - share) <= 1e-9
+    varied = int((values > 1e-12 * max(values[0], 1e-300)).sum())
+    matrix = np.array(matrix, float)
+    if n and varied:
+        w = matrix[:, :varied]
+        error = np.abs(np.cov(w.T, bias=True).reshape(varied, varied) - np.eye(varied)).max()
+        assert error < 1e-9 and all(abs(r.identity_error - error) < 1e-9 for r in found)
+        # The whitened rows rebuild the part of the rows that the components span.
+        vectors_of = np.linalg.eigh(np.cov(x.T, bias=True).reshape(size, size))[1][:, ::-1][:, :varied]
+        offs = (x - x.mean(axis=0)) @ vectors_of / np.sqrt(values[:varied])
+        assert np.allclose(np.abs(offs), np.abs(w), atol=1e-6)
+    assert np.isnan(matrix[:, varied:]).all()
+    return found
+
+
+def sample(n, size, seed=4):
+    rng = np.random.default_rng(seed)
+    spread = np.linspace(3, 1, size)
+    return [(int(i), (rng.normal(0, 1, size) * spread).astype(np.float32).tolist()) for i in range(n)]
+
+
+def test_against_numpy(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "MERGED", 2)
+    rows = sample(300, 9)
+    rows += [(400, None), (401, [0.1] * 8 + [None]), (402, [0.1] * 8 + [math.inf]), (403, [math.nan] * 9)]
+    rows += [(404, [0.5] * 4), (405, []), (None, rows[3][1]), (7, rows[7][1]), (406, [0.0] * 9)]
+    checked(spark, rows, 9, components=5, tasks=9)
+
+
+def test_fewer_dimensions_than_components_and_constant_ones(spark):
+    checked(spark, [(i, [*v[:3], 1.5, v[0]]) for i, v in sample(60, 4)], 5)
+
+
+def test_fewer_rows_than_dimensions(spark):
+    checked(spark, sample(4, 7), 7)
+
+
+def test_rows_that_do_not_vary(spark):
+    found = whiten(vectors(spark, [(1, [0.5, 2.0]), (2, [0.5, 2.0])])).collect()
+    assert len(found) == 4
+    assert all((r.n, r.deviation, r.whitened, r.explained, r.identity_error) == (2, 0, None, None, None) for r in found)
+
+
+def test_nothing(spark):
+    for rows in ([], [(1, None), (2, []), (3, [math.nan])]):
+        assert whiten(vectors(spark, rows)).collect() == []
