@@ -51,29 +51,28 @@ class Tables(TestTables):
 
     __test__ = False
 
+    def located_fields(self) -> DataFrame:
+        return fields.field_master(
+            self.fields(), self.boundaries(), self.polygons(), self.elevation_grid(), self.elevation_cache()
+        )
+
     @cached_property
     def field_master(self) -> DataFrame:
         """Staged: it gives the stations' states as well as the fields."""
-        master = fields.field_master(
-            self.fields(), self.boundaries(), self.polygons(), self.elevation_grid(), self.elevation_cache()
-        )
-        return stage(master, "field_master")
+        return stage(self.located_fields(), "field_master")
 
     def windows(self) -> DataFrame:
         return seasons.season_windows(self.operations(), self.loaded(), self.thresholds())
 
-    def field_seasons(self) -> DataFrame:
+    def field_seasons(self, master: DataFrame | None = None) -> DataFrame:
         columns = ["FIELD_ID", "CROP_NAME", "CROP_SEASON", "seeding_date", "harvest_date"]
-        return seasons.field_seasons(self.field_master, self.windows().select(*columns))
+        return seasons.field_seasons(self.field_master if master is None else master, self.windows().select(*columns))
 
     def stations(self) -> DataFrame:
         return stations.active_stations(self.station_metadata(), self.field_master)
 
-    def nearest(self, field: str | None = None) -> DataFrame:
-        wanted = self.field_seasons()
-        if field is not None:
-            wanted = wanted.filter(F.col("FIELD_ID") == field)
-        return stations.nearest_stations(wanted, self.stations(), RADIUS_MILES)
+    def nearest(self) -> DataFrame:
+        return stations.nearest_stations(self.field_seasons(), self.stations(), RADIUS_MILES)
 
     @cached_property
     def field_stations(self) -> DataFrame:
@@ -83,6 +82,11 @@ class Tables(TestTables):
     def plan(self) -> DataFrame:
         return readings.station_season_plan(self.field_stations)
 
+    @cached_property
+    def stored_plan(self) -> DataFrame:
+        """Station ranges of all field-seasons, staged: whoever asks for some of them needs all ranges."""
+        return stage(self.plan(), "station_ranges")
+
     def planned_readings(self) -> DataFrame:
         return readings.readings_by_plan(self.readings(), self.plan())
 
@@ -112,9 +116,7 @@ class Tables(TestTables):
 
 @query
 def fields_master(t: Tables) -> DataFrame:
-    return fields.field_master(
-        t.fields(), t.boundaries(), t.polygons(), t.elevation_grid(), t.elevation_cache()
-    )
+    return t.located_fields()
 
 
 @query
@@ -190,7 +192,7 @@ def seasons_current_actual(t: Tables) -> DataFrame:
 
 @query
 def field_seasons(t: Tables) -> DataFrame:
-    return t.field_seasons()
+    return t.field_seasons(t.located_fields())
 
 
 @query
@@ -344,13 +346,11 @@ def gdh_hourly(t: Tables) -> DataFrame:
 
 @query
 def gdh_one_field(t: Tables) -> DataFrame:
-    """The report for one grower's field: only its own stations are searched and only their readings taken.
-
-    Which stations are active depends on the states of all fields, so those are still located.
-    """
-    chosen = stage(t.nearest(field="144"), "field_stations")
-    heat = season_heat.season_degree_hours(chosen, t.readings(), t.windows(), t.thresholds())
-    return heat.filter("FIELD_ID = '144'")
+    """The report for one grower's field: only its own stations' readings are taken, in the ranges of all fields."""
+    chosen = t.field_stations.filter("FIELD_ID = '144'")
+    return season_heat.season_degree_hours(
+        chosen, t.readings(), t.windows().filter("FIELD_ID = '144'"), t.thresholds(), plan=t.stored_plan
+    )
 
 
 @query

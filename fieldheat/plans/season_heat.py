@@ -65,15 +65,14 @@ def _months_of(windows: str) -> Column:
     )
 
 
-def _open_days(measured: DataFrame, field_stations: DataFrame) -> DataFrame:
+def _open_days(measured: DataFrame, plan: DataFrame) -> DataFrame:
     """Station-days inside any range planned for their station, from midnight to midnight.
 
     Of a range's last day only midnight is inside, unless another range covers that day. A station
     has one range per season, so the list of ranges that touch a month is short.
     """
-    plan = (
-        station_season_plan(field_stations)
-        .filter("seeding_date <= harvest_date")
+    ranges = (
+        plan.filter("seeding_date <= harvest_date")
         .select("station_id", F.struct(F.col("seeding_date").alias("low"), F.col("harvest_date").alias("high")).alias("w"))
         .select("station_id", "w", F.explode(_months_of("array(w)")).alias("month"))
         .groupBy(*STATION_MONTH)
@@ -86,7 +85,7 @@ def _open_days(measured: DataFrame, field_stations: DataFrame) -> DataFrame:
         F.array(F.struct(F.lit(0).alias("Hour"), F.col("midnight_avg").alias("temp_avg"))),
     ).otherwise(F.expr("filter(known, h -> false)"))
     return (
-        measured.join(plan, STATION_MONTH)
+        measured.join(ranges, STATION_MONTH)
         .withColumn("whole_day", whole_day)
         .filter(F.col("whole_day") | (last_day & F.col("has_midnight")))
         .select(
@@ -138,19 +137,31 @@ def _busy_stations(field_stations: DataFrame, tasks: int) -> DataFrame:
 
 
 def field_station_days(
-    field_stations: DataFrame, readings: DataFrame, rate: float = LAPSE_F_PER_1000_FT
+    field_stations: DataFrame,
+    readings: DataFrame,
+    rate: float = LAPSE_F_PER_1000_FT,
+    *,
+    plan: DataFrame | None = None,
 ) -> DataFrame:
     """Days of each field-season's stations with their hours, partitioned by field and season.
 
+    `plan` holds the ranges planned for stations (`station_season_plan`), of all field-seasons even if only some are asked
+    for here: fields share stations, and a day that one field's range only touches may lie inside another's. Without
+    a plan the given field-seasons are all there are.
+
     The days of a busy station are repeated for as many shares of its fields as it fills shuffle tasks, so that
     no task meets all fields of one. Use a stored field_stations: it is read several times.
     """
+    if plan is None:
+        plan = station_season_plan(field_stations)
+    else:
+        plan = plan.join(field_stations.select("station_id").distinct(), "station_id", "left_semi")
     tasks = int(field_stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     busy = F.broadcast(_busy_stations(field_stations, tasks))
     share_list = F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)
     needed = of_years(readings, _station_years(field_stations))
     days = (
-        _open_days(station_days(needed), field_stations)
+        _open_days(station_days(needed), plan)
         .join(busy, "station_id", "left")
         .withColumn("share", F.explode(share_list))
         .drop("shares")
@@ -181,6 +192,26 @@ def hourly_means(days: DataFrame) -> DataFrame:
     )
 
 
+# Days of a season as bits of six longs, by their number in the year; a season's days lie in its own calendar year.
+DAY_WORDS = 6
+
+
+def _day_word(n: int) -> str:
+    """The bits of one row's day in the n-th long."""
+    return f"if((dayofyear(Date) - 1) div 64 = {n}, shiftleft(1L, (dayofyear(Date) - 1) % 64), 0L)"
+
+
+def _days_before(day: str) -> str:
+    """How many of the season's days lie before a date."""
+    at = f"(dayofyear({day}) - 1)"
+    counts = [
+        f"CASE WHEN {at} div 64 > {n} THEN bit_count(days_{n})"
+        f" WHEN {at} div 64 = {n} THEN bit_count(days_{n} & (shiftleft(1L, {at} % 64) - 1L)) ELSE 0 END"
+        for n in range(DAY_WORDS)
+    ]
+    return "(" + " + ".join(counts) + ")"
+
+
 def _spread(days: DataFrame) -> DataFrame:
     """Rows of the completed grid from field_station_days, each with the known hours around it.
 
@@ -189,41 +220,52 @@ def _spread(days: DataFrame) -> DataFrame:
     spread from its position to just before the next known one (next_at, v1, t1); the first of a
     series also covers what lies before it. A series without any known hour is carried by its first
     day.
+
+    One sort by series and date serves all windows. The days of a field-season are a bitmap, from which ranks are
+    counted; only rows spread beyond their own day list the days.
     """
     by_day = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date{})"
-    in_season = "OVER (PARTITION BY FIELD_ID, CROP_SEASON ORDER BY Date{})"
-    # Ordered like in_season although the order matters for the dates only, so that one sort serves both.
-    whole = in_season.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+    in_season = "OVER (PARTITION BY FIELD_ID, CROP_SEASON)"
     rank_of = "bit_count(season_bits & (shiftleft(1, {0}) - 1))"
-
     first_known = F.expr(
-        "if(size(known) > 0, struct(Date, day_no, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)"
+        "if(size(known) > 0, struct(Date, get(known, 0).Hour AS Hour, get(known, 0).temp_avg AS temp_avg), NULL)"
     )
-    placed = (
-        days.withColumn("day_no", F.expr(f"dense_rank() {in_season.format('')} - 1"))
-        .withColumn("new_date", F.expr(f"if(lag(Date) {in_season.format('')} <=> Date, NULL, Date)"))
-        .withColumn("dates", F.expr(f"collect_list(new_date) {whole}"))
-        .withColumn("season_bits", F.expr(f"bit_or(hour_bits) {whole}"))
-        .withColumn("first_known", first_known)
+    words = [f"days_{n}" for n in range(DAY_WORDS)]
+    along = (
+        days.withColumn("first_known", first_known)
         .withColumn("later", F.expr(f"lead(first_known) IGNORE NULLS {by_day.format('')}"))
         .withColumn("days_before", F.expr(f"row_number() {by_day.format('')} - 1"))
         .withColumn("known_days", F.expr(f"count(first_known) {by_day.format(' ROWS UNBOUNDED PRECEDING')}"))
+        .withColumns({word: F.expr(_day_word(n)) for n, word in enumerate(words)})
+    )
+    placed = (
+        along.withColumns(
+            {word: F.expr(f"bit_or({word}) {in_season}") for word in words}
+            | {"season_bits": F.expr(f"bit_or(hour_bits) {in_season}")}
+        )
         .filter("size(known) > 0 OR (days_before = 0 AND later IS NULL)")
         .withColumn("per_day", F.expr("bit_count(season_bits)"))
         .withColumn("hours_seen", F.expr("filter(sequence(0, 23), h -> (season_bits & shiftleft(1, h)) <> 0)"))
+        .withColumn("day_no", F.expr(_days_before("Date")))
         .withColumn("day_at", F.expr("day_no * per_day"))
-        .withColumn("later_at", F.expr("later.day_no * per_day + " + rank_of.format("later.Hour")))
+        .withColumn("later_at", F.expr(_days_before("later.Date") + " * per_day + " + rank_of.format("later.Hour")))
+        .withColumn("later_at", F.expr("if(later IS NULL, NULL, later_at)"))
+        .withColumn("grid_size", F.expr("(" + " + ".join(f"bit_count({word})" for word in words) + ") * per_day"))
+        .withColumn("first_day", F.expr("known_days <= 1"))
     )
+    beyond = "(first_day AND day_no > 0) OR coalesce(later_at, grid_size) > day_at + per_day"
+    listed = f"filter(sequence(0, {64 * DAY_WORDS - 1}), d -> get(array({', '.join(words)}), d div 64) & shiftleft(1L, d % 64) <> 0)"
     # Hours of the day with the next known hour, which may lie on a later day.
-    hours = placed.select(
+    hours = placed.withColumn("season_days", F.expr(f"if({beyond}, {listed}, NULL)")).select(
         *SERIES,
         "adjusted_wt",
-        "dates",
+        "season_days",
         "hours_seen",
         "per_day",
-        F.expr("size(dates) * per_day").alias("grid_size"),
-        F.expr("known_days <= 1").alias("first_day"),
+        "grid_size",
+        "first_day",
         "Date",
+        "day_no",
         "day_at",
         "season_bits",
         "known",
@@ -253,7 +295,10 @@ def _spread(days: DataFrame) -> DataFrame:
         .withColumn("from_at", F.expr("if(v0 IS NULL OR (first_day AND i = 0), 0, at)"))
         .withColumn("p", F.explode(F.expr("sequence(from_at, coalesce(next_at, grid_size) - 1)")))
     )
-    return spread.withColumn("Date", F.expr("dates[p div per_day]")).withColumn("Hour", F.expr("hours_seen[p % per_day]"))
+    other_day = "date_add(make_date(CROP_SEASON, 1, 1), get(season_days, p div per_day))"
+    return spread.withColumn("Date", F.expr(f"if(p div per_day = day_no, Date, {other_day})")).withColumn(
+        "Hour", F.expr("hours_seen[p % per_day]")
+    )
 
 
 def completed_hours(days: DataFrame) -> DataFrame:
@@ -284,6 +329,7 @@ def season_degree_hours(
     seasons: DataFrame,
     thresholds: DataFrame,
     *,
+    plan: DataFrame | None = None,
     x: str = "position",
     rate: float = LAPSE_F_PER_1000_FT,
     temp_col: str = "temp_combined_avg",
@@ -291,13 +337,17 @@ def season_degree_hours(
 ) -> DataFrame:
     """Degree hours per field, crop and hour, from the chosen stations and their readings.
 
+    Given only some field-seasons, the rows are those of the full run if `plan` holds the station ranges of all of them
+    (see field_station_days).
+
     With `since`, the rows of the full result from that day on. Gaps are filled along whole seasons, so the
     field-seasons that are open that day or later are computed from all their readings; those of other
-    station-years are not read.
+    station-years are not read. Ranges of closed seasons still count, since one may end in the year after.
     """
     if since is not None:
+        plan = station_season_plan(field_stations) if plan is None else plan
         field_stations = open_field_seasons(field_stations, since)
-    adjusted = filled_hours(field_station_days(field_stations, readings, rate), x=x)
+    adjusted = filled_hours(field_station_days(field_stations, readings, rate, plan=plan), x=x)
     weather = field_weather(adjusted, keys=(*FIELD_SEASON, "Date", "Hour"))
     if since is not None:
         weather = weather.filter(F.col("Date") >= F.lit(since))

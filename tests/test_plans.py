@@ -226,3 +226,71 @@ def test_shares_follow_the_cluster_and_change_no_row(spark, table, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(found) == 40 * 8 and {r.temp_avg - r.Date.day - r.Hour for r in found} == {0.0}
+
+
+@pytest.fixture
+def shared_station(table):
+    """Seasons that share stations: one of 2024 harvested in the next year, one of 2025 harvested before that."""
+    pairs = [
+        ("F", 2024, "c", "S", date(2024, 12, 1), date(2025, 2, 10), 0.0, 0.0),
+        ("G", 2025, "c", "S", date(2025, 1, 2), date(2025, 1, 25), 0.0, 0.0),
+        ("G", 2025, "d", "S", date(2025, 1, 2), date(2025, 1, 20), 0.0, 0.0),
+        ("G", 2025, "c", "T", date(2025, 1, 2), date(2025, 1, 25), 0.0, 0.0),
+        ("H", 2025, "c", "T", date(2025, 1, 20), date(2025, 1, 31), 0.0, 0.0),
+    ]
+    days = [date(2024, 12, 30), date(2024, 12, 31)] + [date(2025, 1, d) for d in range(1, 32)] + [date(2025, 2, 1)]
+    rows = [
+        (s, datetime(d.year, d.month, d.day, h), float(d.day + h) if (h + d.day) % 3 else None, d.year)
+        for s in "ST"
+        for d in days
+        for h in range(24)
+        if (d.day + h) % 7
+    ]
+    crops = [("c", 10.0, 40.0), ("d", 20.0, 30.0)]
+    return table(pairs, PAIRS), table(rows, READINGS), table(crops, CROP_THRESHOLDS)
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("field", ["F", "G", "H"])
+def test_one_field_alone_has_the_hours_of_the_full_run(shared_station, field):
+    pairs, measured, crops = shared_station
+    full = season_degree_hours(pairs, measured, pairs.drop("station_id").distinct(), crops)
+    own = pairs.filter(f"FIELD_ID = '{field}'")
+    seasons_of = own.drop("station_id").distinct()
+    alone = season_degree_hours(own, measured, seasons_of, crops, plan=readings.station_season_plan(pairs))
+    expected = rows_of(full.filter(f"FIELD_ID = '{field}'"))
+    assert expected and rows_of(alone) == expected
+
+
+@pytest.mark.parametrize("day", [date(2024, 12, 31), date(2025, 1, 20), date(2025, 1, 25), date(2025, 2, 1)])
+def test_an_increment_over_the_end_of_the_year(shared_station, day):
+    pairs, measured, crops = shared_station
+    seasons_of = pairs.drop("station_id").distinct()
+    full = season_degree_hours(pairs, measured, seasons_of, crops)
+    since = season_degree_hours(pairs, measured, seasons_of, crops, since=day)
+    assert rows_of(since) == rows_of(full.filter(f"GDH_DATE >= '{day}'"))
+    last_day = since.filter("FIELD_ID = 'G' AND CROP_NAME = 'c' AND GDH_DATE = '2025-01-25' AND gdh IS NOT NULL")
+    assert day > date(2025, 1, 25) or last_day.count() > 20
+
+
+def test_days_of_a_season_are_sorted_once_and_never_listed_on_every_row(stored):
+    text = plan(
+        season_heat.field_station_hours(stored("pairs", PAIRS), stored("readings", READINGS))
+    )
+    assert "collect_list(new_date" not in text
+    sorts = [p for p in text.split("\n\n") if re.match(r"\(\d+\) Sort", p) and "station_id" in p and "Date" in p and "CROP_SEASON" in p]
+    assert len(sorts) == 1
+
+
+@pytest.mark.parametrize("x", ["position", "time"])
+def test_filling_in_one_pass_equals_filling_the_grid(shared_station, x):
+    pairs, measured, _ = shared_station
+    direct = season_heat.field_station_hours(pairs, measured, x=x)
+    chosen = readings.readings_by_plan(measured, readings.station_season_plan(pairs))
+    means = hourly.hourly_mean(readings.field_readings(pairs, chosen))
+    stepwise = hourly.fill_gaps(hourly.complete_grid(means), x=x)
+    rounded = ["FIELD_ID", "CROP_SEASON", "station_id", "Date", "Hour", "round(temp_avg, 9) AS t"]
+    assert rows_of(direct.selectExpr(*rounded)) == rows_of(stepwise.selectExpr(*rounded))
