@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldheat.functions.rows import in_ranges
 from fieldheat.schemas import number, require_columns
 from fieldheat.sources.staging import stage
 
@@ -77,7 +78,7 @@ def fill_gaps(grid: DataFrame, *, x: str = "position", scope: str = "series", bu
     Distance is counted in rows ("position") or hours ("time"). Within "series", hours before the
     first or after the last known one stay NULL. Scope "global" (compatibility) treats the whole
     table, sorted by field, season, station, date and hour, as one column; its series are summed up in so many
-    buckets, by default one per shuffle task.
+    ranges, by default as many as there are shuffle tasks.
     """
     if x not in ("position", "time") or scope not in ("series", "global"):
         raise ValueError(f"unknown x {x!r} or scope {scope!r}")
@@ -93,7 +94,6 @@ def fill_gaps(grid: DataFrame, *, x: str = "position", scope: str = "series", bu
         "after", _next_known("known", SERIES, ["Date", "Hour"])
     )
     if scope == "global":
-        buckets = buckets or int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         around = _reach_across_series(around, placed, buckets)
     filled = around.select(
         *HOUR_KEY,
@@ -109,99 +109,68 @@ def fill_gaps(grid: DataFrame, *, x: str = "position", scope: str = "series", bu
     )
 
 
-def _reach_across_series(around: DataFrame, placed: DataFrame, buckets: int) -> DataFrame:
+def _moved(known: str, by: Column) -> Column:
+    """A known value with its position counted from elsewhere."""
+    at = (F.col(f"{known}.at") + by).alias("at")
+    return F.when(F.col(known).isNotNull(), F.struct(at, F.col(f"{known}.temp_avg").alias("temp_avg")))
+
+
+def _reach_across_series(around: DataFrame, placed: DataFrame, buckets: int | None) -> DataFrame:
     """Give the open ends of each series the nearest known value of the series before and after.
 
-    Series are reduced to a summary row each. The summaries are cut into key ranges; within a range
-    a window carries the last known value along, and across ranges the same is done over one row
-    per range. So no task sees more than one range of summaries.
+    A prefix scan: series are reduced to a summary row each, and these are dealt into key ranges. Within a range
+    windows carry known values along; across ranges the same is done over one row per range, and what they carry is
+    joined back by range. No task sees more than one range of summaries, or one row per range.
     """
     summary = placed.groupBy(*SERIES).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("known").alias("first_known"),
         F.max("known").alias("last_known"),
     )
-    bounds = _range_bounds(summary, buckets)
-    key = F.struct(*SERIES)
-    bucket = F.lit(0) if not bounds else sum(
-        ((key > F.struct(*[F.lit(part) for part in bound])).cast("int") for bound in bounds), F.lit(0)
-    )
-    summary = summary.withColumn("bucket", bucket)
-
-    # Offsets of each series in its bucket, then of each bucket in the whole column.
-    in_bucket = Window.partitionBy("bucket").orderBy(*SERIES)
-    earlier = in_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-
-    def absolute(known: str) -> Column:
-        return F.when(
-            F.col(known).isNotNull(),
-            F.struct((F.col("offset") + F.col(f"{known}.at")).alias("at"), F.col(f"{known}.temp_avg").alias("temp_avg")),
-        )
-
-    summary = summary.withColumn("first_abs", absolute("first_known")).withColumn("last_abs", absolute("last_known"))
-    summary = summary.withColumn("prev_abs", F.last("last_abs", ignorenulls=True).over(earlier)).withColumn(
-        "next_abs", _next_known("first_abs", ["bucket"], SERIES)
-    )
-
-    totals = summary.groupBy("bucket").agg(
-        F.sum("rows").alias("rows"), F.min("first_abs").alias("first_abs"), F.max("last_abs").alias("last_abs")
-    )
-    whole = Window.partitionBy(F.lit(0)).orderBy("bucket")
-    before = whole.rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("base", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-
-    def shifted(known: str, base: str) -> Column:
-        return F.when(
-            F.col(known).isNotNull(),
-            F.struct((F.col(base) + F.col(f"{known}.at")).alias("at"), F.col(f"{known}.temp_avg").alias("temp_avg")),
+    ranged = in_ranges(summary, SERIES, "series", buckets)
+
+    # Positions counted in the range.
+    earlier = Window.partitionBy("bucket").orderBy(*SERIES).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    own = ranged.withColumn("offset", offset).withColumns(
+        {"first_known": _moved("first_known", F.col("offset")), "last_known": _moved("last_known", F.col("offset"))}
+    )
+    own = own.withColumn("previous", F.last("last_known", ignorenulls=True).over(earlier)).withColumn(
+        "following", _next_known("first_known", ["bucket"], SERIES)
+    )
+
+    # Positions counted in the whole column, from one row per range.
+    before = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        own.groupBy("bucket")
+        .agg(F.sum("rows").alias("rows"), F.min("first_known").alias("first"), F.max("last_known").alias("last"))
+        .withColumn("base", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+        .withColumns({"first": _moved("first", F.col("base")), "last": _moved("last", F.col("base"))})
+        .select(
+            "bucket",
+            "base",
+            F.last("last", ignorenulls=True).over(before).alias("range_before"),
+            F.expr("lead(first) IGNORE NULLS OVER (PARTITION BY 0 ORDER BY bucket)").alias("range_after"),
         )
-
-    totals = totals.withColumn("first_abs", shifted("first_abs", "base")).withColumn(
-        "last_abs", shifted("last_abs", "base")
-    )
-    totals = totals.select(
-        "bucket",
-        "base",
-        F.last("last_abs", ignorenulls=True).over(before).alias("bucket_prev"),
-        F.expr("lead(first_abs) IGNORE NULLS OVER (PARTITION BY 0 ORDER BY bucket)").alias("bucket_next"),
     )
 
-    start = F.col("base") + F.col("offset")
-
-    def relative(known: str) -> Column:
-        """Position counted from the start of the series it is attached to."""
-        return F.when(
-            F.col(known).isNotNull(),
-            F.struct(
-                (F.col(f"{known}.at") - start).cast("int").alias("at"), F.col(f"{known}.temp_avg").alias("temp_avg")
-            ),
-        )
-
+    # Positions counted from the start of the series that takes the values.
     carried = (
-        summary.join(totals, "bucket")
-        .withColumn("prev_abs", F.coalesce(shifted("prev_abs", "base"), F.col("bucket_prev")))
-        .withColumn("next_abs", F.coalesce(shifted("next_abs", "base"), F.col("bucket_next")))
-        .select(*SERIES, relative("prev_abs").alias("prev_known"), relative("next_abs").alias("next_known"))
+        own.join(totals, "bucket")
+        .withColumn("previous", F.coalesce(_moved("previous", F.col("base")), "range_before"))
+        .withColumn("following", F.coalesce(_moved("following", F.col("base")), "range_after"))
+        .withColumn("start", -F.col("base") - F.col("offset"))
+        .select(
+            *SERIES, _moved("previous", F.col("start")).alias("previous"), _moved("following", F.col("start")).alias("following")
+        )
     )
     return (
         around.join(carried, SERIES)
-        .withColumn("before", F.coalesce("before", "prev_known"))
-        .withColumn("after", F.coalesce("after", "next_known"))
+        .withColumn("before", F.coalesce("before", "previous"))
+        .withColumn("after", F.coalesce("after", "following"))
     )
 
 
-def _range_bounds(summary: DataFrame, buckets: int) -> list[tuple]:
-    """Series keys that cut the summaries into ranges of similar size, from a bounded key sample.
-
-    The bounds only spread the work; any bounds give the same result.
-    """
-    by_hash = summary.select(*SERIES).orderBy(F.xxhash64(*SERIES)).limit(20 * buckets)
-    sample = sorted(tuple(row) for row in by_hash.collect())
-    step = max(1, len(sample) // buckets)
-    return sample[step::step]
-
-
 def hourly_temperatures(
     field_readings: DataFrame, *, x: str = "position", scope: str = "series", dedup: str = "field"
 ) -> DataFrame:

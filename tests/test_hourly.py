@@ -51,7 +51,7 @@ def test_global_scope_bridges_series(table):
     assert filled(table, rows, scope="global") == [10, 20, 30, 40]
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 64])
+@pytest.mark.parametrize("buckets", [None, 1, 3, 64, 2000])
 def test_global_scope_matches_one_pass(table, buckets):
     rng = random.Random(3)
     rows = []
