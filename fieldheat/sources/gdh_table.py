@@ -1,17 +1,19 @@
-"""The degree-hour table: high-water mark, append, and removal of duplicates."""
+"""The degree-hour table: high-water mark, append, replacement, and removal of duplicates."""
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldheat.functions.rows import observed
 from fieldheat.schemas import require_columns
+from fieldheat.sources.staging import stage
 
 
 def latest_date(loaded: DataFrame) -> DataFrame:
@@ -39,16 +41,23 @@ def rows_to_push(gdh: DataFrame, key: str = "as_is") -> DataFrame:
     return gdh.withColumn("ID", F.concat_ws("_", *text)).toDF(*[name.upper() for name in gdh.columns], "ID")
 
 
-def push(gdh: DataFrame, table: str, key: str = "as_is", partition_by: Sequence[str] = ()) -> int:
-    """Append by column name; the first push creates the table, partitioned if asked. Returns the rows pushed.
+def push(
+    gdh: DataFrame, table: str, key: str = "as_is", partition_by: Sequence[str] = (), path: str | None = None
+) -> int:
+    """Append by column name; the first push creates the table, partitioned if asked, and at a path if one is given.
 
-    Not to be run beside a removal of duplicates, which it would take for a dead one.
+    Returns the rows pushed. Not to be run beside a replacement or a removal of duplicates, which it would take for a
+    dead one.
     """
     spark = gdh.sparkSession
     recover(spark, table)
-    partitions = _partition_columns(spark, table) if spark.catalog.tableExists(table) else list(partition_by)
+    there = spark.catalog.tableExists(table)
+    partitions = _partition_columns(spark, table) if there else list(partition_by)
     rows, counted = observed(rows_to_push(gdh, key), "pushed")
-    rows.write.mode("append").partitionBy(*partitions).saveAsTable(table)
+    writer = rows.write.mode("append").partitionBy(*partitions)
+    if path is not None and not there:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return counted()
 
 
@@ -56,9 +65,10 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-# Marks on a copy, as table properties: the table's files when the copy was taken, set once it is complete, and that
-# the table is being overwritten from it.
-COPY_OF, OVERWRITING = "fieldheat.copy_of", "fieldheat.overwriting"
+# Marks on a copy, as table properties: the table's files when the copy was taken, set once it is complete, that
+# the table is being overwritten from it, and the folders of partitions that are to be emptied then.
+COPY_OF, OVERWRITING, EMPTIED = "fieldheat.copy_of", "fieldheat.overwriting", "fieldheat.emptied"
+ATTEMPTS = 3
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -66,7 +76,7 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def _beside(spark: SparkSession, table: str, kind: str) -> list[str]:
-    """Tables beside a table that removals of duplicates have left, by kind: 'distinct' or 'replaced'."""
+    """Tables beside a table that removals and replacements have left, by kind: 'distinct' or 'replaced'."""
     database, _, name = table.rpartition(".")
     prefix = f"{name}__{kind}_".lower()
     listed = spark.catalog.listTables(database) if database else spark.catalog.listTables()
@@ -74,28 +84,83 @@ def _beside(spark: SparkSession, table: str, kind: str) -> list[str]:
     return [f"{database}.{n}" if database else n for n in names]
 
 
-def _files(spark: SparkSession, table: str) -> str:
-    """What identifies the contents of a table of plain files: a digest of their sorted paths."""
+def partition_states(spark: SparkSession, table: str, only: Column | None = None) -> DataFrame:
+    """A row per partition: its columns, `rows`, and `digest` of its files' paths. One row for a table without partitions.
+
+    Counted by tasks that read the files' footers only; no list of files is gathered.
+    """
     spark.catalog.refreshTable(table)
-    return hashlib.sha256("\n".join(sorted(spark.table(table).inputFiles())).encode()).hexdigest()
+    columns = _partition_columns(spark, table)
+    rows = spark.table(table) if only is None else spark.table(table).filter(only)
+    files = rows.groupBy(*columns, F.col("_metadata.file_path").alias("file")).count()
+    # Sums and not only one of them, so that neither pairs of files nor their number go unseen.
+    digest = F.concat_ws(
+        "-", F.count(F.lit(1)), F.expr("bit_xor(xxhash64(file))"), F.expr("bit_xor(xxhash64('second', file))")
+    )
+    return files.groupBy(*columns).agg(F.sum("count").alias("rows"), digest.alias("digest"))
+
+
+def _digest(spark: SparkSession, table: str, only: Column | None = None) -> str:
+    """What identifies the contents of some partitions."""
+    states = partition_states(spark, table, only)
+    each = F.sort_array(F.collect_list(F.xxhash64(*states.columns)))  # a number per partition
+    return states.agg(F.sha2(F.array_join(each.cast("array<string>"), ","), 256)).first()[0]
+
+
+def _in_partitions(partitions: list[Row]) -> Column:
+    """A condition on partition columns alone, which Spark answers without opening files."""
+    found = F.lit(False)
+    by_rest: dict[tuple, list] = {}
+    for row in partitions:  # one column is looked up in a list, the others are compared
+        *rest, last = row.asDict().items()
+        by_rest.setdefault((tuple(rest), last[0]), []).append(last[1])
+    for (rest, name), values in by_rest.items():
+        known = [v for v in values if v is not None]
+        here = F.col(name).isin(known) if known else F.lit(False)
+        if len(known) < len(values):
+            here = here | F.col(name).isNull()
+        for other, value in rest:
+            here = here & F.col(other).eqNullSafe(F.lit(value))
+        found = found | F.coalesce(here, F.lit(False))
+    return found
 
 
 def _mark(spark: SparkSession, table: str, name: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{value}')")
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{quoted}')")
 
 
 def _marks(spark: SparkSession, table: str) -> dict[str, str]:
     return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
+@contextmanager
+def _only_given_partitions(spark: SparkSession) -> Iterator[None]:
+    """Overwriting replaces the partitions that rows are written to, and no others."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _overwrite(spark: SparkSession, table: str, fresh: str) -> None:
-    _mark(spark, fresh, OVERWRITING, "true")
-    spark.table(fresh).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    """Put a copy's rows in the place of its partitions' rows (of all rows, without partitions); can be repeated."""
+    if OVERWRITING not in _marks(spark, fresh):
+        _mark(spark, fresh, OVERWRITING, "true")
+    with _only_given_partitions(spark):
+        spark.table(fresh).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    for folder in json.loads(_marks(spark, fresh).get(EMPTIED, "[]")):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark.catalog.refreshTable(table)
     spark.sql(f"DROP TABLE {fresh}")
 
 
 def recover(spark: SparkSession, table: str) -> None:
-    """Settle a removal of duplicates that died halfway; harmless otherwise.
+    """Settle a replacement or a removal of duplicates that died halfway; harmless otherwise.
 
     A copy is put into its table again only if it is marked as being written there, since the table may be half
     written then. Any other copy is dropped: its table is whole, with whatever was added since. If the table
@@ -116,28 +181,29 @@ def recover(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE {name}")
 
 
-def remove_duplicates(spark: SparkSession, table: str) -> None:
-    """Replace a table by its distinct rows, by way of a copy beside it.
-
-    A plain table and its copy swap names. Renaming does not carry partitions along on every catalog, so a partitioned
-    table is overwritten from the copy. Either way recover() settles a run that died in between. Each attempt has
-    a name of its own, so what a dead one left is never in the way. If rows were added while the copy was taken, it
-    is dropped and taken again.
+def _put(spark: SparkSession, table: str, copied: Callable[[], DataFrame], where: Column | None, emptied: Callable) -> None:
+    """Replace a table, or those of its partitions that a condition names, by what is worked out from them.
 
-    One writer at a time: nothing may be added between the last look at the table's files and the swap or
-    overwriting. A table format with transactions would do all this in one commit.
+    It is written as a copy beside the table first. A table without partitions and its copy then swap names. Renaming does not
+    carry partitions along on every catalog, so partitions are overwritten from the copy, and no others are touched. Each
+    attempt has a name of its own, so what a dead one left is never in the way. If rows were added to the
+    same partitions while the copy was taken, it is dropped and taken again, a few times at most.
     """
-    recover(spark, table)
-    while True:
+    partitions = _partition_columns(spark, table)
+    for _ in range(ATTEMPTS):
         attempt = uuid.uuid4().hex[:12]
         fresh, old = f"{table}__distinct_{attempt}", f"{table}__replaced_{attempt}"
-        before = _files(spark, table)
-        distinct_rows(spark.table(table)).write.saveAsTable(fresh)
+        before = _digest(spark, table, where)
+        copied().write.partitionBy(*partitions).saveAsTable(fresh)
         _mark(spark, fresh, COPY_OF, before)
-        if _files(spark, table) == before:
+        if _digest(spark, table, where) == before:
             break
         spark.sql(f"DROP TABLE {fresh}")
-    if _partition_columns(spark, table):
+    else:
+        raise RuntimeError(f"rows kept being added to {table}; nothing was changed")
+    if partitions:
+        if folders := emptied(fresh):
+            _mark(spark, fresh, EMPTIED, json.dumps(folders))
         _overwrite(spark, table, fresh)
         return
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
@@ -145,16 +211,123 @@ def remove_duplicates(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE {old}")
 
 
+def _checked(table: str) -> str:
+    return f"{table}__checked"
+
+
+def _unchecked(spark: SparkSession, table: str, states: DataFrame) -> DataFrame:
+    """States of the partitions whose files are others than when they were last found without duplicates."""
+    if not spark.catalog.tableExists(_checked(table)):
+        return states
+    known = spark.table(_checked(table)).withColumnRenamed("digest", "known")
+    same = [states[c].eqNullSafe(known[c]) for c in _partition_columns(spark, table)]
+    return states.join(known, [*same, states["digest"] == known["known"]], "left_anti")
+
+
+def _remember(spark: SparkSession, table: str, states: DataFrame) -> None:
+    """States in which partitions are known to hold no duplicates; those of other partitions stay as they were."""
+    checked = _checked(table)
+    if spark.catalog.tableExists(checked):
+        known = spark.table(checked)
+        same = [known[c].eqNullSafe(states[c]) for c in _partition_columns(spark, table)]
+        states = known.join(states, same, "left_anti").unionByName(states)
+    stage(states, "states").write.mode("overwrite").saveAsTable(checked)
+
+
+def remove_duplicates(spark: SparkSession, table: str) -> int:
+    """Keep one of each set of equal rows. Returns the number of partitions rewritten (1 for a whole table without any).
+
+    Of a partitioned table only partitions are looked at whose files are others than after the last removal; their
+    states are kept in a table beside it, named with __checked. Only those that do hold duplicates are rewritten. Rows in
+    different partitions differ, so nothing else needs to be compared. recover() settles a run that died.
+
+    One writer at a time: nothing may be added between the last look at a partition's files and its overwriting. A
+    table format with transactions would do all this in one commit.
+    """
+    recover(spark, table)
+    columns = _partition_columns(spark, table)
+    if not columns:
+        _put(spark, table, lambda: distinct_rows(spark.table(table)), None, lambda fresh: [])
+        return 1
+    changed = stage(_unchecked(spark, table, partition_states(spark, table)), "changed_partitions")
+    names = changed.select(*columns).collect()  # a row per changed partition
+    if not names:
+        return 0
+    rows = spark.table(table).filter(_in_partitions(names))
+    twice = rows.groupBy(*rows.columns).count().filter("count > 1")
+    dirty = twice.select(*columns).distinct().collect()
+    if dirty:
+        where = _in_partitions(dirty)
+        _put(spark, table, lambda: distinct_rows(spark.table(table).filter(where)), where, lambda fresh: [])
+        # Clean partitions keep the state they were looked at in: rows may have been added to them since.
+        changed = changed.filter(~where).unionByName(partition_states(spark, table, where))
+    _remember(spark, table, changed)
+    return len(dirty)
+
+
+def drop(spark: SparkSession, table: str) -> None:
+    """Drop a table and what removals and replacements keep beside it."""
+    for name in [table, _checked(table), *_beside(spark, table, "distinct"), *_beside(spark, table, "replaced")]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def replace_hours(gdh: DataFrame, table: str, key: Sequence[str] = ("FIELD_ID", "CROP_NAME", "GDH_DATE", "HOUR")) -> DataFrame:
-    """A table's rows without those that recomputed rows replace, with these; to be written as a new table.
+    """A table's rows without those that recomputed rows replace, with these.
 
     Pushing and removing exact duplicates keeps both an old row and a recomputed one that differ, as after a gap at
-    the season's edge was filled or the harvest date moved.
+    the season's edge was filled or the harvest date moved. `replace` writes such rows into the table itself.
     """
     fresh = rows_to_push(gdh)
-    kept = gdh.sparkSession.table(table)
-    same = [kept[k].eqNullSafe(fresh[k]) for k in key]
-    return kept.join(fresh, same, "left_anti").unionByName(fresh)
+    return _without(gdh.sparkSession.table(table), fresh, key).unionByName(fresh)
+
+
+def _without(kept: DataFrame, gone: DataFrame, key: Sequence[str]) -> DataFrame:
+    return kept.join(gone, [kept[k].eqNullSafe(gone[k]) for k in key], "left_anti")
+
+
+def replace(
+    gdh: DataFrame,
+    table: str,
+    keys: DataFrame | None = None,
+    key: Sequence[str] = ("FIELD_ID", "CROP_SEASON"),
+    push_key: str = "as_is",
+) -> int:
+    """Put recomputed degree hours in the place of all rows of a table that agree with them in a key.
+
+    `keys` lists more keys whose rows go, such as field-seasons that have no degree hours any more. Only
+    partitions that hold such rows, or receive new ones, are rewritten; the files of others stay. A partition that loses
+    all its rows is emptied. Returns the number of partitions rewritten (1 for a whole table without any). A death halfway
+    is settled by recover(), with which every push, removal and replacement begins.
+    """
+    spark = gdh.sparkSession
+    recover(spark, table)
+    fresh = stage(rows_to_push(gdh, push_key), "replacement")
+    gone = fresh.select(*key)
+    if keys is not None:
+        gone = gone.unionByName(keys.select(*key))
+    gone = stage(gone.distinct(), "replaced_keys")
+    columns = _partition_columns(spark, table)
+    if not columns:
+        _put(spark, table, lambda: _without(spark.table(table), gone, key).unionByName(fresh), None, lambda name: [])
+        return 1
+    stored = spark.table(table)
+    hit = stored.join(gone, [stored[k].eqNullSafe(gone[k]) for k in key], "left_semi").select(*columns)
+    touched = hit.unionByName(fresh.select(*columns)).distinct().collect()  # a row per touched partition
+    if not touched:
+        return 0
+    where = _in_partitions(touched)
+
+    def emptied(name: str) -> list[str]:
+        """Folders of the partitions that the copy has no rows of; no more than there are partitions."""
+        left = {tuple(row) for row in spark.table(name).select(*columns).distinct().collect()}
+        empty = spark.table(table).filter(_in_partitions([row for row in touched if tuple(row) not in left]))
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+        return [row[0] for row in empty.select(folder).distinct().collect()]
+
+    _put(
+        spark, table, lambda: _without(spark.table(table).filter(where), gone, key).unionByName(fresh), where, emptied
+    )
+    return len(touched)
 
 
 def write_csv(gdh: DataFrame, folder: str, as_of: date) -> str:

@@ -48,10 +48,15 @@ def test_pushing_twice_and_removing_duplicates_is_pushing_once(spark, gdh, name,
     for _ in range(2):
         gdh_table.remove_duplicates(spark, name)
         assert contents(spark, name) == once
-    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    assert tables(spark, name) == [name]
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == partitions
 
 
+def tables(spark, name):
+    """The table and copies of it."""
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith(name) and not t.name.endswith("__checked")]
+
+
 class Died(Exception):
     pass
 
@@ -86,7 +91,7 @@ def test_recovery_of_an_interrupted_removal(spark, gdh, name, partitions, statem
     assert spark.table(name).count() in (4, 7)
     gdh_table.remove_duplicates(spark, name)
     assert contents(spark, name) == once
-    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    assert tables(spark, name) == [name]
 
 
 def test_a_half_written_table_is_filled_from_its_copy(spark, gdh, name):
@@ -156,3 +161,114 @@ def test_csv(spark, gdh, tmp_path):
     assert path.endswith("GDH-2024-07-01")
     back = spark.read.option("header", True).csv(path)
     assert back.columns == gdh.columns and back.count() == 3
+
+
+def files(spark, name):
+    spark.catalog.refreshTable(name)
+    return set(spark.table(name).inputFiles())
+
+
+DAYS = [
+    (f"F{n % 4}", "corn", 2020 + n % 3, date(2020 + n % 3, 5, 1 + n % 5), n % 24, date(2020, 4, 1), date(2020, 9, 1), 1.0 * n)
+    for n in range(60)
+]
+
+
+@pytest.fixture
+def seasons_table(spark, table, name):
+    gdh_table.push(table(DAYS, GDH), name, partition_by=["CROP_SEASON"])
+    return name
+
+
+def test_replacing_rewrites_touched_partitions_only(spark, table, seasons_table):
+    before = files(spark, seasons_table)
+    fresh = [(*row[:7], -1.0) for row in DAYS if row[0] == "F1" and row[2] == 2021]
+    assert gdh_table.replace(table(fresh, GDH), seasons_table) == 1
+    after = files(spark, seasons_table)
+    assert {f for f in before if "CROP_SEASON=2021" not in f} == {f for f in after if "CROP_SEASON=2021" not in f}
+    assert not {f for f in before if "CROP_SEASON=2021" in f} & after
+    expected = [row for row in DAYS if not (row[0] == "F1" and row[2] == 2021)] + fresh
+    found = spark.table(seasons_table).selectExpr("FIELD_ID", "CROP_SEASON", "HOUR", "GDH").collect()
+    assert sorted(map(tuple, found)) == sorted((r[0], r[2], r[4], r[7]) for r in expected)
+
+
+def test_keys_without_new_rows_lose_theirs_and_partitions_may_become_empty(spark, table, seasons_table):
+    gone = table([(f"F{n}", 2022) for n in range(4)] + [("F9", 2020)], "FIELD_ID string, CROP_SEASON int")
+    assert gdh_table.replace(table([], GDH), seasons_table, keys=gone) == 1
+    seasons = spark.table(seasons_table).groupBy("CROP_SEASON").count().collect()
+    assert sorted(map(tuple, seasons)) == [(2020, 20), (2021, 20)]
+    assert gdh_table.replace(table([], GDH), seasons_table) == 0
+    moved = [("F1", "corn", 2023, date(2023, 5, 1), 1, date(2020, 4, 1), date(2020, 9, 1), 1.0)]
+    assert gdh_table.replace(table(moved, GDH), seasons_table, key=["FIELD_ID"]) == 3
+    seasons = spark.table(seasons_table).groupBy("CROP_SEASON").count().collect()
+    assert sorted(map(tuple, seasons)) == [(2020, 15), (2021, 15), (2023, 1)]
+
+
+def test_replacing_in_a_table_without_partitions(spark, table, name):
+    gdh_table.push(table(DAYS, GDH), name)
+    assert gdh_table.replace(table([(*DAYS[0][:7], -5.0)], GDH), name) == 1
+    rows = spark.table(name).filter("FIELD_ID = 'F0' AND CROP_SEASON = 2020").collect()
+    assert [r.GDH for r in rows] == [-5.0] and spark.table(name).count() == 56
+    assert tables(spark, name) == [name]
+
+
+@pytest.mark.parametrize("statement", ["fieldheat.copy_of", "fieldheat.overwriting", "DROP TABLE"])
+def test_recovery_of_an_interrupted_replacement(spark, table, seasons_table, statement, monkeypatch):
+    """The table holds either all old rows or all new ones, and the replacement can be repeated."""
+    gone = table([(f"F{n}", 2022) for n in range(4)], "FIELD_ID string, CROP_SEASON int")
+    fresh = table([(*row[:7], -1.0) for row in DAYS if row[0] == "F1" and row[2] == 2021], GDH)
+    with monkeypatch.context() as patch:
+        die_at(patch, spark, statement)
+        try:
+            gdh_table.replace(fresh, seasons_table, keys=gone)
+        except Died:
+            pass
+    gdh_table.recover(spark, seasons_table)
+    new = statement == "DROP TABLE"
+    assert spark.table(seasons_table).count() == (40 if new else 60)
+    assert spark.table(seasons_table).filter("GDH = -1.0").count() == (5 if new else 0)
+    gdh_table.replace(fresh, seasons_table, keys=gone)
+    assert spark.table(seasons_table).count() == 40 and tables(spark, seasons_table) == [seasons_table]
+
+
+def test_one_new_day_rewrites_one_partition(spark, table, seasons_table):
+    assert gdh_table.remove_duplicates(spark, seasons_table) == 0
+    before = files(spark, seasons_table)
+    again = [row for row in DAYS if row[2] == 2022][:3]
+    gdh_table.push(table(again, GDH), seasons_table)
+    assert gdh_table.remove_duplicates(spark, seasons_table) == 1
+    after = files(spark, seasons_table)
+    assert {f for f in before if "=2022" not in f} == {f for f in after if "=2022" not in f}
+    assert spark.table(seasons_table).count() == 60
+    # Nothing was added since, so nothing is looked at; new rows without duplicates are not rewritten.
+    assert gdh_table._unchecked(spark, seasons_table, gdh_table.partition_states(spark, seasons_table)).count() == 0
+    gdh_table.push(table([(*DAYS[0][:7], 0.5)], GDH), seasons_table)
+    states = gdh_table._unchecked(spark, seasons_table, gdh_table.partition_states(spark, seasons_table))
+    assert [(r.CROP_SEASON, r.rows) for r in states.collect()] == [(2020, 21)]
+    grown = files(spark, seasons_table)
+    assert gdh_table.remove_duplicates(spark, seasons_table) == 0 and files(spark, seasons_table) == grown
+
+
+def test_steady_appends_end_a_removal(spark, gdh, name, monkeypatch):
+    """It gives up after some attempts, and the table keeps all rows."""
+    gdh_table.push(gdh, name)
+
+    def distinct(df):
+        gdh_table.rows_to_push(gdh).write.mode("append").saveAsTable(name)
+        return df.distinct()
+
+    monkeypatch.setattr(gdh_table, "distinct_rows", distinct)
+    with pytest.raises(RuntimeError):
+        gdh_table.remove_duplicates(spark, name)
+    assert spark.table(name).count() == 3 * (1 + gdh_table.ATTEMPTS) and tables(spark, name) == [name]
+
+
+def test_partitions_of_several_columns_and_null_values(spark, table, name):
+    rows = [*DAYS[:20], *DAYS[:5], ("F1", None, None, date(2020, 5, 1), 1, None, None, 1.0)] + [("F1", None, None, date(2020, 5, 1), 1, None, None, 1.0)]
+    gdh_table.push(table(rows, GDH), name, partition_by=["CROP_NAME", "CROP_SEASON"])
+    assert gdh_table.remove_duplicates(spark, name) == 4
+    assert spark.table(name).count() == 21
+    assert gdh_table.remove_duplicates(spark, name) == 0
+    lost = table([("F1", None)], "FIELD_ID string, CROP_SEASON int")
+    assert gdh_table.replace(table([], GDH), name, keys=lost) == 1
+    assert spark.table(name).count() == 20
