@@ -114,6 +114,22 @@ def readings_by_plan(readings: DataFrame, plan: DataFrame) -> DataFrame:
     return limited.join(ranges, inside, "left_semi")
 
 
+def pull_report(plan: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Per planned station how many readings came: `n_seasons` asked for, `n_readings`, `n_missing` among them, first and last.
+
+    Stations without readings have zeros. Readings are counted before they are shuffled.
+    """
+    require_columns(chosen, "station_id", "date_time", "air_temp_set_1")
+    asked = plan.groupBy("station_id").agg(F.count_distinct("CROP_SEASON").alias("n_seasons"))
+    came = chosen.groupBy("station_id").agg(
+        F.count(F.lit(1)).alias("n_readings"),
+        F.count_if(number(F.col("air_temp_set_1")).isNull()).alias("n_missing"),
+        F.min("date_time").alias("first_time"),
+        F.max("date_time").alias("last_time"),
+    )
+    return asked.join(came, "station_id", "left").fillna(0, ["n_readings", "n_missing"])
+
+
 def readings_all(
     readings: DataFrame,
     field_stations: DataFrame,

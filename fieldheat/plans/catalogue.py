@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -9,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldheat.operators import degree_hours, fields, hourly, readings, seasons, stations, weather
-from fieldheat.plans import season_heat
+from fieldheat.operators import coverage, degree_hours, fields, hourly, readings, seasons, stations, weather
+from fieldheat.plans import changes, season_heat
 from fieldheat.plans.testmap import AS_OF, RADIUS_MILES, SINCE, TestTables
+from fieldheat.schemas import STATION_METADATA, STATION_TIMESERIES
 from fieldheat.session import configure
-from fieldheat.sources import gdh_table
-from fieldheat.sources.staging import stage
+from fieldheat.sources import gdh_table, landed, readings_table
+from fieldheat.sources.staging import stage, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,6 +107,37 @@ class Tables(TestTables):
     def stored_hourly(self) -> DataFrame:
         return stage(self.hourly(), "hourly")
 
+    def new_path(self, name: str) -> str:
+        return f"{staging_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+
+    def landed_responses(self, kind: str) -> DataFrame:
+        """Responses written as lines of JSON, and read as they landed."""
+        path = self.new_path("responses")
+        self.responses(kind).write.text(path)
+        schema = STATION_METADATA if kind == "metadata" else STATION_TIMESERIES
+        return landed.parsed_responses(self.spark, path, schema, lines=True)
+
+    def through_table(self, work: Callable[[str], None]) -> DataFrame:
+        """What some work leaves in a degree-hour table, which is dropped afterwards."""
+        name = f"gdh_{uuid.uuid4().hex}"
+        try:
+            work(name)
+            return stage(self.spark.table(name), "gdh_table")
+        finally:
+            gdh_table.drop(self.spark, name)
+
+    def heat_of(self, chosen: DataFrame, measured: DataFrame, **options) -> DataFrame:
+        return season_heat.season_degree_hours(chosen, measured, self.windows(), self.thresholds(), **options)
+
+    def landed_windows(self) -> DataFrame:
+        """Every third of the five-day windows planned for stations, as requests answered before."""
+        windows = readings.date_windows(self.plan(), days=5, as_of=AS_OF)
+        return windows.filter("(CAST(substr(station_id, 2) AS INT) + unix_date(starts) div 5) % 3 = 0")
+
+    def missing_ranges(self) -> DataFrame:
+        planned = self.stored_plan.selectExpr("station_id", "seeding_date AS starts", "harvest_date AS ends")
+        return coverage.uncovered(planned, self.landed_windows())
+
     def field_weather(self) -> DataFrame:
         return weather.field_weather(season_heat.filled_hours(self.days()))
 
@@ -396,3 +429,124 @@ def gdh_pushed_twice(t: Tables) -> DataFrame:
 @query
 def gdh_dedup(t: Tables) -> DataFrame:
     return gdh_table.distinct_rows(t.loaded())
+
+
+def _partitioned(rows: DataFrame, table: str) -> None:
+    gdh_table.push(rows, table, partition_by=["CROP_SEASON"])
+
+
+@query
+def gdh_table_rewritten(t: Tables) -> DataFrame:
+    """The table after two pushes of the same degree hours and a removal of duplicates, partition by partition."""
+
+    def work(table: str) -> None:
+        rows = stage(t.gdh(), "heat")
+        _partitioned(rows, table)
+        _partitioned(rows, table)
+        gdh_table.remove_duplicates(t.spark, table)
+
+    return t.through_table(work)
+
+
+@query
+def gdh_after_late_batch(t: Tables) -> DataFrame:
+    """The table after a run over the first batch of readings, and replacement of what the second one touches."""
+    batches = t.batches()
+
+    def work(table: str) -> None:
+        first = batches.filter("batch = 1").drop("batch")
+        _partitioned(t.heat_of(t.field_stations, first, plan=t.stored_plan), table)
+        changed = changes.changed_days(batches, "batch", after=1)
+        touched = stage(changes.touched_by_readings(changed, t.field_stations, t.stored_plan), "touched")
+        current = changes.current_readings(batches, "batch").drop("batch")
+        fresh = changes.recomputed(
+            t.field_stations, current, t.windows(), t.thresholds(), t.stored_plan, touched
+        )
+        gdh_table.replace(fresh, table, keys=touched)
+
+    return t.through_table(work)
+
+
+@query
+def touched_field_seasons(t: Tables) -> DataFrame:
+    """Field-seasons whose degree hours the second batch of readings can alter."""
+    changed = changes.changed_days(t.batches(), "batch", after=1)
+    return changes.touched_by_readings(changed, t.field_stations, t.stored_plan)
+
+
+@query
+def gdh_after_new_fields(t: Tables) -> DataFrame:
+    """The table after a run without every fourth field, whose stations' ranges then grow as those fields join."""
+    old = stage(t.field_stations.filter("CAST(FIELD_ID AS INT) % 4 <> 0"), "earlier_stations")
+    old_plan = stage(readings.station_season_plan(old), "earlier_ranges")
+
+    def work(table: str) -> None:
+        _partitioned(t.heat_of(old, t.readings(), plan=old_plan), table)
+        by_plan = changes.touched_by_plan(t.field_stations, t.stored_plan, old_plan)
+        by_rows = changes.touched_by_rows(t.field_stations, old, ["station_id", "CROP_NAME", "seeding_date", "harvest_date"])
+        touched = stage(by_plan.unionByName(by_rows).distinct(), "touched")
+        fresh = changes.recomputed(
+            t.field_stations, t.readings(), t.windows(), t.thresholds(), t.stored_plan, touched
+        )
+        gdh_table.replace(fresh, table, keys=touched)
+
+    return t.through_table(work)
+
+
+@query
+def gdh_csv(t: Tables) -> DataFrame:
+    """Degree hours written as CSV files and read back."""
+    heat = t.gdh()
+    path = gdh_table.write_csv(heat, t.new_path("csv"), AS_OF)
+    return t.spark.read.schema(heat.schema).option("header", True).csv(path)
+
+
+@query
+def gdh_of_bucketed(t: Tables) -> DataFrame:
+    """Daily degree hours of readings stored in buckets by station, which are averaged where they are read."""
+    table = f"readings_{uuid.uuid4().hex}"
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        readings_table.store(t.readings(), table, buckets, path=t.new_path("readings"))
+        heat = t.heat_of(t.field_stations, t.spark.table(table), buckets=buckets)
+        return stage(degree_hours.gdh_daily(heat), "gdh_daily")
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@query
+def landed_metadata(t: Tables) -> DataFrame:
+    """Active stations of metadata responses written as JSON, broken ones among them."""
+    return stations.active_stations(landed.accepted(t.landed_responses("metadata")))
+
+
+@query
+def landed_timeseries(t: Tables) -> DataFrame:
+    """Readings of time-series responses written as JSON, broken ones among them."""
+    return readings.timeseries_readings(landed.accepted(t.landed_responses("timeseries")))
+
+
+@query
+def rejected_responses(t: Tables) -> DataFrame:
+    """The broken ones, set aside in a table."""
+    path, rejects = t.new_path("responses"), t.new_path("rejects")
+    t.responses("timeseries").write.text(path)
+    landed.set_aside(t.spark, path, STATION_TIMESERIES, rejects, lines=True)
+    return t.spark.read.parquet(rejects).groupBy("text", "reason").count()
+
+
+@query
+def missing_ranges(t: Tables) -> DataFrame:
+    """Planned days of stations that have not landed yet."""
+    return t.missing_ranges()
+
+
+@query
+def request_manifests(t: Tables) -> DataFrame:
+    """Requests for them: windows of at most ten days, at most four stations and fourteen characters of ids each."""
+    return coverage.request_manifests(coverage.shared_windows(t.missing_ranges(), 10), max_ids=4, max_length=14)
+
+
+@query
+def pull_report(t: Tables) -> DataFrame:
+    return readings.pull_report(t.plan(), t.planned_readings())

@@ -191,6 +191,40 @@ STEPS: dict[str, str] = {
     "plan": """
         SELECT station_id, CROP_SEASON, min(seeding_date) AS seeding_date, max(harvest_date) AS harvest_date
         FROM field_stations GROUP BY station_id, CROP_SEASON""",
+    "day_windows": f"""
+        SELECT *, least(starts + 4, last_day) AS ends
+        FROM (SELECT *, CAST(unnest(generate_series(CAST(seeding_date AS TIMESTAMP), CAST(last_day AS TIMESTAMP),
+                                                    INTERVAL 5 DAY)) AS DATE) AS starts
+              FROM (SELECT *, CASE WHEN harvest_date = DATE '{AS_OF}' THEN harvest_date - 1 ELSE harvest_date END
+                                AS last_day
+                    FROM plan))""",
+    "missing_days": """
+        SELECT station_id, CAST(unnest(generate_series(CAST(seeding_date AS TIMESTAMP), CAST(harvest_date AS TIMESTAMP),
+                                                       INTERVAL 1 DAY)) AS DATE) AS day
+        FROM plan
+        EXCEPT
+        SELECT station_id, CAST(unnest(generate_series(CAST(starts AS TIMESTAMP), CAST(ends AS TIMESTAMP),
+                                                       INTERVAL 1 DAY)) AS DATE)
+        FROM day_windows
+        WHERE (CAST(substr(station_id, 2) AS INTEGER) + (starts - DATE '1970-01-01') // 5) % 3 = 0""",
+    "missing": """
+        SELECT station_id, min(day) AS starts, max(day) AS ends
+        FROM (SELECT *, day - CAST(row_number() OVER (PARTITION BY station_id ORDER BY day) AS INTEGER) AS island
+              FROM missing_days)
+        GROUP BY station_id, island""",
+    "missing_pieces": """
+        SELECT station_id, min(day) AS starts, max(day) AS ends
+        FROM (SELECT *, (day - DATE '1970-01-01') // 10 AS piece,
+                     day - CAST(row_number() OVER (PARTITION BY station_id ORDER BY day) AS INTEGER) AS island
+              FROM missing_days)
+        GROUP BY station_id, island, piece""",
+    "page_rows": """
+        SELECT user_id, CASE WHEN readable THEN ts END AS ts,
+               CASE WHEN later > 0 AND event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END AS temp
+        FROM (SELECT *, event_id % 17 <> 0 AS readable,
+                     count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
+                                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later
+              FROM events)""",
     "readings": """
         SELECT 'S' || user_id AS station_id, date_trunc('minute', ts) AS date_time,
                CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END AS air_temp_set_1,
@@ -273,6 +307,22 @@ def _pairs(metres: str, name: str) -> str:
     return f"SELECT DISTINCT FIELD_ID, station_id, round({metres}, 3) AS {name} FROM field_stations"
 
 
+_PAGE = (
+    "'S' || user_id AS station_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_time, "
+    "round(temp, 6) AS air_temp_set_1, CAST(year(ts) AS INTEGER) AS year"
+)
+_PUSHED = """
+        SELECT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, Hour AS HOUR,
+               CAST(seeding_date AS VARCHAR) AS SEEDING_DATE, CAST(harvest_date AS VARCHAR) AS HARVEST_DATE,
+               round(gdh, 6) AS GDH, Hour || '_' || FIELD_ID || '_' || GDH_DATE AS ID
+        FROM heat"""
+_DAILY = """
+        SELECT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, round(gdh_day, 6) AS gdh_day,
+               hours, round(sum(gdh_day) OVER (PARTITION BY FIELD_ID, CROP_NAME, CROP_SEASON ORDER BY GDH_DATE
+                                               ROWS UNBOUNDED PRECEDING), 6) AS gdh_to_date
+        FROM daily"""
+
+
 FINAL: dict[str, str] = {
     "fields_master": f"SELECT {_MASTER} FROM master",
     "fields_all": f"SELECT {_MASTER} FROM located WHERE field_elev IS NOT NULL",
@@ -318,27 +368,54 @@ FINAL: dict[str, str] = {
     "nearest_stations_descent": f"SELECT {_PAIRING}, round(distance_m, 3) AS distance_m FROM ({_nearest(20, 3)})",
     "nearest_stations_wide": f"SELECT {_PAIRING}, round(distance_m, 3) AS distance_m FROM ({_nearest(20, 3)})",
     "date_windows": f"""
-        SELECT station_id, CROP_SEASON, {_text('seeding_date', 'harvest_date')}, CAST(starts AS VARCHAR) AS starts,
-               CAST(least(starts + 4, last_day) AS VARCHAR) AS ends
-        FROM (SELECT *, CAST(unnest(generate_series(CAST(seeding_date AS TIMESTAMP), CAST(last_day AS TIMESTAMP),
-                                                    INTERVAL 5 DAY)) AS DATE) AS starts
-              FROM (SELECT *, CASE WHEN harvest_date = DATE '{AS_OF}' THEN harvest_date - 1 ELSE harvest_date END
-                                AS last_day
-                    FROM plan))""",
+        SELECT station_id, CROP_SEASON, {_text('seeding_date', 'harvest_date', 'starts', 'ends')} FROM day_windows""",
     "station_season_plan": f"SELECT station_id, CROP_SEASON, {_text('seeding_date', 'harvest_date')} FROM plan",
     "timeseries_readings": """
         SELECT 'S' || user_id AS station_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_time,
                round(CASE WHEN event_type <> 'error' THEN 30 + 4e0 * sqrt(value) END, 6) AS air_temp_set_1,
                CAST(year(ts) AS INTEGER) AS year
         FROM events""",
-    "timeseries_pages": """
-        SELECT 'S' || user_id AS station_id, CASE WHEN readable THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS date_time,
-               CASE WHEN later > 0 AND event_type <> 'error' THEN round(30 + 4e0 * sqrt(value), 6) END AS air_temp_set_1,
-               CASE WHEN readable THEN CAST(year(ts) AS INTEGER) END AS year
-        FROM (SELECT *, event_id % 17 <> 0 AS readable,
-                     count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
-                                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later
-              FROM events)""",
+    "timeseries_pages": f"SELECT {_PAGE} FROM page_rows",
+    "landed_timeseries": f"SELECT {_PAGE} FROM page_rows WHERE user_id % 11 NOT IN (3, 5, 7)",
+    "landed_metadata": f"""
+        SELECT 'S' || s_suppkey AS STID, {_rounded('ELEVATION', 'lat', 'lon')}, {_text('record_start', 'record_end')}
+        FROM (SELECT *, 4000 + (s_suppkey * 71 % 1000) * 2e0 AS ELEVATION, 42 + (s_suppkey * 613 % 499) / 5e2 AS lat,
+                     -113 + (s_suppkey * 811 % 503) / 5e2 AS lon, DATE '2024-07-01' AS record_end,
+                     DATE '2000-01-01' + CAST(s_suppkey * 97 % 9000 AS INTEGER) AS record_start
+              FROM supplier)
+        WHERE s_suppkey % 11 NOT IN (3, 5, 7) AND s_suppkey % 10 <> 7 AND NOT s_acctbal < 0""",
+    "rejected_responses": """
+        SELECT CASE kind WHEN 3 THEN left('{"STATION":[{"STID":"S' || user_id || '","OBSERVATIONS":{"date_time"', 30)
+                         WHEN 5 THEN '{"SUMMARY":"none"}' ELSE '{"STATION":"none"}' END AS text,
+               CASE kind WHEN 5 THEN 'no stations' ELSE 'unreadable' END AS reason, count(*) AS count
+        FROM (SELECT DISTINCT user_id, CAST(ts AS DATE), user_id % 11 AS kind FROM events) WHERE kind IN (3, 5, 7) GROUP BY ALL""",
+    "missing_ranges": f"SELECT station_id, {_text('starts', 'ends')} FROM missing",
+    "request_manifests": f"""
+        SELECT {_text('starts', 'ends')}, request_no, CAST(count(*) AS INTEGER) AS n_stations,
+               string_agg(station_id, ',' ORDER BY station_id) AS station_ids,
+               strftime(starts, '%Y%m%d0000') AS start_time, strftime(ends + 1, '%Y%m%d0000') AS end_time
+        FROM (SELECT *, CAST((row_number() OVER (PARTITION BY starts, ends ORDER BY station_id) - 1)
+                             // greatest(1, least(4, 15 // (longest + 1))) + 1 AS INTEGER) AS request_no
+              FROM (SELECT *, max(length(station_id)) OVER (PARTITION BY starts, ends) AS longest FROM missing_pieces))
+        GROUP BY starts, ends, request_no""",
+    "pull_report": """
+        SELECT station_id, count(DISTINCT CROP_SEASON) AS n_seasons, any_value(coalesce(n, 0)) AS n_readings,
+               any_value(coalesce(unknown, 0)) AS n_missing,
+               any_value(strftime(low, '%Y-%m-%d %H:%M:%S')) AS first_time,
+               any_value(strftime(high, '%Y-%m-%d %H:%M:%S')) AS last_time
+        FROM plan LEFT JOIN (SELECT station_id, count(*) AS n, count(*) FILTER (air_temp_set_1 IS NULL) AS unknown,
+                                    min(date_time) AS low, max(date_time) AS high
+                             FROM planned GROUP BY station_id) USING (station_id)
+        GROUP BY station_id""",
+    "touched_field_seasons": """
+        SELECT DISTINCT FIELD_ID, CROP_SEASON FROM field_readings
+        WHERE CAST(substr(station_id, 2) AS INTEGER) % 10 = 1 AND (epoch(date_time)::BIGINT // 60) % 3 < 2
+          AND CAST(date_time AS DATE) BETWEEN seeding_date AND harvest_date""",
+    "gdh_csv": f"SELECT {_HEAT} FROM heat",
+    "gdh_table_rewritten": _PUSHED,
+    "gdh_after_late_batch": _PUSHED,
+    "gdh_after_new_fields": _PUSHED,
+    "gdh_of_bucketed": _DAILY,
     "readings_by_plan": f"SELECT {_READING}, year FROM planned",
     "readings_all": f"""
         SELECT {_READING}, year FROM readings
@@ -382,22 +459,10 @@ FINAL: dict[str, str] = {
     "gdh_one_field": f"SELECT {_HEAT} FROM heat WHERE FIELD_ID = '144'",
     "gdh_since": f"SELECT {_HEAT} FROM heat WHERE GDH_DATE >= DATE '{SINCE}'",
     "gdh_with_nan": f"SELECT {_HEAT} FROM heat",
-    "gdh_daily": f"""
-        SELECT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, round(gdh_day, 6) AS gdh_day,
-               hours, round(sum(gdh_day) OVER (PARTITION BY FIELD_ID, CROP_NAME, CROP_SEASON ORDER BY GDH_DATE
-                                               ROWS UNBOUNDED PRECEDING), 6) AS gdh_to_date
-        FROM daily""",
+    "gdh_daily": _DAILY,
     "latest_gdh_date": "SELECT CAST(max(GDH_DATE) AS VARCHAR) AS GDH_DATE FROM loaded",
-    "gdh_push_rows": """
-        SELECT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, Hour AS HOUR,
-               CAST(seeding_date AS VARCHAR) AS SEEDING_DATE, CAST(harvest_date AS VARCHAR) AS HARVEST_DATE,
-               round(gdh, 6) AS GDH, Hour || '_' || FIELD_ID || '_' || GDH_DATE AS ID
-        FROM heat""",
-    "gdh_pushed_twice": """
-        SELECT DISTINCT FIELD_ID, CROP_NAME, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE, Hour AS HOUR,
-               CAST(seeding_date AS VARCHAR) AS SEEDING_DATE, CAST(harvest_date AS VARCHAR) AS HARVEST_DATE,
-               round(gdh, 6) AS GDH, Hour || '_' || FIELD_ID || '_' || GDH_DATE AS ID
-        FROM heat""",
+    "gdh_push_rows": _PUSHED,
+    "gdh_pushed_twice": _PUSHED.replace("SELECT", "SELECT DISTINCT", 1),
     "gdh_dedup": "SELECT DISTINCT FIELD_ID, CROP_SEASON, CAST(GDH_DATE AS VARCHAR) AS GDH_DATE FROM loaded",
 }
 

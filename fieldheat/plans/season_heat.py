@@ -29,11 +29,12 @@ from fieldheat.schemas import number, require_columns
 STATION_MONTH = ["station_id", "month"]
 
 
-def station_days(readings: DataFrame) -> DataFrame:
-    """One row per station and day, partitioned by station and month.
+def station_days(readings: DataFrame, *, by_station: bool = False) -> DataFrame:
+    """One row per station and day, partitioned by station and month, or by station as the readings are.
 
     Holds the known hourly means in order, a bit per hour that has readings (known or not), and
-    the same for the readings at midnight sharp alone.
+    the same for the readings at midnight sharp alone. Readings stored in buckets by station are together already:
+    then neither they nor their means are shuffled.
     """
     require_columns(readings, "station_id", "date_time", "air_temp_set_1")
     day = F.to_date("date_time")
@@ -45,9 +46,9 @@ def station_days(readings: DataFrame) -> DataFrame:
         F.max(at_midnight).alias("has_midnight"),
     )
     known_hour = F.when(F.col("temp_avg").isNotNull(), F.struct("Hour", "temp_avg"))
+    hours = hours.withColumn("month", F.trunc("Date", "month"))
     return (
-        hours.withColumn("month", F.trunc("Date", "month"))
-        .repartition(*STATION_MONTH)
+        (hours if by_station else hours.repartition(*STATION_MONTH))
         .groupBy(*STATION_MONTH, "Date")
         .agg(
             F.sort_array(F.collect_list(known_hour)).alias("known"),
@@ -65,19 +66,25 @@ def _months_of(windows: str) -> Column:
     )
 
 
-def _open_days(measured: DataFrame, plan: DataFrame) -> DataFrame:
-    """Station-days inside any range planned for their station, from midnight to midnight.
+def planned_by_month(plan: DataFrame) -> DataFrame:
+    """Per station and month the planned ranges (low, high) that touch it.
 
-    Of a range's last day only midnight is inside, unless another range covers that day. A station
-    has one range per season, so the list of ranges that touch a month is short.
+    A station has one range per season, so the list is short.
     """
-    ranges = (
+    return (
         plan.filter("seeding_date <= harvest_date")
         .select("station_id", F.struct(F.col("seeding_date").alias("low"), F.col("harvest_date").alias("high")).alias("w"))
         .select("station_id", "w", F.explode(_months_of("array(w)")).alias("month"))
         .groupBy(*STATION_MONTH)
-        .agg(F.collect_set("w").alias("ranges"))
+        .agg(F.sort_array(F.collect_set("w")).alias("ranges"))
     )
+
+
+def _open_days(measured: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Station-days inside any range planned for their station, from midnight to midnight.
+
+    Of a range's last day only midnight is inside, unless another range covers that day.
+    """
     whole_day = F.expr("exists(ranges, w -> Date >= w.low AND Date < w.high)")
     last_day = F.expr("exists(ranges, w -> Date = w.high)")
     midnight = F.when(
@@ -97,7 +104,7 @@ def _open_days(measured: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def _field_months(field_stations: DataFrame, rate: float) -> DataFrame:
+def field_months(field_stations: DataFrame, rate: float = LAPSE_F_PER_1000_FT) -> DataFrame:
     """Each field-season and station with its windows, once per month of the season's calendar year.
 
     The crops of a field-season share its weather, so their windows are listed together (one entry
@@ -142,6 +149,7 @@ def field_station_days(
     rate: float = LAPSE_F_PER_1000_FT,
     *,
     plan: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Days of each field-season's stations with their hours, partitioned by field and season.
 
@@ -150,7 +158,9 @@ def field_station_days(
     a plan the given field-seasons are all there are.
 
     The days of a busy station are repeated for as many shares of its fields as it fills shuffle tasks, so that
-    no task meets all fields of one. Use a stored field_stations: it is read several times.
+    no task meets all fields of one. Use a stored field_stations: it is read several times. `buckets` is the number of
+    buckets that readings are stored in by station, if they are (`readings_table.store`); what meets them is dealt
+    into as many.
     """
     if plan is None:
         plan = station_season_plan(field_stations)
@@ -159,9 +169,12 @@ def field_station_days(
     tasks = int(field_stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     busy = F.broadcast(_busy_stations(field_stations, tasks))
     share_list = F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)
-    needed = of_years(readings, _station_years(field_stations))
+    years, ranges = _station_years(field_stations), planned_by_month(plan)
+    if buckets:
+        years, ranges = years.distinct().repartition(buckets, "station_id"), ranges.repartition(buckets, "station_id")
+    needed = of_years(readings, years)
     days = (
-        _open_days(station_days(needed), plan)
+        _open_days(station_days(needed, by_station=buckets is not None), ranges)
         .join(busy, "station_id", "left")
         .withColumn("share", F.explode(share_list))
         .drop("shares")
@@ -169,7 +182,7 @@ def field_station_days(
     own_share = F.pmod(F.xxhash64("FIELD_ID"), F.coalesce("shares", F.lit(1))).cast("int")
     in_window = F.expr("exists(windows, w -> Date BETWEEN w.low AND w.high)")
     return (
-        _field_months(field_stations, rate)
+        field_months(field_stations, rate)
         .join(busy, "station_id", "left")
         .withColumn("share", own_share)
         .join(days, [*STATION_MONTH, "share"])
@@ -334,6 +347,7 @@ def season_degree_hours(
     rate: float = LAPSE_F_PER_1000_FT,
     temp_col: str = "temp_combined_avg",
     since: date | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Degree hours per field, crop and hour, from the chosen stations and their readings.
 
@@ -347,7 +361,7 @@ def season_degree_hours(
     if since is not None:
         plan = station_season_plan(field_stations) if plan is None else plan
         field_stations = open_field_seasons(field_stations, since)
-    adjusted = filled_hours(field_station_days(field_stations, readings, rate, plan=plan), x=x)
+    adjusted = filled_hours(field_station_days(field_stations, readings, rate, plan=plan, buckets=buckets), x=x)
     weather = field_weather(adjusted, keys=(*FIELD_SEASON, "Date", "Hour"))
     if since is not None:
         weather = weather.filter(F.col("Date") >= F.lit(since))

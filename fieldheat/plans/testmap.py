@@ -179,6 +179,31 @@ class TestTables:
             )) AS STATION"""
         )
 
+    def responses(self, kind: str) -> DataFrame:
+        """The same responses as JSON texts, `value`. Every eleventh station's are cut off or of another form."""
+        found = self.station_metadata() if kind == "metadata" else self.timeseries_pages()
+        number = "CAST(substr(STATION[0].STID, 2) AS INT)"
+        return found.selectExpr(
+            f"""CASE {number} % 11 WHEN 3 THEN substr(to_json(struct(STATION)), 1, 30)
+                               WHEN 5 THEN '{{"SUMMARY":"none"}}'
+                               WHEN 7 THEN '{{"STATION":"none"}}' ELSE to_json(struct(STATION)) END AS value"""
+        )
+
+    def batches(self) -> DataFrame:
+        """Readings with the number of their batch. In a third of the moments at every tenth station the first batch lacks
+        the readings, in another third it holds others, and the second one brings the right ones."""
+        moment = "pmod(CAST(unix_timestamp(date_time) / 60 AS BIGINT), 3)"
+        few = "CAST(substr(station_id, 2) AS INT) % 10 = 1"
+        rows = self.readings()
+        first = rows.selectExpr(
+            "station_id",
+            "date_time",
+            f"CASE WHEN {few} AND {moment} = 1 THEN 99e0 ELSE air_temp_set_1 END AS air_temp_set_1",
+            "year",
+            "1 AS batch",
+        ).filter(f"NOT ({few} AND {moment} = 0)")
+        return first.unionByName(rows.filter(f"{few} AND {moment} < 2").selectExpr("*", "2 AS batch"))
+
     def readings(self) -> DataFrame:
         """Readings as a landed table; seconds are dropped so that some fall exactly on midnight."""
         return self._table("events").selectExpr(
