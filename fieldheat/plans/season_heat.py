@@ -179,6 +179,8 @@ def field_station_days(
         .withColumn("share", F.explode(share_list))
         .drop("shares")
     )
+    if buckets:  # not left in the stations' buckets, where all fields of a busy one would meet in a task
+        days = days.repartition(*STATION_MONTH, "share")
     own_share = F.pmod(F.xxhash64("FIELD_ID"), F.coalesce("shares", F.lit(1))).cast("int")
     in_window = F.expr("exists(windows, w -> Date BETWEEN w.low AND w.high)")
     return (
@@ -206,20 +208,22 @@ def hourly_means(days: DataFrame) -> DataFrame:
 
 
 # Days of a season as bits of six longs, by their number in the year; a season's days lie in its own calendar year.
-DAY_WORDS = 6
+# The sign bit stays free, since one is subtracted from single bits.
+DAY_WORDS, WORD_BITS = 6, 62
 
 
 def _day_word(n: int) -> str:
     """The bits of one row's day in the n-th long."""
-    return f"if((dayofyear(Date) - 1) div 64 = {n}, shiftleft(1L, (dayofyear(Date) - 1) % 64), 0L)"
+    at = "(dayofyear(Date) - 1)"
+    return f"if({at} div {WORD_BITS} = {n}, shiftleft(1L, {at} % {WORD_BITS}), 0L)"
 
 
 def _days_before(day: str) -> str:
     """How many of the season's days lie before a date."""
     at = f"(dayofyear({day}) - 1)"
     counts = [
-        f"CASE WHEN {at} div 64 > {n} THEN bit_count(days_{n})"
-        f" WHEN {at} div 64 = {n} THEN bit_count(days_{n} & (shiftleft(1L, {at} % 64) - 1L)) ELSE 0 END"
+        f"CASE WHEN {at} div {WORD_BITS} > {n} THEN bit_count(days_{n})"
+        f" WHEN {at} div {WORD_BITS} = {n} THEN bit_count(days_{n} & (shiftleft(1L, {at} % {WORD_BITS}) - 1L)) ELSE 0 END"
         for n in range(DAY_WORDS)
     ]
     return "(" + " + ".join(counts) + ")"
@@ -235,7 +239,7 @@ def _spread(days: DataFrame) -> DataFrame:
     day.
 
     One sort by series and date serves all windows. The days of a field-season are a bitmap, from which ranks are
-    counted; only rows spread beyond their own day list the days.
+    counted; only rows spread beyond their own day list days, those that they are spread over.
     """
     by_day = "OVER (PARTITION BY FIELD_ID, CROP_SEASON, station_id ORDER BY Date{})"
     in_season = "OVER (PARTITION BY FIELD_ID, CROP_SEASON)"
@@ -266,13 +270,18 @@ def _spread(days: DataFrame) -> DataFrame:
         .withColumn("grid_size", F.expr("(" + " + ".join(f"bit_count({word})" for word in words) + ") * per_day"))
         .withColumn("first_day", F.expr("known_days <= 1"))
     )
+    # The season's days from the first to the last one that a row is spread over, if that is more than its own day.
+    word_of = f"CASE d div {WORD_BITS} " + " ".join(f"WHEN {n} THEN {word}" for n, word in enumerate(words)) + " END"
+    from_day = "if(first_day, 0, dayofyear(Date) - 1)"
+    to_day = f"coalesce(dayofyear(later.Date), {WORD_BITS * DAY_WORDS}) - 1"
+    covered = f"filter(sequence({from_day}, {to_day}), d -> ({word_of}) & shiftleft(1L, d % {WORD_BITS}) <> 0)"
     beyond = "(first_day AND day_no > 0) OR coalesce(later_at, grid_size) > day_at + per_day"
-    listed = f"filter(sequence(0, {64 * DAY_WORDS - 1}), d -> get(array({', '.join(words)}), d div 64) & shiftleft(1L, d % 64) <> 0)"
     # Hours of the day with the next known hour, which may lie on a later day.
-    hours = placed.withColumn("season_days", F.expr(f"if({beyond}, {listed}, NULL)")).select(
+    hours = placed.withColumn("covered_days", F.expr(f"if({beyond}, {covered}, NULL)")).select(
         *SERIES,
         "adjusted_wt",
-        "season_days",
+        "covered_days",
+        F.expr("if(first_day, 0, day_no)").alias("covered_from"),
         "hours_seen",
         "per_day",
         "grid_size",
@@ -308,7 +317,7 @@ def _spread(days: DataFrame) -> DataFrame:
         .withColumn("from_at", F.expr("if(v0 IS NULL OR (first_day AND i = 0), 0, at)"))
         .withColumn("p", F.explode(F.expr("sequence(from_at, coalesce(next_at, grid_size) - 1)")))
     )
-    other_day = "date_add(make_date(CROP_SEASON, 1, 1), get(season_days, p div per_day))"
+    other_day = "date_add(make_date(CROP_SEASON, 1, 1), get(covered_days, p div per_day - covered_from))"
     return spread.withColumn("Date", F.expr(f"if(p div per_day = day_no, Date, {other_day})")).withColumn(
         "Hour", F.expr("hours_seen[p % per_day]")
     )

@@ -1,0 +1,93 @@
+"""Landed coverage and request manifests against day sets; responses that cannot be read."""
+
+import json
+import random
+from collections import defaultdict
+from datetime import date, timedelta
+
+import pytest
+
+from fieldheat.operators import coverage, stations
+from fieldheat.schemas import STATION_METADATA
+from fieldheat.sources import landed
+
+RANGES = "station_id string, starts date, ends date"
+DAY = date(2021, 1, 1)
+
+
+def random_ranges(seed, n):
+    rng = random.Random(seed)
+    found = []
+    for _ in range(n):
+        first = rng.randrange(60)
+        found.append((rng.choice("ABCD"), DAY + timedelta(first), DAY + timedelta(first + rng.randrange(-2, 9))))
+    return found
+
+
+def days_of(ranges):
+    found = defaultdict(set)
+    for station, first, last in ranges:
+        found[station] |= {first + timedelta(n) for n in range((last - first).days + 1)}
+    return found
+
+
+def as_tuples(df):
+    return [(r.station_id, r.starts, r.ends) for r in df.select("station_id", "starts", "ends").collect()]
+
+
+def test_planned_less_landed(table):
+    planned, done = random_ranges(1, 25), random_ranges(2, 25)
+    expected = {s: d - days_of(done)[s] for s, d in days_of(planned).items()}
+    found = as_tuples(coverage.uncovered(table(planned, RANGES), table(done, RANGES)))
+    assert {s: d for s, d in days_of(found).items()} == {s: d for s, d in expected.items() if d}
+    assert sum((e - b).days + 1 for _, b, e in found) == sum(map(len, expected.values()))  # none twice
+    ends = {(s, e) for s, _, e in found}
+    assert not any((s, b - timedelta(1)) in ends for s, b, _ in found)  # none that touch
+    pieces = as_tuples(coverage.shared_windows(table(found, RANGES), 7))
+    assert days_of(pieces) == days_of(found) and all((e - b).days < 7 for _, b, e in pieces)
+    assert all((b - date(1970, 1, 1)).days // 7 == (e - date(1970, 1, 1)).days // 7 for _, b, e in pieces)
+
+
+def test_union_of_ranges_and_nothing(table):
+    planned = random_ranges(3, 30)
+    assert days_of(as_tuples(coverage.uncovered(table(planned, RANGES)))) == {
+        s: d for s, d in days_of(planned).items() if d
+    }
+    assert coverage.uncovered(table(planned, RANGES), table(planned, RANGES)).count() == 0
+    assert coverage.uncovered(table([], RANGES), table(planned, RANGES)).count() == 0
+
+
+@pytest.mark.parametrize("max_ids, max_length", [(5, 1000), (100, 20), (1, 1), (7, 23)])
+def test_requests_hold_every_station_once_within_bounds(table, max_ids, max_length):
+    many = [(f"S{n}", DAY, DAY + timedelta(4)) for n in range(60)]
+    rows = many + many[:3] + [(f"T{n * 1000}", DAY, DAY + timedelta(9)) for n in range(9)] + [(None, DAY, DAY)]
+    found = coverage.request_manifests(table(rows, RANGES), max_ids=max_ids, max_length=max_length, ranges=6).collect()
+    asked = [(i, r.starts, r.ends) for r in found for i in r.station_ids.split(",")]
+    assert sorted(asked) == sorted({r for r in rows if r[0]})
+    for r in found:
+        ids = r.station_ids.split(",")
+        assert len(ids) == r.n_stations <= max_ids and ids == sorted(ids)
+        assert len(r.station_ids) <= max_length or len(ids) == 1
+        assert (r.start_time, r.end_time[8:]) == ("202101010000", "0000")
+    for ends in {r.ends for r in found}:
+        own = sorted((r.request_no, r.station_ids) for r in found if r.ends == ends)
+        assert [n for n, _ in own] == list(range(1, len(own) + 1))
+        assert [i for _, ids in own for i in ids.split(",")] == sorted({r[0] for r in rows if r[0] and r[2] == ends})
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_broken_responses_are_set_aside(spark, tmp_path, lines):
+    good = json.dumps({"STATION": [{"STID": "A", "LATITUDE": "42.0", "STATUS": "ACTIVE"}]})
+    texts = [good, good[:20], '{"SUMMARY": 1}', '{"STATION": "none"}', "", '{"STATION": []}', "not json"]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n, text in enumerate(["\n".join(texts)] if lines else texts):
+        (folder / f"{n}.json").write_text(text)
+    rejects = str(tmp_path / "rejects")
+    found, count = landed.set_aside(spark, str(folder), STATION_METADATA, rejects, lines=lines)
+    assert [r.STID for r in stations.active_stations(found).collect()] == ["A"] and found.count() == 2
+    kept = spark.read.parquet(rejects).collect()
+    assert count == 4 and sorted((r.text.strip(), r.reason) for r in kept) == sorted(
+        [(good[:20], "unreadable"), ('{"SUMMARY": 1}', "no stations"), ('{"STATION": "none"}', "unreadable"), ("not json", "unreadable")]
+    )
+    assert all(r.file.startswith("file:") for r in kept)

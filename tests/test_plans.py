@@ -294,3 +294,15 @@ def test_filling_in_one_pass_equals_filling_the_grid(shared_station, x):
     stepwise = hourly.fill_gaps(hourly.complete_grid(means), x=x)
     rounded = ["FIELD_ID", "CROP_SEASON", "station_id", "Date", "Hour", "round(temp_avg, 9) AS t"]
     assert rows_of(direct.selectExpr(*rounded)) == rows_of(stepwise.selectExpr(*rounded))
+
+
+def test_every_day_of_a_leap_year(table):
+    """Every seventh day is known; those between are filled, over the borders of the bitmap's words."""
+    days = [date.fromordinal(date(2020, 1, 1).toordinal() + n) for n in range(366)]
+    rows = [(s, datetime(d.year, d.month, d.day, 3), float(n) if s == "T" or n % 7 == 0 else None, 2020) for s in "ST" for n, d in enumerate(days)]
+    pairs = table([("F", 2020, "c", s, date(2019, 6, 1), date(2021, 3, 1), 0.0, 0.0) for s in "ST"], PAIRS)
+    rows = [r for r in rows if r[0] == "T" or r[2] is not None]
+    found = season_heat.field_station_hours(pairs, table(rows, READINGS)).filter("station_id = 'S'").collect()
+    expected = {d: float(n) if n <= 364 else None for n, d in enumerate(days)}
+    assert len(found) == 366
+    assert all(r.temp_avg is None if expected[r.Date] is None else abs(r.temp_avg - expected[r.Date]) < 1e-9 for r in found)
