@@ -15,7 +15,8 @@ from fieldheat.llm.common import arrow_map, safe_pieces, stage, text_bytes
 KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in KEEP else 0x20 for b in range(256))
 BLOCK = 2
-PATTERN_BYTES = 32 << 20
+# Searched at a time. As Python words and tables they take about 160 times that in a worker: 4 MB were measured at 649 MB.
+PATTERN_BYTES = 2 << 20
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -72,7 +73,7 @@ class WuManber:
             end += 1
 
 
-def searchers(items: list[tuple[int | None, bytes]], window: int) -> list[WuManber]:
+def searchers(items: list[tuple[str | None, bytes]], window: int) -> list[WuManber]:
     """One searcher per pattern length. A shorter item is one pattern, an item without words none."""
     patterns: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
     for item, text in items:
@@ -106,7 +107,7 @@ def benchmark_hits(
     """Where windows of benchmark items occur in documents.
 
     Returns all columns of `docs` in a struct `doc`, with `n_words`, `spans` (begin and end word of each hit stretch,
-    flat, merged) and `items` (ids of the items found, distinct). One row per row of `docs`.
+    flat, merged) and `items` (ids of the items found as text, distinct and sorted). One row per row of `docs`.
 
     Each document is searched where it is read, so nothing is shuffled. The patterns go to the tasks by value: their
     bytes are summed first, and a benchmark of more than `pattern_bytes` is searched in that many parts, one pass
@@ -116,7 +117,7 @@ def benchmark_hits(
     not listed. Repeated items are one; repeated documents are judged each. An empty benchmark hits nothing.
     """
     rows = benchmark.select(
-        F.col(item_col).cast("long").alias("item"), text_bytes(item_text_col).alias("text")
+        F.col(item_col).cast("string").alias("item"), text_bytes(item_text_col).alias("text")
     ).distinct()
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-size // pattern_bytes) or 1
@@ -125,7 +126,7 @@ def benchmark_hits(
         text_bytes(text_col).alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<long>").alias("spans"),
-        F.array().cast("array<long>").alias("items"),
+        F.array().cast("array<string>").alias("items"),
     )
     for part in range(parts):
         own = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part) if parts > 1 else rows
@@ -135,7 +136,7 @@ def benchmark_hits(
     return found.drop("text")
 
 
-def _search(found: DataFrame, items: list[tuple[int | None, bytes]], window: int) -> DataFrame:
+def _search(found: DataFrame, items: list[tuple[str | None, bytes]], window: int) -> DataFrame:
     shared = found.sparkSession.sparkContext.broadcast(items)
 
     def hits(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -155,7 +156,7 @@ def _search(found: DataFrame, items: list[tuple[int | None, bytes]], window: int
                 "text": batch.column("text"),
                 "n_words": pa.array(n_words, pa.int64()),
                 "spans": pa.array(spans, pa.list_(pa.int64())),
-                "items": pa.array(names, pa.list_(pa.int64())),
+                "items": pa.array(names, pa.list_(pa.string())),
             }
 
     return arrow_map(found, hits, found.schema)

@@ -156,7 +156,7 @@ def near_vectors(
     largest label (`table_plan`): a pair at the threshold is missed with a chance of at most 1 - RECALL, closer
     pairs with far less.
 
-    `n_links` counts the other ids linked directly, `component_id` is the least id reachable, and `kept` marks it.
+    Ids are whole numbers. `n_links` counts the other ids linked directly, `component_id` is the least id reachable, and `kept` marks it.
     Vectors that are null, empty, zero or hold null or non-finite components, rows without a label and rows without
     an id link with nothing and stand alone; without an id, `component_id` is null and `kept` false. Vectors of
     different lengths do not link. Repeated rows (same id, label and vector) count as one vector. An empty table gives

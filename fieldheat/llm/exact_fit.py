@@ -4,26 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, prepare_workers, stage, text_bytes
-from fieldheat.llm.word_encoder import encoder
-
-OUT_BYTES = 8 << 20
-
-
-class Pattern(NamedTuple):
-    """A way to fill a window, as (length, times) from its start, and the number of windows filled so."""
-
-    members: tuple[tuple[int, int], ...]
-    windows: int
+from fieldheat.llm.pieces import Pattern, cut, placed
 
 
 class SumIndex:
@@ -139,95 +125,6 @@ def plan(counts: np.ndarray, window: int) -> list[Pattern]:
     return exact + best_fit(rest, window)
 
 
-class Slots:
-    """Where the n-th piece of a length goes: arrays of places for runs of pieces, by length and number of the first."""
-
-    RANKS = 1 << 44
-
-    def __init__(self, patterns: list[Pattern]):
-        used: Counter[int] = Counter()
-        rows, sequence = [], 0
-        for members, windows in patterns:
-            offset = 0
-            for length, times in members:
-                rows.append((length * self.RANKS + used[length], times, sequence, offset))
-                used[length] += times * windows
-                offset += length * times
-            sequence += windows
-        found = np.array(sorted(rows), np.int64).reshape(-1, 4)
-        self.first, self.times, self.sequence, self.offset = found.T
-
-    def of(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sequence and offset of pieces by length and number."""
-        key = length * self.RANKS + rank
-        at = np.searchsorted(self.first, key, side="right") - 1
-        nth = key - self.first[at]
-        return self.sequence[at] + nth // self.times[at], self.offset[at] + nth % self.times[at] * length
-
-
-def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> DataFrame:
-    """Pieces of all documents, each with the number of its task and its number among the task's pieces of its length."""
-
-    def pieces(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known = encoder(tokenizer)
-        full, end = 4 * window, end_id.to_bytes(4, "little")
-        task = TaskContext.get()
-        number_of_task = task.partitionId() if task else 0
-        seen = [0] * (window + 1)
-        rows: list[tuple] = []
-        size = 0
-
-        def add(row: int, piece: int, ids: bytes) -> None:
-            nonlocal size
-            length = len(ids) // 4
-            rows.append((row, piece, length, ids, seen[length]))
-            seen[length] += 1
-            size += len(ids) + 64
-
-        def last(row: int, piece: int, ids: bytes) -> None:
-            for n, begin in enumerate(range(0, len(ids), full)):
-                add(row, piece + n, ids[begin : begin + full])
-
-        def taken(names: pa.Array) -> dict:
-            nonlocal size
-            at, piece, length, ids, nth = zip(*rows)
-            rows.clear()
-            size = 0
-            return {
-                "id": names.take(pa.array(at)),
-                "piece": pa.array(piece, pa.int32()),
-                "length": pa.array(length, pa.int64()),
-                "ids": pa.array(ids, pa.binary()),
-                "task": pa.array([number_of_task] * len(at), pa.int64()),
-                "nth": pa.array(nth, pa.int64()),
-            }
-
-        for batch in stream:
-            names = batch.column(0)
-            at, piece, held = None, 0, b""
-            for row, ids in known.pieces(batch.column(1).to_pylist()):
-                if row != at:
-                    if at is not None:
-                        last(at, piece, held + end)
-                    at, piece, held = row, 0, b""
-                held += ids
-                whole = len(held) - len(held) % full
-                for begin in range(0, whole, full):
-                    add(at, piece, held[begin : begin + full])
-                    piece += 1
-                held = held[whole:]
-                if size > OUT_BYTES:
-                    yield taken(names)
-            if at is not None:
-                last(at, piece, held + end)
-            if rows:
-                yield taken(names)
-
-    picked = docs.select("id", text_bytes("text").alias("text"))
-    kind = picked.schema["id"].dataType.simpleString()
-    return arrow_map(picked, pieces, f"id {kind}, piece int, length long, ids binary, task long, nth long")
-
-
 def pack_exactly(
     docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -248,25 +145,9 @@ def pack_exactly(
     `end_id` alone; a null id stays null; repeated rows are packed each; an empty table gives no rows; other columns
     are not read.
     """
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    pieces = stage(cut(named, tokenizer, end_id, window), "pieces")
-    # Stored, so that its size is known: Spark broadcasts it only if it is small.
-    per_task = stage(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "lengths")
-    counts = np.zeros(window + 1, np.int64)
-    for length, n in per_task.groupBy("length").agg(F.sum("n")).collect():  # a row per length
-        counts[length] = n
-    slots = Slots(plan(counts, window))
-    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = per_task.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-
-    @F.pandas_udf("sequence_id long, offset long")
-    def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        sequence, offset = slots.of(length.to_numpy(), rank.to_numpy())
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
-
-    prepare_workers(docs.sparkSession)
-    found = pieces.join(bases, ["length", "task"]).withColumn("at", placed("length", F.col("base") + F.col("nth")))
+    pieces = cut(docs, tokenizer, end_id, window, id_col, text_col)
+    found = placed(pieces, lambda counts: plan(counts, window), window)
     start = F.col("piece").cast("long") * window
     return found.select(
-        F.col("id").alias(id_col), "piece", start.alias("start"), "length", "ids", "at.sequence_id", "at.offset"
+        F.col("id").alias(id_col), "piece", start.alias("start"), "length", "ids", "sequence_id", "offset"
     )

@@ -102,8 +102,7 @@ FROM judged j LEFT JOIN trust_{ROUNDS} t ON j.host = t.host LEFT JOIN distrust_{
 
 ORACLE_SQL["op3_substring_dedup"] = r"""
 WITH split AS (
-    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS w FROM documents
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), starts AS (
     SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + 19), ' ')) AS gram
     FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS pos FROM split WHERE len(w) >= 20)

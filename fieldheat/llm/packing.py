@@ -2,37 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import NamedTuple
-
-import pyarrow as pa
-from pyspark import TaskContext
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, text_bytes
-from fieldheat.llm.word_encoder import encoder
-
-HELD_BYTES = 32 << 20
-OUT_BYTES = 8 << 20
-
-
-class Piece(NamedTuple):
-    """Some consecutive ids of one document."""
-
-    doc: object
-    start: int
-    ids: bytes
-    doc_tokens: int
+from fieldheat.llm.pieces import Pattern, cut, placed
 
 
 class OpenWindows:
-    """Open windows in a segment tree over remaining capacity; finds the tightest one that still fits."""
+    """Open windows in a segment tree over remaining capacity; finds the tightest ones that still fit.
+
+    Windows filled alike are one pattern, so a leaf holds patterns, and inner nodes count them.
+    """
 
     def __init__(self, window: int):
         self.leaves = 1 << window.bit_length()
         self.open = [0] * (2 * self.leaves)
-        self.at: list[list[int]] = [[] for _ in range(window + 1)]
+        self.at: list[list[Pattern]] = [[] for _ in range(window + 1)]
 
     def _count(self, capacity: int, by: int) -> None:
         node = capacity + self.leaves
@@ -40,13 +26,13 @@ class OpenWindows:
             self.open[node] += by
             node >>= 1
 
-    def put(self, number: int, capacity: int) -> None:
-        if capacity:
-            self.at[capacity].append(number)
+    def put(self, capacity: int, pattern: Pattern) -> None:
+        if pattern.windows:
+            self.at[capacity].append(pattern)
             self._count(capacity, 1)
 
-    def take(self, length: int) -> tuple[int, int] | None:
-        """The open window with the least capacity of at least a length, and that capacity."""
+    def take(self, length: int) -> tuple[int, Pattern] | None:
+        """The least capacity of at least a length that open windows have, and some of them, filled alike."""
         node = length + self.leaves
         if not self.open[node]:
             while node & 1 or not self.open[node + 1]:  # up until a right neighbour holds something
@@ -58,58 +44,34 @@ class OpenWindows:
                 node = 2 * node if self.open[2 * node] else 2 * node + 1
         capacity = node - self.leaves
         self._count(capacity, -1)
-        return self.at[capacity].pop(), capacity
-
-
-class Out:
-    """Rows on their way out."""
-
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
-        self.size = 0
-
-    def add(self, piece: Piece, sequence: int, offset: int) -> None:
-        self.rows.append((piece.doc, piece.start, len(piece.ids) // 4, piece.ids, piece.doc_tokens, sequence, offset))
-        self.size += len(piece.ids) + 64
-
-    def window(self, pieces: list[Piece], sequence: int) -> None:
-        offset = 0
-        for piece in pieces:
-            self.add(piece, sequence, offset)
-            offset += len(piece.ids) // 4
-
-    def columns(self, kind: pa.DataType) -> dict:
-        types = [kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        found = {n: pa.array(v, t) for n, t, v in zip(names, types, zip(*self.rows))}
-        self.rows, self.size = [], 0
-        return found
-
-
-def documents(pieces: Iterator[tuple[int, bytes]], end: bytes) -> Iterator[tuple[int, bytes]]:
-    """All ids of each text, with the end id."""
-    number, parts = None, []
-    for n, ids in pieces:
-        if n != number and number is not None:
-            yield number, b"".join([*parts, end])
-            parts = []
-        number = n
-        parts.append(ids)
-    if number is not None:
-        yield number, b"".join([*parts, end])
-
-
-def best_fit_decreasing(lengths: list[int], window: int) -> list[list[int]]:
-    """Windows as lists of item numbers. Longest first, ties by number, each into the tightest open window."""
-    tree, windows = OpenWindows(window), []
-    for number in sorted(range(len(lengths)), key=lambda n: -lengths[n]):
-        found = tree.take(lengths[number])
-        if found is None:
-            found = len(windows), window
-            windows.append([])
-        windows[found[0]].append(number)
-        tree.put(found[0], found[1] - lengths[number])
-    return windows
+        return capacity, self.at[capacity].pop()
+
+    def patterns(self) -> list[Pattern]:
+        return [pattern for alike in self.at for pattern in alike]
+
+
+def best_fit_decreasing(counts: np.ndarray, window: int) -> list[Pattern]:
+    """Windows for pieces of given lengths (their counts, by length): longest first, each into the tightest open window.
+
+    Pieces of one length follow each other into a window while they fit, since it stays the tightest; so windows that
+    are alike take as many each, and one may take the last few.
+    """
+    tree = OpenWindows(window)
+    for length in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[length])
+        while left:
+            found = tree.take(length)
+            capacity, alike = found if found else (window, Pattern((), left))
+            times = capacity // length
+            full = min(alike.windows, left // times)
+            rest = min(left - full * times, times - 1) if full < alike.windows else 0
+            left -= full * times + rest
+            tree.put(capacity - times * length, Pattern((*alike.members, (length, times)), full))
+            if rest:
+                tree.put(capacity - rest * length, Pattern((*alike.members, (length, rest)), 1))
+            if found:
+                tree.put(capacity, Pattern(alike.members, alike.windows - full - (rest > 0)))
+    return tree.patterns()
 
 
 def pack(
@@ -121,59 +83,16 @@ def pack(
     little-endian), `doc_tokens` (all ids of the document, its `end_id` included), `sequence_id` and `offset` (place
     in the sequence; pieces follow each other without gaps).
 
-    A document longer than a window gives full windows first. The rests meet in the task that read them and are
-    packed best-fit decreasing, at most HELD_BYTES of ids at a time; badly filled windows then wait for the next
-    rests, so only a task's last windows hold padding to speak of. No text is shuffled, and a repeated task gives
-    the same sequences: their ids derive from the partition's number and the order of its rows.
+    A document longer than a window gives full windows first. Then all pieces of all documents are packed best-fit
+    decreasing, planned from the counts of their lengths (see `pieces`); so sequences are filled as well from many
+    tasks as from one. No text is shuffled, and a repeated task gives the same sequences.
 
     Nulls and empty texts are documents of `end_id` alone; a null id stays null; repeated rows are packed each;
     an empty table gives no rows; other columns are not read.
     """
-
-    def sequences(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known = encoder(tokenizer)
-        full, end = 4 * window, end_id.to_bytes(4, "little")
-        task = TaskContext.get()
-        next_id = (task.partitionId() if task else 0) << 40
-        out = Out()
-        rests: list[Piece] = []
-        held = 0
-        kind = None
-        for batch in stream:
-            kind = batch.schema.field(0).type
-            names = batch.column(0).to_pylist()
-            for number, ids in documents(known.pieces(batch.column(1).to_pylist()), end):
-                total = len(ids) // 4
-                cut = len(ids) - len(ids) % full
-                for begin in range(0, cut, full):
-                    out.add(Piece(names[number], begin // 4, ids[begin : begin + full], total), next_id, 0)
-                    next_id += 1
-                    if out.size > OUT_BYTES:
-                        yield out.columns(kind)
-                if cut < len(ids):
-                    rests.append(Piece(names[number], cut // 4, ids[cut:], total))
-                    held += len(ids) - cut
-                if held > HELD_BYTES:
-                    waiting: list[Piece] = []
-                    for members in best_fit_decreasing([len(p.ids) // 4 for p in rests], window):
-                        own = [rests[n] for n in members]
-                        if sum(len(p.ids) for p in own) < 0.98 * full and len(waiting) < len(rests) // 2:
-                            waiting += own
-                            continue
-                        out.window(own, next_id)
-                        next_id += 1
-                        if out.size > OUT_BYTES:
-                            yield out.columns(kind)
-                    rests, held = waiting, sum(len(p.ids) for p in waiting)
-        for members in best_fit_decreasing([len(p.ids) // 4 for p in rests], window):
-            out.window([rests[n] for n in members], next_id)
-            next_id += 1
-            if out.size > OUT_BYTES:
-                yield out.columns(kind)
-        if out.rows:
-            yield out.columns(kind)
-
-    picked = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    kind = picked.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return arrow_map(picked, sequences, schema).withColumnRenamed("id", id_col)
+    pieces = cut(docs, tokenizer, end_id, window, id_col, text_col)
+    found = placed(pieces, lambda counts: best_fit_decreasing(counts, window), window)
+    start = F.col("piece").cast("long") * window
+    return found.select(
+        F.col("id").alias(id_col), start.alias("start"), "length", "ids", "doc_tokens", "sequence_id", "offset"
+    )

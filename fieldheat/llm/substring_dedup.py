@@ -397,7 +397,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     Returns `doc` (a struct of the other columns), `kept` (kept words joined by one space), `spans` (first and one past
     the last of each stretch of removed words, flat), `n_words` and `n_removed`, one row per row of `docs`.
 
-    Nulls and empty texts have no words. A null id comes before all others. Repeated rows (same id and text) are one
+    Ids are whole numbers. Nulls and empty texts have no words. A null id comes before all others. Repeated rows (same id and text) are one
     document; rows that share an id but not the text come in the order of a hash of the text. An empty table gives
     no rows.
     """

@@ -28,10 +28,6 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, ADDRESS, 2), F.lit(""))
 
 
-def parsed(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
-    return pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-
-
 def matching_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The longest rule for each distinct `host` and `path`: `host`, `path`, `rule`, `verdict`; no row without a rule.
 

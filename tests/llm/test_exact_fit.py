@@ -10,8 +10,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from fieldheat.llm import exact_fit
-from fieldheat.llm.exact_fit import Slots, best_fit, exact_patterns, pack_exactly, plan
+from fieldheat.llm import pieces as cutting
+from fieldheat.llm.exact_fit import best_fit, exact_patterns, pack_exactly, plan
+from fieldheat.llm.pieces import Slots
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 24
@@ -76,7 +77,7 @@ def ids_of(text):
 
 
 def test_packing_is_a_round_trip(documents, corpus, monkeypatch):
-    monkeypatch.setattr(exact_fit, "OUT_BYTES", 1 << 12)
+    monkeypatch.setattr(cutting, "OUT_BYTES", 1 << 12)
     distinct = [(n, t) for n, (_, t) in enumerate(corpus)]
     found = pack_exactly(documents(distinct).repartition(7), WORDS, end_id=0, window=256).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)

@@ -34,22 +34,24 @@ def slow_hits(text, items, size):
     return len(words), hit, found - {None}
 
 
-@pytest.mark.parametrize("pattern_bytes", [1 << 20, 200])
-def test_benchmark_hits(spark, documents, corpus, pattern_bytes):
+@pytest.mark.parametrize("pattern_bytes, kind", [(1 << 20, "long"), (200, "string")])
+def test_benchmark_hits(spark, documents, corpus, pattern_bytes, kind):
     texts = [t for _, t in corpus if t and 30 < len(t.split()) < 200]
     items = [(n, " ".join(texts[n].split()[3 : 3 + size])) for n, size in enumerate((10, 11, 25, 9, 4, 1, 30))]
     items += [(7, None), (8, " . "), (2, items[2][1]), (None, items[6][1]), (9, "nothing of this occurs " * 4)]
     items += [(10, "la " * 12), (11, "la " * 12)]
     rows = [*corpus, (900, items[1][1].upper().replace(" ", "--")), (901, "Ärger é日本 w1")]
-    bench = spark.createDataFrame(items, "item_id long, text string")
+    if kind == "string":
+        items = [(i if i is None else f"q-{i}", t) for i, t in items]
+    bench = spark.createDataFrame(items, f"item_id {kind}, text string")
     found = benchmark_hits(documents(rows), bench, 10, pattern_bytes=pattern_bytes).collect()
     assert len(found) == len(rows)
     expected = []
     for i, t in rows:
         n, hit, own = slow_hits(t, items, 10)
-        expected.append((str(i), n, sorted(hit), sorted(own)))
+        expected.append((str(i), n, sorted(hit), sorted(map(str, own))))
     got = [
-        (str(r.doc.doc_id), r.n_words, [w for a, b in zip(r.spans[::2], r.spans[1::2]) for w in range(a, b)], sorted(r["items"]))
+        (str(r.doc.doc_id), r.n_words, [w for a, b in zip(r.spans[::2], r.spans[1::2]) for w in range(a, b)], r["items"])
         for r in found
     ]
     assert sorted(got) == sorted(expected) and any(e[3] for e in expected)
