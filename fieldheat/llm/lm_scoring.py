@@ -89,18 +89,6 @@ def vocabulary(counts: DataFrame, size: int) -> np.ndarray:
     return np.sort(picked.to_numpy(np.int64).view(np.uint64))
 
 
-def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """`id` and `text` (lower case, squeezed) of every document."""
-
-    def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in stream:
-            texts = [zstandard.compress(text.lower(), 1) for text in batch.column("text").to_pylist()]
-            yield {"id": batch.column("id"), "text": pa.array(texts, pa.binary())}
-
-    picked = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    return arrow_map(picked, rows, f"id {picked.schema['id'].dataType.simpleString()}, text binary")
-
-
 class Keys(NamedTuple):
     """The different words or bigrams of a block."""
 
@@ -119,7 +107,6 @@ class Block:
     def __init__(self) -> None:
         self.ids: list = []
         self.tokens: list[np.ndarray] = []
-        self.target: list[int] = []
         self.half: list[int] = []
         self.hashes = np.zeros(0, np.uint64)  # of each word number
         self.size = 0
@@ -157,14 +144,16 @@ class Numbers(dict):
         return found
 
 
-def slices(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins in sorted keys; buckets are equal parts of all 64-bit numbers."""
-    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-    return np.searchsorted(bucket.astype(np.int64), np.arange(buckets + 1))
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key; buckets are equal parts of all 64-bit numbers, so sorted keys lie in order of buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def block_rows(documents: DataFrame, words: np.ndarray | None) -> DataFrame:
-    """Blocks of documents; words beyond a vocabulary, if one is given, are UNKNOWN."""
+    """Blocks of documents, made where they are read: `block`, `size` (transitions), `data` and `ids`, in order.
+
+    Words beyond a vocabulary, if one is given, are UNKNOWN.
+    """
     ids = documents.schema["id"].dataType.simpleString()
     shared = documents.sparkSession.sparkContext.broadcast(words)
 
@@ -175,12 +164,11 @@ def block_rows(documents: DataFrame, words: np.ndarray | None) -> DataFrame:
         kind = None
         for batch in stream:
             kind = batch.schema.field("id").type
-            columns = [batch.column(c).to_pylist() for c in ("id", "text", "target", "half")]
-            for ident, text, target, half in zip(*columns):
-                parts = [np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)) for own in words_of(zstandard.decompress(text))]
+            columns = [batch.column(c).to_pylist() for c in ("id", "text", "half")]
+            for ident, text, half in zip(*columns):
+                parts = [np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)) for own in words_of(text)]
                 held.ids.append(ident)
                 held.tokens.append(np.concatenate(parts))
-                held.target.append(target)
                 held.half.append(half)
                 held.size += len(held.tokens[-1]) + 1
                 if held.size >= TOKENS_AT_ONCE:
@@ -192,15 +180,22 @@ def block_rows(documents: DataFrame, words: np.ndarray | None) -> DataFrame:
     def sent(held: Block, numbers: Numbers, number: int, kind: pa.DataType) -> dict:
         lengths = np.array([len(t) for t in held.tokens], np.uint32)
         sizes = np.array([len(lengths), len(numbers.hashes), lengths.sum(dtype=np.int64)], np.int64)
-        flags = (np.array(held.half, np.uint8), np.array(held.target, np.uint8))
-        blob = squeezed(sizes, lengths, *flags, np.array(numbers.hashes, np.uint64), np.concatenate(held.tokens))
+        half = np.array(held.half, np.uint8)
+        blob = squeezed(sizes, lengths, half, np.array(numbers.hashes, np.uint64), np.concatenate(held.tokens))
         return {
             "block": pa.array([number], pa.int64()),
+            "size": pa.array([held.size], pa.int64()),
             "data": pa.array([blob], pa.binary()),
             "ids": pa.array([held.ids], pa.list_(kind)),
         }
 
-    return arrow_map(documents, rows, f"block long, data binary, ids array<{ids}>")
+    return arrow_map(documents, rows, f"block long, size long, data binary, ids array<{ids}>")
+
+
+def target_places(blocks: DataFrame, targets: DataFrame) -> DataFrame:
+    """`block` and `places` of the target documents in it. Ids alone meet the targets; texts and blocks stay."""
+    placed = blocks.select("block", F.posexplode("ids").alias("place", "id")).where("id is not null")
+    return placed.join(targets, "id", "left_semi").groupBy("block").agg(F.collect_list("place").alias("places"))
 
 
 def unsqueezed_block(data: bytes, ids: list) -> Block:
@@ -209,48 +204,52 @@ def unsqueezed_block(data: bytes, ids: list) -> Block:
     held = Block()
     held.ids = ids
     lengths = found.take(n, np.uint32).astype(np.int64)
-    held.half, held.target = found.take(n, np.uint8).tolist(), found.take(n, np.uint8).tolist()
+    held.half = found.take(n, np.uint8).tolist()
     held.hashes = found.take(n_words, np.uint64)
     held.tokens = np.split(found.take(n_tokens, np.uint32).astype(np.int64), np.cumsum(lengths)[:-1])
     return held
 
 
-def sent_counts(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Counts of the words and bigrams of each block, a row per bucket: `block`, `bucket`, `data`.
+def sent_counts(blocks: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
+    """Counts of the words and bigrams of each block, a row per bucket that any is in: `block`, `bucket`, `data`.
 
     A word or bigram is sent once per block, however frequent it is.
     """
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in stream:
-            for number, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                yield sent(number, unsqueezed_block(data.as_py(), []))
+            columns = [batch.column(c) for c in ("block", "data", "places")]
+            for number, data, own in zip(*columns):
+                yield sent(number.as_py(), unsqueezed_block(data.as_py(), []), own.as_py() or [])
 
-    def sent(number: int, held: Block) -> dict:
+    def sent(number: int, held: Block, places: list[int]) -> dict:
         words, bigrams, _ = held.keys()
         lengths = held.lengths()
         half = np.repeat(np.array(held.half, np.int64), lengths)
-        own = np.repeat(np.array(held.target), lengths) == 1
+        target = np.zeros(len(lengths), bool)
+        target[places] = True
+        own = np.repeat(target, lengths)
         every = slice(None)
         parts = []
         for keys in (words, bigrams):
             counts = np.concatenate([keys.counts(own, half), keys.counts(every, half)], axis=1).astype(np.uint32)
-            parts.append((keys.values, counts, slices(keys.values, buckets)))
-        used, blobs = [], []
-        for k in range(buckets):
-            found = [(values[e[k] : e[k + 1]], counts[e[k] : e[k + 1]]) for values, counts, e in parts]
+            parts.append((keys.values, counts, buckets_of(keys.values, buckets)))
+        used = np.unique(np.concatenate([at for _, _, at in parts]))
+        edges = [(np.searchsorted(at, used), np.searchsorted(at, used, "right")) for _, _, at in parts]
+        blobs = []
+        for k in range(len(used)):
+            found = [(values[b[k] : e[k]], counts[b[k] : e[k]]) for (values, counts, _), (b, e) in zip(parts, edges)]
             sizes = np.array([len(values) for values, _ in found], np.int64)
-            if sizes.any():
-                steps = [np.diff(values, prepend=np.uint64(0)) for values, _ in found]
-                used.append(k)
-                blobs.append(squeezed(sizes, *steps, *[counts.T for _, counts in found]))
+            steps = [np.diff(values, prepend=np.uint64(0)) for values, _ in found]
+            blobs.append(squeezed(sizes, *steps, *[counts.T for _, counts in found]))
         return {
             "block": pa.array([number] * len(used), pa.int64()),
             "bucket": pa.array(used, pa.int64()),
             "data": pa.array(blobs, pa.binary()),
         }
 
-    return arrow_map(blocks.select("block", "data"), rows, "block long, bucket long, data binary")
+    known = blocks.select("block", "data").join(places, "block", "left")
+    return arrow_map(known, rows, "block long, bucket long, data binary")
 
 
 def answered(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -379,21 +378,22 @@ def cross_entropy_difference(
     Null and empty texts consist of the two boundaries. A null id is no target. Repeated rows are counted and scored
     each. Without targets the target model is uniform. An empty table gives no rows.
 
-    All words and bigrams of all documents are counted, by hashes of 64 bits. Documents travel as word numbers in
-    blocks of bounded size, each with the hashes of its own words; a block sends each of its words and bigrams once and
-    gets the counts back, so a frequent one is no burden to the task that adds it up, and no task holds the vocabulary.
+    All words and bigrams of all documents are counted, by hashes of 64 bits. Texts are not shuffled. They become blocks
+    of word numbers where they are read, each with the hashes of its own words; only ids meet the targets. A block sends
+    each of its words and bigrams once and gets the counts back, so a frequent one is no burden to the task that adds
+    it up, and no task holds the vocabulary. Buckets grow in number with the corpus, not in size. A block holds
+    TOKENS_AT_ONCE words or one document, if that is longer.
     """
     words = None
     if vocabulary_size is not None:
         words = vocabulary(word_counts(docs.select(text_bytes(text_col).alias("text"))), vocabulary_size)
-    wanted = targets.select(F.col(id_col).alias("id"), F.lit(1).alias("target")).where("id is not null").distinct()
-    known = text_rows(docs, id_col, text_col).join(wanted.hint("shuffle_hash"), "id", "left")
-    half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
-    flagged = known.select("id", "text", F.coalesce("target", F.lit(0)).alias("target"), half)
-    length = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = int(max(1, min(32_768, length // 5 // BUCKET_TOKENS)))
-    blocks = stage(block_rows(flagged, words), "token_blocks")
-    answers = stage(counted_answers(sent_counts(blocks, buckets)), "token_answers")
+    half = F.pmod(F.xxhash64(id_col), F.lit(2)).cast("int").alias("half")
+    documents = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), half)
+    blocks = stage(block_rows(documents, words), "token_blocks")
+    places = stage(target_places(blocks, targets.select(F.col(id_col).alias("id"))), "target_places")
+    size = blocks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, size // BUCKET_TOKENS)
+    answers = stage(counted_answers(sent_counts(blocks, places, buckets)), "token_answers")
     sums = [F.coalesce(F.sum(F.col("totals")[k]), F.lit(0)) for k in range(1 + CLASSES)]
     totals = list(answers.agg(*sums).first())
     return document_scores(blocks, answers, totals).withColumnRenamed("id", id_col)
