@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fieldheat.llm.common import WordHashes, arrow_map, mix, runs, safe_pieces, stage, text_bytes
 
 SKETCH_BITS = 28
+FREQUENT_BITS = 24
 WORDS_AT_ONCE = 1 << 18
 ANCHORS_AT_ONCE = 1 << 20
 WINDOWS_AT_ONCE = 1 << 19
@@ -24,37 +25,57 @@ FREQUENT = 4096  # an anchor that occurs more often has its windows dealt one by
 
 
 class Segments(NamedTuple):
-    """Words of some documents, or of parts of long ones, one after the other."""
+    """Words of some documents, or of parts of them, one after the other."""
 
     hashes: np.ndarray  # of all words
     lengths: np.ndarray  # words of each segment
     doc: np.ndarray  # number of each segment's document in the batch
     skipped: np.ndarray  # words of that document before the segment
+    live: np.ndarray | None = None  # whether each window, segment by segment, is looked at; None: all are
 
 
-def segments(texts: list[bytes], known: WordHashes, window: int) -> Iterator[Segments]:
-    """Texts in groups of bounded size. Segments of one text overlap, so that each window lies in exactly one whole."""
-    held: list[tuple[np.ndarray, int, int]] = []
+def grouped(parts: Iterator[tuple[np.ndarray, int, int, np.ndarray | None]]) -> Iterator[Segments]:
+    """Segments (words, document, words before, live windows) in groups of bounded size."""
+    held: list[tuple] = []
     size = 0
 
     def group() -> Segments:
-        arrays, docs, skipped = zip(*held)
+        arrays, docs, skipped, live = zip(*held)
         lengths = np.array([len(a) for a in arrays], np.int64)
-        return Segments(np.concatenate(arrays), lengths, np.array(docs), np.array(skipped, np.int64))
-
-    for number, text in enumerate(texts):
-        words = np.concatenate([known.of(piece.split()) for piece in safe_pieces(text)])
-        for begin in range(0, max(0, len(words) - window + 1), WORDS_AT_ONCE):
-            part = words[begin : begin + WORDS_AT_ONCE + window - 1]
-            held.append((part, number, begin))
-            size += len(part)
-            if size >= WORDS_AT_ONCE:
-                yield group()
-                held, size = [], 0
+        alive = None if live[0] is None else np.concatenate(live)
+        return Segments(np.concatenate(arrays), lengths, np.array(docs), np.array(skipped, np.int64), alive)
+
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= WORDS_AT_ONCE:
+            yield group()
+            held, size = [], 0
     if held:
         yield group()
 
 
+def segments(texts: list[bytes], known: WordHashes, window: int) -> Iterator[Segments]:
+    """Texts in groups of bounded size. Segments of one text overlap, so that each window lies in exactly one whole."""
+
+    def parts() -> Iterator[tuple]:
+        for number, text in enumerate(texts):
+            words = np.concatenate([known.of(piece.split()) for piece in safe_pieces(text)])
+            for begin in range(0, max(0, len(words) - window + 1), WORDS_AT_ONCE):
+                yield words[begin : begin + WORDS_AT_ONCE + window - 1], number, begin, None
+
+    return grouped(parts())
+
+
+def segments_of(batch: pa.RecordBatch, known: WordHashes, window: int) -> Iterator[Segments]:
+    """Segments of a batch of texts, or of stretches that a level left (`surviving_stretches`)."""
+    if "text" in batch.schema.names:
+        return segments(batch.column("text").to_pylist(), known, window)
+    columns = [batch.column(c).to_pylist() for c in ("words", "start", "live")]
+    rows = enumerate(zip(*columns))
+    return grouped((np.frombuffer(w, np.uint64), n, start, np.frombuffer(live, bool)) for n, (w, start, live) in rows)
+
+
 def doubled(hashes: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all runs of `length` words, from runs of half that length; an odd word is added at the end."""
     if length == 1:
@@ -83,23 +104,30 @@ def levels_of(window: int) -> list[int]:
 
 
 def windows(group: Segments, window: int, length: int) -> Windows:
-    """Windows and their anchors of a length: equal windows hold equal anchors at equal places."""
+    """Live windows and their anchors of a length: equal windows hold equal anchors at equal places."""
     found = doubled(group.hashes, length)
     ends = np.cumsum(group.lengths)
     counts = group.lengths - window + 1
     segment = np.repeat(np.arange(len(counts)), counts)
     first = ends - group.lengths
     inside = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
+    if group.live is not None:
+        segment, inside = segment[group.live], inside[group.live]
     place = first[segment] + inside
     spans = np.lib.stride_tricks.sliding_window_view(found, window - length + 1)
     anchor = spans.argmin(axis=1)[place] + place
     return Windows(found, anchor, place, segment, inside + group.skipped[segment])
 
 
-def surviving(found: Windows, bits: np.ndarray) -> np.ndarray:
-    """The windows whose anchor may occur more than once."""
-    at = (found.runs[found.anchor] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-    return np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+def scattered(hashes: np.ndarray) -> np.ndarray:
+    """Least hashes have leading zeros; these have even leading bits, and differ where the hashes do."""
+    return hashes * np.uint64(0x9E3779B97F4A7C15)
+
+
+def marked(hashes: np.ndarray, bits: bytes, size: int) -> np.ndarray:
+    """Whether the bit of each hash is set, among 2^size bits."""
+    at = (scattered(hashes) >> np.uint64(64 - size)).astype(np.int64)
+    return (np.frombuffer(bits, np.uint8)[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 class Sketch(NamedTuple):
@@ -107,26 +135,27 @@ class Sketch(NamedTuple):
 
     length: int
     bits: Broadcast
-    frequent: Broadcast  # sorted hashes of the anchors that occur more than FREQUENT times
+    frequent: Broadcast  # where anchors occur more than FREQUENT times, in 2^FREQUENT_BITS bits
 
+    def surviving(self, found: Windows) -> np.ndarray:
+        """The windows whose anchor may occur more than once."""
+        return np.flatnonzero(marked(found.runs[found.anchor], self.bits.value, SKETCH_BITS))
 
-def anchor_blocks(docs: DataFrame, window: int, length: int, earlier: Sketch | None, buckets: int) -> DataFrame:
-    """Hashes of the anchors of windows that survived the level before, all of them on the first level.
 
-    Dealt to buckets by their leading bits: `bucket`, `once`, `more` (seen more than once) and `times` (how often).
+def anchor_blocks(source: DataFrame, window: int, length: int, slices: int) -> DataFrame:
+    """Hashes of the anchors of all live windows, scattered.
+
+    Dealt to slices by their leading bits: `slice`, `once`, `more` (seen more than once) and `times` (how often).
     """
-    shift = np.uint64(64 - buckets.bit_length() + 1)
+    shift = np.uint64(64 - slices.bit_length() + 1)
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, held, size = WordHashes(), [], 0
         for batch in stream:
-            for group in segments(batch.column("text").to_pylist(), known, window):
+            for group in segments_of(batch, known, window):
                 found = windows(group, window, length)
-                anchor = found.anchor
-                if earlier is not None:
-                    anchor = anchor[surviving(windows(group, window, earlier.length), np.frombuffer(earlier.bits.value, np.uint8))]
-                own = anchor[np.diff(anchor, prepend=-1) != 0]
-                held.append(found.runs[own])
+                own = found.anchor[np.diff(found.anchor, prepend=-1) != 0]
+                held.append(scattered(found.runs[own]))
                 size += len(own)
                 if size >= ANCHORS_AT_ONCE:
                     yield flushed(np.concatenate(held))
@@ -135,34 +164,39 @@ def anchor_blocks(docs: DataFrame, window: int, length: int, earlier: Sketch | N
             yield flushed(np.concatenate(held))
 
     def flushed(hashes: np.ndarray) -> dict:
-        values, counts = np.unique(hashes, return_counts=True)  # sorted, so buckets are slices
-        bucket = (values >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(values), np.int64)
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        values, counts = np.unique(hashes, return_counts=True)  # sorted, so slices follow each other
+        at = (values >> shift).astype(np.int64) if slices > 1 else np.zeros(len(values), np.int64)
+        used, begins = np.unique(at, return_index=True)
         once, more, times = [], [], []
-        for begin, end in zip(edges, edges[1:]):
+        for begin, end in zip(begins, [*begins[1:], len(at)]):
             alone = counts[begin:end] == 1
             once.append(values[begin:end][alone].tobytes())
             more.append(values[begin:end][~alone].tobytes())
             times.append(counts[begin:end][~alone].astype(np.uint32).tobytes())
-        return {"bucket": np.arange(buckets, dtype=np.int64), "once": once, "more": more, "times": times}
+        return {"slice": used, "once": once, "more": more, "times": times}
 
-    return arrow_map(docs.select("text"), rows, "bucket long, once binary, more binary, times binary")
+    return arrow_map(source.drop("d", "r1"), rows, "slice long, once binary, more binary, times binary")
 
 
-def repeated_sketch(docs: DataFrame, window: int, length: int, earlier: Sketch | None, buckets: int) -> Sketch | None:
-    """A bit for each value of the leading SKETCH_BITS bits of a hash, set where an anchor occurs more than once.
+def repeated_sketch(source: DataFrame, window: int, length: int, slices: int) -> Sketch | None:
+    """A bit for each value of the leading SKETCH_BITS bits of a scattered hash, set where an anchor occurs more than once.
 
     None if none does.
 
     Its size is fixed (32 MB). The more anchors repeat, the more others pass for repeated too; none that repeats is
-    ever missed, and what passes is compared exactly. Anchors that occur more than FREQUENT times are listed.
+    ever missed, and what passes is compared exactly. Anchors that occur more than FREQUENT times are marked in the
+    same way, in 2 MB.
     """
     least = FREQUENT
-    width = (1 << SKETCH_BITS) // buckets
-    below = np.uint64(64 - SKETCH_BITS)
+
+    def packed(hashes: np.ndarray, size: int) -> bytes:
+        width = (1 << size) // slices
+        bits = np.zeros(width, np.uint8)
+        bits[((hashes >> np.uint64(64 - size)) & np.uint64(width - 1)).astype(np.int64)] = 1
+        return zstandard.compress(np.packbits(bits).tobytes(), 1)
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for run in runs(stream, ["bucket"]):
+        for run in runs(stream, ["slice"]):
             more = np.frombuffer(b"".join(run.column("more").to_pylist()), np.uint64)
             once, counts = np.unique(
                 np.frombuffer(b"".join(run.column("once").to_pylist()), np.uint64), return_counts=True
@@ -177,22 +211,66 @@ def repeated_sketch(docs: DataFrame, window: int, length: int, earlier: Sketch |
             alone = once[counts == 1]
             at = np.minimum(np.searchsorted(values, alone), len(values) - 1)
             total[at[values[at] == alone]] += 1
-            frequent = values[total > least].tobytes()
-            bits = np.zeros(width, np.uint8)
-            bits[((again >> below) & np.uint64(width - 1)).astype(np.int64)] = 1
-            packed = zstandard.compress(np.packbits(bits).tobytes(), 1)
-            yield {"bucket": [run.column("bucket")[0].as_py()], "bits": [packed], "frequent": [frequent]}
-
-    blocks = anchor_blocks(docs, window, length, earlier, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    found = arrow_map(blocks, rows, "bucket long, bits binary, frequent binary").collect()
+            yield {
+                "slice": [run.column("slice")[0].as_py()],
+                "bits": [packed(again, SKETCH_BITS)],
+                "frequent": [packed(values[total > least], FREQUENT_BITS)],
+            }
+
+    blocks = anchor_blocks(source, window, length, slices).repartition("slice").sortWithinPartitions("slice")
+    found = arrow_map(blocks, rows, "slice long, bits binary, frequent binary").collect()  # 34 MB at most, packed
     if not found:
         return None
-    slices = {r.bucket: r.bits for r in found}
-    frequent = np.sort(np.frombuffer(b"".join(bytes(r.frequent) for r in found), np.uint64))
-    empty = bytes(width // 8)
-    joined = b"".join(zstandard.decompress(slices[b]) if b in slices else empty for b in range(buckets))
-    share = docs.sparkSession.sparkContext.broadcast
-    return Sketch(length, share(joined), share(frequent))
+
+    def joined(column: str, size: int) -> Broadcast:
+        empty, own = bytes((1 << size) // slices // 8), {r["slice"]: r[column] for r in found}
+        whole = b"".join(zstandard.decompress(own[k]) if k in own else empty for k in range(slices))
+        return source.sparkSession.sparkContext.broadcast(whole)
+
+    return Sketch(length, joined("bits", SKETCH_BITS), joined("frequent", FREQUENT_BITS))
+
+
+def binaries(values: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Parts of an array, given by first place and length, as binary values."""
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1]) + np.repeat(first - ends + lengths, lengths)
+    offsets = np.append(0, ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values[at])])
+
+
+def surviving_stretches(source: DataFrame, sketch: Sketch, window: int) -> DataFrame:
+    """Stretches of words that the surviving windows cover, a row each: what the next level works on.
+
+    `d`, `r1`, `start` (the first word's place in the document), `words` (hashes) and `live` (a byte for each window in
+    it, 1 for the surviving ones). Windows that share words are in one stretch.
+    """
+
+    def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        known = WordHashes()
+        for batch in stream:
+            d, r1 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "r1"))
+            for group in segments_of(batch, known, window):
+                found = windows(group, window, sketch.length)
+                left = sketch.surviving(found)
+                if not len(left):
+                    continue
+                place, segment = found.place[left], found.segment[left]
+                new = np.ones(len(left), bool)
+                new[1:] = (np.diff(place) >= window) | (np.diff(segment) != 0)
+                begins = np.flatnonzero(new)
+                first, last = place[begins], place[np.append(begins[1:], len(left)) - 1]
+                live = np.zeros(len(group.hashes), np.uint8)
+                live[place] = 1
+                doc = group.doc[segment[begins]]
+                yield {
+                    "d": d[doc],
+                    "r1": r1[doc],
+                    "start": found.start[left[begins]],
+                    "words": binaries(group.hashes, first, last - first + window),
+                    "live": binaries(live, first, last - first + 1),
+                }
+
+    return arrow_map(source, rows, "d long, r1 long, start long, words binary, live binary")
 
 
 class Batch:
@@ -270,7 +348,7 @@ def marks_columns(docs: np.ndarray, doc: np.ndarray, start: np.ndarray) -> dict:
     return {"bucket": nothing.cast(pa.int64()), "packed": nothing.cast(pa.binary())} | own
 
 
-def candidate_blocks(docs: DataFrame, sketch: Sketch, window: int, buckets: int) -> DataFrame:
+def candidate_blocks(source: DataFrame, sketch: Sketch, window: int, buckets: int) -> DataFrame:
     """Windows that survived the last level, of half a window, extended to full length.
 
     Among the windows a task holds at a time, only the earliest of a kind goes on, in a block for its bucket; the
@@ -281,13 +359,12 @@ def candidate_blocks(docs: DataFrame, sketch: Sketch, window: int, buckets: int)
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, held = WordHashes(), Batch()
-        bits = np.frombuffer(sketch.bits.value, np.uint8)
         for batch in stream:
             ids = list(zip(batch.column("d").to_pylist(), batch.column("r1").to_pylist()))
             numbers: dict[int, int] = {}
-            for group in segments(batch.column("text").to_pylist(), known, window):
+            for group in segments_of(batch, known, window):
                 found = windows(group, window, sketch.length)
-                maybe = surviving(found, bits)
+                maybe = sketch.surviving(found)
                 if not len(maybe):
                     continue
                 place, segment = found.place[maybe], found.segment[maybe]
@@ -318,22 +395,21 @@ def candidate_blocks(docs: DataFrame, sketch: Sketch, window: int, buckets: int)
         first, later = firsts(hashes, checks, doc, start)
         if len(later):
             yield marks_columns(documents, doc[later], start[later])
-        spread = np.isin(anchors, sketch.frequent.value)
+        spread = marked(anchors, sketch.frequent.value, FREQUENT_BITS)
         bucket = (np.where(spread, hashes, anchors) % np.uint64(buckets)).astype(np.int64)
         first = first[np.lexsort((start[first], doc[first], bucket[first]))]
         bucket = bucket[first]
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        names, blocks = [], []
-        for k in np.flatnonzero(np.diff(edges)).tolist():
-            own = first[edges[k] : edges[k + 1]]
+        names, begins = np.unique(bucket, return_index=True)
+        blocks = []
+        for begin, end in zip(begins, [*begins[1:], len(bucket)]):
+            own = first[begin:end]
             used, local = np.unique(doc[own], return_inverse=True)
             steps = np.diff(start[own], prepend=0).astype(np.int64)
-            names.append(k)
             blocks.append(block(hashes[own], checks[own], local, steps, documents[used]))
         nothing = pa.nulls(len(names), pa.int64())
         yield {"bucket": names, "packed": pa.array(blocks, pa.binary())} | {c: nothing for c in ("d", "r1", "start", "n")}
 
-    return arrow_map(docs.select("text", "d", "r1"), rows, BLOCK)
+    return arrow_map(source, rows, BLOCK)
 
 
 def later_windows(blocks: DataFrame) -> DataFrame:
@@ -371,17 +447,21 @@ def repeated_ranges(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
 
     Short runs of words are looked at first (`levels_of`), by the windows' anchors: the run with the least hash inside
     each window. Equal windows have equal anchors, so a window whose anchor occurs once is settled. Only the others are
-    looked at with runs of twice the length, and so on until none survives or the window itself is compared.
+    looked at with runs of twice the length, and so on until none survives or the window itself is compared. Texts are
+    hashed on the first level; from then on the words of surviving windows go from level to level as hashes.
     """
     ordered = with_order(docs, id_col, text_col)
     size = ordered.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = 1 << min(SKETCH_BITS - 10, max(0, (size // BUCKET_BYTES).bit_length()))
+    buckets = 1 << (size // BUCKET_BYTES).bit_length()
+    slices = min(buckets, 1 << SKETCH_BITS - 10)
     source = ordered.select(text_bytes("text").alias("text"), "d", "r1")
-    sketch = None
-    for length in levels_of(window):
-        sketch = repeated_sketch(source, window, length, sketch, buckets)
+    levels = levels_of(window)
+    for length in levels:
+        sketch = repeated_sketch(source, window, length, slices)
         if sketch is None:
             return docs.sparkSession.createDataFrame([], "d long, r1 long, start long, n long")
+        if length != levels[-1]:
+            source = stage(surviving_stretches(source, sketch, window), "stretches")
     blocks = stage(candidate_blocks(source, sketch, window, buckets), "windows")
     at_once = blocks.where("bucket is null").select("d", "r1", "start", "n")
     return at_once.unionByName(later_windows(blocks.where("bucket is not null")))
