@@ -10,12 +10,25 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldheat.sources.staging import stage
 
-__all__ = ["WordHashes", "arrow_map", "load", "mix", "row_key", "runs", "safe_pieces", "stage", "text_bytes"]
+__all__ = [
+    "Unsqueezed",
+    "WordHashes",
+    "arrow_map",
+    "load",
+    "mix",
+    "row_key",
+    "runs",
+    "safe_pieces",
+    "squeezed",
+    "stage",
+    "text_bytes",
+]
 
 WHITE = re.compile(rb"[\x09-\x0d\x20]")
 PIECE_BYTES = 1 << 20
@@ -128,3 +141,23 @@ def mix(left: np.ndarray, right: np.ndarray, seed: int) -> np.ndarray:
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
     return x
+
+
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays one after the other, each with the first byte of all numbers first, then the second of all, and so on."""
+    flat = [np.ascontiguousarray(a).reshape(-1) for a in arrays]
+    return zstandard.compress(b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in flat), 1)
+
+
+class Unsqueezed:
+    """Reads the arrays of `squeezed` in order."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = zstandard.decompress(data)
+        self.at = 0
+
+    def take(self, n: int, kind: type) -> np.ndarray:
+        size = np.dtype(kind).itemsize
+        found = np.frombuffer(self.data, np.uint8, n * size, self.at).reshape(size, n)
+        self.at += n * size
+        return np.ascontiguousarray(found.T).view(kind).reshape(n)

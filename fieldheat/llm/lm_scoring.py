@@ -9,12 +9,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import arrow_map, mix, runs, safe_pieces, stage, text_bytes
+from fieldheat.llm.common import Unsqueezed, arrow_map, mix, runs, safe_pieces, squeezed, stage, text_bytes
 
 UNKNOWN, BOUNDARY = 0, 1  # in place of a word's hash
 WORDS_AT_ONCE = 400_000
@@ -25,26 +24,6 @@ WORD_PRIOR = 0.1
 CLASSES = 4  # counts of target documents in either half, then of all documents in either half
 
 
-def squeezed(*arrays: np.ndarray) -> bytes:
-    """Arrays one after the other, each with the first byte of all numbers first, then the second of all, and so on."""
-    flat = [np.ascontiguousarray(a).reshape(-1) for a in arrays]
-    return zstandard.compress(b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in flat), 1)
-
-
-class Unsqueezed:
-    """Reads the arrays of `squeezed` in order."""
-
-    def __init__(self, data: bytes) -> None:
-        self.data = zstandard.decompress(data)
-        self.at = 0
-
-    def take(self, n: int, kind: type) -> np.ndarray:
-        size = np.dtype(kind).itemsize
-        found = np.frombuffer(self.data, np.uint8, n * size, self.at).reshape(size, n)
-        self.at += n * size
-        return np.ascontiguousarray(found.T).view(kind).reshape(n)
-
-
 def words_of(text: bytes) -> Iterator[list[bytes]]:
     """Words of a text, piece by piece."""
     for piece in safe_pieces(text.lower()):

@@ -12,7 +12,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldheat.llm.common import WordHashes, arrow_map, mix, runs, safe_pieces, stage, text_bytes
+from fieldheat.llm.common import Unsqueezed, WordHashes, arrow_map, mix, runs, safe_pieces, squeezed, stage, text_bytes
 
 SKETCH_BITS = 28
 FREQUENT_BITS = 24
@@ -34,46 +34,57 @@ class Segments(NamedTuple):
     live: np.ndarray | None = None  # whether each window, segment by segment, is looked at; None: all are
 
 
-def grouped(parts: Iterator[tuple[np.ndarray, int, int, np.ndarray | None]]) -> Iterator[Segments]:
-    """Segments (words, document, words before, live windows) in groups of bounded size."""
-    held: list[tuple] = []
+def segments(texts: list[bytes], known: WordHashes, window: int) -> Iterator[Segments]:
+    """Texts in groups of bounded size. Segments of one text overlap, so that each window lies in exactly one whole."""
+    held: list[tuple[np.ndarray, int, int]] = []
     size = 0
 
     def group() -> Segments:
-        arrays, docs, skipped, live = zip(*held)
+        arrays, docs, skipped = zip(*held)
         lengths = np.array([len(a) for a in arrays], np.int64)
-        alive = None if live[0] is None else np.concatenate(live)
-        return Segments(np.concatenate(arrays), lengths, np.array(docs), np.array(skipped, np.int64), alive)
-
-    for part in parts:
-        held.append(part)
-        size += len(part[0])
-        if size >= WORDS_AT_ONCE:
-            yield group()
-            held, size = [], 0
+        return Segments(np.concatenate(arrays), lengths, np.array(docs), np.array(skipped, np.int64))
+
+    for number, text in enumerate(texts):
+        words = np.concatenate([known.of(piece.split()) for piece in safe_pieces(text)])
+        for begin in range(0, max(0, len(words) - window + 1), WORDS_AT_ONCE):
+            part = words[begin : begin + WORDS_AT_ONCE + window - 1]
+            held.append((part, number, begin))
+            size += len(part)
+            if size >= WORDS_AT_ONCE:
+                yield group()
+                held, size = [], 0
     if held:
         yield group()
 
 
-def segments(texts: list[bytes], known: WordHashes, window: int) -> Iterator[Segments]:
-    """Texts in groups of bounded size. Segments of one text overlap, so that each window lies in exactly one whole."""
+def packed_segments(group: Segments, docs: np.ndarray) -> bytes:
+    """Segments, and their documents (d, r1), with each different word's hash once."""
+    used, doc = np.unique(group.doc, return_inverse=True)
+    words, place = np.unique(group.hashes, return_inverse=True)
+    sizes = np.array([len(used), len(group.lengths), len(words), len(place), len(group.live)], np.int64)
+    own = docs[used].T
+    parts = (sizes, *own, group.lengths, doc.astype(np.uint32), group.skipped, words, place.astype(np.uint32), group.live)
+    return squeezed(*parts)
 
-    def parts() -> Iterator[tuple]:
-        for number, text in enumerate(texts):
-            words = np.concatenate([known.of(piece.split()) for piece in safe_pieces(text)])
-            for begin in range(0, max(0, len(words) - window + 1), WORDS_AT_ONCE):
-                yield words[begin : begin + WORDS_AT_ONCE + window - 1], number, begin, None
 
-    return grouped(parts())
+def unpacked_segments(data: bytes) -> tuple[Segments, np.ndarray]:
+    found = Unsqueezed(data)
+    n_docs, n, n_words, size, n_live = found.take(5, np.int64).tolist()
+    docs = np.stack([found.take(n_docs, np.int64), found.take(n_docs, np.int64)], axis=1)
+    lengths, doc, skipped = found.take(n, np.int64), found.take(n, np.uint32), found.take(n, np.int64)
+    words = found.take(n_words, np.uint64)
+    return Segments(words[found.take(size, np.uint32)], lengths, doc, skipped, found.take(n_live, np.uint8).astype(bool)), docs
 
 
-def segments_of(batch: pa.RecordBatch, known: WordHashes, window: int) -> Iterator[Segments]:
-    """Segments of a batch of texts, or of stretches that a level left (`surviving_stretches`)."""
+def segments_of(batch: pa.RecordBatch, known: WordHashes, window: int) -> Iterator[tuple[Segments, np.ndarray]]:
+    """Segments and documents of a batch of texts, or of stretches that a level left (`surviving_stretches`)."""
     if "text" in batch.schema.names:
-        return segments(batch.column("text").to_pylist(), known, window)
-    columns = [batch.column(c).to_pylist() for c in ("words", "start", "live")]
-    rows = enumerate(zip(*columns))
-    return grouped((np.frombuffer(w, np.uint64), n, start, np.frombuffer(live, bool)) for n, (w, start, live) in rows)
+        docs = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "r1")], axis=1)
+        for group in segments(batch.column("text").to_pylist(), known, window):
+            yield group, docs
+    else:
+        for data in batch.column("stretches"):
+            yield unpacked_segments(data.as_py())
 
 
 def doubled(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -152,7 +163,7 @@ def anchor_blocks(source: DataFrame, window: int, length: int, slices: int) -> D
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, held, size = WordHashes(), [], 0
         for batch in stream:
-            for group in segments_of(batch, known, window):
+            for group, _ in segments_of(batch, known, window):
                 found = windows(group, window, length)
                 own = found.anchor[np.diff(found.anchor, prepend=-1) != 0]
                 held.append(scattered(found.runs[own]))
@@ -175,7 +186,7 @@ def anchor_blocks(source: DataFrame, window: int, length: int, slices: int) -> D
             times.append(counts[begin:end][~alone].astype(np.uint32).tobytes())
         return {"slice": used, "once": once, "more": more, "times": times}
 
-    return arrow_map(source.drop("d", "r1"), rows, "slice long, once binary, more binary, times binary")
+    return arrow_map(source, rows, "slice long, once binary, more binary, times binary")
 
 
 def repeated_sketch(source: DataFrame, window: int, length: int, slices: int) -> Sketch | None:
@@ -230,54 +241,45 @@ def repeated_sketch(source: DataFrame, window: int, length: int, slices: int) ->
     return Sketch(length, joined("bits", SKETCH_BITS), joined("frequent", FREQUENT_BITS))
 
 
-def binaries(values: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """Parts of an array, given by first place and length, as binary values."""
-    ends = np.cumsum(lengths)
-    at = np.arange(ends[-1]) + np.repeat(first - ends + lengths, lengths)
-    offsets = np.append(0, ends * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values[at])])
-
-
 def surviving_stretches(source: DataFrame, sketch: Sketch, window: int) -> DataFrame:
-    """Stretches of words that the surviving windows cover, a row each: what the next level works on.
+    """Stretches of words that the surviving windows cover, in groups of bounded size: what the next level works on.
 
-    `d`, `r1`, `start` (the first word's place in the document), `words` (hashes) and `live` (a byte for each window in
-    it, 1 for the surviving ones). Windows that share words are in one stretch.
+    Windows that share words are in one stretch, which says which windows in it survived.
     """
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known = WordHashes()
         for batch in stream:
-            d, r1 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "r1"))
-            for group in segments_of(batch, known, window):
+            for group, docs in segments_of(batch, known, window):
                 found = windows(group, window, sketch.length)
                 left = sketch.surviving(found)
-                if not len(left):
-                    continue
-                place, segment = found.place[left], found.segment[left]
-                new = np.ones(len(left), bool)
-                new[1:] = (np.diff(place) >= window) | (np.diff(segment) != 0)
-                begins = np.flatnonzero(new)
-                first, last = place[begins], place[np.append(begins[1:], len(left)) - 1]
-                live = np.zeros(len(group.hashes), np.uint8)
-                live[place] = 1
-                doc = group.doc[segment[begins]]
-                yield {
-                    "d": d[doc],
-                    "r1": r1[doc],
-                    "start": found.start[left[begins]],
-                    "words": binaries(group.hashes, first, last - first + window),
-                    "live": binaries(live, first, last - first + 1),
-                }
-
-    return arrow_map(source, rows, "d long, r1 long, start long, words binary, live binary")
+                if len(left):
+                    yield {"stretches": pa.array([packed_segments(stretches(group, found, left), docs)], pa.binary())}
+
+    def stretches(group: Segments, found: Windows, left: np.ndarray) -> Segments:
+        place, segment = found.place[left], found.segment[left]
+        new = np.ones(len(left), bool)
+        new[1:] = (np.diff(place) >= window) | (np.diff(segment) != 0)
+        begins = np.flatnonzero(new)
+        lengths = place[np.append(begins[1:], len(left)) - 1] - place[begins] + window
+        live = np.zeros(len(group.hashes), np.uint8)
+        live[place] = 1
+        hashes = group.hashes[joined(place[begins], lengths)]
+        starts = live[joined(place[begins], lengths - window + 1)]
+        return Segments(hashes, lengths, group.doc[segment[begins]], found.start[left[begins]], starts)
+
+    def joined(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(lengths)
+        return np.arange(ends[-1]) + np.repeat(first - ends + lengths, lengths)
+
+    return arrow_map(source, rows, "stretches binary")
 
 
 class Batch:
     """Candidate windows of some documents, until they are sent."""
 
     def __init__(self) -> None:
-        self.docs: list[tuple[int, int]] = []
+        self.docs: list[list[int]] = []
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
@@ -360,9 +362,7 @@ def candidate_blocks(source: DataFrame, sketch: Sketch, window: int, buckets: in
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, held = WordHashes(), Batch()
         for batch in stream:
-            ids = list(zip(batch.column("d").to_pylist(), batch.column("r1").to_pylist()))
-            numbers: dict[int, int] = {}
-            for group in segments_of(batch, known, window):
+            for group, docs in segments_of(batch, known, window):
                 found = windows(group, window, sketch.length)
                 maybe = sketch.surviving(found)
                 if not len(maybe):
@@ -374,19 +374,14 @@ def candidate_blocks(source: DataFrame, sketch: Sketch, window: int, buckets: in
                 if window % 2:
                     hashes = mix(hashes, group.hashes[place + window // 2], 1)
                 checks = (mix(right, left, 3) >> np.uint64(32)).astype(np.uint32)
-                new = np.unique(group.doc[segment])
-                for number in new.tolist():
-                    if number not in numbers:
-                        numbers[number] = len(held.docs)
-                        held.docs.append(ids[number])
-                table = np.zeros(int(group.doc.max()) + 1, np.int64)
-                table[new] = [numbers[n] for n in new.tolist()]
-                doc, start = table[group.doc[segment]].astype(np.int32), found.start[maybe].astype(np.int32)
+                used, local = np.unique(group.doc[segment], return_inverse=True)
+                doc, start = (local + len(held.docs)).astype(np.int32), found.start[maybe].astype(np.int32)
+                held.docs += docs[used].tolist()
                 held.parts.append((hashes, checks, anchors, doc, start))
                 held.size += len(maybe)
                 if held.size >= WINDOWS_AT_ONCE:
                     yield from sent(held)
-                    held, numbers = Batch(), {}
+                    held = Batch()
         if held.parts:
             yield from sent(held)
 

@@ -53,11 +53,10 @@ def test_levels_hand_on_surviving_windows_only(spark, documents, corpus):
     assert 500 < len(wanted) < total / 2
     stretches = substring_dedup.surviving_stretches(source, sketch, 20).toArrow()
     for batch in stretches.to_batches():
-        docs = batch.column("d").to_pylist()
-        for group in substring_dedup.segments_of(batch, known, 20):
+        for group, docs in substring_dedup.segments_of(batch, known, 20):
             own = substring_dedup.windows(group, 20, 10)
             for at, segment, start in zip(own.place, own.segment, own.start):
-                key = docs[group.doc[segment]], int(start)
+                key = int(docs[group.doc[segment], 0]), int(start)
                 assert key not in found
                 found[key] = group.hashes[at : at + 20].tolist()
     assert found == wanted
