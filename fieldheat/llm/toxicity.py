@@ -236,11 +236,19 @@ def border(linear: np.ndarray, positive: np.ndarray) -> float:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    features: int = FEATURES,
+    mined_voters: int = MINED_VOTERS,
 ) -> Model:
     """The classifier, from a bounded sample of labelled documents outside the held-out fifth.
 
     Voters are the words of LEXICON, the PATTERNS, and units mined from the sample that occur mostly under label 1.
+    `sample` bounds the labelled rows, `features` the units of the classifier and `mined_voters` the mined voters, the
+    most telling first; the driver holds a table of `sample` by voters votes (4 bytes each).
     Without a training row of either label the model knows only the share of label 1 (0 without rows).
     """
     rows = stage(training_rows(docs, labels, sample, id_col, text_col), "labelled")
@@ -249,7 +257,7 @@ def fit(
     nothing = np.zeros(0), np.zeros(len(PATTERNS))
     if not ones or not zeros:
         return Model([], *nothing, 30.0 if ones else -30.0)
-    units, mined = chosen_units(unit_counts(rows), ones, zeros, FEATURES, MINED_VOTERS)
+    units, mined = chosen_units(unit_counts(rows), ones, zeros, features, mined_voters)
     units = list(dict.fromkeys([*units, *(f"={w}" for w in LEXICON)]))
     places = {u: n for n, u in enumerate(units)}
     voters = list(dict.fromkeys([places[u] for u in [*mined, *(f"={w}" for w in LEXICON)]]))
@@ -262,7 +270,7 @@ def fit(
             found = [known.of(o) + [len(units) + p for p in patterns_in(t, o)] for t, o in zip(texts, lowered)]
             yield {"toxic": batch.column("toxic"), "places": pa.array(found, pa.list_(pa.int32()))}
 
-    # At most `sample` rows, each with some of FEATURES places, as flat arrays.
+    # At most `sample` rows, each with some of `features` places, as flat arrays.
     table = arrow_map(rows, present, "toxic int, places array<int>").toArrow().combine_chunks()
     toxic, lists = table.column("toxic").to_numpy(), table.column("places").combine_chunks()
     place = lists.flatten().to_numpy().astype(np.int32)
@@ -304,11 +312,17 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    features: int = FEATURES,
+    mined_voters: int = MINED_VOTERS,
 ) -> DataFrame:
-    """`scored` with the model of `fit` on the same documents.
+    """`scored` with the model of `fit` on the same documents, with the same bounds.
 
     Repeated rows are scored each, null ids too (they are never trained on or held out); an empty table gives no
     rows. Language, source, ids and labels are no features.
     """
-    return scored(docs, fit(docs, labels, sample, id_col, text_col), text_col)
+    return scored(docs, fit(docs, labels, sample, id_col, text_col, features, mined_voters), text_col)

@@ -277,6 +277,25 @@ def test_held_out_labels_are_not_learned(spark, documents):
     assert scores[0] == scores[1]
 
 
+def test_toxicity_bounds_are_parameters(spark, documents):
+    rows, labels = toxic_corpus(600)
+    frames = documents(rows), spark.createDataFrame(labels, LABELS)
+    sizes = [len(toxicity.fit(*frames, features=n).units) for n in (2, 5)]
+    lexicon = len(set(toxicity.LEXICON))
+    assert sizes[0] <= 2 + lexicon and sizes[0] < sizes[1] <= 5 + lexicon
+    found = toxicity.toxicity(*frames, features=50, mined_voters=3).collect()
+    truth = {i: t for i, _, t in labels}
+    assert sum((r.score >= 0.5) != truth[r.doc.doc_id] for r in found) <= 0.05 * len(found)
+
+
+def test_a_very_long_text_is_scored_whole(spark, documents):
+    rows, labels = toxic_corpus(600)
+    filler = " ".join(f"filler{n}" for n in range(200_000))
+    found = toxicity.toxicity(documents([*rows, (9000, f"{filler} {rows[0][1]}"), (9001, rows[0][1])]), spark.createDataFrame(labels, LABELS))
+    scores = {r.doc.doc_id: r.score for r in found.where("doc.doc_id >= 9000").collect()}
+    assert scores[9000] == pytest.approx(scores[9001], abs=1e-9)
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, 1, 1), (2, 0, 1)]])
 def test_toxicity_without_both_labels(spark, documents, labels):
     found = toxicity.toxicity(documents([(1, "a"), (2, None)]), spark.createDataFrame(labels, LABELS)).collect()
