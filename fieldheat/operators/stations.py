@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldheat.functions import geo
@@ -10,9 +12,8 @@ from fieldheat.functions.rows import explode_range
 from fieldheat.schemas import number, require_columns
 from fieldheat.sources.staging import stage
 
-MAX_GRID_LEVELS = 12
-LEVELS_AT_ONCE = 2
-CELL = ["cell_row", "cell_col"]
+CELL = ["cell_level", "cell_row", "cell_col"]
+PARENT = [f"parent_{name}" for name in CELL]
 
 
 def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> DataFrame:
@@ -40,9 +41,10 @@ def active_stations(metadata: DataFrame, fields: DataFrame | None = None) -> Dat
 
 # Nearest stations. Fields and stations meet in the cells of a grid as wide as the radius. Where
 # stations are dense that would pair every field of a busy cell with every station around it. There
-# the search goes down the grid instead, a few levels at a time: from cells with stations to the
-# smaller cells within them, always dropping the cells that lie wholly beyond a distance within
-# which k usable stations are known to be. Only the last cells are opened. Every step is exact.
+# the search goes down a tree of ever smaller cells instead: from cells with stations to those within
+# them, always dropping the cells that lie wholly beyond a distance within which k usable stations
+# are known to be. Only the last cells are opened. How deep the tree goes follows, cell by cell, from
+# the stations inside. Every step is exact.
 
 
 def _usable_stations(stations: DataFrame, k: int, dense: bool) -> DataFrame:
@@ -88,11 +90,15 @@ def _placed(df: DataFrame, lat: str, lon: str, step: float) -> DataFrame:
     )
 
 
-def _with_cell(df: DataFrame, level: int) -> DataFrame:
+def _with_cell(df: DataFrame, level: int | Column) -> DataFrame:
     """Add the cell of a level from the position on the coarse grid."""
-    scale = F.lit(float(2**level))
-    return df.withColumn("cell_row", geo.whole(F.col("row_at") * scale)).withColumn(
-        "cell_col", geo.whole(F.col("col_at") * scale)
+    scale = F.pow(F.lit(2.0), F.lit(level))
+    return df.withColumns(
+        {
+            "cell_level": F.lit(level).cast("int"),
+            "cell_row": geo.whole(F.col("row_at") * scale),
+            "cell_col": geo.whole(F.col("col_at") * scale),
+        }
     )
 
 
@@ -112,32 +118,68 @@ def _seen_from(stations: DataFrame, step: float) -> DataFrame:
     )
 
 
-def _cells_with_stations(stations: DataFrame, level: int, k: int) -> DataFrame:
-    """Cells of a level, each with its parent, the bounds of its stations and when the k-th of them started."""
-    listed = _with_cell(stations, level)
+def _cells_with_stations(stations: DataFrame, k: int, levels: int | None) -> DataFrame:
+    """The cells that stations lie in, each with its parent and the bounds of its stations.
+
+    kth_start is when the k-th of them started, next_level the level of the cells a crowded one is cut
+    into: there its stations reach over two to four cells, so they part, and at most five rows by five columns
+    are filled. It is NULL for up to 2 k stations, for a single position, and at the deepest level asked for.
+    """
     by_start = Window.partitionBy(*CELL).orderBy("record_start", "station_id")
-    kth = listed.withColumn("rank", F.row_number().over(by_start)).filter(F.col("rank") == k)
-    bounds = listed.groupBy(*CELL).agg(
+    kth = stations.withColumn("rank", F.row_number().over(by_start)).filter(F.col("rank") == k)
+    extent = F.greatest(F.max("row_at") - F.min("row_at"), F.max("col_at") - F.min("col_at"))
+    cells = stations.groupBy(*CELL, *PARENT).agg(
         F.min("station_lat").alias("south"),
         F.max("station_lat").alias("north"),
         F.min("station_lon").alias("west"),
         F.max("station_lon").alias("east"),
+        F.count(F.lit(1)).alias("held"),
+        extent.alias("extent"),
+    )
+    crowded = (F.col("held") > 2 * k) & (F.col("extent") > 0)
+    parted = (F.ceil(-F.log2("extent")) + 1).cast("int")
+    if levels is not None:
+        crowded &= F.col("cell_level") < levels
+        parted = F.least(parted, F.lit(levels))
+    return (
+        cells.withColumn("next_level", F.when(crowded, parted))
+        .join(kth.select(*CELL, F.col("record_start").alias("kth_start")), CELL, "left")
+        .drop("held", "extent")
     )
-    parents = [F.shiftright(name, LEVELS_AT_ONCE).alias(f"parent_{name}") for name in CELL]
-    return bounds.join(kth.select(*CELL, F.col("record_start").alias("kth_start")), CELL, "left").select("*", *parents)
 
 
-def _descended(search: DataFrame, field: list[str], stations: DataFrame, level: int, k: int) -> DataFrame:
-    """Replace each field's cells by those of the next level that may hold one of its k nearest.
+def _station_tree(placed: DataFrame, k: int, levels: int | None) -> tuple[list[DataFrame], DataFrame]:
+    """The steps down the tree, and the stations with their last cell.
+
+    A step holds, by parent, the cells its stations lie in; cells that were last ones before stand for
+    themselves. Only the stations of crowded cells go on, and levels on which a cell's stations do
+    not part are passed over. The tree ends because positions are doubles: a cell reaches over
+    no more than half of its parent's stations' extent.
+    """
+    moving = _with_cell(placed, 0)
+    moving = moving.withColumns({parent: F.col(name) for parent, name in zip(PARENT, CELL)})
+    steps, ended, last = [], [], None
+    while True:
+        cells = stage(_cells_with_stations(moving, k, levels), "station_cells")
+        steps.append(cells if last is None else cells.unionByName(last))
+        done = cells.filter("next_level IS NULL").withColumns({p: F.col(name) for p, name in zip(PARENT, CELL)})
+        last = done if last is None else last.unionByName(done)
+        held = moving.join(cells.select(*CELL, "next_level"), CELL)
+        ended.append(held.filter("next_level IS NULL").drop(*PARENT, "next_level"))
+        if cells.filter("next_level IS NOT NULL").isEmpty():
+            return steps[1:], reduce(DataFrame.unionByName, ended)
+        crowded = held.filter("next_level IS NOT NULL").drop(*PARENT).withColumnsRenamed(dict(zip(CELL, PARENT)))
+        moving = stage(_with_cell(crowded, F.col("next_level")).drop("next_level"), "crowded_stations")
+
+
+def _descended(search: DataFrame, field: list[str], cells: DataFrame) -> DataFrame:
+    """Replace each field's cells by those of the next step that may hold one of its k nearest.
 
     A cell's stations are no nearer than their bounds allow, counting longitude as narrow as it gets
     around the field, and no farther, counting it as wide. A cell whose nearest point lies beyond
     bound_m is dropped.
     """
-    cells = _cells_with_stations(stations, level, k)
-    pairs = search.withColumnsRenamed({name: f"parent_{name}" for name in CELL}).join(
-        cells, [f"parent_{name}" for name in CELL]
-    )
+    pairs = search.withColumnsRenamed(dict(zip(CELL, PARENT))).join(cells, PARENT)
     lat = F.col("field_lat")
     lat_near = F.greatest(F.col("south") - lat, lat - F.col("north"), F.lit(0.0))
     lat_far = F.greatest(F.col("north") - lat, lat - F.col("south"))
@@ -158,24 +200,21 @@ def _descended(search: DataFrame, field: list[str], stations: DataFrame, level:
     )
 
 
-def grid_levels(stations: DataFrame, radius_m: float, k: int) -> int:
-    """Levels of refinement the stations call for, found by counting them per cell.
-
-    None while a cell of the radius holds few of them; else as many as bring the busiest cell down
-    to few, up to the most supported.
-    """
-    step = radius_m / geo.METRES_PER_DEGREE
+def _crowded(stations: DataFrame, step: float, k: int) -> bool:
+    """Whether a cell of the coarse grid holds so many stations that the tree is worth its passes."""
     located = _placed(stations.dropna(subset=["lat", "lon", "record_start"]), "lat", "lon", step)
     busiest = _with_cell(located, 0).groupBy(*CELL).count().agg(F.max("count")).first()[0] or 0
-    if busiest <= 8 * k:
+    return busiest > 8 * k
+
+
+def grid_levels(stations: DataFrame, radius_m: float, k: int) -> int:
+    """How often the cells of the radius are halved where the stations are densest; 0 where a search needs no tree."""
+    step = radius_m / geo.METRES_PER_DEGREE
+    if not _crowded(stations, step, k):
         return 0
-    levels = F.explode(F.sequence(F.lit(LEVELS_AT_ONCE), F.lit(MAX_GRID_LEVELS), F.lit(LEVELS_AT_ONCE)))
-    usable = _placed(_usable_stations(stations, k, dense=True), "station_lat", "station_lon", step)
-    scaled = usable.withColumn("level", levels).withColumn("scale", F.pow(F.lit(2.0), F.col("level")))
-    cell = [geo.whole(F.col(name) * F.col("scale")).alias(name) for name in ("row_at", "col_at")]
-    cells = scaled.groupBy("level", *cell).count()
-    crowded = cells.filter(F.col("count") > 2 * k).agg(F.max("level")).first()[0] or 0
-    return min(MAX_GRID_LEVELS, crowded + LEVELS_AT_ONCE)
+    usable = _usable_stations(stations, k, dense=True)
+    _, held = _station_tree(stage(_placed(usable, "station_lat", "station_lon", step), "placed_stations"), k, None)
+    return held.agg(F.max("cell_level")).first()[0]
 
 
 def nearest_stations(
@@ -190,29 +229,28 @@ def nearest_stations(
     """The k nearest stations within the radius whose records start before the seeding date.
 
     One row per field-season and station, ties by station id; field-seasons without a station
-    disappear. Equal input rows are searched once and repeated at the end. Without levels given,
-    the refinement is chosen by one count over the stations. With refinement the thinned stations are
-    staged, which runs a job.
+    disappear. Equal input rows are searched once and repeated at the end. Whether stations crowd
+    is found by one count over them; if so, the thinned stations and their tree are staged, which runs a few
+    jobs over stations. With levels given the tree is halved no oftener, 0 being no tree at all.
     """
     require_columns(field_seasons, "FIELD_ID", "field_lat", "field_lon", "seeding_date")
     require_columns(stations, "STID", "ELEVATION", "lat", "lon", "record_start")
     radius_m = radius_miles * geo.METRES_PER_MILE
     step = radius_m / geo.METRES_PER_DEGREE
-    levels = grid_levels(stations, radius_m, k) if levels is None else levels
-    depth = -(-levels // LEVELS_AT_ONCE) * LEVELS_AT_ONCE
-    usable = _usable_stations(stations, k, dense=depth > 0)
+    dense = _crowded(stations, step, k) if levels is None else levels > 0
+    usable = _usable_stations(stations, k, dense)
 
     field = [name for name in field_seasons.columns if name != "state"]
     rows = field_seasons.select(*field).dropna(subset=["field_lat", "field_lon", "seeding_date"])
     located = _with_cell(_placed(rows, "field_lat", "field_lon", step), 0)
     here = [F.col("cell_row").alias("from_row"), F.col("cell_col").alias("from_col")]
     searches = located.groupBy(*field, *here).agg(F.count(F.lit(1)).alias("copies"))
-    if depth == 0:
+    if not dense:
         pairs = searches.join(_seen_from(usable, step), ["from_row", "from_col"])
     else:
         # How much a degree of longitude shrinks, at most and at least, in the cells around a field.
         away = F.abs("field_lat")
-        # Stored: every pass down the grid reads them.
+        # Stored: the first cells and the tree read them.
         placed = stage(_placed(usable, "station_lat", "station_lon", step), "placed_stations")
         seen = _seen_from(_with_cell(placed, 0), step).select("from_row", "from_col", *CELL).distinct()
         search = (
@@ -222,9 +260,10 @@ def nearest_stations(
             .join(seen, ["from_row", "from_col"])
             .drop("from_row", "from_col")
         )
-        for level in range(LEVELS_AT_ONCE, depth + 1, LEVELS_AT_ONCE):
-            search = _descended(search, field, placed, level, k)
-        pairs = search.join(_with_cell(placed, depth), CELL)
+        steps, held = _station_tree(placed, k, levels)
+        for cells in steps:
+            search = _descended(search, field, cells)
+        pairs = search.join(held, CELL)
 
     # Most pairs are ruled out by their differences in latitude; the exact distance decides after
     # ranking, where it is not computed a second time.

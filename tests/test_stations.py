@@ -3,9 +3,18 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldheat.functions.geo import EARTH_RADIUS_M, METRES_PER_MILE
-from fieldheat.operators.stations import active_stations, grid_levels, nearest_stations
+from fieldheat.operators.stations import (
+    CELL,
+    PARENT,
+    _placed,
+    _station_tree,
+    active_stations,
+    grid_levels,
+    nearest_stations,
+)
 from fieldheat.schemas import STATION_METADATA, STATIONS
 
 FIELD_SEASONS = "FIELD_ID STRING, field_lat DOUBLE, field_lon DOUBLE, state STRING, seeding_date DATE"
@@ -116,6 +125,35 @@ def test_refinement_follows_density(table):
     assert grid_levels(table([], STATIONS), 30000.0, 5) == 0
 
 
+def test_no_cell_is_too_small_to_be_parted(table):
+    """Stations hundredths of a millimetre apart, beside spread ones and two crowds in single places."""
+    rng = random.Random(3)
+    places = [(43.0 + n * 1e-10, -112.0) for n in range(60)] + [(43.0, -112.0 + n * 1e-9) for n in range(1, 40)]
+    places += spread(rng, 60, (43, -112), 0.4) + [(43.2, -112.1)] * 70 + [(43.2, -112.1 + 1e-6)] * 70
+    stations = [station(n, *p, date(2019, 1, 1) + timedelta(days=rng.randint(0, 500))) for n, p in enumerate(places)]
+    points = [(43.0, -112.0), (43.0 + 3e-9, -112.0), (42.9, -112.0), (43.2, -112.1)] + spread(rng, 30, (43, -112), 0.5)
+    rows = [(f"F{n}", *p, "ID", SOWN + timedelta(days=n)) for n, p in enumerate(points)]
+    assert by_spark(table, rows, stations, 20, 5, None) == by_hand(rows, stations, 20, 5)
+    assert grid_levels(table(stations, STATIONS), 20 * METRES_PER_MILE, 5) > 20
+
+
+def test_last_cells_hold_few_stations(table, spark):
+    """Whatever their density: a third in one small place, a third in a smaller one within it, a third spread."""
+    rng = random.Random(4)
+    places = [p for width in (2.0, 1e-3, 1e-7) for p in spread(rng, 200, (43, -112), width)]
+    placed = _placed(
+        table([station(n, *p) for n, p in enumerate(places)], STATIONS).select(
+            F.col("STID").alias("station_id"), F.col("lat").alias("station_lat"), F.col("lon").alias("station_lon"),
+            "record_start",
+        ), "station_lat", "station_lon", 0.3,
+    )
+    steps, held = _station_tree(placed, 3, None)
+    assert held.count() == len(places) == held.select("station_id").distinct().count()
+    assert held.groupBy(*CELL).count().agg(F.max("count")).first()[0] <= 6
+    assert len(steps) < held.agg(F.max("cell_level")).first()[0] / 2
+    assert all(s.groupBy(*PARENT).count().agg(F.max("count")).first()[0] <= 25 for s in steps)
+
+
 def test_active_stations(table):
     def meta(stid, name, state="ID", status="ACTIVE", lat="43.5"):
         return (stid, name, lat, "-112.25", "4800", state, status, False, ("2001-02-03T00:00:00Z", "2024-01-01T10:00:00Z"))
