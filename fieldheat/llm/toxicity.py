@@ -18,7 +18,8 @@ SAMPLE = 20_000
 MINED_VOTERS = 300
 FEATURES = 20_000
 MIN_DOCS = 4
-LABEL_ACCURACY = 0.98
+LABEL_ACCURACY = 0.9
+ANCHOR = 0.25
 PREFIXES = (3, 4, 5, 6)
 # Marks that part words, ASCII ones and others.
 MARKS = bytes.maketrans(b".,;:!?\"'`()[]{}<>*_~-|/\\", b" " * 24)
@@ -170,39 +171,120 @@ def chosen_units(counts: DataFrame, ones: int, zeros: int, features: int, voters
     return [r.unit for r in rows], speaking[:voters]
 
 
-def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 15) -> np.ndarray:
+class Voters(NamedTuple):
+    """How voters vote under label 0 and label 1: each given the vote of the one voter it depends on most.
+
+    `parent` is that voter's place, -1 for none. `given_vote` and `given_none` are the rates of voting, one row per
+    label, where the parent voted and where it did not (or there is none). Since a parent never depends on its
+    dependants, the rates multiply to the chance of all votes under a label.
+    """
+
+    parent: np.ndarray
+    given_vote: np.ndarray
+    given_none: np.ndarray
+
+    def evidence(self, votes: np.ndarray) -> np.ndarray:
+        """Logarithm of how much likelier the votes (0 or 1) of each row are under label 1 than under label 0."""
+        depends, place = self.parent >= 0, np.maximum(self.parent, 0)
+        yes_vote, yes_none = (np.log(r[1] / r[0]) for r in (self.given_vote, self.given_none))
+        no_vote, no_none = (np.log((1 - r[1]) / (1 - r[0])) for r in (self.given_vote, self.given_none))
+        own = yes_none - no_none
+        others = np.where(depends, no_vote - no_none, 0)
+        both = np.where(depends, yes_vote - yes_none - others, 0)
+        total = np.empty(len(votes))
+        for at in range(0, len(votes), 2048):
+            block = votes[at : at + 2048].astype(np.float64)
+            theirs = block[:, place]
+            total[at : at + 2048] = no_none.sum() + block @ own + theirs @ others + (block * theirs) @ both
+        return total
+
+
+def voted_together(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weight of the rows in which each two voters vote, added up in blocks of rows."""
+    met = np.zeros((votes.shape[1],) * 2)
+    for at in range(0, len(votes), 2048):
+        block = votes[at : at + 2048].astype(np.float64)
+        met += (block * weight[at : at + 2048, None]).T @ block
+    return met
+
+
+def information(met: np.ndarray, size: float) -> np.ndarray:
+    """What the vote of one voter tells about another's, summed over rows: more, the stronger they go together or apart."""
+    one = np.diag(met)[:, None] + np.zeros_like(met)
+    other = one.T
+    told = np.zeros_like(met)
+    for cell, first, second in (
+        (met, one, other),
+        (one - met, one, size - other),
+        (other - met, size - one, other),
+        (size - one - other + met, size - one, size - other),
+    ):
+        there = (cell > 1e-9) & (first > 0) & (second > 0)
+        told[there] += cell[there] * np.log(cell[there] * size / (first[there] * second[there]))
+    return told
+
+
+def dependences(told: np.ndarray, least: float) -> np.ndarray:
+    """Each voter's parent: the forest of links that tell most, without those that tell less than `least`."""
+    parent = np.full(len(told), -1)
+    best, near = np.full(len(told), -1.0), np.full(len(told), -1)
+    left = np.ones(len(told), bool)
+    for _ in range(len(told)):
+        place = int(np.argmax(np.where(left, best, -2.0)))
+        left[place] = False
+        if best[place] >= least:
+            parent[place] = near[place]
+        closer = told[place] > best
+        best, near = np.where(closer, told[place], best), np.where(closer, place, near)
+    return parent
+
+
+def voters_of(votes: np.ndarray, weight: np.ndarray) -> Voters:
+    """Rates and dependences of voters, from rows that have label 1 with the chance `weight`.
+
+    A link must tell more than chance would: among as many unrelated pairs as there are, about one would reach the
+    logarithm of their number; a quarter more is asked for.
+    """
+    size = np.array([len(weight) - weight.sum(), weight.sum()])
+    met = [voted_together(votes, 1 - weight), voted_together(votes, weight)]
+    pairs = len(met[0]) * (len(met[0]) - 1) / 2
+    parent = dependences(sum(information(m, n) for m, n in zip(met, size)), 1.25 * np.log(max(2.0, pairs)))
+    depends, place = parent >= 0, np.maximum(parent, 0)
+    given_vote, given_none = [], []
+    for m, n in zip(met, size):
+        alone = (np.diag(m) + 0.05) / (n + 1)
+        both = m[np.arange(len(m)), place]
+        theirs = np.diag(m)[place]
+        given_vote.append(np.where(depends, (both + alone) / (theirs + 1), alone))
+        given_none.append(np.where(depends, (np.diag(m) - both + alone) / (n - theirs + 1), alone))
+    return Voters(parent, *(np.clip(r, 1e-6, 1 - 1e-6) for r in (given_vote, given_none)))
+
+
+def label_model(
+    votes: np.ndarray,
+    labels: np.ndarray,
+    rounds: int = 15,
+    label_accuracy: float = LABEL_ACCURACY,
+    anchor: float = ANCHOR,
+) -> np.ndarray:
     """Posterior of label 1 for each row, from votes (0 or 1) and given labels.
 
-    Each voter has a rate of voting under either label, estimated by expectation maximisation. Voters that go together
-    under one label are no independent witnesses: each counts for one over the sum of its correlations. The given
-    label is one more witness, of a fixed accuracy.
+    The true label is hidden. Expectation maximisation estimates, under either value of it, each voter's rate of voting
+    and its correlation, of either sign, with the voter it depends on most, so voters that go together are no independent
+    witnesses. The given label fixes which value is which: it counts for `anchor` of a row where rates are estimated, the
+    posterior for the rest, and is one more witness, of a fixed accuracy.
     """
-    said = np.where(labels > 0, 1, -1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-    q = np.where(labels > 0, LABEL_ACCURACY, 1 - LABEL_ACCURACY)
+    sure = np.log(label_accuracy / (1 - label_accuracy))
+    given = np.where(labels > 0, 0.98, 0.02)
+    posterior = given
     for _ in range(rounds):
-        share = (q.sum() + 1) / (len(q) + 2)
-        rates, together = [], np.zeros((votes.shape[1],) * 2)
-        for weight in (q, 1 - q):
-            size = weight.sum()
-            met = np.zeros_like(together)  # votes that go together, added up in blocks of rows
-            for at in range(0, len(votes), 2048):
-                block = votes[at : at + 2048].astype(np.float64)
-                met += (block * weight[at : at + 2048, None]).T @ block
-            mean = np.diag(met) / max(size, 1e-9)
-            cov = met - size * np.outer(mean, mean) + 1e-9 * np.eye(len(mean))
-            spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-            together += np.clip(cov / spread[:, None] / spread[None, :], 0, 1) * size / len(q)
-            rates.append(np.clip((np.diag(met) + 0.05) / (size + 1), 1e-5, 1 - 1e-5))
-        np.fill_diagonal(together, 1)
-        counts_for = 1 / together.sum(axis=1)
-        yes = counts_for * np.log(rates[0] / rates[1])
-        no = counts_for * np.log((1 - rates[0]) / (1 - rates[1]))
-        score = np.log(share / (1 - share)) + said + votes @ (yes - no).astype(np.float32) + no.sum()
-        new = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        if np.abs(new - q).max() < 1e-4:
-            return new
-        q = new
-    return q
+        weight = anchor * given + (1 - anchor) * posterior
+        share = (weight.sum() + 1) / (len(weight) + 2)
+        score = np.log(share / (1 - share)) + np.where(labels > 0, sure, -sure) + voters_of(votes, weight).evidence(votes)
+        before, posterior = posterior, 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        if np.abs(posterior - before).max() < 1e-4:
+            break
+    return posterior
 
 
 def logistic(rows: np.ndarray, places: np.ndarray, n: int, m: int, target: np.ndarray, rounds: int = 600) -> tuple[np.ndarray, float]:

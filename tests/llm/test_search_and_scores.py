@@ -316,6 +316,89 @@ def test_correlated_voters_count_as_one():
     assert ((found >= 0.5) == truth).mean() > 0.97
 
 
+def planted_votes(size, seed):
+    """Votes of six voters: 1 copies 0 mostly, 3 avoids 2, 4 and 5 stand alone; rates by label, and the true labels."""
+    import numpy as np
+
+    parent = np.array([-1, 0, -1, 2, -1, -1])
+    given_vote = np.array([[0.1, 0.7, 0.2, 0.02, 0.05, 0.3], [0.7, 0.95, 0.6, 0.2, 0.6, 0.4]])
+    given_none = np.array([[0.1, 0.03, 0.2, 0.3, 0.05, 0.3], [0.7, 0.2, 0.6, 0.9, 0.6, 0.4]])
+    rng = np.random.default_rng(seed)
+    truth = (rng.random(size) < 0.3).astype(int)
+    votes = np.zeros((size, 6), np.float32)
+    for n in range(6):
+        theirs = votes[:, parent[n]] > 0 if parent[n] >= 0 else np.zeros(size, bool)
+        votes[:, n] = rng.random(size) < np.where(theirs, given_vote[truth, n], given_none[truth, n])
+    return toxicity.Voters(parent, given_vote, given_none), votes, truth
+
+
+def chances_by_hand(voters):
+    """Chance of each of the patterns of votes under label 0 and 1, voter by voter."""
+    from itertools import product
+
+    found = {}
+    for pattern in product((0, 1), repeat=len(voters.parent)):
+        for label in (0, 1):
+            chance = 1.0
+            for n, vote in enumerate(pattern):
+                theirs = voters.parent[n] >= 0 and pattern[voters.parent[n]]
+                rate = (voters.given_vote if theirs else voters.given_none)[label][n]
+                chance *= rate if vote else 1 - rate
+            found.setdefault(pattern, []).append(chance)
+    return found
+
+
+def test_evidence_of_votes_equals_that_of_all_patterns():
+    import numpy as np
+
+    _, votes, truth = planted_votes(3000, 1)
+    voters = toxicity.voters_of(votes, truth.astype(float))
+    chances = chances_by_hand(voters)
+    assert np.allclose(np.sum(list(chances.values()), axis=0), 1)
+    patterns = np.array(list(chances))
+    assert np.allclose(voters.evidence(patterns), [math.log(c[1] / c[0]) for c in chances.values()])
+
+
+def test_planted_rates_and_correlations_are_recovered():
+    """With every tenth label wrong: rates, links of either sign, and as likely a model as the planted one."""
+    import numpy as np
+
+    planted, votes, truth = planted_votes(20_000, 2)
+    labels = np.where(np.arange(len(truth)) % 10 == 0, 1 - truth, truth)
+    posterior = toxicity.label_model(votes, labels, rounds=40)
+    # No worse than deciding with the planted rates themselves known, and better than the labels.
+    best = math.log(0.3 / 0.7) + np.where(labels, 1, -1) * math.log(9) + planted.evidence(votes)
+    right = ((posterior >= 0.5) == truth).mean()
+    assert right > ((best >= 0) == truth).mean() - 0.005 and right > (labels == truth).mean() + 0.03
+    found = toxicity.voters_of(votes, posterior)
+    links = {frozenset((n, int(p))) for n, p in enumerate(found.parent) if p >= 0}
+    assert {frozenset((0, 1)), frozenset((2, 3))} <= links
+    for label in (0, 1):
+        own = np.array([votes[truth == label, n].mean() for n in range(6)])
+        weight = posterior if label else 1 - posterior
+        assert np.abs(votes.T @ weight / weight.sum() - own).max() < 0.04
+        apart = toxicity.voted_together(votes, weight) / weight.sum()
+        assert apart[2, 3] < apart[2, 2] * apart[3, 3] and apart[0, 1] > apart[0, 0] * apart[1, 1]
+
+    def likelihood(voters, share):
+        chances = chances_by_hand(voters)
+        return np.mean([math.log((1 - share) * c[0] + share * c[1]) for c in (chances[tuple(v)] for v in votes.astype(int))])
+
+    assert likelihood(found, posterior.mean()) > likelihood(planted, 0.3) - 0.005
+
+
+def test_labels_only_anchor():
+    """Votes that agree overrule wrong labels; without a vote that tells, labels stand."""
+    import numpy as np
+
+    _, votes, truth = planted_votes(5000, 3)
+    strong = np.concatenate([votes, votes[:, [4]], np.where(truth, 0.9, 0.05)[:, None] > np.random.default_rng(4).random((5000, 8))], axis=1)
+    labels = np.where(np.arange(5000) % 20 == 0, 1 - truth, truth)
+    found = toxicity.label_model(strong.astype(np.float32), labels) >= 0.5
+    assert (found == truth).mean() > 0.99 > (labels == truth).mean()
+    assert ((toxicity.label_model(np.zeros((50, 2), np.float32), truth[:50]) >= 0.5) == truth[:50]).all()
+
+
 def test_border_lies_in_the_widest_gap():
     import numpy as np
 
