@@ -38,7 +38,7 @@ def first_point_per_field(points: DataFrame) -> DataFrame:
 
 
 def polygon_edges(polygons: DataFrame) -> DataFrame:
-    """Closed rings as edges (x1, y1) to (x2, y2); level edges never cross a level ray."""
+    """Closed rings as edges (x1, y1) to (x2, y2)."""
     require_columns(polygons, "state", "part", "ring", "seq", "lon", "lat")
     ring = Window.partitionBy("state", "part", "ring")
     along = ring.orderBy("seq")
@@ -53,26 +53,55 @@ def polygon_edges(polygons: DataFrame) -> DataFrame:
         following("lon").alias("x2"),
         following("lat").alias("y2"),
         F.min("lon").over(ring).alias("ring_west"),
-    ).filter("y1 <> y2")
+    )
+
+
+# Whether a ray from (lat, lon) to the east crosses an odd number of edges; level edges never cross it.
+ODD = """size(filter({edges}, e -> (e.y1 > {lat}) <> (e.y2 > {lat})
+         AND {lon} < (e.x2 - e.x1) * ({lat} - e.y1) / (e.y2 - e.y1) + e.x1)) % 2 = 1"""
+# Degrees by which an edge reaches farther when cells are said to be free of it.
+MARGIN = 1e-9
 
 
-def _edges_by_cell(polygons: DataFrame, cell: float) -> DataFrame:
-    """Per grid cell the states, each with the edges a ray from the cell to the east can cross.
+def state_cover(polygons: DataFrame, cell: float) -> DataFrame:
+    """Per grid cell the states that reach into it: all of it, without edges, or with the edges that decide.
 
-    Those are the edges of the cell's row, from their ring's western end to their own eastern end.
-    West of its ring a ray crosses the ring an even number of times, which parity does not notice.
-    The lists depend on the detail of the map, not on the number of points.
+    A cell that none of a state's edges passes through lies inside the state or outside, which its centre
+    tells; outside, the state is not listed. Other cells are border cells and carry the edges that a ray from them to the
+    east can cross: those of the cell's row, from their ring's western end to their own eastern end. West of its
+    ring a ray crosses the ring an even number of times, which parity does not notice. The lists depend on the
+    detail of the map, not on the number of points.
     """
     rows = F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell))
-    columns = F.sequence(F.floor(F.col("ring_west") / cell), F.floor(F.greatest("x1", "x2") / cell))
+    columns = F.sequence(
+        F.floor((F.col("ring_west") - MARGIN) / cell), F.floor((F.greatest("x1", "x2") + MARGIN) / cell)
+    )
+    level = F.col("y1") == F.col("y2")
+
+    def reached_at(lat):
+        """Longitude of the edge at a latitude within it, or at its end nearest to one beyond."""
+        within = F.least(F.greatest(lat, F.least("y1", "y2")), F.greatest("y1", "y2"))
+        return (F.col("x2") - F.col("x1")) * F.try_divide(within - F.col("y1"), F.col("y2") - F.col("y1")) + F.col("x1")
+
+    bottom = F.when(level, F.col("x1")).otherwise(reached_at(F.col("cell_row") * cell - MARGIN))
+    top = F.when(level, F.col("x2")).otherwise(reached_at((F.col("cell_row") + 1) * cell + MARGIN))
+    passes = F.col("cell_col").between(
+        F.floor((F.least(bottom, top) - MARGIN) / cell), F.floor((F.greatest(bottom, top) + MARGIN) / cell)
+    )
+    centre = ODD.format(edges="edges", lat=f"((cell_row + 0.5D) * {cell}D)", lon=f"((cell_col + 0.5D) * {cell}D)")
     return (
         polygon_edges(polygons)
         .withColumn("cell_row", F.explode(rows))
         .withColumn("cell_col", F.explode(columns))
         .groupBy("cell_row", "cell_col", "state")
-        .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+        .agg(
+            F.collect_list(F.when(~level, F.struct("x1", "y1", "x2", "y2"))).alias("edges"),
+            F.max(passes).alias("border"),
+        )
+        .filter(F.col("border") | F.expr(centre))
+        .select("cell_row", "cell_col", F.struct("state", F.when(F.col("border"), F.col("edges")).alias("edges")).alias("outline"))
         .groupBy("cell_row", "cell_col")
-        .agg(F.sort_array(F.collect_list(F.struct("state", "edges"))).alias("outlines"))
+        .agg(F.sort_array(F.collect_list("outline")).alias("outlines"))
     )
 
 
@@ -80,19 +109,15 @@ def with_state(points: DataFrame, polygons: DataFrame, cell: float = POLYGON_CEL
     """Add the two-letter state of (lat, lon), NULL outside all states.
 
     Even-odd rule with the half-open test on edge ends, over all rings and parts of a state; where
-    states overlap the first by name wins. Points meet their cell's edges in one equi-join and stay
-    one row each, so with a map small enough to broadcast they are not shuffled at all.
+    states overlap the first by name wins. Points meet their cell's states in one equi-join, read edges in
+    border cells only and stay one row each, so with a map small enough to broadcast they are not shuffled at all.
     """
     require_columns(points, "lat", "lon")
-    inside = F.expr(
-        """filter(outlines, o -> size(filter(o.edges, e ->
-               (e.y1 > lat) <> (e.y2 > lat)
-               AND lon < (e.x2 - e.x1) * (lat - e.y1) / (e.y2 - e.y1) + e.x1)) % 2 = 1)"""
-    )
+    inside = F.expr(f"filter(outlines, o -> o.edges IS NULL OR {ODD.format(edges='o.edges', lat='lat', lon='lon')})")
     return (
         points.withColumn("cell_row", F.floor(F.col("lat") / cell))
         .withColumn("cell_col", F.floor(F.col("lon") / cell))
-        .join(_edges_by_cell(polygons, cell), ["cell_row", "cell_col"], "left")
+        .join(state_cover(polygons, cell), ["cell_row", "cell_col"], "left")
         .withColumn("state", F.get(inside, F.lit(0))["state"])
         .drop("cell_row", "cell_col", "outlines")
     )

@@ -1,4 +1,5 @@
 import json
+import math
 import random
 
 from fieldheat.operators import fields
@@ -50,6 +51,37 @@ def test_states_match_an_edge_by_edge_test(table):
             assert r.state == (None if r.n == -1 else state_by_hand(*points[r.n]))
 
 
+def test_only_border_cells_carry_edges(table):
+    """Inner cells answer for the state without edges, outer ones are not listed, and few are border cells."""
+    cell = 0.125
+    rings = [L_SHAPE, TRIANGLE, *SQUARE_WITH_HOLE]
+    outlines = [edge for ring in rings for edge in zip(ring, ring[1:] + ring[:1])]
+
+    def near_an_edge(row, col):
+        """Whether an edge comes within the cell's circle: a bit more than passing through it."""
+        x, y, reach = (col + 0.5) * cell, (row + 0.5) * cell, cell * 0.7072
+        for (x1, y1), (x2, y2) in outlines:
+            along = ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2)
+            along = min(1.0, max(0.0, along))
+            if math.hypot(x - x1 - along * (x2 - x1), y - y1 - along * (y2 - y1)) <= reach:
+                return True
+        return False
+
+    cover = fields.state_cover(table(polygon_rows(), STATE_POLYGONS), cell).collect()
+    found = {(r.cell_row, r.cell_col): r.outlines for r in cover}
+    inner = 0
+    for row in range(-4, 24):
+        for col in range(-40, 48):
+            listed = found.pop((row, col), [])
+            if any(o.edges is not None for o in listed):
+                assert near_an_edge(row, col)
+            elif not near_an_edge(row, col):
+                state = state_by_hand((col + 0.5) * cell, (row + 0.5) * cell)
+                assert [o.state for o in listed] == ([state] if state else [])
+                inner += bool(state)
+    assert not found and inner > 200
+
+
 def test_boundary_points(table):
     rows = [
         ("F1", document("43.123456789", -112.5)),
