@@ -85,18 +85,20 @@ def state_cover(polygons: DataFrame, cell: float) -> DataFrame:
 
     bottom = F.when(level, F.col("x1")).otherwise(reached_at(F.col("cell_row") * cell - MARGIN))
     top = F.when(level, F.col("x2")).otherwise(reached_at((F.col("cell_row") + 1) * cell + MARGIN))
-    passes = F.col("cell_col").between(
-        F.floor((F.least(bottom, top) - MARGIN) / cell), F.floor((F.greatest(bottom, top) + MARGIN) / cell)
-    )
+    passed = {
+        "from_col": F.floor((F.least(bottom, top) - MARGIN) / cell),
+        "to_col": F.floor((F.greatest(bottom, top) + MARGIN) / cell),
+    }
     centre = ODD.format(edges="edges", lat=f"((cell_row + 0.5D) * {cell}D)", lon=f"((cell_col + 0.5D) * {cell}D)")
     return (
         polygon_edges(polygons)
         .withColumn("cell_row", F.explode(rows))
+        .withColumns(passed)
         .withColumn("cell_col", F.explode(columns))
         .groupBy("cell_row", "cell_col", "state")
         .agg(
             F.collect_list(F.when(~level, F.struct("x1", "y1", "x2", "y2"))).alias("edges"),
-            F.max(passes).alias("border"),
+            F.max(F.col("cell_col").between(F.col("from_col"), F.col("to_col"))).alias("border"),
         )
         .filter(F.col("border") | F.expr(centre))
         .select("cell_row", "cell_col", F.struct("state", F.when(F.col("border"), F.col("edges")).alias("edges")).alias("outline"))
