@@ -8,7 +8,7 @@ from datetime import date, datetime
 import pytest
 
 from fieldheat.operators import fields, hourly, readings, seasons, stations
-from fieldheat.plans import season_heat
+from fieldheat.plans import changes, season_heat
 from fieldheat.plans.season_heat import season_degree_hours
 from fieldheat.schemas import (
     BOUNDARIES,
@@ -306,3 +306,14 @@ def test_every_day_of_a_leap_year(table):
     expected = {d: float(n) if n <= 364 else None for n, d in enumerate(days)}
     assert len(found) == 366
     assert all(r.temp_avg is None if expected[r.Date] is None else abs(r.temp_avg - expected[r.Date]) < 1e-9 for r in found)
+
+
+def test_nearest_stations_searches_places_and_never_deals_pairs_by_field_season(stored):
+    schema = "FIELD_ID STRING, field_lat DOUBLE, field_lon DOUBLE, state STRING, seeding_date DATE"
+    fields_at = [(str(n), 42.0 + n % 7 / 50, -112.0, "ID", date(2020 + n % 3, 4, 1)) for n in range(40)]
+    places = [(f"S{n}", 1.0, 42.0 + n % 23 / 70, -112.0 + n % 29 / 90, date(2000 + n % 22, 1, 1)) for n in range(300)]
+    columns = "STID STRING, ELEVATION DOUBLE, lat DOUBLE, lon DOUBLE, record_start DATE"
+    found = stations.nearest_stations(stored("fields", schema, fields_at), stored("stations", columns, places), 20, levels=4)
+    windows = [part for part in plan(found).split("\n\n") if re.match(r"\(\d+\) Window", part)]
+    assert windows and not any("FIELD_ID" in part for part in windows)
+    assert found.count() == 200
