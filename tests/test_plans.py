@@ -317,3 +317,13 @@ def test_nearest_stations_searches_places_and_never_deals_pairs_by_field_season(
     windows = [part for part in plan(found).split("\n\n") if re.match(r"\(\d+\) Window", part)]
     assert windows and not any("FIELD_ID" in part for part in windows)
     assert found.count() == 200
+
+
+def test_what_is_listed_by_month_or_holds_hours_is_not_broadcast(stored):
+    pairs, measured = stored("pairs", PAIRS), stored("readings", READINGS)
+    heat = season_degree_hours(pairs, measured, stored("seasons", PAIRS), stored("crops", CROP_THRESHOLDS))
+    sent = [part for part in plan(heat).split("\n\n") if re.match(r"\(\d+\) BroadcastExchange", part)]
+    assert sent and not any("known#" in part or "windows#" in part for part in sent)
+    changed = changes.changed_days(measured.selectExpr("*", "1 AS batch"), "batch", after=0)
+    touched = changes.touched_by_readings(changed, pairs, readings.station_season_plan(pairs))
+    assert "BroadcastHashJoin" not in plan(touched)
