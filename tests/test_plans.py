@@ -21,6 +21,7 @@ from fieldheat.schemas import (
     STATE_POLYGONS,
     STATIONS,
 )
+from fieldheat.sources import gdh_table
 
 PAIRS = (
     "FIELD_ID STRING, CROP_SEASON INT, CROP_NAME STRING, station_id STRING, seeding_date DATE, harvest_date DATE, "
@@ -327,3 +328,12 @@ def test_what_is_listed_by_month_or_holds_hours_is_not_broadcast(stored):
     changed = changes.changed_days(measured.selectExpr("*", "1 AS batch"), "batch", after=0)
     touched = changes.touched_by_readings(changed, pairs, readings.station_season_plan(pairs))
     assert "BroadcastHashJoin" not in plan(touched)
+
+
+def test_partitions_with_duplicates_are_found_without_dealing_whole_rows(stored):
+    rows = [("F", 1.0, 2022), ("F", 1.0, 2022), ("F", 1.0, 2023), (None, 0.0, 2024), (None, -0.0, 2024), ("G", None, 2025)]
+    heat = stored("heat", "FIELD_ID STRING, GDH DOUBLE, CROP_SEASON INT", rows)
+    found = gdh_table._holding_duplicates(heat, ["CROP_SEASON"])
+    dealt = [part for part in plan(found).split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert dealt and not any("GDH#" in part or "FIELD_ID#" in part for part in dealt)
+    assert sorted(row.CROP_SEASON for row in found.collect()) == [2022, 2024]
