@@ -9,6 +9,7 @@ from fieldheat.functions.geo import EARTH_RADIUS_M, METRES_PER_MILE
 from fieldheat.operators.stations import (
     CELL,
     PARENT,
+    _descended,
     _placed,
     _station_tree,
     active_stations,
@@ -167,3 +168,24 @@ def test_active_stations(table):
     assert tuple(rows["B"]) == ("B", 4800.0, 43.5, -112.25, date(2001, 2, 3), date(2024, 1, 1))
     assert rows["G"].lat is None
     assert sorted(r.STID for r in active_stations(metadata).collect()) == ["B", "C", "D", "G", "H"]
+
+
+def test_cells_bound_a_search_together(table):
+    """Three cells with two stations each hold five in time, so a far cell is dropped, though none holds five alone."""
+    search = "place BIGINT, field_lat DOUBLE, field_lon DOUBLE, first_seeding DATE, last_seeding DATE, widest DOUBLE, "
+    search += "narrowest DOUBLE, bound_m DOUBLE, cell_level INT, cell_row BIGINT, cell_col BIGINT"
+    parallel = math.cos(math.radians(42.0))
+    sought = table([(0, 42.0, -113.0, SOWN, SOWN, parallel, parallel, 10_000.0, 0, 0, 0)], search)
+    bounds = "south DOUBLE, north DOUBLE, west DOUBLE, east DOUBLE, next_level INT, starts ARRAY<DATE>"
+    keys = ", ".join(f"{name} BIGINT" for name in [*PARENT, *CELL])
+
+    def left(k, early):
+        rows = [
+            (0, 0, 0, 2, n, 0, 42 + lat, 42 + lat + 0.001, -113.0, -112.999, None, [date(2000, 1, 1), early])
+            for n, lat in enumerate([0.01, 0.011, -0.012, 0.08])
+        ]
+        return sorted(r.cell_row for r in _descended(sought, table(rows, f"{keys}, {bounds}"), k).collect())
+
+    assert left(5, SOWN - timedelta(days=1)) == [0, 1, 2]
+    assert left(7, SOWN - timedelta(days=1)) == [0, 1, 2, 3]
+    assert left(5, SOWN) == [0, 1, 2, 3]
