@@ -337,3 +337,34 @@ def test_partitions_with_duplicates_are_found_without_dealing_whole_rows(stored)
     dealt = [part for part in plan(found).split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
     assert dealt and not any("GDH#" in part or "FIELD_ID#" in part for part in dealt)
     assert sorted(row.CROP_SEASON for row in found.collect()) == [2022, 2024]
+
+
+def dealt_by(df):
+    """Columns by which the rows of a plan are dealt."""
+    return [
+        tuple(re.findall(r"(\w+)#", keys)) for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan(df))
+    ]
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+HOURS = "FIELD_ID STRING, CROP_SEASON INT, station_id STRING, Date DATE, Hour INT, temp_avg DOUBLE"
+
+
+def test_only_hours_seen_are_dealt_not_their_grid(stored, no_broadcasts):
+    filled = hourly.fill_gaps(hourly.complete_grid(stored("hours", HOURS)))
+    assert set(dealt_by(filled)) == {("FIELD_ID", "CROP_SEASON")}
+
+
+def test_a_grid_of_dealt_days_is_not_dealt_again_to_carry_values_over(stored, no_broadcasts):
+    days = season_heat.field_station_days(stored("pairs", PAIRS), stored("readings", READINGS))
+    grid = season_heat.completed_hours(hourly.dealt_for_grid(days))
+    filled = hourly.fill_gaps(grid, scope="global")
+    by_series = ("FIELD_ID", "CROP_SEASON", "station_id")
+    assert dealt_by(filled).count(by_series) == dealt_by(days).count(by_series)
