@@ -368,3 +368,40 @@ def test_a_grid_of_dealt_days_is_not_dealt_again_to_carry_values_over(stored, no
     filled = hourly.fill_gaps(grid, scope="global")
     by_series = ("FIELD_ID", "CROP_SEASON", "station_id")
     assert dealt_by(filled).count(by_series) == dealt_by(days).count(by_series)
+
+
+def test_field_seasons_are_dealt_once_a_season_not_once_a_month(stored, no_broadcasts):
+    pairs, measured = stored("pairs", PAIRS), stored("readings", READINGS)
+    keys = [key for key in dealt_by(season_heat.field_station_days(pairs, measured)) if "share" in key]
+    assert sorted(keys) == [("station_id", "CROP_SEASON", "share")] * 2 + [("station_id", "month", "share")]
+    changed = changes.changed_days(measured.selectExpr("*", "1 AS batch"), "batch", after=0)
+    text = plan(changes.touched_by_readings(changed, pairs, readings.station_season_plan(pairs)))
+    dealt = [part for part in text.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert dealt and not any("FIELD_ID" in part and "month#" in part for part in dealt)
+
+
+def test_days_of_a_season_that_reaches_into_other_years_are_its_own_years(table):
+    rows = [("S", datetime(y, m, 5, h), float(h), y) for y in (2020, 2021, 2022) for m in (1, 6, 12) for h in (0, 3)]
+    pairs = table(
+        [
+            ("F", 2021, "c", "S", date(2020, 12, 1), date(2022, 2, 1), 0.0, 0.0),
+            ("F", 2021, "d", "S", date(2021, 6, 1), date(2021, 6, 30), 0.0, 0.0),
+            (None, 2021, "c", "S", date(2021, 6, 1), date(2021, 6, 30), 0.0, 0.0),
+            ("G", None, "c", "S", date(2021, 6, 1), date(2021, 6, 30), 0.0, 0.0),
+            ("H", 2021, "c", "S", None, date(2021, 6, 30), 0.0, 0.0),
+            ("I", 2019, "c", "S", date(2020, 6, 1), date(2020, 6, 30), 0.0, 0.0),
+        ],
+        PAIRS,
+    )
+    days = season_heat.field_station_days(pairs, table(rows, READINGS))
+    found = sorted((row.FIELD_ID or "", row.CROP_SEASON, str(row.Date)) for row in days.collect())
+    assert found == [("", 2021, "2021-06-05"), ("F", 2021, "2021-01-05"), ("F", 2021, "2021-06-05"), ("F", 2021, "2021-12-05")]
+    changed = changes.changed_days(table([(*row, 1) for row in rows], READINGS + ", batch INT"), "batch", after=0)
+    touched = changes.touched_by_readings(changed, pairs, readings.station_season_plan(pairs)).collect()
+    assert sorted(map(tuple, touched), key=str) == [("F", 2021), (None, 2021)]
+
+
+def test_season_rows_are_dealt_to_more_tasks_than_usual(spark, stored):
+    tasks = hourly.GRID_SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    days = season_heat.field_station_days(stored("pairs", PAIRS), stored("readings", READINGS))
+    assert re.search(rf"hashpartitioning\(FIELD_ID#\d+, CROP_SEASON#\d+, {tasks}\), REPARTITION_BY_NUM", plan(days))
