@@ -286,3 +286,15 @@ def test_what_is_left_in_a_table_is_read_where_it_was_written(spark, gdh):
     pushed = gdh_table.rows_to_push(gdh)
     assert left.schema["CROP_SEASON"].dataType == pushed.schema["CROP_SEASON"].dataType
     assert sorted(map(str, left.select(*pushed.columns).collect())) == sorted(map(str, pushed.collect()))
+
+
+def test_rows_are_not_sorted_to_be_written_by_season(spark, gdh, table, seasons_table):
+    """Sorting a large table's rows by partition before they are overwritten spilled more than the rows' size."""
+    before = files(spark, seasons_table)
+    mixed = table([(f"N{n % 3}", "corn", 2015 + n % 12, date(2022, 5, 1), 5, None, None, float(n)) for n in range(40)], GDH)
+    gdh_table.rows_to_push(mixed).select(*spark.table(seasons_table).columns).createOrReplaceTempView("mixed_rows")
+    text = spark.sql(f"EXPLAIN INSERT INTO {seasons_table} SELECT * FROM mixed_rows").first()[0]
+    assert "CROP_SEASON" in text and "Sort" not in text
+    gdh_table.push(mixed, seasons_table)
+    assert before < files(spark, seasons_table)
+    assert spark.table(seasons_table).filter("FIELD_ID LIKE 'N%'").count() == 40
