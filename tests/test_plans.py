@@ -22,6 +22,7 @@ from fieldheat.schemas import (
     STATIONS,
 )
 from fieldheat.sources import gdh_table
+from fieldheat.sources.staging import stage_in_buckets
 
 PAIRS = (
     "FIELD_ID STRING, CROP_SEASON INT, CROP_NAME STRING, station_id STRING, seeding_date DATE, harvest_date DATE, "
@@ -405,3 +406,34 @@ def test_season_rows_are_dealt_to_more_tasks_than_usual(spark, stored):
     tasks = hourly.GRID_SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     days = season_heat.field_station_days(stored("pairs", PAIRS), stored("readings", READINGS))
     assert re.search(rf"hashpartitioning\(FIELD_ID#\d+, CROP_SEASON#\d+, {tasks}\), REPARTITION_BY_NUM", plan(days))
+
+
+def test_places_stay_in_their_buckets_through_the_search(stored, monkeypatch):
+    written, store = [], stations.stage_in_buckets
+
+    def spied(df, *options):
+        written.append(plan(df))
+        return store(df, *options)
+
+    monkeypatch.setattr(stations, "stage_in_buckets", spied)
+    schema = "FIELD_ID STRING, field_lat DOUBLE, field_lon DOUBLE, state STRING, seeding_date DATE"
+    fields_at = [(str(n), 42.0 + n % 97 / 300, -112.0 + n % 89 / 300, "ID", date(2020 + n % 3, 4, 1)) for n in range(3000)]
+    places = [(f"S{n}", 1.0, 42.0 + n % 23 / 70, -112.0 + n % 29 / 90, date(2000 + n % 22, 1, 1)) for n in range(300)]
+    columns = "STID STRING, ELEVATION DOUBLE, lat DOUBLE, lon DOUBLE, record_start DATE"
+    fields, stationed = stored("fields", schema, fields_at), stored("stations", columns, places)
+    found = stations.nearest_stations(fields, stationed, 20, levels=4)
+    first, *steps = written
+    assert first.count("hashpartitioning(place") == 1
+    assert steps and not any("hashpartitioning(place" in text for text in [*steps, plan(found)])
+    assert rows_of(found) == rows_of(stations.nearest_stations(fields, stationed, 20, levels=0))
+
+
+def test_rows_in_buckets_are_not_shuffled_and_their_table_has_no_name_left(table, spark):
+    rows = [(f"F{n % 5}" if n % 5 else None, 2020 + n % 3, float(n % 2)) for n in range(60)]
+    before = spark.catalog.listTables()
+    kept = stage_in_buckets(table(rows, "FIELD_ID STRING, CROP_SEASON INT, GDH DOUBLE"), "kept", ["FIELD_ID", "CROP_SEASON"], 3)
+    assert spark.catalog.listTables() == before
+    assert sorted(map(str, kept.collect())) == sorted(map(str, table(rows, kept.schema).collect()))
+    counted = kept.groupBy("CROP_SEASON", "FIELD_ID", "GDH").count()
+    assert "Exchange" not in plan(counted)
+    assert counted.count() == 30 and {row["count"] for row in counted.collect()} == {2}
