@@ -4,11 +4,13 @@ import contextlib
 import io
 import re
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 
 from fieldheat.operators import fields, hourly, readings, seasons, stations
 from fieldheat.plans import changes, season_heat
+from fieldheat.plans.catalogue import gdh_pushed_twice
 from fieldheat.plans.season_heat import season_degree_hours
 from fieldheat.schemas import (
     BOUNDARIES,
@@ -437,3 +439,14 @@ def test_rows_in_buckets_are_not_shuffled_and_their_table_has_no_name_left(table
     counted = kept.groupBy("CROP_SEASON", "FIELD_ID", "GDH").count()
     assert "Exchange" not in plan(counted)
     assert counted.count() == 30 and {row["count"] for row in counted.collect()} == {2}
+
+
+def test_rows_pushed_twice_are_compared_where_they_are_stored(spark, shared_station):
+    pairs, measured, crops = shared_station
+    heat = season_degree_hours(pairs, measured, pairs.drop("station_id").distinct(), crops)
+    twice = gdh_pushed_twice(SimpleNamespace(spark=spark, gdh=lambda: heat))
+    assert "Exchange" not in plan(twice)
+    pushed = gdh_table.rows_to_push(heat)
+    assert rows_of(twice) == rows_of(pushed) and twice.count() > 100
+    # Buckets are what these rows are dealt into already.
+    assert dealt_by(hourly.dealt_for_grid(pushed).distinct()) == dealt_by(pushed.distinct())
