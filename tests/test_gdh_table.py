@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from fieldheat.plans.catalogue import Tables
+from fieldheat.plans.catalogue import QUERIES, Tables
 from fieldheat.schemas import GDH
 from fieldheat.sources import gdh_table
 
@@ -164,6 +164,20 @@ def test_csv(spark, gdh, tmp_path):
     assert back.columns == gdh.columns and back.count() == 3
 
 
+def test_compressed_csv(spark, gdh, tmp_path):
+    path = gdh_table.write_csv(gdh, str(tmp_path), date(2024, 7, 1), compression="gzip")
+    back = spark.read.schema(gdh.schema).option("header", True).csv(path)
+    assert back.inputFiles() and all(file.endswith(".csv.gz") for file in back.inputFiles())
+    assert sorted(map(str, back.collect())) == sorted(map(str, gdh.collect()))
+
+
+def test_the_csv_query_writes_compressed_files(spark, gdh, monkeypatch):
+    monkeypatch.setattr(Tables, "gdh", lambda self: gdh)
+    back = QUERIES["gdh_csv"](spark, "none")
+    assert back.inputFiles() and all(file.endswith(".csv.gz") for file in back.inputFiles())
+    assert back.count() == 3
+
+
 def files(spark, name):
     spark.catalog.refreshTable(name)
     return set(spark.table(name).inputFiles())
