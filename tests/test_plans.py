@@ -8,9 +8,9 @@ from types import SimpleNamespace
 
 import pytest
 
-from fieldheat.operators import fields, hourly, readings, seasons, stations
+from fieldheat.operators import fields, hourly, readings, seasons, stations, weather
 from fieldheat.plans import changes, season_heat
-from fieldheat.plans.catalogue import gdh_pushed_twice
+from fieldheat.plans.catalogue import Tables, gdh_pushed_twice
 from fieldheat.plans.season_heat import season_degree_hours
 from fieldheat.schemas import (
     BOUNDARIES,
@@ -450,3 +450,14 @@ def test_rows_pushed_twice_are_compared_where_they_are_stored(spark, shared_stat
     assert rows_of(twice) == rows_of(pushed) and twice.count() > 100
     # Buckets are what these rows are dealt into already.
     assert dealt_by(hourly.dealt_for_grid(pushed).distinct()) == dealt_by(pushed.distinct())
+
+
+def test_weather_of_fields_is_not_dealt_by_hour(spark, shared_station, monkeypatch):
+    pairs, measured, _ = shared_station
+    days = season_heat.field_station_days(pairs, measured)
+    monkeypatch.setattr(Tables, "days", lambda self: days)
+    found = Tables(spark, "none").field_weather()
+    assert not any("Hour" in key for key in dealt_by(found))
+    plainly = weather.field_weather(season_heat.filled_hours(days))
+    assert found.columns == plainly.columns
+    assert rows_of(found) == rows_of(plainly) and found.count() > 100
