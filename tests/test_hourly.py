@@ -229,3 +229,37 @@ def test_grid_of_rows_without_a_key_and_of_rows_that_come_twice(table):
         + [("1", 2020, "B", day, hour, None) for day in (one, two) for hour in (5, 7)],
         key=str,
     )
+
+
+@pytest.mark.parametrize("x", ["position", "time"])
+def test_a_grid_passes_one_window_that_carries_numbers(table, x):
+    """Each window copies all rows, and structs and unfolded expressions with lambdas make every row dearer."""
+    grid = op.complete_grid(table([("F", 2022, "S", date(2022, 5, 1), 1, 1.0)], HOURLY))
+    text = op.fill_gaps(grid, x=x)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "known#" not in windows[0]
+    unfolded = [line for line in text.splitlines() if "Generate inline" in line and "Hour#" in line]
+    assert unfolded and not any("lambda" in line for line in unfolded)
+
+
+def test_series_of_any_kind_are_bridged_in_the_order_of_the_table(table):
+    """Series without known hours, with one and with two, their rows in many tasks."""
+    rows = []
+    for n in range(40):
+        known = {0: [], 1: [n % 5], 2: [0, 4], 3: [1, 3]}[n % 4]
+        rows += [(f"F{n // 8}", 2020 + n % 2, f"S{n:02}", date(2022, 5, 1 + h // 3), h % 3, float(7 * n % 11 + h) if h in known else None)
+                 for h in range(5)]
+    grid = table(rows, HOURLY).repartition(7)
+    ordered = sorted(rows, key=lambda r: r[:5])
+    values, expected = [r[5] for r in ordered], []
+    for i, value in enumerate(values):
+        before = next((j for j in range(i, -1, -1) if values[j] is not None), None)
+        after = next((j for j in range(i, len(values)) if values[j] is not None), None)
+        between = None if before is None or after is None else value if value is not None else (
+            values[before] + (values[after] - values[before]) * (i - before) / (after - before)
+        )
+        expected.append((*ordered[i][:5], between))
+    found = op.fill_gaps(grid, scope="global", buckets=3).collect()
+    found = sorted(tuple(r[c] for c in op.HOUR_KEY) + (r.temp_avg,) for r in found)
+    assert [r[:5] for r in found] == [r[:5] for r in expected]
+    assert [r[5] for r in found] == [pytest.approx(r[5]) if r[5] is not None else None for r in expected]
