@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -312,3 +313,25 @@ def test_rows_are_not_sorted_to_be_written_by_season(spark, gdh, table, seasons_
     gdh_table.push(mixed, seasons_table)
     assert before < files(spark, seasons_table)
     assert spark.table(seasons_table).filter("FIELD_ID LIKE 'N%'").count() == 40
+
+
+def test_rows_are_dealt_once_as_they_lie_to_be_compared(spark, seasons_table, monkeypatch):
+    """Comparing them before they were dealt as well spilled and doubled what is shuffled."""
+    monkeypatch.setattr(gdh_table, "ROWS_PER_TASK", 50)
+    rows = spark.table(seasons_table)
+    compared = gdh_table.distinct_rows(gdh_table._dealt_for_comparison(rows.unionByName(rows), 120))
+    text = compared._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#\d+, (\d+)\)", text) == [("FIELD_ID", "CROP_SEASON", "3")]
+    assert text.index("HashAggregate") < text.index("Exchange") and "HashAggregate" not in text[text.index("Exchange") :]
+    assert sorted(map(str, compared.collect())) == sorted(map(str, rows.collect()))
+    other = rows.select("GDH", "HOUR")
+    assert gdh_table._dealt_for_comparison(other, 120) is other
+
+
+def test_duplicates_of_many_fields_are_removed_by_several_tasks(spark, table, name, monkeypatch):
+    monkeypatch.setattr(gdh_table, "ROWS_PER_TASK", 7)
+    once = gdh_table.rows_to_push(table(DAYS, GDH)).count()
+    for _ in range(3):
+        gdh_table.push(table([*DAYS, *DAYS[:9]], GDH), name, partition_by=["CROP_SEASON"])
+    assert gdh_table.remove_duplicates(spark, name) == 3
+    assert spark.table(name).count() == spark.table(name).distinct().count() == once
