@@ -109,3 +109,13 @@ def test_readings_in_buckets_are_averaged_where_they_are_read(spark, farm, tmp_p
         for name in settings:
             spark.conf.unset(name)
         spark.sql("DROP TABLE readings_under_test")
+
+
+def test_touched_field_seasons_meet_the_chosen_stations_once(spark, farm, tmp_path):
+    """The plan of the recomputation does not repeat that join for each reading of the stations."""
+    pairs, measured, crops = farm
+    spark.createDataFrame([("G", 2021)], "FIELD_ID STRING, CROP_SEASON INT").write.parquet(str(tmp_path / "touched"))
+    touched = spark.read.parquet(str(tmp_path / "touched"))
+    fresh = changes.recomputed(pairs, measured.drop("batch"), pairs, crops, station_season_plan(pairs), touched)
+    assert len(re.findall(r"Location: \w+ \[[^\]]*/touched\]", plan(fresh))) == 1
+    assert set(names(fresh.select("FIELD_ID").distinct())) == {"G"}
